@@ -2,7 +2,14 @@
 
 from __future__ import annotations
 
-from . import decontaminate
+from . import bpe, decontaminate, secrets
 
-QUERIES = {"op1_decontaminate": decontaminate.query}
-ORACLES = {"op1_decontaminate": decontaminate.SQL}
+QUERIES = {
+    "op1_decontaminate": decontaminate.query,
+    "op4_bpe": bpe.query,
+    "op10_secrets": secrets.query,
+}
+ORACLES = {
+    "op1_decontaminate": decontaminate.SQL,
+    "op10_secrets": secrets.SQL,
+}
