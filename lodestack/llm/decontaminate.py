@@ -22,29 +22,29 @@ WINDOW, K = 13, 5
 POSITION = (1 << 30) - 1
 #: Bytes of benchmark fingerprints that one broadcast may hold; more are looked up in several blocks.
 BLOCK_BYTES = 32 << 20
+#: Up to so many benchmark fingerprints stand in the plan as a set, before documents' fingerprints become rows.
+SET_MAX = 50_000
 
 
 def words(text: Column) -> Column:
     return F.array_remove(F.split(ascii_lower(F.coalesce(text, F.lit(""))), SEPARATORS), "")
 
 
-def _packed(hashes: Column, first: Column, n: int) -> Column:
-    """Hash of the n words from `first` (0-based), its low bits replaced by that position."""
-    return F.xxhash64(F.lit(n), F.slice(hashes, first + 1, F.lit(n))).bitwiseAND(F.lit(~POSITION)).bitwiseOR(first.cast("long"))
-
-
 def _grams(hashes: Column, n: int) -> Column:
-    size = F.size(hashes)
-    return F.when(size >= n, F.transform(F.sequence(F.lit(0), size - n), lambda i: _packed(hashes, i, n))).otherwise(
-        F.array().cast("array<bigint>")
-    )
+    """Of each place the hash of the n words from there, its low bits replaced by the place; null where fewer follow."""
+    last = F.size(hashes) - n
+    packed = lambda x, i: F.xxhash64(F.lit(n), x, *(F.get(hashes, i + j) for j in range(1, n))).bitwiseAND(F.lit(~POSITION)).bitwiseOR(i)
+    return F.transform(hashes, lambda x, i: F.when(i <= last, packed(x, i)))
 
 
 def winnow(hashes: Column, window: int = WINDOW, k: int = K) -> Column:
-    """Packed fingerprints of every k-gram that is the least of some `window - k + 1` consecutive ones."""
-    reach = window - k + 1
-    least = lambda g: F.array_distinct(F.transform(F.sequence(F.lit(1), F.size(g) - reach + 1), lambda i: F.array_min(F.slice(g, i, F.lit(reach)))))
-    return F.when(F.size(hashes) >= window, let(_grams(hashes, k), least)).otherwise(F.array().cast("array<bigint>"))
+    """Packed fingerprints of every k-gram that is the least of some `window - k + 1` consecutive ones (at the end of
+    the text of some fewer, which adds fingerprints and takes none away).
+
+    Neighbours are fetched one by one: slices would be copied element by element, at several times the cost.
+    """
+    least = lambda g: F.array_distinct(F.transform(g, lambda x, i: F.least(x, *(F.get(g, i + j) for j in range(1, window - k + 1)))))
+    return F.when(F.size(hashes) >= window, F.array_compact(let(_grams(hashes, k), least))).otherwise(F.array().cast("array<bigint>"))
 
 
 def benchmark_fingerprints(items: DataFrame, item_id: str, item_text: str, window: int = WINDOW, k: int = K) -> DataFrame:
@@ -95,17 +95,27 @@ def decontaminate(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", tex
     ).first()
     blocks, short = max(1, math.ceil((size["b"] or 0) / BLOCK_BYTES)), sorted(size["short"])
     w = docs.select(F.col(doc_id).alias("id"), F.monotonically_increasing_id().alias("row"), words(F.col(text)).alias("w"))
-    packed = let(F.transform("w", lambda x: F.xxhash64(x)), lambda h: F.concat(winnow(h, window, k), *(_grams(h, n) for n in short)))
+    packed = let(F.transform("w", lambda x: F.xxhash64(x)), lambda h: F.concat(winnow(h, window, k), *(F.array_compact(_grams(h, n)) for n in short)))
+    known = [r[0] for r in bench.select("fp").distinct().limit(SET_MAX + 1).collect()]
+    if len(known) <= SET_MAX:
+        packed = F.filter(packed, lambda p: p.bitwiseAND(F.lit(~POSITION)).isin(known))
+
+    def narrow(p: Column) -> Column:
+        """What is needed of the words to extend a hit: those as far around as any window that holds the k-gram."""
+        at = p.bitwiseAND(F.lit(POSITION)).cast("int")
+        start = F.greatest(at - (window - k), F.lit(0))
+        return F.struct(p.bitwiseAND(F.lit(~POSITION)).alias("fp"), at.alias("at"), start.alias("start"), F.slice("w", start + 1, at - start + window).alias("near"))
+
     #: a first element without fingerprint stands for the document itself
-    each = w.select("id", "row", "w", F.size("w").alias("n"), F.explode(F.concat(F.array(F.lit(None).cast("bigint")), packed)).alias("p"))
-    each = each.withColumns({"fp": F.col("p").bitwiseAND(F.lit(~POSITION)), "at": F.col("p").bitwiseAND(F.lit(POSITION)).cast("int")})
+    itself = F.struct(F.lit(None).cast("bigint").alias("fp"), *(F.lit(None).cast("int").alias(x) for x in ("at", "start")), F.lit(None).cast("array<string>").alias("near"))
+    each = w.select("id", "row", F.size("w").alias("n"), F.explode(F.concat(F.array(itself), F.transform(packed, narrow))).alias("p")).select("id", "row", "n", "p.*")
     hits = None
     for b in range(blocks):
         part = bench if blocks == 1 else bench.where(F.pmod(F.xxhash64("fp", "around"), F.lit(blocks)) == b)
-        found = each.join(F.broadcast(part), "fp", "left").where(F.col("around").isNotNull() | (F.col("p").isNull() if not b else F.lit(False)))
+        found = each.join(F.broadcast(part), "fp", "left").where(F.col("around").isNotNull() | (F.col("fp").isNull() if not b else F.lit(False)))
         hits = found if hits is None else hits.unionByName(found)
     origin = F.col("at") - F.col("before")
-    differ = F.filter(F.sequence(F.lit(0), F.size("around") - 1), lambda j: ~F.coalesce(F.get(F.col("w"), origin + j) == F.get(F.col("around"), j), F.lit(False)))
+    differ = F.filter(F.sequence(F.lit(0), F.size("around") - 1), lambda j: ~F.coalesce(F.get(F.col("near"), origin - F.col("start") + j) == F.get(F.col("around"), j), F.lit(False)))
     run = let(
         differ,
         lambda d: F.struct(
