@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import bpe, decontaminate, ordinal, secrets
+from . import bagminhash, bpe, decontaminate, ordinal, secrets
 
 QUERIES = {
     "op1_decontaminate": decontaminate.query,
     "op4_bpe": bpe.query,
+    "op8_near_duplicates": bagminhash.query,
     "op9_quality_classifier": ordinal.query,
     "op10_secrets": secrets.query,
 }
