@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from . import bagminhash, bpe, decontaminate, ordinal, secrets
+from . import bagminhash, bpe, decontaminate, line_crf, line_dedup, ordinal, secrets
 
 QUERIES = {
     "op1_decontaminate": decontaminate.query,
+    "op2_line_dedup": line_dedup.query,
     "op4_bpe": bpe.query,
+    "op5_quality_rules": line_crf.query,
     "op8_near_duplicates": bagminhash.query,
     "op9_quality_classifier": ordinal.query,
     "op10_secrets": secrets.query,
