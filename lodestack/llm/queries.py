@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from . import bagminhash, bpe, decontaminate, line_crf, line_dedup, ordinal, secrets
+from . import bagminhash, bpe, decontaminate, line_crf, line_dedup, ordinal, secrets, url_filter, warc
 
 QUERIES = {
     "op1_decontaminate": decontaminate.query,
     "op2_line_dedup": line_dedup.query,
+    "op3_url_filter": url_filter.query,
     "op4_bpe": bpe.query,
     "op5_quality_rules": line_crf.query,
+    "op7_warc": warc.query,
     "op8_near_duplicates": bagminhash.query,
     "op9_quality_classifier": ordinal.query,
     "op10_secrets": secrets.query,
