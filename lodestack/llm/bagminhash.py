@@ -6,8 +6,8 @@ ascending order. A component's value is the first point below the shingle's weig
 agree in a component with the probability of their multiset Jaccard similarity. Points above the largest value so far
 are never made; all texts of a batch are worked on together.
 
-Texts of equal words are one node. Nodes that share a band are compared with the least node of their bucket, on the
-texts; what that leaves apart within a bucket is compared further (see `_rest`), until the classes are complete.
+Texts of equal words are one node. Nodes that share a band are compared with the centre of their bucket, on the texts;
+what that leaves apart within a bucket is compared pair by pair, but for pairs that can't be similar (see `_rest`).
 """
 
 from __future__ import annotations
@@ -27,8 +27,6 @@ from .components import components
 WORDS, SIMILARITY = 5, 0.8
 #: A pair of the least similarity shares no band with probability (1 - 0.8**4)**24, 3 in a million.
 BANDS, ROWS = 24, 4
-#: Mixed buckets up to this size are compared pair by pair; larger ones by pairs of bands.
-PAIRWISE = 64
 #: Texts that are signed together.
 BATCH = 2000
 
@@ -157,29 +155,43 @@ def _verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
     return full.select("a", "b", "ta", "tb").mapInArrow(_similar(least), "a long, b long").distinct()
 
 
-def _rest(members: DataFrame, nodes: DataFrame, found: DataFrame) -> DataFrame:
-    """Pairs that are still to be compared once `found` (id, component) holds the links to least nodes.
+def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        for at in range(0, len(b), BATCH):
+            part = b.slice(at, BATCH)
+            bags = [shingles(word_hashes(t.as_py())) for t in part.column(1)]
+            ids = np.repeat(part.column(0).to_numpy(), [len(x[0]) for x in bags])
+            item = np.concatenate([x[0] for x in bags]) if bags else np.zeros(0, np.uint64)
+            count = np.concatenate([x[1] for x in bags]) if bags else np.zeros(0, np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(item.view(np.int64)), pa.array(ids), pa.array(count)], ["s", "id", "c"])
 
-    A bucket is mixed if it has several components. In mixed buckets of up to PAIRWISE members, each member outside
-    the least node's component is paired with every member of another component. In larger ones such members, and one
-    of each component, meet again where they share two bands: a similar pair shares fewer than two of 24 with a
-    probability of 6 in 100,000, while texts that have only a frequent passage in common hardly do.
+
+def _rest(members: DataFrame, found: DataFrame, texts: DataFrame, least: float) -> DataFrame:
+    """Pairs that are still to be compared once `found` (id, component) holds the links to centres.
+
+    In a bucket of several components, each member outside the centre's component is to be compared with every member
+    of another one, unless no similar pair can come of it: two texts of n and m shingles are similar only if they have
+    `least` / (1 + `least`) * (n + m) in common, and a text has no more in common with any other than those of its
+    shingles that occur elsewhere in such buckets. That rules out, without loss, the members of large groups of copies
+    that differ too much from the rest.
     """
     c = members.join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    sizes = c.groupBy("k").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.min(F.struct("id", "component")).alias("least"), F.count("*").alias("n")).where("lo <> hi")
-    c = cut(c.join(sizes.select("k", "n", F.col("least.component").alias("main")), "k"))
-    small = c.where(F.col("n") <= PAIRWISE)
-    left = small.where("component <> main").select("k", F.col("id").alias("a"), F.col("component").alias("ca"))
-    direct = left.join(small.select("k", F.col("id").alias("b"), F.col("component").alias("cb"), "main"), "k").where("ca <> cb AND (cb = main OR a < b)")
-    large = c.where(F.col("n") > PAIRWISE).groupBy("id", "component").agg(F.max((F.col("component") != F.col("main")).cast("int")).alias("apart"))
-    two = F.flatten(F.transform("bands", lambda x, i: F.transform(F.slice("bands", i + 2, F.lit(BANDS)), lambda y: F.xxhash64(x, y))))
-    deep = nodes.join(large, "id").select("id", "component", "apart", F.explode(two).alias("k2"))
-    one = deep.groupBy("k2", "component").agg(F.min(F.struct(F.xxhash64("id", "k2").alias("o"), F.col("id"))).alias("m"), F.max("apart").alias("apart"))
-    one = one.select("k2", F.col("m.id").alias("id"), "component", "apart")
-    met = deep.where("apart = 1").select("k2", F.col("id").alias("a"), F.col("component").alias("ca")).join(
-        one.select("k2", F.col("id").alias("b"), F.col("component").alias("cb"), F.col("apart").alias("also")), "k2"
-    ).where("ca <> cb AND (also = 0 OR a < b)")
-    return direct.select("a", "b").unionByName(met.select("a", "b")).distinct()
+    main = c.where("id = centre").select("k", F.col("component").alias("main"))
+    c = c.join(main, "k")
+    mixed = c.where("component <> main").select("k").distinct()
+    c = cut(c.join(mixed, "k", "left_semi").select("k", "id", "component", "main"))
+    each = texts.join(c.select("id").distinct(), "id", "left_semi")
+    bags = cut(each.select("id", "t").mapInArrow(_occurrences, "s long, id long, c long"))
+    alone = bags.groupBy("s").agg(F.count("*").alias("n"), F.min("id").alias("id"), F.sum("c").alias("c")).where("n = 1").groupBy("id").agg(F.sum("c").alias("own"))
+    sizes = bags.groupBy("id").agg(F.sum("c").alias("n")).join(alone, "id", "left").select("id", "n", (F.col("n") - F.coalesce("own", F.lit(0))).alias("most"))
+    several = each.groupBy("id").agg(F.count("*").alias("texts")).where("texts > 1")  # no bound for ids of several texts
+    sizes = sizes.join(several, "id", "left").select("id", *(F.when(F.col("texts").isNull(), F.col(x)).alias(x) for x in ("n", "most")))
+    sizes = sizes.where(F.coalesce(F.col("most") >= least * F.col("n") - 1e-6, F.lit(True)))
+    c = c.join(sizes, "id")
+    left = c.where("component <> main").select("k", F.col("id").alias("a"), F.col("component").alias("ca"), F.col("n").alias("na"), F.col("most").alias("ma"))
+    right = c.select("k", F.col("id").alias("b"), F.col("component").alias("cb"), F.col("n").alias("nb"), F.col("most").alias("mb"), "main")
+    enough = F.least("ma", "mb") >= least / (1 + least) * (F.col("na") + F.col("nb")) - 1e-6
+    return left.join(right, "k").where("ca <> cb AND (cb = main OR a < b)").where(F.coalesce(enough, F.lit(True))).select("a", "b").distinct()
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least: float = SIMILARITY) -> DataFrame:
@@ -194,11 +206,15 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     signed = cut(d.mapInArrow(_signed, "id long, key binary, bands array<long>").where("id IS NOT NULL"))
     nodes = cut(signed.where("key IS NOT NULL").groupBy("key").agg(F.min("id").alias("id"), F.first("bands").alias("bands")))
     each = nodes.select("id", F.explode("bands").alias("k")).distinct()
-    buckets = each.groupBy("k").agg(F.min("id").alias("least"), F.count("*").alias("n")).where("n > 1")
-    members = cut(each.join(buckets.select("k", "least"), "k"))
+    buckets = each.groupBy("k").agg(F.count("*").alias("n")).where("n > 1")
+    shared = cut(each.join(buckets, "k"))
+    #: the centre of a bucket is the member with the most company in all its buckets: a group's original, not an outlier
+    company = shared.groupBy("id").agg(F.sum("n").alias("company"))
+    centres = shared.join(company, "id").groupBy("k").agg(F.max(F.struct("company", (-F.col("id")).alias("minus"))).alias("m")).select("k", (-F.col("m.minus")).alias("centre"))
+    members = cut(shared.select("k", "id").join(centres, "k"))
     texts = cut(d.join(members.select("id").distinct(), "id", "left_semi").distinct())
-    links = cut(_verified(members.where("id <> least").select(F.col("id").alias("a"), F.col("least").alias("b")).distinct(), texts, least))
-    more = cut(_verified(_rest(members.select("id", "k"), nodes.select("id", "bands"), components(links)), texts, least))
+    links = cut(_verified(members.where("id <> centre").select(F.col("id").alias("a"), F.col("centre").alias("b")).distinct(), texts, least))
+    more = cut(_verified(_rest(members, components(links), texts, least), texts, least))
     classes = components(links.unionByName(more))
     of_node = nodes.join(classes, "id", "left").select("key", F.coalesce("component", "id").alias("class_id"))
     of_id = signed.join(of_node, "key", "left").groupBy("id").agg(F.min(F.coalesce("class_id", "id")).alias("class_id"))
