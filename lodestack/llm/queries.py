@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bagminhash, bpe, decontaminate, line_crf, line_dedup, ordinal, secrets, url_filter, warc
+from . import bagminhash, bpe, chat, decontaminate, line_crf, line_dedup, ordinal, secrets, url_filter, warc
 
 QUERIES = {
     "op1_decontaminate": decontaminate.query,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_url_filter": url_filter.query,
     "op4_bpe": bpe.query,
     "op5_quality_rules": line_crf.query,
+    "op6_chat_format": chat.query,
     "op7_warc": warc.query,
     "op8_near_duplicates": bagminhash.query,
     "op9_quality_classifier": ordinal.query,
@@ -17,5 +18,6 @@ QUERIES = {
 }
 ORACLES = {
     "op1_decontaminate": decontaminate.SQL,
+    "op6_chat_format": chat.SQL,
     "op10_secrets": secrets.SQL,
 }
