@@ -69,12 +69,16 @@ def shingles(words: np.ndarray, n: int = WORDS) -> tuple[np.ndarray, np.ndarray]
     return np.unique(_mixed(acc), return_counts=True)
 
 
+def _common(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> int:
+    _, i, j = np.intersect1d(a[0], b[0], assume_unique=True, return_indices=True)
+    return int(np.minimum(a[1][i], b[1][j]).sum())
+
+
 def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
     """Multiset Jaccard; 0 if either is empty."""
     if not len(a[0]) or not len(b[0]):
         return 0.0
-    _, i, j = np.intersect1d(a[0], b[0], assume_unique=True, return_indices=True)
-    common = int(np.minimum(a[1][i], b[1][j]).sum())
+    common = _common(a, b)
     return common / (int(a[1].sum()) + int(b[1].sum()) - common)
 
 
@@ -131,28 +135,49 @@ def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _similar(least: float):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, bag = None, None
-        for b in batches:
-            a_id, b_id, ok = [], [], []
-            for x, y, tx, ty in zip(*(b.column(i) for i in range(4))):
-                ty = ty.as_py()
-                if ty != last:
-                    last, bag = ty, shingles(word_hashes(ty))
-                if similarity(shingles(word_hashes(tx.as_py())), bag) >= least:
-                    a_id.append(x.as_py())
-                    b_id.append(y.as_py())
-            yield pa.RecordBatch.from_arrays([pa.array(a_id, pa.int64()), pa.array(b_id, pa.int64())], ["a", "b"])
+def _both(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """a, b and their texts ta, tb. The texts of b come last, so that equal ones follow each other."""
+    with_a = pairs.join(texts.select(F.col("id").alias("a"), F.col("t").alias("ta")), "a")
+    return with_a.join(texts.select(F.col("id").alias("b"), F.col("t").alias("tb")), "b").select("a", "b", "ta", "tb")
 
-    return run
 
+def _bags(batch: pa.RecordBatch, seen: list) -> Iterator[tuple]:
+    """a, b and their shingles, row by row; seen holds the last text of b and its shingles."""
+    for x, y, tx, ty in zip(*(batch.column(i) for i in range(4))):
+        ty = ty.as_py()
+        if not seen or seen[0] != ty:
+            seen[:] = ty, shingles(word_hashes(ty))
+        yield x.as_py(), y.as_py(), shingles(word_hashes(tx.as_py())), seen[1]
 
-def _verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
-    """Those pairs (a, b) whose texts are similar. The texts of b come last, so that equal ones follow each other."""
-    with_a = pairs.join(texts.select(F.col("id").alias("a"), F.col("t").alias("ta")), "a")
-    full = with_a.join(texts.select(F.col("id").alias("b"), F.col("t").alias("tb")), "b")
-    return full.select("a", "b", "ta", "tb").mapInArrow(_similar(least), "a long, b long").distinct()
+
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    seen: list = []
+    for batch in batches:
+        rows = [(x, y, int(a[1].sum()), int(b[1].sum()), _common(a, b)) for x, y, a, b in _bags(batch, seen)]
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (zip(*rows) if rows else [[]] * 5)], ["a", "b", "na", "nb", "common"])
+
+
+def _compared(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
+    """a, b, similar, na (shingles of a), common (of both, at most, if an id has several texts)."""
+    counted = _both(pairs, texts).mapInArrow(_counted, "a long, b long, na long, nb long, common long")
+    ok = (F.col("common") > 0) & (F.col("common") >= least * (F.col("na") + F.col("nb") - F.col("common")))
+    return counted.groupBy("a", "b").agg(F.max(ok.cast("int")).alias("similar"), F.min("na").alias("na"), F.max("common").alias("common"))
+
+
+def _outside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For each pair (a, b) the shingles that a has more often than b."""
+    seen: list = []
+    for batch in batches:
+        ids, centres, items = [], [], []
+        for x, y, a, b in _bags(batch, seen):
+            at = np.searchsorted(b[0], a[0])
+            at[at == len(b[0])] = 0
+            more = a[0][a[1] > np.where(b[0][at] == a[0], b[1][at], 0)] if len(b[0]) else a[0]
+            items.append(more)
+            ids.append(np.full(len(more), x))
+            centres.append(np.full(len(more), y))
+        joined = [np.concatenate(v) if v else np.zeros(0, np.int64) for v in (ids, centres, items)]
+        yield pa.RecordBatch.from_arrays([pa.array(joined[0].astype(np.int64)), pa.array(joined[1].astype(np.int64)), pa.array(joined[2].astype(np.uint64).view(np.int64))], ["id", "centre", "s"])
 
 
 def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -166,32 +191,41 @@ def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(item.view(np.int64)), pa.array(ids), pa.array(count)], ["s", "id", "c"])
 
 
-def _rest(members: DataFrame, found: DataFrame, texts: DataFrame, least: float) -> DataFrame:
-    """Pairs that are still to be compared once `found` (id, component) holds the links to centres.
+def _rest(members: DataFrame, star: DataFrame, found: DataFrame, texts: DataFrame, least: float) -> DataFrame:
+    """Pairs (a, b) that are still to be compared once `found` (id, component) holds the links to centres.
 
-    In a bucket of several components, each member outside the centre's component is to be compared with every member
-    of another one, unless no similar pair can come of it: two texts of n and m shingles are similar only if they have
-    `least` / (1 + `least`) * (n + m) in common, and a text has no more in common with any other than those of its
-    shingles that occur elsewhere in such buckets. That rules out, without loss, the members of large groups of copies
-    that differ too much from the rest.
+    Where a bucket has several components, each member x outside the centre's is to be compared with the members y of
+    other components that have met the same centre c. Two bounds, of |x| shingles and |x & y| common ones, leave out most
+    pairs of large groups of copies and not a single similar pair, which has |x & y| >= l * (|x| + |y|), where
+    l = least / (1 + least):
+    - x and y have no more in common than the shingles of each that occur elsewhere in such buckets;
+    - |x & y| <= |x & c| + those that both have beyond c. So either they share a shingle beyond c, or y is so short that
+      |x & c| is enough, which is less than l * (|x| + |c|), as x isn't similar to c.
     """
+    share = least / (1 + least)
     c = members.join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
     main = c.where("id = centre").select("k", F.col("component").alias("main"))
     c = c.join(main, "k")
-    mixed = c.where("component <> main").select("k").distinct()
-    c = cut(c.join(mixed, "k", "left_semi").select("k", "id", "component", "main"))
+    c = cut(c.join(c.where("component <> main").select("k").distinct(), "k", "left_semi").select("id", "component", "centre", "main").distinct())
     each = texts.join(c.select("id").distinct(), "id", "left_semi")
-    bags = cut(each.select("id", "t").mapInArrow(_occurrences, "s long, id long, c long"))
-    alone = bags.groupBy("s").agg(F.count("*").alias("n"), F.min("id").alias("id"), F.sum("c").alias("c")).where("n = 1").groupBy("id").agg(F.sum("c").alias("own"))
-    sizes = bags.groupBy("id").agg(F.sum("c").alias("n")).join(alone, "id", "left").select("id", "n", (F.col("n") - F.coalesce("own", F.lit(0))).alias("most"))
+    occurring = cut(each.select("id", "t").mapInArrow(_occurrences, "s long, id long, c long"))
+    alone = occurring.groupBy("s").agg(F.count("*").alias("n"), F.min("id").alias("id"), F.sum("c").alias("c")).where("n = 1").groupBy("id").agg(F.sum("c").alias("own"))
+    sizes = occurring.groupBy("id").agg(F.sum("c").alias("n")).join(alone, "id", "left").select("id", "n", (F.col("n") - F.coalesce("own", F.lit(0))).alias("most"))
     several = each.groupBy("id").agg(F.count("*").alias("texts")).where("texts > 1")  # no bound for ids of several texts
     sizes = sizes.join(several, "id", "left").select("id", *(F.when(F.col("texts").isNull(), F.col(x)).alias(x) for x in ("n", "most")))
-    sizes = sizes.where(F.coalesce(F.col("most") >= least * F.col("n") - 1e-6, F.lit(True)))
-    c = c.join(sizes, "id")
-    left = c.where("component <> main").select("k", F.col("id").alias("a"), F.col("component").alias("ca"), F.col("n").alias("na"), F.col("most").alias("ma"))
-    right = c.select("k", F.col("id").alias("b"), F.col("component").alias("cb"), F.col("n").alias("nb"), F.col("most").alias("mb"), "main")
-    enough = F.least("ma", "mb") >= least / (1 + least) * (F.col("na") + F.col("nb")) - 1e-6
-    return left.join(right, "k").where("ca <> cb AND (cb = main OR a < b)").where(F.coalesce(enough, F.lit(True))).select("a", "b").distinct()
+    c = c.where("id <> centre").join(sizes.where(F.coalesce(F.col("most") >= least * F.col("n") - 1e-6, F.lit(True))), "id")
+    c = cut(c.join(star.select(F.col("a").alias("id"), F.col("b").alias("centre"), F.col("na"), F.col("common")), ["id", "centre"]))
+    left = c.where("component <> main").select("centre", F.col("id").alias("a"), F.col("component").alias("ca"), F.col("n").alias("n1"), F.col("most").alias("m1"), ((1 / share) * F.col("common") - F.col("na") + 1e-6).alias("longest"))
+    right = c.select("centre", F.col("id").alias("b"), F.col("component").alias("cb"), F.col("n").alias("n2"), F.col("most").alias("m2"), "main")
+    apart = (F.col("ca") != F.col("cb")) & ((F.col("cb") == F.col("main")) | (F.col("a") < F.col("b")))
+    enough = F.coalesce(F.least("m1", "m2") >= share * (F.col("n1") + F.col("n2")) - 1e-6, F.lit(True))
+    short = left.join(right, "centre").where(apart & enough & F.coalesce(F.col("n2") <= F.col("longest"), F.lit(True)))
+    beyond = cut(_both(c.select(F.col("id").alias("a"), F.col("centre").alias("b")), texts).mapInArrow(_outside, "id long, centre long, s long").distinct())
+    beyond = beyond.join(beyond.groupBy("centre", "s").agg(F.count("*").alias("times")).where("times > 1").select("centre", "s"), ["centre", "s"])
+    one = beyond.withColumnRenamed("id", "a").join(left, ["centre", "a"]).select("centre", "s", "a", "ca", "n1", "m1")
+    two = beyond.withColumnRenamed("id", "b").join(right, ["centre", "b"]).select("centre", "s", "b", "cb", "n2", "m2", "main")
+    sharing = one.join(two, ["centre", "s"]).where(apart & enough)
+    return short.select("a", "b").unionByName(sharing.select("a", "b")).distinct()
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least: float = SIMILARITY) -> DataFrame:
@@ -213,8 +247,10 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     centres = shared.join(company, "id").groupBy("k").agg(F.max(F.struct("company", (-F.col("id")).alias("minus"))).alias("m")).select("k", (-F.col("m.minus")).alias("centre"))
     members = cut(shared.select("k", "id").join(centres, "k"))
     texts = cut(d.join(members.select("id").distinct(), "id", "left_semi").distinct())
-    links = cut(_verified(members.where("id <> centre").select(F.col("id").alias("a"), F.col("centre").alias("b")).distinct(), texts, least))
-    more = cut(_verified(_rest(members, components(links), texts, least), texts, least))
+    star = cut(_compared(members.where("id <> centre").select(F.col("id").alias("a"), F.col("centre").alias("b")).distinct(), texts, least))
+    links = star.where("similar = 1").select("a", "b")
+    rest = _rest(members, star, components(links), texts, least)
+    more = cut(_compared(rest, texts, least).where("similar = 1").select("a", "b"))
     classes = components(links.unionByName(more))
     of_node = nodes.join(classes, "id", "left").select("key", F.coalesce("component", "id").alias("class_id"))
     of_id = signed.join(of_node, "key", "left").groupBy("id").agg(F.min(F.coalesce("class_id", "id")).alias("class_id"))
