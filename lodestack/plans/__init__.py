@@ -1 +1 @@
-
+"""Queries over the tables."""
