@@ -1,7 +1,7 @@
 """HTML pages as columns: a small forgiving tree over the standard parser, behind Arrow-batched functions.
 
-The tree closes open <p>, <li>, cells and rows where a new one begins and ignores end tags without a start; other
-repairs that browsers make aren't attempted.
+The tree closes an open <p> where a block begins, open <li>, cells and rows where a new one does, and ignores end tags
+without a start; other repairs that browsers make aren't attempted.
 """
 
 from __future__ import annotations
@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: a start tag -> open tags that it ends
 _ENDS = {"p": {"p"}, "li": {"li"}, "td": {"td", "th"}, "th": {"td", "th"}, "tr": {"tr", "td", "th"}, "option": {"option"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}}
+_ENDS |= {tag: {"p"} for tag in "address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr main nav ol pre section table ul".split()}
 _SCOPE = frozenset("table ul ol div section article body select dl".split())
 _RAW = ("script", "style")
 

@@ -56,7 +56,11 @@ def url_kind(url: Column) -> Column:
 
 def classified(urls: Column) -> dict[str, Column]:
     """An array for each kind; urls of no kind are in none."""
-    return {f"{'json_snapshot' if k == 'json' else k}_urls": F.filter(urls, lambda u, k=k: F.coalesce(url_kind(u) == k, F.lit(False))) for k in URL_KINDS}
+
+    def of(kind: str) -> Column:
+        return F.filter(urls, lambda u: F.coalesce(url_kind(u) == kind, F.lit(False)))
+
+    return {f"{'json_snapshot' if k == 'json' else k}_urls": of(k) for k in URL_KINDS}
 
 
 def all_urls(attachments: Column, urls: Column) -> Column:

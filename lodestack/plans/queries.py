@@ -380,5 +380,5 @@ def events_dedupe_stream(spark, sf_dir):
     """A stream of all events, read to its end, without repeats."""
     from ..streaming.replay import drained
 
-    source = spark.readStream.schema(t(spark, sf_dir, "events").schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    source = spark.readStream.schema(t(spark, sf_dir, "events").schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir).withColumn("ts", F.col("ts").cast("timestamp"))
     return drained(incremental.distinct_events(source, ["event_id"], "ts", "60 days")).select("event_id")
