@@ -97,7 +97,7 @@ _LETTER = "A-Za-zÀ-ỹĐđ"
 
 def repair_block(c: Column) -> Column:
     """Repairs of one extracted block: spaces about slashes, split numbers and years, spaces before punctuation, and
-    one-letter words that belong together."""
+    one-letter words that belong together. The patterns are fixed values."""
     steps = [
         ("\u00a0", " "),
         ("[ \t]+", " "),
@@ -114,7 +114,8 @@ def repair_block(c: Column) -> Column:
 
 
 def repair_text(c: Column) -> Column:
-    """The same kind of repairs over joined blocks; punctuation and slashes may draw lines together."""
+    """The same kind of repairs over joined blocks; punctuation and slashes may draw lines together. The
+    patterns are fixed values."""
     steps = [
         (rf"(?U)(\d)\s+/\s*([{_LETTER}])", "$1/$2"),
         (r"(?U)\b(20\d)\s+(\d)\b", "$1$2"),

@@ -118,14 +118,14 @@ def pack(text: Column, p: Packing = Packing()) -> Column:
 
 
 def packed_chunks(rows: DataFrame, doc_id: str, text: str, source: str, source_level: Column | None = None, source_index: Column | None = None, p: Packing = Packing()) -> DataFrame:
-    """The columns of rows but the text, and: chunk_id (document:source:index:piece), source, source_level, text,
-    char_count, token_estimate, needs_ocr."""
-    index = source_index if source_index is not None else F.lit(0)
+    """The columns of rows but the text, and: chunk_id (document:source:index:piece, counted from 1), source,
+    source_level, text, char_count, token_estimate, needs_ocr."""
+    index = source_index if source_index is not None else F.lit(1)
     level = source_level if source_level is not None else F.lit(source)
     d = rows.select(*(c for c in rows.columns if c != text), level.alias("source_level"), index.cast("int").alias("_index"), F.posexplode(pack(F.col(text), p)).alias("_piece", "text"))
     return d.select(
         *(c for c in rows.columns if c not in (text, "source_level")),
-        F.format_string("%s:%s:%05d:%03d", F.coalesce(F.nullif(F.col(doc_id).cast("string"), F.lit("")), F.lit("unknown")), F.lit(source), "_index", "_piece").alias("chunk_id"),
+        F.format_string("%s:%s:%05d:%03d", F.coalesce(F.nullif(F.col(doc_id).cast("string"), F.lit("")), F.lit("unknown")), F.lit(source), "_index", F.col("_piece") + 1).alias("chunk_id"),
         F.lit(source).alias("source"),
         "source_level",
         "text",

@@ -130,7 +130,7 @@ def quality_score_flags(spark, sf_dir):
     return _records(spark, sf_dir).select("doc_id", "score", F.array_join("flags", ",").alias("flags"))
 
 
-@query(f"SELECT count(*) AS records, count(*) FILTER (trim(text) <> '') AS with_content, 0 AS with_pdf, count(*) FILTER (length(text) >= 300) AS with_chunks, CAST(coalesce(sum(length(text) // 300), 0) AS BIGINT) AS chunks, round(avg(score), 2) AS average_score, count(*) FILTER (score < 40) AS low_score FROM {_SCORE_SQL}")
+@query(f"SELECT count(*) AS records, count(*) FILTER (trim(text) <> '') AS with_content, CAST(0 AS BIGINT) AS with_pdf, count(*) FILTER (length(text) >= 300) AS with_chunks, CAST(coalesce(sum(length(text) // 300), 0) AS BIGINT) AS chunks, round(avg(score), 2) AS average_score, count(*) FILTER (score < 40) AS low_score FROM {_SCORE_SQL}")
 def corpus_quality_summary(spark, sf_dir):
     r = _records(spark, sf_dir).withColumns({"pdf": F.array().cast("array<string>"), "n": F.floor(F.length("text") / 300)})
     return quality.summary(r, "text", "score", {"pdf": "pdf"}, "n")

@@ -5,7 +5,7 @@ import random
 from pyspark.sql import functions as F
 
 from lodestack.functions import html
-from lodestack.operators import chunking, corpus, quality, records, retrieval, structure, topics
+from lodestack.operators import assembly, chunking, corpus, quality, records, retrieval, structure, topics
 
 
 def rows(df, *order):
@@ -52,7 +52,7 @@ def test_packed_chunks_keep_limits_and_unique_ids(spark):
     made = ["".join(rng.choice("ab. \n;") for _ in range(rng.randint(0, 9000))) for _ in range(30)]
     got = chunking.packed_chunks(texts(spark, *made).withColumn("extra", F.lit(1)), "doc_id", "text", "content_clean").collect()
     assert len({r.chunk_id for r in got}) == len(got) and all(len(r.text) <= 1400 and r.extra == 1 for r in got)
-    assert all(r.chunk_id.startswith(f"{r.doc_id}:content_clean:00000:") for r in got)
+    assert all(r.chunk_id.startswith(f"{r.doc_id}:content_clean:00001:") for r in got)
 
 
 LEGAL = """preamble is ignored
@@ -211,3 +211,37 @@ def test_header(spark):
     got = spark.range(1).select(*(c.alias(k) for k, c in records.header_fields(F.lit(content)).items())).first().asDict()
     assert got["header_document_code"] == "Số: 12/2020/QĐ-UBND" and got["header_issuing_body"] == "ỦY BAN NHÂN DÂN TỈNH"
     assert got["header_place_date"] == "Hà Nội, ngày 1 tháng 2 năm 2020" and len(got["header_legal_bases"]) == 2
+
+
+def test_clean_corpus(spark):
+    body = "A sentence that is long enough to be a chunk of its own."
+    docs = spark.createDataFrame(
+        [("a", 1, "old", body, ["u"]), ("a", 2, "new", body, ["u"]), ("b", 3, "t", body, []), ("c", 4, "t", " ", ["p", "q"]), ("d", 5, "t", None, ["p"]), ("e", 6, "t", "", []), ("f", 7, "t", "tiny", []), (" ", 8, "t", body, [])],
+        "canonical_doc_id string, pos int, title string, content_clean string, pdf_urls array<string>",
+    )
+    chunks = spark.createDataFrame(
+        [("a", 2, "second " + body, "clause", "1"), ("a", 1, "first " + body, "article", "1"), ("zz", 1, body, "article", ""), ("b", 1, "short", None, "")],
+        "canonical_doc_id string, chunk_no int, text string, level string, article_number string",
+    )
+    pdfs = spark.createDataFrame([("c", "pdf " + body, "p", ""), ("d", "", "p", "pdf_too_large")], "canonical_doc_id string, text string, pdf_url string, issue string")
+    out, issues = assembly.clean_corpus(docs, chunks, "canonical_doc_id", "pos", "chunk_no", pdfs)
+    got = [(r.chunk_id, r.title, r.source_level, r.text.split()[0], r.pdf_url, r.article_number) for r in out.orderBy("chunk_id").collect()]
+    assert got == [
+        ("a:crawler_chunk:00001:001", "new", "article", "first", None, "1"),
+        ("a:crawler_chunk:00002:001", "new", "clause", "second", None, "1"),
+        ("b:content_clean:00001:001", "t", "document", "A", None, ""),
+        ("c:pdf_text:00001:001", "t", "document", "pdf", "p", ""),
+    ]
+    assert sorted((r.canonical_doc_id, r.issue, r.pdf_url_count, r.pdf_extract_issue) for r in issues.collect()) == [("d", "needs_ocr", 1, "pdf_too_large"), ("e", "missing_text", 0, "")]
+    without = assembly.clean_corpus(docs, chunks, "canonical_doc_id", "pos", "chunk_no")[1]
+    assert sorted((r.canonical_doc_id, r.pdf_extract_issue) for r in without.collect()) == [("c", "pdf_extract_not_attempted"), ("d", "pdf_extract_not_attempted"), ("e", "")]
+    stats = {r.name: r.n for r in assembly.statistics(out, issues, "canonical_doc_id").collect()}
+    assert stats["documents_from_crawler_chunk"] == 1 and stats["missing_text"] == 1 and stats["chunks"] == 4
+    current = assembly.current_corpus(out.withColumn("status", F.when(F.col("canonical_doc_id") == "a", "Còn hiệu lực")), "status", ["con hieu luc"])
+    assert {r.retrieval_scope for r in current.collect()} == {"current"} and current.count() == 2
+
+
+def test_low_content_fallback(spark):
+    c = [F.lit(x) for x in ("short", "<p>x</p>", "a longer text", "")]
+    got = spark.range(1).select(assembly.with_fallback(c[0], c[1], c[2]), assembly.with_fallback(c[0], c[1], c[3]), assembly.with_fallback(F.lit("y" * 900), c[1], c[2])).first()
+    assert tuple(got) == ("a longer text", "short", "y" * 900)

@@ -83,3 +83,19 @@ def test_stream_into_versions(spark, tmp_path):
         q.awaitTermination()
     assert sorted(map(tuple, spark.read.parquet(state["path"]).collect())) == [("a", 1), ("b", 2)]
     assert upserted(spark.createDataFrame([], "k string, v int"), spark.createDataFrame([], "k string, v int"), "k", "v").count() == 0
+
+
+def test_commands(spark, tmp_path, capsys):
+    from lodestack.__main__ import main
+
+    body = "A sentence that is long enough to be a chunk of its own."
+    docs = spark.createDataFrame([("a", "1", "T", body, [], "Valid", 50, 2)], "canonical_doc_id string, crawl_time string, title string, content_clean string, pdf_urls array<string>, status string, quality_score int, chunk_count int")
+    docs.write.parquet(f"{tmp_path}/docs")
+    spark.createDataFrame([], "canonical_doc_id string, chunk_id string, text string, level string").write.parquet(f"{tmp_path}/chunks")
+    main(["prepare", f"{tmp_path}/docs", f"{tmp_path}/chunks", f"{tmp_path}/out"], spark)
+    assert json.loads(capsys.readouterr().out)["documents_from_content_clean"] == 1
+    main(["current", f"{tmp_path}/out/chunks", f"{tmp_path}/current", "valid"], spark)
+    main(["search", f"{tmp_path}/current", "long enough"], spark)
+    assert json.loads(capsys.readouterr().out)["rank"] == 1
+    main(["report", f"{tmp_path}/docs"], spark)
+    assert json.loads(capsys.readouterr().out)["chunks"] == 2
