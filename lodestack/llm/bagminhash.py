@@ -27,8 +27,8 @@ from .components import components
 WORDS, SIMILARITY = 5, 0.8
 #: A pair of the least similarity shares no band with probability (1 - 0.8**4)**24, 3 in a million.
 BANDS, ROWS = 24, 4
-#: Texts that are signed together.
-BATCH = 2000
+#: Bytes of text that are worked on together, and shingles that are given back together.
+BATCH_BYTES, BATCH_SHINGLES = 3 << 20, 300_000
 
 _WORD = re.compile(r"\w+")
 _PAD, _MUL, _GOLDEN = np.uint64(0x9AE16A3B2F90404F), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x9E3779B97F4A7C15)
@@ -36,7 +36,7 @@ _PAD, _MUL, _GOLDEN = np.uint64(0x9AE16A3B2F90404F), np.uint64(0xC2B2AE3D27D4EB4
 
 class _Hashes(dict):
     def __missing__(self, word: str) -> int:
-        if len(self) > 500_000:
+        if len(self) > 200_000:
             self.clear()
         self[word] = h = xxhash.xxh64_intdigest(word.encode("utf-8", "replace"))
         return h
@@ -123,10 +123,22 @@ def bands(h: np.ndarray) -> np.ndarray:
     return key.view(np.int64)
 
 
+def _parts(batch: pa.RecordBatch, texts: int = 1) -> Iterator[pa.RecordBatch]:
+    """The batch in slices of at most BATCH_BYTES of text, or of one row."""
+    start = size = 0
+    for i, t in enumerate(batch.column(texts)):
+        n = t.as_buffer().size if t.is_valid else 0
+        if i > start and size + n > BATCH_BYTES:
+            yield batch.slice(start, i - start)
+            start, size = i, 0
+        size += n
+    if start < len(batch):
+        yield batch.slice(start)
+
+
 def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for at in range(0, len(batch), BATCH):
-            part = batch.slice(at, BATCH)
+        for part in _parts(batch):
             words = [word_hashes(t.as_py()) for t in part.column(1)]
             keys = [xxhash.xxh3_128_digest(w.tobytes()) if len(w) else None for w in words]
             found = bands(signatures([shingles(w) for w in words]))
@@ -167,8 +179,13 @@ def _compared(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
 def _outside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """For each pair (a, b) the shingles that a has more often than b."""
     seen: list = []
+
+    def made() -> pa.RecordBatch:
+        joined = [np.concatenate(v) if v else np.zeros(0) for v in (ids, centres, items)]
+        return pa.RecordBatch.from_arrays([pa.array(joined[0].astype(np.int64)), pa.array(joined[1].astype(np.int64)), pa.array(joined[2].astype(np.uint64).view(np.int64))], ["id", "centre", "s"])
+
     for batch in batches:
-        ids, centres, items = [], [], []
+        ids, centres, items, n = [], [], [], 0
         for x, y, a, b in _bags(batch, seen):
             at = np.searchsorted(b[0], a[0])
             at[at == len(b[0])] = 0
@@ -176,19 +193,20 @@ def _outside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             items.append(more)
             ids.append(np.full(len(more), x))
             centres.append(np.full(len(more), y))
-        joined = [np.concatenate(v) if v else np.zeros(0, np.int64) for v in (ids, centres, items)]
-        yield pa.RecordBatch.from_arrays([pa.array(joined[0].astype(np.int64)), pa.array(joined[1].astype(np.int64)), pa.array(joined[2].astype(np.uint64).view(np.int64))], ["id", "centre", "s"])
+            n += len(more)
+            if n > BATCH_SHINGLES:
+                yield made()
+                ids, centres, items, n = [], [], [], 0
+        yield made()
 
 
 def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        for at in range(0, len(b), BATCH):
-            part = b.slice(at, BATCH)
+        for part in _parts(b):
             bags = [shingles(word_hashes(t.as_py())) for t in part.column(1)]
             ids = np.repeat(part.column(0).to_numpy(), [len(x[0]) for x in bags])
-            item = np.concatenate([x[0] for x in bags]) if bags else np.zeros(0, np.uint64)
-            count = np.concatenate([x[1] for x in bags]) if bags else np.zeros(0, np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(item.view(np.int64)), pa.array(ids), pa.array(count)], ["s", "id", "c"])
+            item, count = (np.concatenate([x[i] for x in bags]) if bags else np.zeros(0, np.uint64) for i in (0, 1))
+            yield pa.RecordBatch.from_arrays([pa.array(item.view(np.int64)), pa.array(ids), pa.array(count.astype(np.int64))], ["s", "id", "c"])
 
 
 def _rest(members: DataFrame, star: DataFrame, found: DataFrame, texts: DataFrame, least: float) -> DataFrame:

@@ -43,7 +43,7 @@ def _hashed(feature: str) -> int:
     return zlib.crc32(feature.encode("utf-8", "replace")) % DIMENSIONS
 
 
-@functools.lru_cache(maxsize=300_000)
+@functools.lru_cache(maxsize=100_000)
 def _of_token(token: str) -> tuple[int, ...]:
     core = "".join(_WORD.findall(token))
     low = core.lower()
@@ -93,19 +93,55 @@ class Model:
         return 1 - _logistic(self.thresholds - float(values @ self.weights[numbers]))
 
 
-def fit(rows: list[tuple[np.ndarray, np.ndarray]], grades: np.ndarray, grades_n: int = GRADES, min_docs: int = MIN_DOCS, epochs: int = 30, rate: float = 1.0, ridge: float = 1e-6, batch: int = 256) -> Model:
-    """By adaptive gradient steps on the negative log-likelihood; without two grades, a model that selects everything."""
+@dataclass
+class Sparse:
+    """Feature vectors of several texts, one after the other: row i is at bounds[i] to bounds[i + 1]."""
+
+    numbers: np.ndarray
+    values: np.ndarray
+    bounds: np.ndarray
+
+    @classmethod
+    def of(cls, rows: list[tuple[np.ndarray, np.ndarray]]) -> Sparse:
+        lengths = [len(n) for n, _ in rows]
+        flat = [np.concatenate(x) if rows else np.zeros(0) for x in zip(*rows)] or [np.zeros(0, np.int32), np.zeros(0, np.float32)]
+        return cls(*flat, np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64))
+
+    def only(self, keep: np.ndarray) -> Sparse:
+        """Without the features for which keep, by number, is false."""
+        chosen = keep[self.numbers]
+        before = np.concatenate([[0], np.cumsum(chosen, dtype=np.int64)])
+        return Sparse(self.numbers[chosen], self.values[chosen], before[self.bounds])
+
+    def rows(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Place in `at`, feature number and value of each entry of these rows."""
+        spans = [slice(*self.bounds[i : i + 2]) for i in at]
+        of = np.repeat(np.arange(len(at)), [x.stop - x.start for x in spans])
+        return of, np.concatenate([self.numbers[x] for x in spans]), np.concatenate([self.values[x] for x in spans])
+
+
+def fit(rows: list[tuple[np.ndarray, np.ndarray]], grades: np.ndarray, min_docs: int = MIN_DOCS, **more) -> Model:
+    """A model of feature vectors and their grades; features of fewer than min_docs rows have no weight."""
     if len(np.unique(grades)) < 2:
-        return Model(np.zeros(DIMENSIONS, np.float32), np.full(grades_n - 1, -30.0))
-    seen = np.bincount(np.concatenate([r[0] for r in rows]), minlength=DIMENSIONS)
-    rows = [(n[k], v[k]) for n, v in rows for k in [seen[n] >= min_docs]]
+        return constant()
+    every = Sparse.of(rows)
+    return fit_sparse(every.only(np.bincount(every.numbers, minlength=DIMENSIONS) >= min_docs), grades, **more)
+
+
+def constant(grades_n: int = GRADES) -> Model:
+    """A model that selects everything."""
+    return Model(np.zeros(DIMENSIONS, np.float32), np.full(grades_n - 1, -30.0))
+
+
+def fit_sparse(x: Sparse, grades: np.ndarray, grades_n: int = GRADES, epochs: int = 30, rate: float = 1.0, ridge: float = 1e-6, batch: int = 256) -> Model:
+    """By adaptive gradient steps on the negative log-likelihood."""
     w, w_sum = np.zeros(DIMENSIONS), np.full(DIMENSIONS, 1e-8)
     t, t_sum = np.arange(grades_n - 1) - (grades_n - 1) / 2, np.full(grades_n - 1, 1e-8)
     order = np.random.default_rng(0)
     for _ in range(epochs):
-        for part in np.array_split(order.permutation(len(rows)), max(1, len(rows) // batch)):
-            of = np.repeat(np.arange(len(part)), [len(rows[i][0]) for i in part])
-            numbers, values, y = np.concatenate([rows[i][0] for i in part]), np.concatenate([rows[i][1] for i in part]), grades[part]
+        for part in np.array_split(order.permutation(len(grades)), max(1, len(grades) // batch)):
+            of, numbers, values = x.rows(part)
+            y = grades[part]
             score = np.bincount(of, values * w[numbers], len(part))
             bounds = np.concatenate([[-30.0], t, [30.0]])
             above = np.where(y < grades_n - 1, _logistic(bounds[y + 1] - score), 1.0)
@@ -121,6 +157,14 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray]], grades: np.ndarray, grades_n:
     return Model(w.astype(np.float32), t)
 
 
+def _flat(column: pa.Array, kind: type) -> tuple[np.ndarray, np.ndarray]:
+    """Content of a binary column as one array of `kind`, and the bounds of its rows, without a copy."""
+    width = np.dtype(kind).itemsize
+    offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
+    data = np.frombuffer(column.buffers()[2], kind) if column.buffers()[2] else np.zeros(0, kind)
+    return data[offsets[0] // width : offsets[-1] // width], (offsets - offsets[0]).astype(np.int64) // width
+
+
 def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         made = [features(t.as_py() or "") for t in b.column(2)]
@@ -139,9 +183,32 @@ def train(docs: DataFrame, ratings: DataFrame, doc_id: str = "doc_id", text: str
         .mapInArrow(_vectors, "id long, g int, n binary, v binary")
         .toArrow()
     )
-    rows = rows.sort_by([("id", "ascending"), ("n", "ascending")])
-    vectors = [(np.frombuffer(n.as_py(), np.int32), np.frombuffer(v.as_py(), np.float32)) for n, v in zip(rows["n"], rows["v"])]
-    return fit(vectors, rows["g"].to_numpy().astype(int), min_docs=min_docs)
+    parts = [b for b in rows.to_batches() if len(b)]
+    seen = np.zeros(DIMENSIONS, np.int64)
+    for b in parts:
+        seen += np.bincount(_flat(b.column(2), np.int32)[0], minlength=DIMENSIONS)
+    kept, keys, grades = [], [], []
+    for b in parts:
+        (numbers, bounds), (values, _) = _flat(b.column(2), np.int32), _flat(b.column(3), np.float32)
+        kept.append(Sparse(numbers, values, bounds).only(seen >= min_docs))
+        keys += [(i, zlib.crc32(numbers[bounds[k] : bounds[k + 1]])) for k, i in enumerate(b.column(0).to_pylist())]
+        grades += b.column(1).to_pylist()
+    del rows, parts
+    order = sorted(range(len(keys)), key=keys.__getitem__)  # so that the model doesn't depend on how rows were dealt
+    y = np.array(grades, int)[order]
+    if len(np.unique(y)) < 2:
+        return constant()
+    starts = np.cumsum([0, *(len(k.numbers) for k in kept[:-1])])
+    flat = Sparse(np.concatenate([k.numbers for k in kept]), np.concatenate([k.values for k in kept]), np.concatenate([*(k.bounds[:-1] + at for k, at in zip(kept, starts)), [sum(len(k.numbers) for k in kept)]]))
+    del kept
+    return fit_sparse(_reordered(flat, order), y)
+
+
+def _reordered(x: Sparse, order: list[int]) -> Sparse:
+    at = np.array(order)
+    lengths = np.diff(x.bounds)[at]
+    _, numbers, values = x.rows(at)
+    return Sparse(numbers, values, np.concatenate([[0], np.cumsum(lengths)]))
 
 
 def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text", tail: float = TAIL) -> DataFrame:
