@@ -85,22 +85,21 @@ def embedding_text(title: Column, text: Column, head: int = 300) -> Column:
     return F.concat(F.lit("passage: "), F.when(led, F.concat(t, F.lit("\n"))).otherwise(""), text_of(text))
 
 
-def flat_metadata(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """columns as scalars: null as "", arrays and structs as JSON with a space after separators in arrays of strings."""
-    kinds = dict(df.dtypes)
-
-    def one(c: str) -> Column:
-        kind = kinds[c]
-        if kind == "array<string>":
-            quoted = F.transform(F.col(c), lambda x: F.regexp_extract(F.to_json(F.array(x)), r"(?s)^\[(.*)\]$", 1))
-            return F.coalesce(F.concat(F.lit("["), F.array_join(quoted, ", "), F.lit("]")), F.lit(""))
-        return F.coalesce(F.to_json(c), F.lit("")) if re_complex(kind) else F.coalesce(F.col(c).cast("string"), F.lit("")) if kind == "string" else F.col(c)
+def flat_column(name: str, kind: str) -> Column:
+    """A column as a scalar: null strings as "", arrays, maps and structs as JSON, arrays of strings with a space after
+    each comma."""
+    c = F.col(name)
+    if kind == "array<string>":
+        quoted = F.transform(c, lambda x: F.regexp_extract(F.to_json(F.array(x)), r"(?s)^\[(.*)\]$", 1))
+        return F.coalesce(F.concat(F.lit("["), F.array_join(quoted, ", "), F.lit("]")), F.lit(""))
+    if kind.startswith(("array<", "map<", "struct<")):
+        return F.coalesce(F.to_json(c), F.lit(""))
+    return F.coalesce(c, F.lit("")) if kind == "string" else c
 
-    return df.select(*(one(c).alias(c) for c in columns))
 
-
-def re_complex(kind: str) -> bool:
-    return kind.startswith(("array<", "map<", "struct<"))
+def flat_metadata(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    kinds = dict(df.dtypes)
+    return df.select(*(flat_column(c, kinds[c]).alias(c) for c in columns))
 
 
 def upserted(collection: DataFrame, batch: DataFrame, key: str, version: str) -> DataFrame:

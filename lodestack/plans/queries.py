@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import dates, html, ids, text
-from ..operators import chunking, corpus, quality, records, retrieval, structure, topics
+from ..operators import chunking, corpus, embedding, quality, records, retrieval, structure, topics
 from ..streaming import incremental
 from .registry import ORACLES, QUERIES
 
@@ -351,6 +351,14 @@ def flat_metadata(spark, sf_dir):
     return retrieval.flat_metadata(t(spark, sf_dir, "documents").select("doc_id", "lang", F.array("lang", "source").alias("labels")), ["doc_id", "lang", "labels"])
 
 
+@query()
+def collection_rows(spark, sf_dir):
+    """Every window of every document as a row of a vector collection."""
+    c = chunking.fixed_windows(t(spark, sf_dir, "documents").withColumnRenamed("text", "body"), "doc_id", "body")
+    c = c.withColumns({"chunk_id": F.concat_ws(":", "doc_id", "chunk_no"), "title": F.lit("")})
+    return embedding.collection_rows(c, "chunk_id", "title", "chunk", ["doc_id", "char_count"])
+
+
 @query("SELECT max(greatest(strftime(ts, '%Y-%m-%d'), '2024-01-02')) AS checkpoint FROM events")
 def checkpoint_max(spark, sf_dir):
     e = t(spark, sf_dir, "events").select(F.date_format("ts", "yyyy-MM-dd").alias("a"), F.lit("2024-01-02").alias("b"))

@@ -5,7 +5,7 @@ import random
 from pyspark.sql import functions as F
 
 from lodestack.functions import html
-from lodestack.operators import assembly, chunking, corpus, quality, records, retrieval, structure, topics
+from lodestack.operators import assembly, chunking, corpus, embedding, quality, records, retrieval, structure, topics
 
 
 def rows(df, *order):
@@ -245,3 +245,12 @@ def test_low_content_fallback(spark):
     c = [F.lit(x) for x in ("short", "<p>x</p>", "a longer text", "")]
     got = spark.range(1).select(assembly.with_fallback(c[0], c[1], c[2]), assembly.with_fallback(c[0], c[1], c[3]), assembly.with_fallback(F.lit("y" * 900), c[1], c[2])).first()
     assert tuple(got) == ("a longer text", "short", "y" * 900)
+
+
+def test_embedding(spark):
+    d = spark.createDataFrame([(1, "T", "red fox runs", ["a"]), (2, None, "Red fox, runs!", None), (3, "", None, []), (4, "", "blue whale", [])], "c int, title string, body string, tags array<string>")
+    r = {x.id: x for x in embedding.collection_rows(d, "c", "title", "body", ["title", "tags"]).collect()}
+    assert (r["1"].tags, r["2"].tags, r["2"].title) == ('["a"]', "", "")
+    assert abs(sum(x * x for x in r["1"].embedding) - 1) < 1e-5 and len(r["4"].embedding) == 64
+    e = [x[0] for x in d.orderBy("c").select(embedding.embed(F.col("body"), batch=3)).collect()]
+    assert e[0] == e[1] and e[2] == [0.0] * 64 and e[0] != e[3]
