@@ -27,11 +27,12 @@ class Headings:
     point_word: str = "Điểm"
 
 
-STATE = "struct<a:int,c:int,p:int,out:array<struct<kind:string,a:int,c:int,p:int,key:string,text:string>>>"
+LINE = "struct<kind:string,i:int,a:int,c:int,p:int,k:int,key:string,text:string>"
 
 
 def tagged_lines(text: Column, h: Headings = Headings()) -> Column:
-    """array<struct<kind,a,c,p,key,text>>: each line with the running numbers of its article, clause and point.
+    """array<struct<kind,i,a,c,p,k,key,text>>: each line (the i-th) with the running numbers of its article, clause and
+    point, and k, that of its clause in the whole text.
 
     kind is article, clause or point for lines that start one, else text. A clause needs an article before it, a point a
     clause in the same article. Lines before the first article have a = 0.
@@ -47,17 +48,21 @@ def tagged_lines(text: Column, h: Headings = Headings()) -> Column:
     )
 
     def step(s: Column, x: Column) -> Column:
+        i = F.size(s["out"])
         is_a = x["article"] != ""
         is_c = ~is_a & (x["clause"] != "") & (s["a"] > 0)
         is_p = ~is_a & ~is_c & (x["point"] != "") & (s["c"] > 0)
         a = s["a"] + is_a.cast("int")
         c = F.when(is_a, 0).otherwise(s["c"] + is_c.cast("int"))
+        k = s["k"] + is_c.cast("int")
         p = F.when(is_a | is_c, 0).otherwise(s["p"] + is_p.cast("int"))
         line = F.struct(
             F.when(is_a, "article").when(is_c, "clause").when(is_p, "point").otherwise("text").alias("kind"),
+            i.alias("i"),
             a.alias("a"),
             c.alias("c"),
             p.alias("p"),
+            k.alias("k"),
             F.when(is_a, x["article"]).when(is_c, x["clause"]).when(is_p, F.lower(x["point"])).otherwise("").alias("key"),
             F.when(is_a, strip(F.regexp_replace(x["x"], h.article_raw, "")))
             .when(is_c, strip(F.regexp_extract(x["x"], h.clause, 2)))
@@ -65,9 +70,9 @@ def tagged_lines(text: Column, h: Headings = Headings()) -> Column:
             .otherwise(x["x"])
             .alias("text"),
         )
-        return F.struct(a.alias("a"), c.alias("c"), p.alias("p"), F.array_append(s["out"], line).alias("out"))
+        return F.struct(a.alias("a"), c.alias("c"), p.alias("p"), k.alias("k"), F.array_append(s["out"], line).alias("out"))
 
-    start = F.struct(*(F.lit(0).alias(x) for x in "acp"), F.array().cast("array<struct<kind:string,a:int,c:int,p:int,key:string,text:string>>").alias("out")).cast(STATE)
+    start = F.struct(*(F.lit(0).alias(x) for x in "acpk"), F.array().cast(f"array<{LINE}>").alias("out")).cast(f"struct<a:int,c:int,p:int,k:int,out:array<{LINE}>>")
     return F.aggregate(seen, start, step, lambda s: s["out"])
 
 
@@ -78,28 +83,36 @@ def structured(docs: DataFrame, doc_id: str, text: str, h: Headings = Headings()
     An article's content are its lines before the first clause; a clause takes up all other lines up to the next clause
     or article, those after its points too.
     """
-    d = docs.select(doc_id, tagged_lines(F.col(text), h).alias("l"))
-    heads = d.select(doc_id, "l", F.explode(F.filter("l", lambda x: x["kind"] != "text")).alias("x"))
-    of_article = F.get(F.filter("l", lambda y: (y["kind"] == "article") & (y["a"] == F.col("x.a"))), F.lit(0))
-    of_clause = F.get(F.filter("l", lambda y: (y["kind"] == "clause") & (y["a"] == F.col("x.a")) & (y["c"] == F.col("x.c"))), F.lit(0))
-    more = F.transform(F.filter("l", lambda y: (y["kind"] == "text") & (y["a"] == F.col("x.a")) & (y["c"] == F.col("x.c"))), lambda y: y["text"])
-    content = (
-        F.when(F.col("x.kind") == "article", F.array_join(more, "\n"))
-        .when(F.col("x.kind") == "clause", strip(F.concat_ws(" ", F.col("x.text"), F.array_join(more, " "))))
-        .otherwise(F.col("x.text"))
-    )
-    return heads.select(
-        doc_id,
-        F.col("x.kind").alias("level"),
-        "x.a",
-        "x.c",
-        "x.p",
-        of_article["key"].alias("article_number"),
-        of_article["text"].alias("article_title"),
-        F.when(F.col("x.c") > 0, of_clause["key"]).otherwise("").alias("clause_number"),
-        F.when(F.col("x.kind") == "point", F.col("x.key")).otherwise("").alias("point_key"),
-        content.alias("content"),
-    )
+
+    def parts(l: Column) -> Column:
+        articles, clauses = (F.filter(l, lambda x: x["kind"] == kind) for kind in ("article", "clause"))
+        starts = F.transform(F.filter(l, lambda x: x["kind"].isin("article", "clause")), lambda x: x["i"])
+
+        def one(x: Column) -> Column:
+            end = F.coalesce(F.get(F.filter(starts, lambda s: s > x["i"]), F.lit(0)), F.size(l))
+            more = F.transform(F.filter(F.slice(l, x["i"] + 2, F.greatest(end - x["i"] - 1, F.lit(0))), lambda y: y["kind"] == "text"), lambda y: y["text"])
+            content = (
+                F.when(x["kind"] == "article", F.array_join(more, "\n"))
+                .when(x["kind"] == "clause", strip(F.concat_ws(" ", x["text"], F.array_join(more, " "))))
+                .otherwise(x["text"])
+            )
+            article, clause = F.get(articles, x["a"] - 1), F.get(clauses, x["k"] - 1)
+            return F.struct(
+                x["kind"].alias("level"),
+                x["a"].alias("a"),
+                x["c"].alias("c"),
+                x["p"].alias("p"),
+                article["key"].alias("article_number"),
+                article["text"].alias("article_title"),
+                F.when(x["c"] > 0, clause["key"]).otherwise("").alias("clause_number"),
+                F.when(x["kind"] == "point", x["key"]).otherwise("").alias("point_key"),
+                content.alias("content"),
+            )
+
+        return F.transform(F.filter(l, lambda x: x["kind"] != "text"), one)
+
+    tagged = docs.select(doc_id, F.array(tagged_lines(F.col(text), h)).alias("l"))
+    return tagged.select(doc_id, F.explode(F.get(F.transform("l", parts), F.lit(0))).alias("x")).select(doc_id, "x.*")
 
 
 def structured_chunks(docs: DataFrame, doc_id: str, text: str, least: int = 80, h: Headings = Headings()) -> DataFrame:
