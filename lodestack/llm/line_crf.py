@@ -175,7 +175,7 @@ def fit(docs: list[tuple[list[list[str]], int]], epochs: int = 8, rate: float =
 def train(docs: DataFrame, ratings: DataFrame, doc_id: str = "doc_id", text: str = "text", sample: int = SAMPLE) -> Field:
     """A field for `ratings` (columns doc_id, quality), from at most `sample` rated documents; only their line features
     come to the driver. Of several ratings of one document the least counts."""
-    rated = ratings.select(F.col(doc_id).alias("id"), F.col("quality").alias("q")).where("id IS NOT NULL AND q IS NOT NULL")
+    rated = ratings.select(F.col(doc_id).cast("long").alias("id"), F.col("quality").alias("q")).where("id IS NOT NULL AND q IS NOT NULL")
     chosen = rated.groupBy("id").agg(F.min("q").alias("q")).orderBy(F.xxhash64("id"), "id").limit(sample)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -183,7 +183,8 @@ def train(docs: DataFrame, ratings: DataFrame, doc_id: str = "doc_id", text: str
             lines = ["\n".join(" ".join(f) for f, _ in lines_of(t.as_py() or "")[0]) for t in b.column(2)]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(lines, pa.string())], ["id", "q", "lines"])
 
-    found = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("t")).join(F.broadcast(chosen), "id").select("id", F.col("q").cast("int").alias("q"), "t")
+    found = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("t")).join(F.broadcast(chosen), "id")
+    found = found.groupBy("id").agg(F.min("q").cast("int").alias("q"), F.min("t").alias("t"))  # one text of each id, however often it occurs
     rows = found.mapInArrow(run, "id long, q int, lines string").toArrow().sort_by([("id", "ascending"), ("lines", "ascending")])
     return fit([([x.split(" ") for x in lines.as_py().split("\n")], int(q.as_py() > 0)) for q, lines in zip(rows["q"], rows["lines"]) if lines.as_py()])
 

@@ -174,11 +174,13 @@ def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def train(docs: DataFrame, ratings: DataFrame, doc_id: str = "doc_id", text: str = "text", sample: int = SAMPLE, min_docs: int = MIN_DOCS) -> Model:
     """A model of `ratings` (columns doc_id, quality, toxic), fitted on at most `sample` of them; only their feature
     vectors come to the driver. Of several ratings of one document the least grade counts."""
-    graded = ratings.select(F.col(doc_id).alias("id"), grade(F.col("quality"), F.col("toxic")).alias("g")).where("id IS NOT NULL AND g IS NOT NULL")
+    graded = ratings.select(F.col(doc_id).cast("long").alias("id"), grade(F.col("quality"), F.col("toxic")).alias("g")).where("id IS NOT NULL AND g IS NOT NULL")
     chosen = graded.groupBy("id").agg(F.min("g").alias("g")).orderBy(F.xxhash64("id"), "id").limit(sample)
     rows = (
-        docs.select(F.col(doc_id).alias("id"), F.col(text).alias("t"))
+        docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("t"))
         .join(F.broadcast(chosen), "id")
+        .groupBy("id")
+        .agg(F.min("g").alias("g"), F.min("t").alias("t"))  # one text of each id, however often it occurs
         .select("id", "g", "t")
         .mapInArrow(_vectors, "id long, g int, n binary, v binary")
         .toArrow()
