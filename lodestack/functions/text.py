@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import sys
 import unicodedata
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import cache, reduce
 
 from pyspark.sql import Column
@@ -16,6 +16,12 @@ WS = r"[\s\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 LINE_END = r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029]"
 
 
+def bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value), with value computed once. Projections are merged, so an expression that stands in a lambda would
+    otherwise be computed again for each element."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def text_of(c: Column) -> Column:
     return F.coalesce(c.cast("string"), F.lit(""))
 

@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import strip, text_of, token_estimate
+from ..functions.text import bound, strip, text_of, token_estimate
 
 MAX_CHARS, WINDOW_OVERLAP = 1400, 220
 
@@ -19,10 +19,12 @@ def windows(text: Column, size: int = MAX_CHARS, overlap: int = WINDOW_OVERLAP)
     """Overlapping windows of the text with runs of blanks collapsed; the last one ends with the text. Trimmed, and
     none are blank."""
     step = max(size - overlap, 200)
-    t = strip(F.regexp_replace(text_of(text), "[ \t]+", " "))
-    last = F.greatest(F.ceil((F.length(t) - size) / step), F.lit(0)).cast("int") * step
-    cut = lambda x: F.transform(F.sequence(F.lit(0), last, F.lit(step)), lambda s: strip(F.substring(x, s + 1, F.lit(size))))
-    return F.filter(cut(t), lambda x: x != "")
+
+    def cut(t: Column) -> Column:
+        last = F.greatest(F.ceil((F.length(t) - size) / step), F.lit(0)).cast("int") * step
+        return F.transform(F.sequence(F.lit(0), last, F.lit(step)), lambda s: strip(F.substring(t, s + 1, F.lit(size))))
+
+    return F.filter(bound(strip(F.regexp_replace(text_of(text), "[ \t]+", " ")), cut), lambda x: x != "")
 
 
 def fixed_windows(docs: DataFrame, doc_id: str, text: str, size: int = MAX_CHARS, overlap: int = WINDOW_OVERLAP) -> DataFrame:

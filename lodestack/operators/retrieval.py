@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions.text import normalize_for_match, strip, text_of
+from ..functions.text import bound, normalize_for_match, strip, text_of
 from .corpus import last_wins
 
 
@@ -28,9 +28,8 @@ def _hits(parts: Column, text: Column, points: int) -> Column:
 def lexical_score(title: Column, body: Column, query: Column, terms: Column, bigrams: Column) -> Column:
     """50 for the whole query, 8 for each bigram in title and body, 4 for each term in the title, 1 for each in the body;
     all by substrings of normalised texts, repeated terms counted again."""
-    text = strip(F.concat(title, F.lit(" "), body))
-    whole = F.when((query != "") & F.contains(text, query), 50).otherwise(0)
-    return whole + _hits(bigrams, text, 8) + _hits(terms, title, 4) + _hits(terms, body, 1)
+    both = lambda text: F.when((query != "") & F.contains(text, query), 50).otherwise(0) + _hits(bigrams, text, 8)
+    return bound(strip(F.concat(title, F.lit(" "), body)), both) + _hits(terms, title, 4) + _hits(terms, body, 1)
 
 
 def best(rows: DataFrame, group: Sequence[str], order: Sequence[Column], k: int, rank: str = "rank") -> DataFrame:
@@ -56,10 +55,12 @@ def lexical_topk(chunks: DataFrame, queries: DataFrame, chunk_id: str, title: st
     """
     q, terms, bigrams = query_terms(F.col(query))
     asked = queries.select(F.col(query_id).alias("_q"), q.alias("_text"), terms.alias("_terms"), bigrams.alias("_bigrams"))
-    c = chunks.select(F.col(chunk_id).alias("_c"), (normalize_for_match(F.col(title)) if title else F.lit("")).alias("_title"), normalize_for_match(F.col(body)).alias("_body"))
-    score = lexical_score(F.col("_title"), F.col("_body"), F.col("_text"), F.col("_terms"), F.col("_bigrams"))
+    asked = asked.repartition(1)  # few rows; the exchange keeps the normalisation out of the scoring
+    c = chunks.select(F.col(chunk_id).alias("_c"), (F.col(title) if title else F.lit("")).alias("_title"), F.col(body).alias("_body"))
+    parts = F.struct(normalize_for_match(F.col("_title")).alias("title"), normalize_for_match(F.col("_body")).alias("body"))
+    score = bound(parts, lambda p: lexical_score(p["title"], p["body"], F.col("_text"), F.col("_terms"), F.col("_bigrams")))
     scored = reduce(DataFrame.unionByName, (c.crossJoin(F.broadcast(b)).select("_q", "_c", score.alias("score")) for b in blocks(asked)))
-    top = best(scored.where("score > 0"), ["_q"], [F.desc("score"), F.asc("_c")], k)
+    top = best(scored, ["_q"], [F.desc("score"), F.asc("_c")], k).where("score > 0")  # a filter before would score twice
     return top.select(F.col("_q").alias(query_id), "rank", F.col("_c").alias(chunk_id), "score")
 
 

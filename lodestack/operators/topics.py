@@ -94,8 +94,8 @@ def match_topics(docs: DataFrame, fields: Sequence[str], topics: Sequence[Topic]
 def any_keyword(docs: DataFrame, fields: Sequence[str], keywords: Iterable[str]) -> DataFrame:
     """Rows of which a field has a keyword."""
     kinds = dict(docs.dtypes)
-    hits = [keyword_hit(normalize_for_match(flattened(F.col(f), kinds[f])), k) for f in fields for k in distinct_keywords(keywords)]
-    return docs.where(reduce(lambda a, b: a | b, hits, F.lit(False)))
+    looked = F.array(*(normalize_for_match(flattened(F.col(f), kinds[f])) for f in fields))
+    return docs.where(F.exists(looked, lambda text: reduce(lambda a, b: a | b, (keyword_hit(text, k) for k in distinct_keywords(keywords)), F.lit(False))))
 
 
 def status_allowed(status: Column, allowed: Iterable[str]) -> Column:
