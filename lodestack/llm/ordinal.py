@@ -95,28 +95,28 @@ class Model:
 
 @dataclass
 class Sparse:
-    """Feature vectors of several texts, one after the other: row i is at bounds[i] to bounds[i + 1]."""
+    """Feature vectors of several texts: row i is at starts[i] to ends[i]."""
 
     numbers: np.ndarray
     values: np.ndarray
-    bounds: np.ndarray
+    starts: np.ndarray
+    ends: np.ndarray
 
     @classmethod
     def of(cls, rows: list[tuple[np.ndarray, np.ndarray]]) -> Sparse:
-        lengths = [len(n) for n, _ in rows]
-        flat = [np.concatenate(x) if rows else np.zeros(0) for x in zip(*rows)] or [np.zeros(0, np.int32), np.zeros(0, np.float32)]
-        return cls(*flat, np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64))
+        ends = np.cumsum([len(n) for n, _ in rows])
+        return cls(np.concatenate([n for n, _ in rows]), np.concatenate([v for _, v in rows]), np.concatenate([[0], ends[:-1]]), ends)
 
     def only(self, keep: np.ndarray) -> Sparse:
         """Without the features for which keep, by number, is false."""
         chosen = keep[self.numbers]
         before = np.concatenate([[0], np.cumsum(chosen, dtype=np.int64)])
-        return Sparse(self.numbers[chosen], self.values[chosen], before[self.bounds])
+        return Sparse(self.numbers[chosen], self.values[chosen], before[self.starts], before[self.ends])
 
     def rows(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Place in `at`, feature number and value of each entry of these rows."""
-        spans = [slice(*self.bounds[i : i + 2]) for i in at]
-        of = np.repeat(np.arange(len(at)), [x.stop - x.start for x in spans])
+        spans = [slice(a, b) for a, b in zip(self.starts[at], self.ends[at])]
+        of = np.repeat(np.arange(len(at)), self.ends[at] - self.starts[at])
         return of, np.concatenate([self.numbers[x] for x in spans]), np.concatenate([self.values[x] for x in spans])
 
 
@@ -192,7 +192,7 @@ def train(docs: DataFrame, ratings: DataFrame, doc_id: str = "doc_id", text: str
     kept, keys, grades = [], [], []
     for b in parts:
         (numbers, bounds), (values, _) = _flat(b.column(2), np.int32), _flat(b.column(3), np.float32)
-        kept.append(Sparse(numbers, values, bounds).only(seen >= min_docs))
+        kept.append(Sparse(numbers, values, bounds[:-1], bounds[1:]).only(seen >= min_docs))
         keys += [(i, zlib.crc32(numbers[bounds[k] : bounds[k + 1]])) for k, i in enumerate(b.column(0).to_pylist())]
         grades += b.column(1).to_pylist()
     del rows, parts
@@ -200,17 +200,12 @@ def train(docs: DataFrame, ratings: DataFrame, doc_id: str = "doc_id", text: str
     y = np.array(grades, int)[order]
     if len(np.unique(y)) < 2:
         return constant()
-    starts = np.cumsum([0, *(len(k.numbers) for k in kept[:-1])])
-    flat = Sparse(np.concatenate([k.numbers for k in kept]), np.concatenate([k.values for k in kept]), np.concatenate([*(k.bounds[:-1] + at for k, at in zip(kept, starts)), [sum(len(k.numbers) for k in kept)]]))
+    before = np.cumsum([0, *(len(k.numbers) for k in kept[:-1])])
+    starts, ends = (np.concatenate([getattr(k, side) + at for k, at in zip(kept, before)])[order] for side in ("starts", "ends"))
+    numbers = np.concatenate([k.numbers for k in kept])
+    values = np.concatenate([k.values for k in kept])
     del kept
-    return fit_sparse(_reordered(flat, order), y)
-
-
-def _reordered(x: Sparse, order: list[int]) -> Sparse:
-    at = np.array(order)
-    lengths = np.diff(x.bounds)[at]
-    _, numbers, values = x.rows(at)
-    return Sparse(numbers, values, np.concatenate([[0], np.cumsum(lengths)]))
+    return fit_sparse(Sparse(numbers, values, starts, ends), y)
 
 
 def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text", tail: float = TAIL) -> DataFrame:
