@@ -72,7 +72,10 @@ def clean_lines_dedupe(spark, sf_dir):
     return t(spark, sf_dir, "documents").select("doc_id", c.alias("c")).select("doc_id", F.sha2("c", 256).alias("digest"), F.length("c").alias("length"))
 
 
-@query(f"""SELECT doc_id, sha256({_duck_strip("regexp_replace(regexp_replace(replace(text, chr(0), ' '), '[ \\t]+', ' ', 'g'), '\\n{3,}', chr(10) || chr(10), 'g')")}) AS digest FROM documents""".replace("replace(text, chr(0), ' ')", "text"))
+_COLLAPSED = r"regexp_replace(regexp_replace(text, '[ \t]+', ' ', 'g'), '\n{3,}', chr(10) || chr(10), 'g')"
+
+
+@query(f"SELECT doc_id, sha256({_duck_strip(_COLLAPSED)}) AS digest FROM documents")
 def clean_text_digest(spark, sf_dir):
     return t(spark, sf_dir, "documents").select("doc_id", F.sha2(text.clean_text(F.col("text")), 256).alias("digest"))
 
@@ -179,7 +182,7 @@ def short_code_match(spark, sf_dir):
     return topics.any_keyword(t(spark, sf_dir, "documents"), ["text"], ["ion", "wh", "heit"]).select("doc_id")
 
 
-@query(f"SELECT c.doc_id, chunk_no, lang, source FROM {_windows_sql()} c JOIN documents d ON c.doc_id = d.doc_id".replace("chunk_no, lang", "CAST(chunk_no AS INT) AS chunk_no, lang"))
+@query(f"SELECT c.doc_id, CAST(chunk_no AS INT) AS chunk_no, lang, source FROM {_windows_sql()} c JOIN documents d ON c.doc_id = d.doc_id")
 def chunk_doc_join(spark, sf_dir):
     d = t(spark, sf_dir, "documents")
     return corpus.with_document(chunking.fixed_windows(d, "doc_id", "text"), d.select("doc_id", "lang", "source"), "doc_id").select("doc_id", "chunk_no", "lang", "source")
