@@ -284,3 +284,15 @@ def keep_first(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", leas
 
 def query(spark, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+SQL = r"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}_]+') AS w FROM documents),
+s AS (SELECT doc_id, g, count(*) AS c FROM (
+  SELECT doc_id, array_to_string(w[i:i + 4], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM d WHERE len(w) > 0)) GROUP BY ALL),
+n AS (SELECT doc_id, sum(c) AS n FROM s GROUP BY doc_id),
+o AS (SELECT a.doc_id AS x, b.doc_id AS y, sum(least(a.c, b.c)) AS o FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+e AS (SELECT x, y FROM o JOIN n nx ON x = nx.doc_id JOIN n ny ON y = ny.doc_id WHERE o >= 0.8 * (nx.n + ny.n - o)),
+r AS (SELECT doc_id AS id, doc_id AS reached FROM d UNION SELECT id, y FROM r JOIN e ON reached = x)
+SELECT doc_id, class_id, doc_id <> class_id AS duplicate FROM d JOIN (SELECT id, min(reached) AS class_id FROM r GROUP BY id) ON id = doc_id
+"""

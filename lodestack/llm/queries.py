@@ -19,5 +19,7 @@ QUERIES = {
 ORACLES = {
     "op1_decontaminate": decontaminate.SQL,
     "op6_chat_format": chat.SQL,
+    "op7_warc": warc.SQL,
+    "op8_near_duplicates": bagminhash.SQL,
     "op10_secrets": secrets.SQL,
 }

@@ -267,3 +267,16 @@ def query(spark, sf_dir: str) -> DataFrame:
     archives, folder = archive(table(spark, sf_dir, "pages"))
     r = read_archives(archives, folder)
     return r.select(F.col("page").alias("page_id"), F.col("size").alias("payload_bytes"), F.col("digest").alias("payload_digest"), F.col("kind").alias("record_type"), "refers_to")
+
+
+SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+x AS (SELECT page_id, h, octet_length(encode(h)) AS n, array_to_string(list_transform(string_split(sha1(h), ''), lambda c:
+  ['0000', '0001', '0010', '0011', '0100', '0101', '0110', '0111', '1000', '1001', '1010', '1011', '1100', '1101', '1110', '1111'][instr('0123456789abcdef', c)]), '') AS bits FROM p),
+f AS (SELECT h, max(page_id) AS first FROM p GROUP BY h)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes,
+  array_to_string(list_transform(range(0, 160, 5), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + 16 * CAST(bits[i + 1] AS INT) + 8 * CAST(bits[i + 2] AS INT)
+    + 4 * CAST(bits[i + 3] AS INT) + 2 * CAST(bits[i + 4] AS INT) + CAST(bits[i + 5] AS INT), 1)), '') AS payload_digest,
+  CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id = first THEN NULL ELSE first END AS refers_to
+FROM x JOIN f USING (h)
+"""
