@@ -54,3 +54,18 @@ def test_stages(spark, tmp_path):
     assert stages["byte-level BPE"](spark, docs, sf).count() == len(every)
     last = {r.doc_id for r in p.run(spark, sf).collect()}
     assert not last & {3000, 3002, 3006} and len(last & set(clean)) >= 396
+
+
+def test_stages_take_nulls_repeats_and_empty_tables(spark, tmp_path):
+    rng = random.Random(2)
+    t = "\n".join(say(rng, 12) for _ in range(4))
+    rows = [(None, t), (1, None), (2, ""), (3, "..."), (4, t), (4, t), (5, "w " * 60_000), (None, None)]
+    docs = spark.createDataFrame([(i, x, None, None, None) for i, x in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    spark.createDataFrame([(None, None), (1, "")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    spark.createDataFrame([(None, None, None), (4, 1, None)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    for name, stage in p.STAGES:
+        out = stage(spark, docs, str(tmp_path))
+        assert out.count() == len(rows), name  # nothing here is to go: without ratings the classifier keeps all
+        if name != p.STAGES[-1][0]:
+            assert out.dtypes == docs.dtypes and sorted(map(repr, out.collect())) == sorted(map(repr, docs.collect())), name
+        assert stage(spark, docs.limit(0), str(tmp_path)).count() == 0, name
