@@ -145,6 +145,7 @@ def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(
                 [part.column(0), pa.array(keys, pa.binary()), pa.array([f if k else None for f, k in zip(found, keys)], pa.list_(pa.int64()))], ["id", "key", "bands"]
             )
+    _hashes.clear()  # the worker goes on to other stages
 
 
 def _both(pairs: DataFrame, texts: DataFrame) -> DataFrame:

@@ -194,6 +194,7 @@ def digests(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", path: s
                 first.append(hashlib.sha256(ids).hexdigest())
                 second.append(hashlib.sha256(c.decode_bytes(ids)).hexdigest())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(first, pa.string()), pa.array(second, pa.string())], ["id", "n_tokens", "ids_sha256", "decoded_sha256"])
+        c.known.clear()  # the worker goes on to other stages
 
     return d.mapInArrow(run, f"id {d.dtypes[0][1]}, n_tokens long, ids_sha256 string, decoded_sha256 string").withColumnRenamed("id", doc_id)
 

@@ -169,6 +169,7 @@ def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         made = [features(t.as_py() or "") for t in b.column(2)]
         yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([n.tobytes() for n, _ in made], pa.binary()), pa.array([v.tobytes() for _, v in made], pa.binary())], ["id", "g", "n", "v"])
+    _of_token.cache_clear()
 
 
 def train(docs: DataFrame, ratings: DataFrame, doc_id: str = "doc_id", text: str = "text", sample: int = SAMPLE, min_docs: int = MIN_DOCS) -> Model:
@@ -223,6 +224,7 @@ def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "te
             tails = [m.tails(t.as_py() or "") for t in b.column(1)]
             expected, last = [round(float(x.sum()), 6) for x in tails], [round(float(x[-1]), 6) for x in tails]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(expected, pa.float64()), pa.array(last, pa.float64()), pa.array([x >= tail for x in last], pa.bool_())], ["id", "expected_grade", "tail_probability", "selected"])
+        _of_token.cache_clear()  # the worker goes on to other stages
 
     return d.mapInArrow(run, f"id {d.dtypes[0][1]}, expected_grade double, tail_probability double, selected boolean").withColumnRenamed("id", doc_id)
 
@@ -236,6 +238,7 @@ def keep_selected(docs: DataFrame, model: Model, text: str = "text", tail: float
         m = shared.value
         for b in batches:
             yield b.filter(pa.array([round(float(m.tails(t.as_py() or "")[-1]), 6) >= tail for t in b.column(at)], pa.bool_()))
+        _of_token.cache_clear()
 
     return docs.mapInArrow(run, docs.schema)
 
