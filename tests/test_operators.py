@@ -254,3 +254,31 @@ def test_embedding(spark):
     assert abs(sum(x * x for x in r["1"].embedding) - 1) < 1e-5 and len(r["4"].embedding) == 64
     e = [x[0] for x in d.orderBy("c").select(embedding.embed(F.col("body"), batch=3)).collect()]
     assert e[0] == e[1] and e[2] == [0.0] * 64 and e[0] != e[3]
+
+
+def test_required_fields_and_gates(spark):
+    d = spark.createDataFrame([("a", "t"), (" ", "t"), (None, "t"), ("a", " ")], "id string, text string")
+    assert [r[0] for r in d.select(quality.required_missing(["id", "text"])).collect()] == [False, True, True, True]
+    n = spark.createDataFrame([(99_999,), (570_000,), (590_000,)], "n long")
+    assert [r[0] for r in n.select(corpus.count_gate(F.col("n"), 607_679)).collect()] == ["pilot", "incomplete", "complete"]
+
+
+def test_summary_of_nothing_and_of_nulls(spark):
+    d = spark.createDataFrame([(None, None, None, None), ("text", 39, ["u"], 2), (" ", 40, [], 0)], "content string, score int, pdf array<string>, n int")
+    r = quality.summary(d, "content", "score", {"pdf": "pdf"}, "n").first()
+    assert (r.records, r.with_content, r.with_pdf, r.with_chunks, r.chunks, r.average_score, r.low_score) == (3, 1, 1, 1, 2, 39.5, 1)
+    assert quality.summary(d.limit(0), "content", "score", {}, None).first().average_score == 0.0
+    assert rows(quality.warnings(d.withColumn("k", F.col("n")), "k", "content"), "k") == [(None, "empty_content", 0), (0, "empty_content", 0), (2, "short_content", 4)]
+
+
+def test_status_counts_with_blanks(spark):
+    d = spark.createDataFrame([("Valid",), (" valid ",), ("",), (None,), ("gone",)], "status string")
+    got = rows(corpus.status_counts(d, "status", topics.status_allowed(F.col("status"), ["valid"])), "status")
+    assert got == [("<missing>", 2, 0, 2), ("Valid", 1, 1, 0), ("gone", 1, 0, 1), ("valid", 1, 1, 0)]
+
+
+def test_repair_lists_what_is_missing(spark):
+    ids = lambda *v: spark.createDataFrame([(x,) for x in v], "id int")
+    got = rows(corpus.missing_outputs(ids(1, 2, 3, 3), "id", full=ids(1, 2, 2), chunks=ids(1)), "id")
+    assert got == [(2, False, True), (3, True, True)]
+    assert rows(corpus.zero_filled_counts(ids(1, 2), ids(2, 2, 3), "id"), "id") == [(1, 0), (2, 2)]
