@@ -55,7 +55,6 @@ def lexical_topk(chunks: DataFrame, queries: DataFrame, chunk_id: str, title: st
     """
     q, terms, bigrams = query_terms(F.col(query))
     asked = queries.select(F.col(query_id).alias("_q"), q.alias("_text"), terms.alias("_terms"), bigrams.alias("_bigrams"))
-    asked = asked.repartition(1)  # few rows; the exchange keeps the normalisation out of the scoring
     c = chunks.select(F.col(chunk_id).alias("_c"), (F.col(title) if title else F.lit("")).alias("_title"), F.col(body).alias("_body"))
     parts = F.struct(normalize_for_match(F.col("_title")).alias("title"), normalize_for_match(F.col("_body")).alias("body"))
     score = bound(parts, lambda p: lexical_score(p["title"], p["body"], F.col("_text"), F.col("_terms"), F.col("_bigrams")))

@@ -45,7 +45,7 @@ def publish(spark: SparkSession, root: str, batch: str, **tables: DataFrame) ->
 def published(spark: SparkSession, root: str, name: str) -> DataFrame:
     """Rows of a table in published batches, with their batch."""
     done = spark.read.parquet(f"{root}/_published").select(F.col("batch").cast("string").alias("batch")).distinct()
-    return spark.read.parquet(f"{root}/{name}").withColumn("batch", F.col("batch").cast("string")).join(F.broadcast(done), "batch", "left_semi")
+    return spark.read.parquet(f"{root}/{name}").withColumn("batch", F.col("batch").cast("string")).join(done, "batch", "left_semi")
 
 
 def report(df: DataFrame) -> DataFrame:
