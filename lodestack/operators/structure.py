@@ -11,7 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import lines, normalize_for_match, strip
+from ..functions.text import bound, lines, normalize_for_match, strip
 
 
 @dataclass(frozen=True)
@@ -76,15 +76,15 @@ def tagged_lines(text: Column, h: Headings = Headings()) -> Column:
     return F.aggregate(seen, start, step, lambda s: s["out"])
 
 
-def structured(docs: DataFrame, doc_id: str, text: str, h: Headings = Headings()) -> DataFrame:
-    """A row for each article, clause and point: doc_id, level, a, c, p (running numbers, 0 where it isn't part of one),
+def parts(text: Column, h: Headings = Headings()) -> Column:
+    """An array of the articles, clauses and points: level, a, c, p (running numbers, 0 where it isn't part of one),
     article_number, article_title, clause_number, point_key, content.
 
     An article's content are its lines before the first clause; a clause takes up all other lines up to the next clause
     or article, those after its points too.
     """
 
-    def parts(l: Column) -> Column:
+    def of_lines(l: Column) -> Column:
         articles, clauses = (F.filter(l, lambda x: x["kind"] == kind) for kind in ("article", "clause"))
         starts = F.transform(F.filter(l, lambda x: x["kind"].isin("article", "clause")), lambda x: x["i"])
 
@@ -111,23 +111,29 @@ def structured(docs: DataFrame, doc_id: str, text: str, h: Headings = Headings()
 
         return F.transform(F.filter(l, lambda x: x["kind"] != "text"), one)
 
-    tagged = docs.select(doc_id, F.array(tagged_lines(F.col(text), h)).alias("l"))
-    return tagged.select(doc_id, F.explode(F.get(F.transform("l", parts), F.lit(0))).alias("x")).select(doc_id, "x.*")
+    return bound(tagged_lines(text, h), of_lines)
+
+
+def structured(docs: DataFrame, doc_id: str, text: str, h: Headings = Headings()) -> DataFrame:
+    """doc_id and the columns of parts(), a row for each. Map-only."""
+    return docs.select(doc_id, F.explode(parts(F.col(text), h)).alias("x")).select(doc_id, "x.*")
 
 
 def structured_chunks(docs: DataFrame, doc_id: str, text: str, least: int = 80, h: Headings = Headings()) -> DataFrame:
-    """Chunks of articles, clauses and points with their headings: doc_id, level, numbers and keys, chunk_no, chunk,
-    char_count. Empty parts and chunks shorter than `least` are left out and take no number."""
-    s = structured(docs, doc_id, text, h)
-    head = F.when(F.col("article_title") != "", F.concat(F.lit(f"{h.article_word} "), "article_number", F.lit(". "), "article_title")).otherwise(F.concat(F.lit(f"{h.article_word} "), "article_number"))
-    clause = F.concat(F.lit(f"{h.clause_word} "), "clause_number")
-    chunk = (
-        F.when(F.col("level") == "article", F.concat_ws("\n", head, "content"))
-        .when(F.col("level") == "clause", F.concat(head, F.lit("\n"), clause, F.lit(". "), "content"))
-        .otherwise(F.concat(head, F.lit("\n"), clause, F.lit(f"\n{h.point_word} "), "point_key", F.lit(". "), "content"))
-    )
-    kept = s.where("content <> ''").withColumn("chunk", F.regexp_replace(strip(chunk), "\n{3,}", "\n\n")).where(F.length("chunk") >= least)
-    from pyspark.sql import Window as W
+    """Chunks of articles, clauses and points with their headings: doc_id, chunk_no, level, numbers and keys, chunk,
+    char_count. Empty parts and chunks shorter than `least` are left out and take no number. Map-only."""
+
+    def chunk(x: Column) -> Column:
+        number, title = x["article_number"], x["article_title"]
+        head = F.concat(F.lit(f"{h.article_word} "), number, F.when(title != "", F.concat(F.lit(". "), title)).otherwise(""))
+        clause = F.concat(F.lit(f"{h.clause_word} "), x["clause_number"])
+        whole = (
+            F.when(x["level"] == "article", F.concat_ws("\n", head, x["content"]))
+            .when(x["level"] == "clause", F.concat(head, F.lit("\n"), clause, F.lit(". "), x["content"]))
+            .otherwise(F.concat(head, F.lit("\n"), clause, F.lit(f"\n{h.point_word} "), x["point_key"], F.lit(". "), x["content"]))
+        )
+        return F.struct(*(x[k].alias(k) for k in ("level", "article_number", "clause_number", "point_key")), F.regexp_replace(strip(whole), "\n{3,}", "\n\n").alias("chunk"))
 
-    order = W.partitionBy(doc_id).orderBy("a", "c", "p")
-    return kept.select(doc_id, F.row_number().over(order).alias("chunk_no"), "level", "article_number", "clause_number", "point_key", "chunk", F.length("chunk").alias("char_count"))
+    made = F.transform(F.filter(parts(F.col(text), h), lambda x: x["content"] != ""), chunk)
+    kept = F.filter(made, lambda x: F.length(x["chunk"]) >= least)
+    return docs.select(doc_id, F.posexplode(kept).alias("n", "x")).select(doc_id, (F.col("n") + 1).alias("chunk_no"), "x.*", F.length("x.chunk").alias("char_count"))
