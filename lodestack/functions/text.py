@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 #: What Python's str.strip() and \s take as whitespace; Java's \s is ASCII only.
 WS = r"[\s\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+#: The same characters, as Python itself names them.
+WS_CHARS = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
 #: Line ends of Python's str.splitlines().
 LINE_END = r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029]"
 
@@ -27,7 +29,7 @@ def text_of(c: Column) -> Column:
 
 
 def strip(c: Column) -> Column:
-    return F.regexp_replace(c, f"^{WS}+|{WS}+$", "")
+    return F.btrim(c, F.lit(WS_CHARS))
 
 
 def collapse(c: Column) -> Column:

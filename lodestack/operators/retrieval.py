@@ -55,9 +55,9 @@ def lexical_topk(chunks: DataFrame, queries: DataFrame, chunk_id: str, title: st
     """
     q, terms, bigrams = query_terms(F.col(query))
     asked = queries.select(F.col(query_id).alias("_q"), q.alias("_text"), terms.alias("_terms"), bigrams.alias("_bigrams"))
-    c = chunks.select(F.col(chunk_id).alias("_c"), (F.col(title) if title else F.lit("")).alias("_title"), F.col(body).alias("_body"))
-    parts = F.struct(normalize_for_match(F.col("_title")).alias("title"), normalize_for_match(F.col("_body")).alias("body"))
-    score = bound(parts, lambda p: lexical_score(p["title"], p["body"], F.col("_text"), F.col("_terms"), F.col("_bigrams")))
+    # normalised below the join, once for each chunk
+    c = chunks.select(F.col(chunk_id).alias("_c"), (normalize_for_match(F.col(title)) if title else F.lit("")).alias("_title"), normalize_for_match(F.col(body)).alias("_body"))
+    score = lexical_score(F.col("_title"), F.col("_body"), F.col("_text"), F.col("_terms"), F.col("_bigrams"))
     scored = reduce(DataFrame.unionByName, (c.crossJoin(F.broadcast(b)).select("_q", "_c", score.alias("score")) for b in blocks(asked)))
     top = best(scored, ["_q"], [F.desc("score"), F.asc("_c")], k).where("score > 0")  # a filter before would score twice
     return top.select(F.col("_q").alias(query_id), "rank", F.col("_c").alias(chunk_id), "score")

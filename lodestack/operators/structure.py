@@ -16,8 +16,10 @@ from ..functions.text import bound, lines, normalize_for_match, strip
 
 @dataclass(frozen=True)
 class Headings:
-    """Patterns and words of a legal text. article matches the line without accents, in lower case. Fixed values."""
+    """Patterns and words of a legal text. article matches the line without accents, in lower case; only lines that
+    article_hint finds are looked at for it. Fixed values."""
 
+    article_hint: str = "^[dDđĐ]"
     article: str = r"^dieu\s+(\d+)[\.:]?\s*(.*)$"
     article_raw: str = r"(?iuU)^\s*Điều\s+\d+[\.:]?\s*"
     clause: str = r"^(?U:\s*(\d+)\.\s+(.*))$"
@@ -41,7 +43,7 @@ def tagged_lines(text: Column, h: Headings = Headings()) -> Column:
         lines(text),
         lambda x: F.struct(
             x.alias("x"),
-            F.regexp_extract(normalize_for_match(x), h.article, 1).alias("article"),
+            F.when(x.rlike(h.article_hint), F.regexp_extract(normalize_for_match(x), h.article, 1)).otherwise("").alias("article"),
             F.regexp_extract(x, h.clause, 1).alias("clause"),
             F.regexp_extract(x, h.point, 1).alias("point"),
         ),
