@@ -1,17 +1,22 @@
 """Line dedup across documents by pairwise alignment.
 
-Shared lines point to the first document that has them. Pairs of a document and such an earlier one, found through rare
-lines, are aligned by patience diff over the hashes of the lines that occur in several documents; aligned common blocks
-of enough words are deleted from the later document. Frequent lines make no pairs: their runs are compared with the
-place of the lines in the first document directly, so the work stays in proportion to the lines.
+Every common block of enough words is a union of shortest runs: lines that follow each other and have enough words, but
+not without their first line or not without their last. Each shortest run points to the first document that has it, so
+the earliest holder of any part of a block that could be deleted alone is found, however frequent its lines are. A
+document and such an earlier one are aligned by patience diff over the lines of the runs that they share; aligned common
+blocks of enough words are deleted from the later document. Only those runs are brought together, so the work stays in
+proportion to the lines.
 """
 
 from __future__ import annotations
 
+import struct
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
+from hashlib import blake2b
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,8 +25,10 @@ from .common import cut, let, table
 
 #: Common blocks of fewer words stay.
 MIN_WORDS = 25
-#: A line of up to so many documents is rare and makes pairs for alignment.
+#: Once the bound of lines that make pairs for alignment; all lines do now, so results are the same for any.
 RARE = 500
+#: Lines, and pairs of documents, that a Python worker turns over at once.
+LINES, PAIRS = 100_000, 100
 
 
 def _longest_rising(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -102,14 +109,69 @@ def common_blocks(a: list[tuple[int, int]], b: list[tuple[int, int, int]], min_w
     return out
 
 
+def shortest_runs(words: np.ndarray, starts: np.ndarray, min_words: int) -> list[tuple[int, int]]:
+    """(start, end) of the shortest runs of lines of `words` words that have at least `min_words`: from each line on, and
+    up to each line. Documents begin at `starts`, whose last element is the number of lines; no run crosses them."""
+    sums = np.concatenate([[0], np.cumsum(words)])
+    lines, doc = np.arange(len(words)), np.repeat(np.arange(len(starts) - 1), np.diff(starts))
+    end = np.maximum(np.searchsorted(sums, sums[:-1] + min_words, "left"), lines + 1)
+    start = np.minimum(np.searchsorted(sums, sums[1:] - min_words, "right") - 1, lines)
+    on, back = end <= starts[doc + 1], start >= starts[doc]
+    return sorted({*zip(lines[on].tolist(), end[on].tolist()), *zip(start[back].tolist(), (lines[back] + 1).tolist())})
+
+
+_RUNS = "id long, th long, k1 long, k2 long, lines binary, at array<int>"
+
+
+def _shortest(min_words: int):
+    """From (id, th, lines with h, h2, w) a row for each different shortest run of a document: its hash (k1, k2), lines
+    (of each its hash and words), at (places of its first line)."""
+
+    def rows(part: pa.RecordBatch) -> pa.RecordBatch:
+        ids, ths, lists = part.column(0).to_pylist(), part.column(1).to_pylist(), part.column(2)
+        starts = np.asarray(lists.offsets)
+        starts = (starts - starts[0]).astype(np.int64)
+        h, h2, w = (x.to_numpy(zero_copy_only=False) for x in lists.flatten().flatten())
+        keys, lines = np.stack([h, h2], 1).astype("<i8").tobytes(), np.rec.fromarrays([h, w], dtype="<i8,<i4").tobytes()
+        doc = np.repeat(np.arange(len(ids)), np.diff(starts)).tolist()
+        found: dict[tuple[int, bytes], list[int]] = {}
+        for s, e in shortest_runs(w.astype(np.int64), starts, min_words):
+            found.setdefault((doc[s], blake2b(keys[16 * s : 16 * e], digest_size=16).digest() + lines[12 * s : 12 * e]), []).append(s - int(starts[doc[s]]))
+        halves = [struct.unpack_from("<qq", run) for _, run in found]
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array([ids[k] for k, _ in found], pa.int64()),
+                pa.array([ths[k] for k, _ in found], pa.int64()),
+                *(pa.array([x[i] for x in halves], pa.int64()) for i in range(2)),
+                pa.array([run[16:] for _, run in found], pa.binary()),
+                pa.array(list(found.values()), pa.list_(pa.int32())),
+            ],
+            [x.split()[0] for x in _RUNS.split(", ")],
+        )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ends, a = np.asarray(batch.column(2).offsets), 0
+            while a < batch.num_rows:
+                b = max(a + 1, int(np.searchsorted(ends, ends[a] + LINES, "right")) - 1)
+                yield rows(batch.slice(a, b - a))
+                a = b
+
+    return run
+
+
 def _aligned(min_words: int):
+    def places(runs: list[tuple[bytes, list[int]]]) -> list[tuple[int, int, int]]:
+        return sorted({(at + j, *line) for lines, starts in runs for j, line in enumerate(struct.iter_unpack("<qi", lines)) for at in starts})
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for doc, th, *lists in zip(*(batch.column(i).to_pylist() for i in range(7))):
-                places, hashes, words, others, their = lists
-                if found := common_blocks(list(zip(others, their)), list(zip(places, hashes, words)), min_words):
-                    rows.append((doc, th, found))
+            for k in range(0, batch.num_rows, PAIRS):
+                for doc, th, runs in zip(*(c.to_pylist() for c in batch.slice(k, PAIRS).columns)):
+                    theirs, own = (places([(r["lines"], r[at]) for r in runs]) for at in ("fat", "at"))
+                    if found := common_blocks([x[:2] for x in theirs], own, min_words):
+                        rows.append((doc, th, found))
             doc, th, found = zip(*rows) if rows else ([], [], [])
             yield pa.RecordBatch.from_arrays([pa.array(doc, pa.int64()), pa.array(th, pa.int64()), pa.array(found, pa.list_(pa.int32()))], ["id", "th", "drop"])
 
@@ -125,49 +187,20 @@ def _of_block(sets: Column) -> Column:
     return F.array_distinct(F.flatten(sets))
 
 
-def dropped_lines(docs: DataFrame, doc_id: str, text: str, min_words: int, rare: int) -> DataFrame:
+def dropped_lines(docs: DataFrame, doc_id: str, text: str, min_words: int) -> DataFrame:
     """id, th (hash of the text), drop (places, among lines with a word, of those to delete)."""
     d = docs.select(F.col(doc_id).cast("long").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("t")).where("id IS NOT NULL")
-    lines = d.select("id", F.xxhash64("t").alias("th"), F.posexplode(_filled(F.col("t"))).alias("o", "l")).select(
-        "id", "th", "o", F.xxhash64("l.x").alias("h"), F.xxhash64(F.lit(1), "l.x").alias("h2"), F.size(F.split("l.x", r"\s+")).alias("w")
-    )
-    shared = lines.groupBy("h", "h2").agg(F.min("id").alias("first"), F.max("id").alias("last"), F.count("*").alias("n")).where("first <> last").select("h", "h2", "first", "n")
+    hashed = F.transform(_filled(F.col("t")), lambda l: F.struct(F.xxhash64(l["x"]).alias("h"), F.xxhash64(F.lit(1), l["x"]).alias("h2"), F.size(F.split(l["x"], r"\s+")).alias("w")))
+    runs = d.select("id", F.xxhash64("t").alias("th"), hashed.alias("l")).mapInArrow(_shortest(min_words), _RUNS)
+    shared = runs.groupBy("k1", "k2").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first <> last").select("k1", "k2", "first")
     shared = cut(shared)  # written, so that the join has an exchange of its own, whose hot keys Spark can split
-    own = cut(lines.join(shared, ["h", "h2"]).select("id", "th", "o", "h", "w", "first", "n"))
-    sequences = own.groupBy("id", "th").agg(F.array_sort(F.collect_list(F.struct("o", "h", "w"))).alias("s"))
-    pairs = own.where((F.col("n") <= rare) & (F.col("first") < F.col("id"))).select("id", "th", "first").distinct()
-    both = pairs.join(sequences, ["id", "th"]).join(sequences.select(F.col("id").alias("first"), F.col("s").alias("f")), "first")
-    rare_drop = both.select("id", "th", "s.o", "s.h", "s.w", F.col("f.o").alias("fo"), F.col("f.h").alias("fh")).mapInArrow(_aligned(min_words), "id long, th long, drop array<int>")
-    frequent = own.where(F.col("n") > rare)
-    where_first = frequent.where("id = first").groupBy("h").agg(F.min("o").alias("fo"))
-    runs = (
-        frequent.where("id > first")
-        .join(where_first, "h")
-        .groupBy("id", "th")
-        .agg(F.array_sort(F.collect_list(F.struct("o", "first", "fo", "w"))).alias("s"))
-        .select("id", "th", _runs(F.col("s"), min_words).alias("drop"))
-        .where(F.size("drop") > 0)
-    )
-    return rare_drop.unionByName(runs).groupBy("id", "th").agg(_of_block(F.collect_list("drop")).alias("drop"))
-
-
-def _runs(s: Column, min_words: int) -> Column:
-    """Places of lines of s that follow each other here and in the same first document, in runs of enough words."""
-    start = F.struct(F.array().cast("array<int>").alias("out"), F.array().cast("array<int>").alias("run"), F.lit(0).alias("w"), F.lit(-9).alias("o"), F.lit(None).cast("long").alias("f"), F.lit(-9).alias("p"))
-    closed = lambda a: F.when(a["w"] >= min_words, F.concat(a["out"], a["run"])).otherwise(a["out"])
-
-    def step(a: Column, x: Column) -> Column:
-        on = F.coalesce((x["o"] == a["o"] + 1) & (x["first"] == a["f"]) & (x["fo"] == a["p"] + 1), F.lit(False))
-        return F.struct(
-            F.when(on, a["out"]).otherwise(closed(a)).alias("out"),
-            F.when(on, F.array_append(a["run"], x["o"])).otherwise(F.array(x["o"])).alias("run"),
-            F.when(on, a["w"] + x["w"]).otherwise(x["w"]).alias("w"),
-            x["o"].alias("o"),
-            x["first"].alias("f"),
-            x["fo"].alias("p"),
-        )
-
-    return F.aggregate(s, start, step, closed)
+    own = cut(runs.join(shared, ["k1", "k2"]))
+    #: of several texts of the first document one that has the run
+    holders = own.where("id = first").groupBy("k1", "k2").agg(F.min(F.struct("th", "at")).alias("f")).select("k1", "k2", F.col("f.th").alias("fth"), F.col("f.at").alias("fat"))
+    holders = cut(holders)
+    pairs = own.where("id > first").join(holders, ["k1", "k2"]).groupBy("id", "th", "first", "fth").agg(F.collect_set(F.struct("lines", "at", "fat")).alias("runs"))
+    drops = pairs.select("id", "th", "runs").mapInArrow(_aligned(min_words), "id long, th long, drop array<int>")
+    return drops.groupBy("id", "th").agg(_of_block(F.collect_list("drop")).alias("drop"))
 
 
 def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS, rare: int = RARE) -> DataFrame:
@@ -175,12 +208,13 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min
     (those deleted), _emptied (all were).
 
     Lines are parts between \\n, compared without spaces around; lines without a word are never compared and stay.
-    "Later" goes by the id. A block is deleted if it stands in the document with the least id that has its lines too,
-    in the same order without lines between, and has at least `min_words` words. Repeats inside one document stay. Rows
-    that share an id are one document and don't delete from each other; repeated rows are treated alike; rows without
-    an id and null texts come back as they are. Extra columns are kept.
+    "Later" goes by the id. A block of at least `min_words` words is deleted if an earlier document has its lines too,
+    in the same order without lines between; of blocks that an earlier document has in another order, those go that its
+    alignment keeps in order. Repeats inside one document stay. Rows that share an id are one document and don't delete
+    from each other; repeated rows are treated alike; rows without an id and null texts come back as they are. Extra
+    columns are kept. `rare` is taken for callers that give it and changes nothing: frequent lines are treated like others.
     """
-    drops = dropped_lines(docs, doc_id, text, min_words, rare).select(F.col("id").alias("_id"), F.col("th").alias("_th"), F.col("drop").alias("_drop"))
+    drops = dropped_lines(docs, doc_id, text, min_words).select(F.col("id").alias("_id"), F.col("th").alias("_th"), F.col("drop").alias("_drop"))
     joined = docs.withColumn("_key", F.xxhash64(F.coalesce(F.col(text), F.lit("")))).join(drops, (F.col(doc_id).cast("long") == F.col("_id")) & (F.col("_key") == F.col("_th")), "left")
     gone = let(_filled(F.col(text)), lambda filled: F.transform("_drop", lambda o: F.get(filled, o)["i"]))
     kept = let(

@@ -88,3 +88,39 @@ def test_long_documents(spark):
     lines = [f"{k} " + "w " * 10 for k in range(20_000)]
     out = got(spark, [(1, "\n".join(lines)), (2, "\n".join(lines[5000:15000]))])
     assert [(x[0], x[2], x[3]) for x in out] == [(1, 0, False), (2, 10_000, True)]
+
+
+def test_frequent_blocks_with_repeated_and_foreign_lines(spark):
+    """A block of frequent lines goes whole, though a line of it comes twice and another one stands in an earlier text."""
+    block = [LONG[0], "thanks", LONG[1], "thanks", LONG[2], LONG[3]]
+    rows = [(0, f"own\n{LONG[1]}\nlicence"), *((k, "\n".join([f"own {k}", *block, f"tail {k}"])) for k in range(1, 9))]
+    for rare in (1, 3, 10**9):
+        assert [x[2] for x in got(spark, rows, rare=rare)] == [0, 0, *[6] * 7], rare
+
+
+def brute(docs, min_words=d.MIN_WORDS):
+    """Dropped lines of each document: those of runs of enough words that an earlier one has without lines between."""
+    out = []
+    for k, lines in enumerate(docs):
+        gone = set()
+        for s in range(len(lines)):
+            for e in range(s + 1, len(lines) + 1):
+                if sum(len(x.split()) for x in lines[s:e]) >= min_words and any(lines[s:e] == o[i : i + e - s] for o in docs[:k] for i in range(len(o))):
+                    gone.update(range(s, e))
+        out.append(len(gone))
+    return out
+
+
+def test_against_every_earlier_document(spark):
+    """Parts stand in the same order in all documents, so that alignment can keep all that brute force finds."""
+    rng = random.Random(7)
+    docs = []
+    for k in range(80):
+        lines = [x for x in [w for j in range(24) for w in ([LONG[j]] if j % 3 else [f"few {j}", LONG[j]])] if rng.random() < 0.75]
+        for _ in range(rng.randrange(3)):
+            lines.insert(rng.randrange(len(lines) + 1), f"own {k} {rng.random()}")
+        docs.append(lines)
+    want = brute(docs)
+    for rare in (1, 10**9):
+        out = got(spark, [(k, "\n".join(v)) for k, v in enumerate(docs)], rare=rare)
+        assert [x[2] for x in sorted(out)] == want, rare
