@@ -124,3 +124,10 @@ def test_against_every_earlier_document(spark):
     for rare in (1, 10**9):
         out = got(spark, [(k, "\n".join(v)) for k, v in enumerate(docs)], rare=rare)
         assert [x[2] for x in sorted(out)] == want, rare
+
+
+def test_block_whose_lines_have_other_first_holders(spark):
+    """B < C share x, y, each of which stands first, alone, in another document."""
+    x, y = LONG[0], LONG[1]
+    rows = [(1, f"a\n{x}\nb"), (2, f"c\n{y}\nd"), (3, f"e\n{x}\n{y}\nf"), (4, f"g\n{x}\n{y}\nh")]
+    assert [r[2] for r in got(spark, rows)] == [0, 0, 0, 2]
