@@ -29,6 +29,8 @@ MIN_WORDS = 25
 RARE = 500
 #: Lines, and pairs of documents, that a Python worker turns over at once.
 LINES, PAIRS = 100_000, 100
+#: What \s stands for.
+WHITE = " \t\n\x0b\f\r"
 
 
 def _longest_rising(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -180,7 +182,7 @@ def _aligned(min_words: int):
 
 def _filled(text: Column) -> Column:
     """Lines that have a word, with their place in the text."""
-    return F.filter(F.transform(F.split(text, "\n"), lambda x, i: F.struct(i.alias("i"), F.trim(x).alias("x"))), lambda y: F.length(y["x"]) > 0)
+    return F.filter(F.transform(F.split(text, "\n"), lambda x, i: F.struct(i.alias("i"), F.trim(x, F.lit(WHITE)).alias("x"))), lambda y: F.length(y["x"]) > 0)
 
 
 def _of_block(sets: Column) -> Column:
@@ -207,7 +209,8 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min
     """docs with the repeated blocks deleted from `text`, and three more columns: _lines (lines with a word), _dropped
     (those deleted), _emptied (all were).
 
-    Lines are parts between \\n, compared without spaces around; lines without a word are never compared and stay.
+    Lines are parts between \\n, compared without white space (\\s, \\r included) around; lines without a word are
+    never compared and stay.
     "Later" goes by the id. A block of at least `min_words` words is deleted if an earlier document has its lines too,
     in the same order without lines between; of blocks that an earlier document has in another order, those go that its
     alignment keeps in order. Repeats inside one document stay. Rows that share an id are one document and don't delete

@@ -131,3 +131,9 @@ def test_block_whose_lines_have_other_first_holders(spark):
     x, y = LONG[0], LONG[1]
     rows = [(1, f"a\n{x}\nb"), (2, f"c\n{y}\nd"), (3, f"e\n{x}\n{y}\nf"), (4, f"g\n{x}\n{y}\nh")]
     assert [r[2] for r in got(spark, rows)] == [0, 0, 0, 2]
+
+
+def test_white_space_around_lines(spark):
+    a = "\n".join(LONG[:3])
+    rows = [(1, a), (2, "own\r\n" + "\r\n".join(LONG[:3]) + "\r\n"), (3, "\n\t\r\n".join(f"\t{x}\t \x0b\f" for x in LONG[:3]) + "\nown")]
+    assert got(spark, rows) == sorted([(1, a, 0, False), (2, "own\r\n", 3, False), (3, "\t\r\n\t\r\nown", 3, False)], key=repr)
