@@ -145,12 +145,12 @@ def contaminated() -> Column:
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of docs that aren't contaminated, with all their columns; rows without an id are judged like others.
-
-    Rows that share an id go together if one of them is contaminated.
-    """
-    bad = decontaminate(docs, items, doc_id, text).where(contaminated()).select(F.col(doc_id).alias("_bad")).distinct()
-    return docs.join(bad, docs[doc_id].eqNullSafe(F.col("_bad")), "left_anti")
+    """The rows of docs that aren't contaminated, with all their columns. Each row goes by its own text: rows without an
+    id and rows that share one are judged like others."""
+    own = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
+    judged = decontaminate(docs.select(F.struct(F.col(doc_id).alias("i"), own.alias("h")).alias("_row"), F.col(text).alias("_text")), items, "_row", "_text")
+    bad = judged.where(contaminated()).select(F.col("_row.i").alias("_bad"), F.col("_row.h").alias("_hash")).distinct()
+    return docs.join(bad, docs[doc_id].eqNullSafe(bad["_bad"]) & (F.xxhash64(F.coalesce(docs[text], F.lit(""))) == bad["_hash"]), "left_anti")
 
 
 def query(spark, sf_dir: str) -> DataFrame:

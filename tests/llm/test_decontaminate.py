@@ -95,6 +95,15 @@ def test_extra_columns_clash(spark):
     assert d.drop_contaminated(docs, items.limit(0)).collect() == docs.collect()
 
 
+def test_each_row_goes_by_its_own_text(spark):
+    bad, clean = " ".join(f"w{k}" for k in range(20)), " ".join(f"c{k}" for k in range(20))
+    rows = [(None, bad), (None, clean), (None, None), (1, clean), (1, bad), (2, bad), (2, bad), (3, clean), (3, clean)]
+    docs, items = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame([(1, bad)], "item_id long, text string")
+    kept = d.drop_contaminated(docs, items)
+    assert kept.columns == docs.columns
+    assert sorted(map(repr, kept.collect())) == sorted(repr(r) for r in docs.collect() if r.text != bad)
+
+
 def test_no_python_in_the_plan(spark):
     docs, items = spark.createDataFrame([(1, "x " * 20)], "doc_id long, text string"), spark.createDataFrame([(1, "x " * 20)], "item_id long, text string")
     plan = d.decontaminate(docs, items)._jdf.queryExecution().executedPlan().toString()
