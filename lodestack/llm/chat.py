@@ -12,6 +12,8 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Iterator
+from fractions import Fraction
+from urllib.parse import unquote
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -62,37 +64,109 @@ def _is(value, kind: str) -> bool:
     return isinstance(value, _TYPES[kind]) if kind in _TYPES else True
 
 
-def problems(value, schema, path: str = "$") -> list[str]:
-    """What in value is against schema (type, enum, const, properties, required, additionalProperties, items, minimum,
-    maximum, minLength, maxLength, pattern); references to results stand for anything."""
-    if not isinstance(schema, dict) or isinstance(value, dict) and set(value) == {"$result"}:
+#: Keywords that bind values and aren't checked; a schema that has one is reported.
+_UNCHECKED = ("$dynamicRef", "$recursiveRef", "dependencies", "dependentSchemas", "maxContains", "minContains", "unevaluatedItems", "unevaluatedProperties")
+
+
+def _pointed(root, ref) -> tuple:
+    """(what a reference inside the schema points to,), empty if there is nothing."""
+    if not isinstance(ref, str) or ref[:1] != "#" or ref[1:2] not in ("", "/"):
+        return ()
+    at = root
+    for part in unquote(ref[1:]).split("/")[1:]:
+        part = part.replace("~1", "/").replace("~0", "~")
+        if isinstance(at, dict) and part in at:
+            at = at[part]
+        elif isinstance(at, list) and part.isdecimal() and int(part) < len(at):
+            at = at[int(part)]
+        else:
+            return ()
+    return (at,)
+
+
+def problems(value, schema, path: str = "$", root=None, trail: frozenset = frozenset()) -> list[str]:
+    """What in value is against schema; references to results stand for anything.
+
+    Checked: type, enum, const, minimum, maximum, exclusiveMinimum and exclusiveMaximum (numbers or, with a bound, true),
+    multipleOf, minLength, maxLength, pattern, properties, patternProperties, additionalProperties, propertyNames,
+    required, dependentRequired, minProperties, maxProperties, items (one or a list), prefixItems, additionalItems,
+    contains, minItems, maxItems, uniqueItems, allOf, anyOf, oneOf, not, if, then, else, true and false for schemas, and
+    $ref within the schema. Other references and the keywords _UNCHECKED are problems themselves. format, as the standard
+    has it, binds nothing. `root` is the schema that $ref starts from, `trail` the references followed for this value.
+    """
+    root = schema if root is None else root
+    if isinstance(value, dict) and set(value) == {"$result"}:
+        return []
+    if schema is False:
+        return [f"{path}: not allowed"]
+    if not isinstance(schema, dict):
         return []
+    inner = lambda v, rule, at: problems(v, rule, at, root)
+    same = lambda rule: problems(value, rule, path, root, trail)
     kinds = schema.get("type", [])
     kinds = kinds if isinstance(kinds, list) else [kinds]
     if kinds and not any(_is(value, k) for k in kinds):
         return [f"{path}: not {' or '.join(map(str, kinds))}"]
-    out = []
+    out = [f"{path}: {k} is not checked" for k in _UNCHECKED if k in schema]
+    if "$ref" in schema:
+        ref = schema["$ref"]
+        if not (found := _pointed(root, ref)) or ref in trail:
+            out.append(f"{path}: {ref} can't be followed")
+        else:
+            out += problems(value, found[0], path, root, trail | {ref})
     if "enum" in schema and value not in schema["enum"] or "const" in schema and value != schema["const"]:
         out.append(f"{path}: not one of the allowed values")
     if _is(value, "number"):
-        out += [f"{path}: below minimum"] * (value < schema.get("minimum", value)) + [f"{path}: above maximum"] * (value > schema.get("maximum", value))
+        low, high = schema.get("exclusiveMinimum"), schema.get("exclusiveMaximum")
+        low, high = (schema.get(k) if x is True else x for k, x in (("minimum", low), ("maximum", high)))
+        below = value < schema.get("minimum", value) or _is(low, "number") and value <= low
+        above = value > schema.get("maximum", value) or _is(high, "number") and value >= high
+        out += [f"{path}: below minimum"] * below + [f"{path}: above maximum"] * above
+        step = schema.get("multipleOf")
+        if _is(step, "number") and step > 0 and Fraction(repr(value)) % Fraction(repr(step)):
+            out.append(f"{path}: not a multiple of {step}")
     if isinstance(value, str):
         short, long = len(value) < schema.get("minLength", 0), len(value) > schema.get("maxLength", len(value))
         out += [f"{path}: too short"] * short + [f"{path}: too long"] * long
         if "pattern" in schema and not re.search(schema["pattern"], value):
             out.append(f"{path}: against the pattern")
     if isinstance(value, dict):
-        known = schema.get("properties", {})
+        known, patterns = schema.get("properties", {}), schema.get("patternProperties", {})
         out += [f"{path}.{k}: missing" for k in schema.get("required", []) if k not in value]
+        out += [f"{path}.{k}: missing" for given, ks in schema.get("dependentRequired", {}).items() if given in value for k in ks if k not in value]
+        few, many = len(value) < schema.get("minProperties", 0), len(value) > schema.get("maxProperties", len(value))
+        out += [f"{path}: too few properties"] * few + [f"{path}: too many properties"] * many
         for k, v in value.items():
-            if k in known:
-                out += problems(v, known[k], f"{path}.{k}")
+            rules = [known[x] for x in (k,) if x in known] + [rule for p, rule in patterns.items() if re.search(p, k)]
+            if rules:
+                out += [x for rule in rules for x in inner(v, rule, f"{path}.{k}")]
             elif schema.get("additionalProperties", True) is False:
                 out.append(f"{path}.{k}: unknown")
             else:
-                out += problems(v, schema.get("additionalProperties"), f"{path}.{k}")
+                out += inner(v, schema.get("additionalProperties"), f"{path}.{k}")
+            if "propertyNames" in schema and inner(k, schema["propertyNames"], path):
+                out.append(f"{path}.{k}: not an allowed name")
     if isinstance(value, list):
-        out += [p for i, v in enumerate(value) for p in problems(v, schema.get("items"), f"{path}[{i}]")]
+        each, heads = schema.get("items"), schema.get("prefixItems", [])
+        if isinstance(each, list):
+            each, heads = schema.get("additionalItems"), each
+        out += [p for i, v in enumerate(value) for p in inner(v, heads[i] if i < len(heads) else each, f"{path}[{i}]")]
+        few, many = len(value) < schema.get("minItems", 0), len(value) > schema.get("maxItems", len(value))
+        out += [f"{path}: too few items"] * few + [f"{path}: too many items"] * many
+        if schema.get("uniqueItems") is True and len({canonical(v) for v in value}) < len(value):
+            out.append(f"{path}: repeated items")
+        if "contains" in schema and schema.get("minContains") != 0 and all(inner(v, schema["contains"], path) for v in value):
+            out.append(f"{path}: without an item that it must contain")
+    out += [p for rule in schema.get("allOf", []) for p in same(rule)]
+    if "anyOf" in schema and all(same(rule) for rule in schema["anyOf"]):
+        out.append(f"{path}: against anyOf")
+    open_ = not {"oneOf", "not", "if"}.isdisjoint(schema) and bool(references(value))  # what a result will be isn't known, so it can't be said to fit either
+    if "oneOf" in schema and (fit := sum(not same(rule) for rule in schema["oneOf"])) != 1 and not (fit and open_):
+        out.append(f"{path}: against oneOf")
+    if "not" in schema and not open_ and not same(schema["not"]):
+        out.append(f"{path}: against not")
+    if "if" in schema and not open_:
+        out += same(schema.get("else" if same(schema["if"]) else "then"))
     return out
 
 

@@ -68,6 +68,59 @@ def test_canonical():
     assert c.problems("ab", {"pattern": "^b", "maxLength": 1, "enum": ["x"]}) == ["$: not one of the allowed values", "$: too long", "$: against the pattern"]
 
 
+def test_every_keyword_binds():
+    bad = [
+        (5, {"anyOf": [{"type": "string"}, {"minimum": 6}]}),
+        (5, {"oneOf": [{"type": "integer"}, {"minimum": 4}]}),
+        (5, {"oneOf": [{"type": "string"}]}),
+        (5, {"allOf": [{"minimum": 1}, {"maximum": 4}]}),
+        (5, {"not": {"type": "integer"}}),
+        (5, {"exclusiveMinimum": 5}),
+        (5, {"exclusiveMaximum": 5}),
+        (5, {"maximum": 5, "exclusiveMaximum": True}),
+        (0.35, {"multipleOf": 0.1}),
+        (5, {"$ref": "#/$defs/a", "$defs": {"a": {"maximum": 4}}}),
+        (5, {"$ref": "#/$defs/a~1b%20", "$defs": {"a/b ": {"maximum": 4}}}),
+        (5, {"$ref": "#"}),
+        (5, {"$ref": "other.json"}),
+        (5, {"if": {"type": "integer"}, "then": {"maximum": 4}}),
+        (5, False),
+        ([], {"minItems": 1}),
+        ([1, 2], {"maxItems": 1}),
+        ([1, 1.0], {"uniqueItems": True}),
+        ([1, "x"], {"prefixItems": [{}, {"type": "integer"}]}),
+        ([1, 2], {"items": [{}], "additionalItems": False}),
+        ([1], {"contains": {"type": "string"}}),
+        ({"x1": "y"}, {"patternProperties": {"^x": {"type": "integer"}}}),
+        ({"xy": 1}, {"propertyNames": {"maxLength": 1}}),
+        ({"a": 1}, {"dependentRequired": {"a": ["b"]}}),
+        ({}, {"minProperties": 1}),
+        ({"a": 1}, {"maxProperties": 0}),
+        ({"a": 1}, {"unevaluatedProperties": False}),
+        ({"a": {"a": {"a": 1}}}, {"additionalProperties": {"$ref": "#"}, "type": "object"}),
+    ]
+    for value, schema in bad:
+        assert len(c.problems(value, schema)) == 1, (value, schema)
+    good = [
+        (5, {"anyOf": [{"type": "string"}, {"minimum": 5}], "oneOf": [{"maximum": 4}, {"maximum": 5}], "not": {"type": "string"}, "multipleOf": 2.5, "exclusiveMinimum": 4.9, "exclusiveMaximum": 6}),
+        (0.3, {"multipleOf": 0.1}),
+        ([1, True, "1", [1], None], {"uniqueItems": True, "minItems": 5, "maxItems": 5, "contains": {"type": "null"}}),
+        ({"x1": 1, "b": "s"}, {"patternProperties": {"^x": {"type": "integer"}}, "properties": {"b": {}}, "additionalProperties": False}),
+        ({"a": {"a": {}}}, {"additionalProperties": {"$ref": "#"}, "type": "object"}),
+        ({"a": {"$result": "x"}}, {"not": {"properties": {"a": {"type": "string"}}}, "oneOf": [{"properties": {"a": {"type": k}}} for k in ("string", "null")]}),
+        (5, {"title": "t", "format": "date", "x-own": 1, "if": {"type": "string"}, "then": False}),
+    ]
+    for value, schema in good:
+        assert c.problems(value, schema) == [], (value, schema)
+
+
+def test_calls_against_other_keywords_are_invalid(spark):
+    rule = {"type": "object", "properties": {"a": {"$ref": "#/$defs/few"}}, "$defs": {"few": {"type": "array", "maxItems": 1}}}
+    tools = "<tools>" + json.dumps([{"name": "add", "parameters": rule}]) + "</tools>"
+    r = got(spark, [(1, 0, "system", tools), (1, 1, "assistant", call("x", a=[1]) + call("y", a=[1, 2]))])
+    assert r[1, 1][2] == 1 and r[1, 1][3]["tool_calls"][1]["problems"] == ["$.a: too many items"]
+
+
 def test_files_split_the_range(spark, tmp_path):
     rows = [(1, k, "user", f"t{k}") for k in range(50)] + [(2, 0, "user", "x")]
     c.write_jsonl(c.format_messages(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")), str(tmp_path / "out"))
