@@ -6,8 +6,10 @@ labelled URLs on the driver and come back as one expression, so scoring is map-o
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 from functools import reduce
+from zlib import crc32
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -114,8 +116,15 @@ class Model:
         return self.start + sum(t.values(x) for t in self.trees)
 
     def suffix_rate(self, host: Column) -> Column:
-        known = F.create_map(*(F.lit(v) for kv in sorted(self.suffixes.items()) for v in kv)) if self.suffixes else None
-        return F.coalesce(F.element_at(known, suffix(host)), F.lit(self.other)) if self.suffixes else F.lit(self.other)
+        """Looked up in one constant, in short maps by the checksum of the suffix, as maps are searched one by one."""
+        if not self.suffixes:
+            return F.lit(self.other)
+        maps: list[dict[str, float]] = [{} for _ in range(len(self.suffixes) // 4 + 1)]
+        for s, rate in sorted(self.suffixes.items()):
+            maps[crc32(s.encode()) % len(maps)][s] = rate
+        known = F.from_json(F.lit(json.dumps(maps)), "array<map<string,double>>")
+        own = F.get(known, F.pmod(F.crc32(suffix(host).cast("binary")), F.lit(len(maps))).cast("int"))
+        return F.coalesce(F.element_at(own, suffix(host)), F.lit(self.other))
 
     def probability(self) -> Column:
         """From the columns FEATURES and suffix_rate."""
@@ -162,13 +171,14 @@ def fit(x: np.ndarray, y: np.ndarray, trees: int = 30, depth: int = 3, rate: flo
 
 def train(labelled: DataFrame, url: str = "url", label: str = "label", sample: int = SAMPLE) -> Model:
     """Trees for labelled (url, label: 1 unwanted, 0 wanted), from at most `sample` rows; only their features come to
-    the driver. Rows without url or label are left out; without both labels the model gives the labels' share."""
+    the driver. The rates of all their suffixes are kept. Rows without url or label are left out; without both labels
+    the model gives the labels' share."""
     chosen = labelled.select(F.col(url).alias("url"), F.col(label).cast("double").alias("y")).where("url IS NOT NULL AND y IS NOT NULL").orderBy(F.xxhash64("url"), "url", "y").limit(sample)
     rows = chosen.withColumns(parts(F.col("url"))).withColumns(features(F.col("url")) | {"suffix": suffix(F.col("host"))}).select(*FEATURES, "suffix", "y").toPandas()
     y = rows["y"].to_numpy()
     mean = float(y.mean()) if len(y) else 0.0
     stats = rows.groupby("suffix")["y"].agg(["sum", "count"])
-    rates = {s: round(float((r["sum"] + 20 * mean) / (r["count"] + 20)), 6) for s, r in stats.sort_values("count", ascending=False).head(200).iterrows()}
+    rates = {s: round(float((r["sum"] + 20 * mean) / (r["count"] + 20)), 6) for s, r in stats.iterrows()}
     x = np.column_stack([rows[list(FEATURES)].to_numpy(float), rows["suffix"].map(rates).fillna(mean).to_numpy(float)]) if len(rows) else np.zeros((0, len(FEATURES) + 1))
     return Model(*fit(x, y), rates, round(mean, 6))
 

@@ -139,6 +139,17 @@ def test_trees_held_out_and_expression_agrees(spark):
     assert np.abs(p - [got[k].probability for k in range(800)]).max() < 1e-5
 
 
+def test_rates_of_all_suffixes_are_kept(spark):
+    rows = [(f"http://a.s{k}/{j}", k % 2) for k in range(300) for j in range(2 + k % 3)] + [("http://a.\"é\\/", 1)]
+    model = url_filter.train(spark.createDataFrame(rows, "url string, label int"))
+    assert len(model.suffixes) == 301
+    hosts = spark.createDataFrame([(f"b.{s}",) for s in [*model.suffixes, "new"]], "host string")
+    got = {r.host[2:]: r.v for r in hosts.select("host", model.suffix_rate(F.col("host")).alias("v")).collect()}
+    assert got == model.suffixes | {"new": model.other} and len(set(got.values())) > 2
+    pages = spark.createDataFrame([(k, u) for k, (u, _) in enumerate(rows)], "page_id long, url string")
+    assert url_filter.judge(pages, model, rules={}).count() == len(rows)
+
+
 def test_entropy_feature(spark):
     from collections import Counter
 
