@@ -6,8 +6,9 @@ ascending order. A component's value is the first point below the shingle's weig
 agree in a component with the probability of their multiset Jaccard similarity. Points above the largest value so far
 are never made; all texts of a batch are worked on together.
 
-Texts of equal words are one node. Nodes that share a band are compared with the centre of their bucket, on the texts;
-what that leaves apart within a bucket is compared pair by pair, but for pairs that can't be similar (see `_rest`).
+Texts of equal words are one node. Nodes that share a band are compared with the centre of their bucket, on the texts.
+Members that this leaves in several components meet where their deviations from the centre share one of their rarest
+shingles, which all similar ones do (see `_apart`), so no group is ever turned into all its pairs.
 """
 
 from __future__ import annotations
@@ -21,14 +22,16 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, table
+from .common import cut, table, unused
 from .components import components
 
 WORDS, SIMILARITY = 5, 0.8
 #: A pair of the least similarity shares no band with probability (1 - 0.8**4)**24, 3 in a million.
 BANDS, ROWS = 24, 4
-#: Bytes of text that are worked on together, and shingles that are given back together.
-BATCH_BYTES, BATCH_SHINGLES = 3 << 20, 300_000
+#: Bytes of text that are worked on together.
+BATCH_BYTES = 3 << 20
+#: Classes that sizes of deviations are told apart by, for each size of the centre; a finer scale offers more and meets less.
+STEPS = 24
 
 _WORD = re.compile(r"\w+")
 _PAD, _MUL, _GOLDEN = np.uint64(0x9AE16A3B2F90404F), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x9E3779B97F4A7C15)
@@ -69,16 +72,12 @@ def shingles(words: np.ndarray, n: int = WORDS) -> tuple[np.ndarray, np.ndarray]
     return np.unique(_mixed(acc), return_counts=True)
 
 
-def _common(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> int:
-    _, i, j = np.intersect1d(a[0], b[0], assume_unique=True, return_indices=True)
-    return int(np.minimum(a[1][i], b[1][j]).sum())
-
-
 def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
     """Multiset Jaccard; 0 if either is empty."""
     if not len(a[0]) or not len(b[0]):
         return 0.0
-    common = _common(a, b)
+    _, i, j = np.intersect1d(a[0], b[0], assume_unique=True, return_indices=True)
+    common = int(np.minimum(a[1][i], b[1][j]).sum())
     return common / (int(a[1].sum()) + int(b[1].sum()) - common)
 
 
@@ -142,145 +141,140 @@ def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             words = [word_hashes(t.as_py()) for t in part.column(1)]
             keys = [xxhash.xxh3_128_digest(w.tobytes()) if len(w) else None for w in words]
             found = bands(signatures([shingles(w) for w in words]))
-            yield pa.RecordBatch.from_arrays(
-                [part.column(0), pa.array(keys, pa.binary()), pa.array([f if k else None for f, k in zip(found, keys)], pa.list_(pa.int64()))], ["id", "key", "bands"]
-            )
+            lists = pa.array([f if k else None for f, k in zip(found, keys)], pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(keys, pa.binary()), lists, part.column(2)], ["id", "key", "bands", "th"])
     _hashes.clear()  # the worker goes on to other stages
 
 
-def _both(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """a, b and their texts ta, tb. The texts of b come last, so that equal ones follow each other."""
-    with_a = pairs.join(texts.select(F.col("id").alias("a"), F.col("t").alias("ta")), "a")
-    return with_a.join(texts.select(F.col("id").alias("b"), F.col("t").alias("tb")), "b").select("a", "b", "ta", "tb")
-
-
-def _bags(batch: pa.RecordBatch, seen: list) -> Iterator[tuple]:
-    """a, b and their shingles, row by row; seen holds the last text of b and its shingles."""
-    for x, y, tx, ty in zip(*(batch.column(i) for i in range(4))):
-        ty = ty.as_py()
-        if not seen or seen[0] != ty:
-            seen[:] = ty, shingles(word_hashes(ty))
-        yield x.as_py(), y.as_py(), shingles(word_hashes(tx.as_py())), seen[1]
-
-
-def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    seen: list = []
-    for batch in batches:
-        rows = [(x, y, int(a[1].sum()), int(b[1].sum()), _common(a, b)) for x, y, a, b in _bags(batch, seen)]
-        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (zip(*rows) if rows else [[]] * 5)], ["a", "b", "na", "nb", "common"])
-
-
-def _compared(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
-    """a, b, similar, na (shingles of a), common (of both, at most, if an id has several texts)."""
-    counted = _both(pairs, texts).mapInArrow(_counted, "a long, b long, na long, nb long, common long")
-    ok = (F.col("common") > 0) & (F.col("common") >= least * (F.col("na") + F.col("nb") - F.col("common")))
-    return counted.groupBy("a", "b").agg(F.max(ok.cast("int")).alias("similar"), F.min("na").alias("na"), F.max("common").alias("common"))
-
-
-def _outside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """For each pair (a, b) the shingles that a has more often than b."""
-    seen: list = []
-
-    def made() -> pa.RecordBatch:
-        joined = [np.concatenate(v) if v else np.zeros(0) for v in (ids, centres, items)]
-        return pa.RecordBatch.from_arrays([pa.array(joined[0].astype(np.int64)), pa.array(joined[1].astype(np.int64)), pa.array(joined[2].astype(np.uint64).view(np.int64))], ["id", "centre", "s"])
-
-    for batch in batches:
-        ids, centres, items, n = [], [], [], 0
-        for x, y, a, b in _bags(batch, seen):
-            at = np.searchsorted(b[0], a[0])
-            at[at == len(b[0])] = 0
-            more = a[0][a[1] > np.where(b[0][at] == a[0], b[1][at], 0)] if len(b[0]) else a[0]
-            items.append(more)
-            ids.append(np.full(len(more), x))
-            centres.append(np.full(len(more), y))
-            n += len(more)
-            if n > BATCH_SHINGLES:
-                yield made()
-                ids, centres, items, n = [], [], [], 0
-        yield made()
-
-
-def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        for part in _parts(b):
-            bags = [shingles(word_hashes(t.as_py())) for t in part.column(1)]
-            ids = np.repeat(part.column(0).to_numpy(), [len(x[0]) for x in bags])
-            item, count = (np.concatenate([x[i] for x in bags]) if bags else np.zeros(0, np.uint64) for i in (0, 1))
-            yield pa.RecordBatch.from_arrays([pa.array(item.view(np.int64)), pa.array(ids), pa.array(count.astype(np.int64))], ["s", "id", "c"])
-
-
-def _rest(members: DataFrame, star: DataFrame, found: DataFrame, texts: DataFrame, least: float) -> DataFrame:
-    """Pairs (a, b) that are still to be compared once `found` (id, component) holds the links to centres.
-
-    Where a bucket has several components, each member x outside the centre's is to be compared with the members y of
-    other components that have met the same centre c. Two bounds, of |x| shingles and |x & y| common ones, leave out most
-    pairs of large groups of copies and not a single similar pair, which has |x & y| >= l * (|x| + |y|), where
-    l = least / (1 + least):
-    - x and y have no more in common than the shingles of each that occur elsewhere in such buckets;
-    - |x & y| <= |x & c| + those that both have beyond c. So either they share a shingle beyond c, or y is so short that
-      |x & c| is enough, which is less than l * (|x| + |c|), as x isn't similar to c.
+def _deviating(least: float):
+    """From (a, b, ta, tb) rows (id, centre, similar, n, nc, d): whether text a is similar to its centre b, their numbers
+    of shingles, and d, the shingles that only one of the two has, those of the centre marked."""
+
+    def tokens(text: str) -> np.ndarray:
+        item, count = shingles(word_hashes(text))
+        nth = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)  # the second of two equal ones is another
+        return np.sort(_mixed(np.repeat(item, count) + nth.astype(np.uint64) * _GOLDEN))
+
+    def rows(part: pa.RecordBatch, seen: list) -> pa.RecordBatch:
+        similar, n, nc, found = [], [], [], []
+        for ta, tb in zip(part.column(2), part.column(3)):
+            tb = tb.as_py()
+            if not seen or seen[0] != tb:
+                seen[:] = tb, tokens(tb)
+            own, centre = tokens(ta.as_py()), seen[1]
+            more, less = np.setdiff1d(own, centre, True), np.setdiff1d(centre, own, True)
+            common = len(own) - len(more)
+            similar.append(common >= least * (len(own) + len(centre) - common))
+            n.append(len(own))
+            nc.append(len(centre))
+            found.append(np.concatenate([more, ~less]).view(np.int64))
+        ends = np.cumsum([0, *map(len, found)]).astype(np.int32)
+        d = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(found)))
+        return pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(similar), pa.array(n, pa.int64()), pa.array(nc, pa.int64()), d], ["id", "centre", "similar", "n", "nc", "d"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: list = []
+        for batch in batches:
+            for part in _parts(batch, 2):
+                yield rows(part, seen)
+        _hashes.clear()
+
+    return run
+
+
+def _stars(members: DataFrame, texts: DataFrame, least: float) -> DataFrame:
+    """(id, centre, similar, n, nc, d) for each member of a bucket and its centre. The centres' texts come last, so that
+    equal ones follow each other."""
+    pairs = members.where("id <> centre").select("id", "centre").distinct()
+    with_own = pairs.join(texts, "id").select("id", "centre", F.col("t").alias("ta"))
+    both = with_own.join(texts.select(F.col("id").alias("centre"), F.col("t").alias("tb")), "centre").select("id", "centre", "ta", "tb")
+    return both.mapInArrow(_deviating(least), "id long, centre long, similar boolean, n long, nc long, d array<long>")
+
+
+def _apart(star: DataFrame, found: DataFrame, least: float) -> DataFrame:
+    """Links (a, b) between members of one centre that `found` (id, component), the links to centres, leaves apart.
+
+    Two members x and y differ by exactly the shingles in which their deviations d from the centre differ. They are
+    similar if these are at most q * (|x| + |y|), q = (1 - least) / (1 + least). Of two components one isn't the
+    centre's; its x isn't similar to the centre, so d of x and y then have a shingle in common. At most
+    (q * (|x| + |y|) + |d(x)| - |d(y)|) / 2 of d(x) are missing in d(y), so the rarest so many and one of d(x) hold one
+    of the shingles in common, the rarest of all, and those of d(y) too. A member goes by its class, the size of d in
+    `STEPS` to the size of the centre, and offers for each class of partners its rarest shingles; those that no other
+    member of the centre has count, but needn't be offered. What meets is compared by the deviations, without texts.
     """
-    share = least / (1 + least)
-    c = members.join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    main = c.where("id = centre").select("k", F.col("component").alias("main"))
-    c = c.join(main, "k")
-    c = cut(c.join(c.where("component <> main").select("k").distinct(), "k", "left_semi").select("id", "component", "centre", "main").distinct())
-    each = texts.join(c.select("id").distinct(), "id", "left_semi")
-    occurring = cut(each.select("id", "t").mapInArrow(_occurrences, "s long, id long, c long"))
-    alone = occurring.groupBy("s").agg(F.count("*").alias("n"), F.min("id").alias("id"), F.sum("c").alias("c")).where("n = 1").groupBy("id").agg(F.sum("c").alias("own"))
-    sizes = occurring.groupBy("id").agg(F.sum("c").alias("n")).join(alone, "id", "left").select("id", "n", (F.col("n") - F.coalesce("own", F.lit(0))).alias("most"))
-    several = each.groupBy("id").agg(F.count("*").alias("texts")).where("texts > 1")  # no bound for ids of several texts
-    sizes = sizes.join(several, "id", "left").select("id", *(F.when(F.col("texts").isNull(), F.col(x)).alias(x) for x in ("n", "most")))
-    c = c.where("id <> centre").join(sizes.where(F.coalesce(F.col("most") >= least * F.col("n") - 1e-6, F.lit(True))), "id")
-    c = cut(c.join(star.select(F.col("a").alias("id"), F.col("b").alias("centre"), F.col("na"), F.col("common")), ["id", "centre"]))
-    left = c.where("component <> main").select("centre", F.col("id").alias("a"), F.col("component").alias("ca"), F.col("n").alias("n1"), F.col("most").alias("m1"), ((1 / share) * F.col("common") - F.col("na") + 1e-6).alias("longest"))
-    right = c.select("centre", F.col("id").alias("b"), F.col("component").alias("cb"), F.col("n").alias("n2"), F.col("most").alias("m2"), "main")
-    apart = (F.col("ca") != F.col("cb")) & ((F.col("cb") == F.col("main")) | (F.col("a") < F.col("b")))
-    enough = F.coalesce(F.least("m1", "m2") >= share * (F.col("n1") + F.col("n2")) - 1e-6, F.lit(True))
-    short = left.join(right, "centre").where(apart & enough & F.coalesce(F.col("n2") <= F.col("longest"), F.lit(True)))
-    beyond = cut(_both(c.select(F.col("id").alias("a"), F.col("centre").alias("b")), texts).mapInArrow(_outside, "id long, centre long, s long").distinct())
-    beyond = beyond.join(beyond.groupBy("centre", "s").agg(F.count("*").alias("times")).where("times > 1").select("centre", "s"), ["centre", "s"])
-    one = beyond.withColumnRenamed("id", "a").join(left, ["centre", "a"]).select("centre", "s", "a", "ca", "n1", "m1")
-    two = beyond.withColumnRenamed("id", "b").join(right, ["centre", "b"]).select("centre", "s", "b", "cb", "n2", "m2", "main")
-    sharing = one.join(two, ["centre", "s"]).where(apart & enough)
-    return short.select("a", "b").unionByName(sharing.select("a", "b")).distinct()
+    q = (1 - least) / (1 + least)
+    most = q * (1 + 1 / least)  # at most most * |x| shingles differ
+    label = lambda name, new: found.select(F.col("id").alias(name), F.col("component").alias(new))
+    c = star.join(label("id", "component"), "id", "left").join(label("centre", "main"), "centre", "left")
+    c = c.select("centre", "id", F.coalesce("component", "id").alias("component"), F.coalesce("main", "centre").alias("main"), "n", "nc", F.size("d").alias("m"), "d")
+    c = cut(c.join(c.where("component <> main").select("centre").distinct(), "centre", "left_semi"))
+    each = c.select("centre", "id", F.explode("d").alias("s"))
+    again = each.groupBy("centre", "s").agg(F.count("*").alias("times")).where("times > 1")
+    rare = each.join(again, ["centre", "s"]).groupBy("centre", "id").agg(F.array_sort(F.collect_list(F.struct("times", "s"))).alias("rare"))
+    step, far = F.lit(float(STEPS)) / F.col("nc"), F.lit(most) * F.col("n") + 1e-6
+    classes = F.sequence(F.floor(F.greatest(F.col("m") - far, F.lit(0.0)) * step), F.floor((F.col("m") + far) * step))
+    offers = c.drop("d").join(rare, ["centre", "id"]).withColumn("own", F.floor(F.col("m") * step)).withColumn("other", F.explode(classes))
+    missing = F.least(far, (far + F.col("m") - F.col("other") / step) / 2)
+    take = F.floor(missing + 1e-6).cast("int") + 1 - (F.col("m") - F.size("rare"))
+    offers = offers.where((missing >= 0) & (take > 0)).select("centre", "id", "component", "main", "n", "own", "other", F.explode(F.slice("rare", F.lit(1), take)).alias("r"))
+    offers = cut(offers.select("centre", "id", "component", "main", "n", "own", "other", F.col("r.s").alias("s")))
+    left = offers.where("component <> main").select("centre", "s", "own", "other", F.col("id").alias("a"), F.col("component").alias("ca"), F.col("n").alias("na"))
+    right = offers.select("centre", "s", F.col("other").alias("own"), F.col("own").alias("other"), F.col("id").alias("b"), F.col("component").alias("cb"), "main", F.col("n").alias("nb"))
+    met = left.join(right, ["centre", "s", "own", "other"]).where((F.col("ca") != F.col("cb")) & ((F.col("cb") == F.col("main")) | (F.col("a") < F.col("b"))))
+    met = met.where((F.least("na", "nb") >= least * F.greatest("na", "nb") - 1e-6)).select("centre", "a", "b", "na", "nb").distinct()
+    both = met.join(c.select("centre", F.col("id").alias("a"), F.col("d").alias("da")), ["centre", "a"]).join(c.select("centre", F.col("id").alias("b"), F.col("d").alias("db")), ["centre", "b"])
+    differ = F.size("da") + F.size("db") - 2 * F.size(F.array_intersect("da", "db"))
+    both = both.select("a", "b", (F.col("na") + F.col("nb")).alias("n"), ((F.col("na") + F.col("nb") - differ) / 2).alias("common"))
+    return both.where(F.col("common") >= least * (F.col("n") - F.col("common"))).select("a", "b")
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least: float = SIMILARITY) -> DataFrame:
     """A row for each row of docs: its id, class_id (least id of its class) and duplicate (it isn't the class's least).
 
-    Two texts are linked if the multisets of their five-word shingles have a Jaccard similarity of at least `least`;
-    classes are what links connect. Words are runs of letters, digits and underscores, in lower case; a text of fewer
-    than five words is one shingle; texts without words, null ones too, are linked to nothing. Rows that share an id
-    are one document, linked as such; rows without an id have no class. Other columns are ignored.
+    Two texts are linked if the multisets of their five-word shingles have a Jaccard similarity of at least `least` (more
+    than 0); classes are what links connect. Words are runs of letters, digits and underscores, in lower case; a text of
+    fewer than five words is one shingle; texts without words, null and empty ones too, are linked to nothing. Rows that
+    share an id are one document, linked as such; rows without an id (or with one that isn't a number) have no class.
+    Whole texts are read, however long. Other columns are ignored, so their names can't clash; an empty table gives none.
     """
-    d = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("t"))
-    signed = cut(d.mapInArrow(_signed, "id long, key binary, bands array<long>").where("id IS NOT NULL"))
-    nodes = cut(signed.where("key IS NOT NULL").groupBy("key").agg(F.min("id").alias("id"), F.first("bands").alias("bands")))
-    each = nodes.select("id", F.explode("bands").alias("k")).distinct()
+    d = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("t"), F.xxhash64(text).alias("th"))
+    signed = cut(d.mapInArrow(_signed, "id long, key binary, bands array<long>, th long").where("id IS NOT NULL"))
+    #: a node for each sequence of words, numbered once, in what is written
+    nodes = signed.where("key IS NOT NULL").groupBy("key").agg(F.min(F.struct("id", "th")).alias("of"), F.first("bands").alias("bands"))
+    nodes = cut(nodes.select(F.monotonically_increasing_id().alias("node"), "key", F.col("of.id").alias("id"), F.col("of.th").alias("th"), "bands"))
+    each = nodes.select(F.col("node").alias("id"), F.explode("bands").alias("k")).distinct()
     buckets = each.groupBy("k").agg(F.count("*").alias("n")).where("n > 1")
     shared = cut(each.join(buckets, "k"))
     #: the centre of a bucket is the member with the most company in all its buckets: a group's original, not an outlier
     company = shared.groupBy("id").agg(F.sum("n").alias("company"))
     centres = shared.join(company, "id").groupBy("k").agg(F.max(F.struct("company", (-F.col("id")).alias("minus"))).alias("m")).select("k", (-F.col("m.minus")).alias("centre"))
     members = cut(shared.select("k", "id").join(centres, "k"))
-    texts = cut(d.join(members.select("id").distinct(), "id", "left_semi").distinct())
-    star = cut(_compared(members.where("id <> centre").select(F.col("id").alias("a"), F.col("centre").alias("b")).distinct(), texts, least))
-    links = star.where("similar = 1").select("a", "b")
-    rest = _rest(members, star, components(links), texts, least)
-    more = cut(_compared(rest, texts, least).where("similar = 1").select("a", "b"))
-    classes = components(links.unionByName(more))
-    of_node = nodes.join(classes, "id", "left").select("key", F.coalesce("component", "id").alias("class_id"))
+    needed = nodes.select("node", "id", "th").join(members.select(F.col("id").alias("node")).distinct(), "node", "left_semi")
+    texts = cut(d.join(needed, ["id", "th"]).groupBy("node").agg(F.first("t").alias("t")).withColumnRenamed("node", "id"))
+    star = cut(_stars(members, texts, least))
+    links = star.where("similar").select(F.col("id").alias("a"), F.col("centre").alias("b"))
+    more = cut(_apart(star, components(links), least))
+    node_of = signed.where("key IS NOT NULL").select("id", "key").distinct().join(nodes.select("key", "node"), "key").select("id", "node")
+    #: several sequences of words under one id
+    same = node_of.groupBy("id").agg(F.min("node").alias("a"), F.max("node").alias("m")).where("a <> m").select("id", "a")
+    same = node_of.join(same, "id").select("a", F.col("node").alias("b"))
+    classes = cut(components(links.unionByName(more).unionByName(same)).withColumnRenamed("id", "node").join(nodes.select("node", "id"), "node").select("node", "id", "component"))
+    least_id = classes.groupBy("component").agg(F.min("id").alias("class_id"))
+    of_node = nodes.select("key", "node", "id").join(classes.join(least_id, "component").select("node", "class_id"), "node", "left").select("key", F.coalesce("class_id", "id").alias("class_id"))
     of_id = signed.join(of_node, "key", "left").groupBy("id").agg(F.min(F.coalesce("class_id", "id")).alias("class_id"))
-    out = docs.select(F.col(doc_id).alias("_doc"), F.col(doc_id).cast("long").alias("id")).join(of_id, "id", "left")
-    return out.select(F.col("_doc").alias(doc_id), "class_id", (F.col("id") != F.col("class_id")).alias("duplicate"))
+    out = docs.select(F.col(doc_id).alias("doc"), F.col(doc_id).cast("long").alias("id")).join(of_id, "id", "left")
+    return out.select(F.col("doc").alias(doc_id), "class_id", (F.col("id") != F.col("class_id")).alias("duplicate"))
 
 
 def keep_first(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least: float = SIMILARITY) -> DataFrame:
-    """The rows of docs, with all their columns, but those of documents that aren't the least of their class."""
-    later = near_duplicates(docs, doc_id, text, least).where("duplicate").select(F.col(doc_id).alias("_later")).distinct()
-    return docs.join(later, docs[doc_id] == F.col("_later"), "left_anti")
+    """The rows of docs, with all their columns, but those of documents that aren't the least of their class.
+
+    Rows without an id, and texts without words, null and empty ones too, stay; rows that repeat an id stay or go
+    together; an empty table stays empty. Columns of any name are kept.
+    """
+    later = unused(docs, "later")
+    gone = near_duplicates(docs, doc_id, text, least).where("duplicate").select(F.col(doc_id).alias(later)).distinct()
+    return docs.join(gone, F.col(doc_id) == F.col(later), "left_anti")
 
 
 def query(spark, sf_dir: str) -> DataFrame:

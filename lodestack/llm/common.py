@@ -37,6 +37,14 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """A name for a column of the operator's own that df has none of."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """body(value), with value computed once even if body uses it inside further lambdas."""
     return F.get(F.transform(F.array(value), body), F.lit(0))
