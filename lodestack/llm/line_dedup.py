@@ -2,10 +2,11 @@
 
 Every common block of enough words is a union of shortest runs: lines that follow each other and have enough words, but
 not without their first line or not without their last. Each shortest run points to the first document that has it, so
-the earliest holder of any part of a block that could be deleted alone is found, however frequent its lines are. A
+an earlier holder of any part of a block that could be deleted alone is found, however frequent its lines are. A
 document and such an earlier one are aligned by patience diff over the lines of the runs that they share; aligned common
-blocks of enough words are deleted from the later document. Only those runs are brought together, so the work stays in
-proportion to the lines.
+blocks of enough words are deleted from the later document. Shared runs that no single alignment can hold, as they stand
+in another order or more than once, go after it. Only those runs are brought together, so the work stays in proportion
+to the lines.
 """
 
 from __future__ import annotations
@@ -21,12 +22,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, let, table
+from .common import cut, let, table, unused
 
 #: Common blocks of fewer words stay.
 MIN_WORDS = 25
-#: Once the bound of lines that make pairs for alignment; all lines do now, so results are the same for any.
-RARE = 500
 #: Lines, and pairs of documents, that a Python worker turns over at once.
 LINES, PAIRS = 100_000, 100
 #: What \s stands for.
@@ -56,43 +55,61 @@ def _longest_rising(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
 def patience(a: list[int], b: list[int]) -> list[tuple[int, int]]:
     """Aligned places (i, j) with a[i] == b[j], rising in both.
 
-    Between given anchors, equal ends are matched first; then lines that both sides have once, by their longest common
-    order; where there are none, the n-th occurrence of a line is matched with the n-th on the other side.
+    Lines that both sides have once are anchors, by their longest common order; the parts between are treated likewise.
+    In parts without such lines equal ends are matched, then the n-th occurrence of a line with the n-th on the other side.
     """
     out: list[tuple[int, int]] = []
     todo = [(0, len(a), 0, len(b))]
     while todo:
         a0, a1, b0, b1 = todo.pop()
+        if a0 >= a1 or b0 >= b1:
+            continue
+        n_a, n_b = Counter(a[a0:a1]), Counter(b[b0:b1])
+        place = {b[j]: j for j in range(b0, b1)}
+        anchors = _longest_rising([(i, place[a[i]]) for i in range(a0, a1) if n_a[a[i]] == 1 and n_b.get(a[i]) == 1])
+        if anchors:
+            for (i, j), (k, m) in zip([(a0 - 1, b0 - 1), *anchors], [*anchors, (a1, b1)]):
+                todo.append((i + 1, k, j + 1, m))
+            out += anchors
+            continue
+        ends = len(out)
         while a0 < a1 and b0 < b1 and a[a0] == b[b0]:
             out.append((a0, b0))
             a0, b0 = a0 + 1, b0 + 1
         while a0 < a1 and b0 < b1 and a[a1 - 1] == b[b1 - 1]:
             a1, b1 = a1 - 1, b1 - 1
             out.append((a1, b1))
-        if a0 == a1 or b0 == b1:
-            continue
-        n_a, n_b = Counter(a[a0:a1]), Counter(b[b0:b1])
-        place = {b[j]: j for j in range(b0, b1)}
-        anchors = _longest_rising([(i, place[a[i]]) for i in range(a0, a1) if n_a[a[i]] == 1 and n_b.get(a[i]) == 1])
-        if not anchors:
-            seen: Counter = Counter()
-            nth: dict[tuple[int, int], int] = {}
-            for j in range(b0, b1):
-                seen[b[j]] += 1
-                nth[b[j], seen[b[j]]] = j
-            seen, pairs = Counter(), []
-            for i in range(a0, a1):
-                seen[a[i]] += 1
-                if (j := nth.get((a[i], seen[a[i]]))) is not None:
-                    pairs.append((i, j))
-            out += _longest_rising(pairs)
+        if len(out) > ends:  # what is left may have lines that are now alone on both sides
+            todo.append((a0, a1, b0, b1))
             continue
-        for (i, j), (k, m) in zip([(a0 - 1, b0 - 1), *anchors], [*anchors, (a1, b1)]):
-            todo.append((i + 1, k, j + 1, m))
-        out += anchors
+        seen: Counter = Counter()
+        nth: dict[tuple[int, int], int] = {}
+        for j in range(b0, b1):
+            seen[b[j]] += 1
+            nth[b[j], seen[b[j]]] = j
+        seen, pairs = Counter(), []
+        for i in range(a0, a1):
+            seen[a[i]] += 1
+            if (j := nth.get((a[i], seen[a[i]]))) is not None:
+                pairs.append((i, j))
+        out += _longest_rising(pairs)
     return sorted(out)
 
 
+def repeated_lines(runs: list[tuple[bytes, list[int], list[int]]], min_words: int) -> list[int]:
+    """Places, in a document, of the lines to delete, from the runs that it shares with an earlier one: lines (of each
+    its hash and words), places of the run there, and here."""
+
+    def places(which: int) -> list[tuple[int, int, int]]:
+        return sorted({(at + j, *line) for run in runs for j, line in enumerate(struct.iter_unpack("<qi", run[0])) for at in run[which]})
+
+    gone = set(common_blocks([x[:2] for x in places(1)], places(2), min_words))
+    for lines, _, here in runs:  # common blocks by themselves, which an alignment in order may have left
+        for at in here:
+            gone.update(range(at, at + len(lines) // 12))
+    return sorted(gone)
+
+
 def common_blocks(a: list[tuple[int, int]], b: list[tuple[int, int, int]], min_words: int) -> list[int]:
     """Places in b of the lines of aligned blocks of enough words. a: (place, hash); b: (place, hash, words); places
     count all lines with words, so that a line between two shared ones ends a block."""
@@ -163,36 +180,29 @@ def _shortest(min_words: int):
 
 
 def _aligned(min_words: int):
-    def places(runs: list[tuple[bytes, list[int]]]) -> list[tuple[int, int, int]]:
-        return sorted({(at + j, *line) for lines, starts in runs for j, line in enumerate(struct.iter_unpack("<qi", lines)) for at in starts})
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
             for k in range(0, batch.num_rows, PAIRS):
-                for doc, th, runs in zip(*(c.to_pylist() for c in batch.slice(k, PAIRS).columns)):
-                    theirs, own = (places([(r["lines"], r[at]) for r in runs]) for at in ("fat", "at"))
-                    if found := common_blocks([x[:2] for x in theirs], own, min_words):
-                        rows.append((doc, th, found))
-            doc, th, found = zip(*rows) if rows else ([], [], [])
-            yield pa.RecordBatch.from_arrays([pa.array(doc, pa.int64()), pa.array(th, pa.int64()), pa.array(found, pa.list_(pa.int32()))], ["id", "th", "drop"])
+                part = batch.slice(k, PAIRS)
+                found = [repeated_lines([(r["lines"], r["fat"], r["at"]) for r in runs.as_py()], min_words) for runs in part.column(2)]
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(found, pa.list_(pa.int32()))], ["id", "th", "drop"])
 
     return run
 
 
-def _filled(text: Column) -> Column:
-    """Lines that have a word, with their place in the text."""
-    return F.filter(F.transform(F.split(text, "\n"), lambda x, i: F.struct(i.alias("i"), F.trim(x, F.lit(WHITE)).alias("x"))), lambda y: F.length(y["x"]) > 0)
+def _parts(text: Column) -> Column:
+    return F.split(text, "\n", -1)
 
 
-def _of_block(sets: Column) -> Column:
-    return F.array_distinct(F.flatten(sets))
+def _filled(parts: Column) -> Column:
+    """Lines that have a word, with their place among `parts`."""
+    return F.filter(F.transform(parts, lambda x, i: F.struct(i.alias("i"), F.trim(x, F.lit(WHITE)).alias("x"))), lambda y: F.length(y["x"]) > 0)
 
 
 def dropped_lines(docs: DataFrame, doc_id: str, text: str, min_words: int) -> DataFrame:
     """id, th (hash of the text), drop (places, among lines with a word, of those to delete)."""
     d = docs.select(F.col(doc_id).cast("long").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("t")).where("id IS NOT NULL")
-    hashed = F.transform(_filled(F.col("t")), lambda l: F.struct(F.xxhash64(l["x"]).alias("h"), F.xxhash64(F.lit(1), l["x"]).alias("h2"), F.size(F.split(l["x"], r"\s+")).alias("w")))
+    hashed = F.transform(_filled(_parts(F.col("t"))), lambda l: F.struct(F.xxhash64(l["x"]).alias("h"), F.xxhash64(F.lit(1), l["x"]).alias("h2"), F.size(F.split(l["x"], r"\s+")).alias("w")))
     runs = d.select("id", F.xxhash64("t").alias("th"), hashed.alias("l")).mapInArrow(_shortest(min_words), _RUNS)
     shared = runs.groupBy("k1", "k2").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first <> last").select("k1", "k2", "first")
     shared = cut(shared)  # written, so that the join has an exchange of its own, whose hot keys Spark can split
@@ -202,46 +212,73 @@ def dropped_lines(docs: DataFrame, doc_id: str, text: str, min_words: int) -> Da
     holders = cut(holders)
     pairs = own.where("id > first").join(holders, ["k1", "k2"]).groupBy("id", "th", "first", "fth").agg(F.collect_set(F.struct("lines", "at", "fat")).alias("runs"))
     drops = pairs.select("id", "th", "runs").mapInArrow(_aligned(min_words), "id long, th long, drop array<int>")
-    return drops.groupBy("id", "th").agg(_of_block(F.collect_list("drop")).alias("drop"))
+    return drops.groupBy("id", "th").agg(F.array_distinct(F.flatten(F.collect_list("drop"))).alias("drop"))
 
 
-def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS, rare: int = RARE) -> DataFrame:
+def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
     """docs with the repeated blocks deleted from `text`, and three more columns: _lines (lines with a word), _dropped
-    (those deleted), _emptied (all were).
+    (those deleted), _emptied (all were). Where docs has such a column, the new one has a further underscore in front.
 
     Lines are parts between \\n, compared without white space (\\s, \\r included) around; lines without a word are
-    never compared and stay.
-    "Later" goes by the id. A block of at least `min_words` words is deleted if an earlier document has its lines too,
-    in the same order without lines between; of blocks that an earlier document has in another order, those go that its
-    alignment keeps in order. Repeats inside one document stay. Rows that share an id are one document and don't delete
-    from each other; repeated rows are treated alike; rows without an id and null texts come back as they are. Extra
-    columns are kept. `rare` is taken for callers that give it and changes nothing: frequent lines are treated like others.
+    never compared and stay. "Later" goes by the id. Every line goes that stands in a block of at least `min_words` words
+    that an earlier document has too, in the same order without lines between. Repeats inside one document stay. Rows
+    that share an id are one document and don't delete from each other; repeated rows are treated alike; rows without an
+    id, null and empty texts come back as they are; whole texts are read. Extra columns of any name are kept; an empty
+    table stays empty.
     """
-    drops = dropped_lines(docs, doc_id, text, min_words).select(F.col("id").alias("_id"), F.col("th").alias("_th"), F.col("drop").alias("_drop"))
-    joined = docs.withColumn("_key", F.xxhash64(F.coalesce(F.col(text), F.lit("")))).join(drops, (F.col(doc_id).cast("long") == F.col("_id")) & (F.col("_key") == F.col("_th")), "left")
-    gone = let(_filled(F.col(text)), lambda filled: F.transform("_drop", lambda o: F.get(filled, o)["i"]))
-    kept = let(
-        F.split(F.col(text), "\n"),
-        lambda parts: F.array_join(F.transform(F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), gone), lambda i: F.get(parts, i)), "\n"),
-    )
-    lines, dropped = F.size(_filled(F.coalesce(F.col(text), F.lit("")))), F.coalesce(F.size("_drop"), F.lit(0))
-    new = F.when(F.col("_drop").isNull(), F.col(text)).when(dropped >= lines, F.lit("")).otherwise(kept)
+    own = {name: unused(docs, name) for name in ("id", "th", "drop", "done", "_lines", "_dropped", "_emptied")}
+    drops = dropped_lines(docs, doc_id, text, min_words).select(*(F.col(x).alias(own[x]) for x in ("id", "th", "drop")))
+    key = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
+    joined = docs.join(drops, (F.col(doc_id).cast("long") == F.col(own["id"])) & (key == F.col(own["th"])), "left")
+
+    def done(parts: Column, filled: Column) -> Column:
+        lines, drop = F.size(filled), F.col(own["drop"])
+        gone = F.transform(drop, lambda o: F.get(filled, o)["i"])
+        kept = F.array_join(F.transform(F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), gone), lambda i: F.get(parts, i)), "\n")
+        dropped = F.coalesce(F.size(drop), F.lit(0))
+        emptied = (dropped > 0) & (dropped >= lines)
+        new = F.when(drop.isNull(), F.col(text)).when(emptied, F.lit("")).otherwise(kept)
+        return F.struct(new.alias("text"), lines.alias("_lines"), dropped.alias("_dropped"), emptied.alias("_emptied"))
+
+    #: one pass over the text for all four
+    once = let(_parts(F.coalesce(F.col(text), F.lit(""))), lambda parts: let(_filled(parts), lambda filled: done(parts, filled)))
+    joined = joined.withColumn(own["done"], once)
     return joined.select(
-        *(new.alias(c) if c == text else F.col(c) for c in docs.columns),
-        lines.alias("_lines"),
-        F.greatest(dropped, F.lit(0)).alias("_dropped"),
-        ((F.greatest(dropped, F.lit(0)) > 0) & (dropped >= lines)).alias("_emptied"),
+        *(F.col(own["done"])["text"].alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns),
+        *(F.col(own["done"])[x].alias(own[x]) for x in ("_lines", "_dropped", "_emptied")),
     )
 
 
-def deduplicated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n_chars: str = "n_chars", min_words: int = MIN_WORDS, rare: int = RARE) -> DataFrame:
+def deduplicated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n_chars: str = "n_chars", min_words: int = MIN_WORDS) -> DataFrame:
     """The columns of docs after dedup_lines(): rows that lost all their lines are gone, and n_chars, if docs has it, is
-    the new length where lines were deleted."""
-    d = dedup_lines(docs, doc_id, text, min_words, rare).where("NOT _emptied")
-    length = F.when(F.col("_dropped") > 0, F.length(text)).otherwise(F.col(n_chars)) if n_chars in docs.columns else None
-    return d.select(*(length.cast(docs.schema[c].dataType).alias(c) if c == n_chars else c for c in docs.columns))
+    the new length where lines were deleted. Nulls, repeats, empty tables and extra columns are as there: rows without an
+    id or a text stay as they are."""
+    d = dedup_lines(docs, doc_id, text, min_words)
+    dropped, emptied = (F.col(f"`{c}`") for c in d.columns[-2:])
+    length = F.when(dropped > 0, F.length(text)).otherwise(F.col(n_chars)) if n_chars in docs.columns else None
+    return d.where(~emptied).select(*(length.cast(docs.schema[c].dataType).alias(c) if c == n_chars else F.col(f"`{c}`") for c in docs.columns))
 
 
 def query(spark, sf_dir: str) -> DataFrame:
     r = dedup_lines(table(spark, sf_dir, "documents"))
     return r.select("doc_id", F.col("_lines").cast("long").alias("n_lines"), F.col("_dropped").cast("long").alias("n_dropped"), F.sha2("text", 256).alias("text_sha256"))
+
+
+#: Brute force: every shortest run of every document with its text; lines of those that an earlier document has go.
+SQL = r"""
+WITH p AS (SELECT doc_id, text, string_split(text, chr(10)) AS parts FROM documents),
+l AS (SELECT doc_id, i, trim(parts[i], ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS x FROM (SELECT doc_id, parts, unnest(range(1, len(parts) + 1)) AS i FROM p)),
+f AS (SELECT doc_id, i, x, row_number() OVER w AS o, sum(len(string_split_regex(x, '[ 	
+]+'))) OVER w AS upto, len(string_split_regex(x, '[ 	
+]+')) AS n
+  FROM l WHERE x <> '' WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+w AS (SELECT a.doc_id, a.o AS s, min(b.o) AS e FROM f a JOIN f b ON a.doc_id = b.doc_id AND b.o >= a.o AND b.upto - a.upto + a.n >= 25 GROUP BY ALL
+  UNION SELECT b.doc_id, max(a.o), b.o FROM f a JOIN f b ON a.doc_id = b.doc_id AND b.o >= a.o AND b.upto - a.upto + a.n >= 25 GROUP BY ALL),
+r AS (SELECT w.doc_id, s, e, string_agg(x, chr(10) ORDER BY o) AS run FROM w JOIN f ON f.doc_id = w.doc_id AND o BETWEEN s AND e GROUP BY ALL),
+g AS (SELECT DISTINCT f.doc_id, f.i FROM (SELECT *, min(doc_id) OVER (PARTITION BY run) AS first FROM r) r JOIN f ON f.doc_id = r.doc_id AND f.o BETWEEN s AND e WHERE first < r.doc_id),
+n AS (SELECT doc_id, (SELECT count(*) FROM f WHERE f.doc_id = p.doc_id) AS n_lines, (SELECT count(*) FROM g WHERE g.doc_id = p.doc_id) AS n_dropped, text, parts FROM p),
+k AS (SELECT doc_id, string_agg(y, chr(10) ORDER BY i) AS kept FROM (SELECT doc_id, i, parts[i] AS y FROM (SELECT doc_id, parts, unnest(range(1, len(parts) + 1)) AS i FROM p))
+  ANTI JOIN g USING (doc_id, i) GROUP BY doc_id)
+SELECT doc_id, n_lines, n_dropped, sha256(CASE WHEN n_dropped = 0 THEN text WHEN n_dropped >= n_lines THEN '' ELSE coalesce(kept, '') END) AS text_sha256
+FROM n LEFT JOIN k USING (doc_id)
+"""

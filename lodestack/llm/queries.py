@@ -18,6 +18,7 @@ QUERIES = {
 }
 ORACLES = {
     "op1_decontaminate": decontaminate.SQL,
+    "op2_line_dedup": line_dedup.SQL,
     "op6_chat_format": chat.SQL,
     "op7_warc": warc.SQL,
     "op8_near_duplicates": bagminhash.SQL,
