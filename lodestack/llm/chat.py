@@ -3,8 +3,9 @@
 A message may hold calls, `<tool_call>{"id":, "name":, "arguments":}</tool_call>`, results, `<tool_result>{"id":,
 "content":}</tool_result>`, and, to declare tools, `<tools>[{"name":, "parameters": schema}]</tools>`. Calls and results
 are hash-joined by conversation and identifier. A call depends on the calls that its arguments name by
-`{"$result": id}`; depths grow round by round along these links. Messages come out as a row each, never gathered by
-conversation, so that one huge conversation is spread like any other rows.
+`{"$result": id}`; depths come from contracting these links, so that a chain takes rounds by the logarithm of its
+length. Messages come out as a row each, never gathered by conversation, so that one huge conversation is spread like any
+other rows.
 """
 
 from __future__ import annotations
@@ -37,14 +38,28 @@ def canonical(value) -> str:
     return json.dumps(plain(value), ensure_ascii=False, sort_keys=True, separators=(",", ":"), allow_nan=False)
 
 
+#: What values and schemas of any kind can raise.
+_BAD = (ArithmeticError, AttributeError, LookupError, RecursionError, TypeError, ValueError, re.error)
+#: Levels that may be put around a value.
+_AROUND = 24
+
+
 def _loaded(text: str):
+    """The value of a JSON text; None if it isn't JSON that can be written again: infinite numbers, halves of surrogate
+    pairs, and nesting beyond what the interpreter takes are refused."""
+
     def refuse(name: str):
         raise ValueError(name)
 
     try:
-        return json.loads(text, parse_constant=refuse)
-    except (ValueError, RecursionError):
+        value = wrapped = json.loads(text, parse_constant=refuse)
+        for _ in range(_AROUND):
+            wrapped = [wrapped]
+        canonical(wrapped).encode()
+        references(wrapped)
+    except _BAD:
         return None
+    return value
 
 
 def references(value) -> set[str]:
@@ -60,7 +75,7 @@ _TYPES = {"object": dict, "array": list, "string": str, "boolean": bool, "null":
 
 def _is(value, kind: str) -> bool:
     if kind in ("number", "integer"):
-        return isinstance(value, (int, float)) and not isinstance(value, bool) and (kind == "number" or float(value).is_integer())
+        return isinstance(value, (int, float)) and not isinstance(value, bool) and (kind == "number" or isinstance(value, int) or value.is_integer())
     return isinstance(value, _TYPES[kind]) if kind in _TYPES else True
 
 
@@ -173,6 +188,14 @@ def problems(value, schema, path: str = "$", root=None, trail: frozenset = froze
 _PARTS = "conv string, turn long, th long, pos int, kind string, call string, name string, body string, needs array<string>"
 
 
+def checked(value, schema) -> list[str]:
+    """problems(), or one that says that the schema can't be applied, if it isn't a valid one."""
+    try:
+        return problems(value, schema)
+    except _BAD as e:
+        return [f"$: the schema can't be applied: {type(e).__name__}"]
+
+
 def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = [x.split()[0] for x in _PARTS.split(", ")]
     types = [pa.string(), pa.int64(), pa.int64(), pa.int32(), *[pa.string()] * 4, pa.list_(pa.string())]
@@ -203,19 +226,32 @@ def _first(rows: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
 
 def depths(calls: DataFrame) -> DataFrame:
     """(conv, call, depth): 0 without dependencies, else one more than the deepest of them; null in and behind cycles.
-    Dependencies on unknown calls don't count. calls: (conv, call, needs)."""
-    needs = calls.select("conv", "call", F.explode("needs").alias("need"))
-    needs = needs.join(calls.select("conv", F.col("call").alias("need")), ["conv", "need"])
-    done = cut(calls.select("conv", "call").join(needs.select("conv", "call"), ["conv", "call"], "left_anti").withColumn("depth", F.lit(0)))
-    needs = cut(needs)
-    while not needs.isEmpty():
-        of_needs = needs.join(done.select("conv", F.col("call").alias("need"), "depth"), ["conv", "need"], "left")
-        ready = cut(of_needs.groupBy("conv", "call").agg(F.max("depth").alias("d"), F.count("*").alias("n"), F.count("depth").alias("k")).where("n = k").select("conv", "call", (F.col("d") + 1).alias("depth")))
-        if ready.isEmpty():
-            break
-        done = cut(done.unionByName(ready))
-        needs = cut(needs.join(ready, ["conv", "call"], "left_anti"))
-    return calls.select("conv", "call").join(done, ["conv", "call"], "left")
+    Dependencies on unknown calls don't count. calls: (conv, call, needs).
+
+    A call has a least depth a, so far, and open links (need, b): it is at least b deeper than what it needs. In a round
+    all links are followed: a link to a call without open ones is settled; one to a call with a single open link is
+    replaced by that one, as long as both. A chain of n calls is settled in log2(n) rounds, and so are trees. A link
+    that is longer than there are calls has gone round a cycle.
+    """
+    most = calls.count()
+    node = ["conv", "call"]
+    links = calls.select("conv", "call", F.explode("needs").alias("need")).distinct()
+    links = links.join(calls.select("conv", F.col("call").alias("need")), ["conv", "need"])
+    links = links.groupBy(*node).agg(F.collect_list(F.struct("need", F.lit(1).cast("long").alias("b"))).alias("links"))
+    nodes = cut(calls.select(*node).join(links, node, "left").select(*node, F.lit(0).cast("long").alias("a"), F.coalesce("links", F.array().cast("array<struct<need:string,b:bigint>>")).alias("links"), F.lit(False).alias("round")))
+    is_open = (F.size("links") > 0) & ~F.col("round")
+    while not nodes.where(is_open).isEmpty():
+        each = nodes.where(is_open).select(*node, "a", F.inline("links"))
+        then = nodes.select("conv", F.col("call").alias("need"), F.col("a").alias("a2"), F.col("links").alias("links2"), F.col("round").alias("round2"))
+        further = F.when(F.size("links2") == 1, F.struct(F.get("links2", F.lit(0))["need"].alias("need"), (F.col("b") + F.get("links2", F.lit(0))["b"]).alias("b"))).when(
+            F.size("links2") > 1, F.struct("need", "b")
+        )
+        met = each.join(then, ["conv", "need"]).select(*node, F.greatest("a", F.col("b") + F.col("a2")).alias("a"), "round2", further.alias("to")).repartition(*node)
+        merged = met.groupBy(*node, F.col("to.need").alias("need")).agg(F.max("a").alias("a"), F.max("to.b").alias("b"), F.max("round2").alias("round"))
+        left = F.collect_list(F.when(F.col("need").isNotNull(), F.struct("need", "b")))
+        new = merged.groupBy(*node).agg(F.max("a").alias("a"), left.alias("links"), (F.max("round") | F.coalesce(F.max("b") > most, F.lit(False))).alias("round"))
+        nodes = cut(nodes.where(~is_open).unionByName(new))
+    return nodes.select(*node, F.when(~F.col("round"), F.col("a")).alias("depth"))
 
 
 def _checked(defaults: dict):
@@ -225,7 +261,7 @@ def _checked(defaults: dict):
             out = []
             for name, body, schema in zip(names, bodies, schemas):
                 rule = json.loads(schema) if schema is not None else defaults.get(name)
-                out.append(["unknown tool"] if rule is None else problems(json.loads(body), rule))
+                out.append(["unknown tool"] if rule is None else checked(json.loads(body), rule))
             yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(4)), pa.array(out, pa.list_(pa.string()))], ["conv", "turn", "th", "pos", "problems"])
 
     return run
@@ -262,13 +298,15 @@ def _written(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def format_messages(chats: DataFrame, conv_id: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text", schemas: dict | None = None) -> DataFrame:
     """A row for each row of chats: its conv_id and turn, n_calls, n_linked (calls with a result), n_invalid (calls with
-    problems, and tags that hold no JSON object with an id), json: the message in canonical form, its calls in
+    problems, and tags that hold no JSON object with an id), depth (of its deepest call, else null), json: the message in canonical form, its calls in
     topological order, then by place, with depth, problems and result.
 
     Nulls in any column are null in the JSON. Empty texts have no calls; rows without a conversation or turn are
     formatted but not searched for calls. Of several calls or results of one identifier the first counts, later calls
     are marked as duplicates; a result before its call isn't linked. Calls in and behind cycles have no depth and come
-    last. Rows that repeat each other are formatted alike and counted once as calls. Extra columns are ignored.
+    last. Rows that repeat each other are formatted alike and counted once as calls. A tag whose content can't be read,
+    or not be written again, is broken, and a schema that can't be applied is a problem of the calls that it is for, so
+    no message stops the job. Texts are read whole; an empty table gives none; extra columns are ignored.
     """
     c = chats.select(F.col(conv_id).alias("_conv"), F.col(turn).cast("long").alias("turn"), F.col(role).cast("string").alias("role"), F.col(text).alias("text"))
     c = c.withColumns({"conv": F.col("_conv").cast("string"), "th": F.xxhash64("role", "text")})
@@ -283,11 +321,12 @@ def format_messages(chats: DataFrame, conv_id: str = "conv_id", turn: str = "tur
         F.greatest(number(lambda x: F.lit(True)), F.lit(0)).alias("n_calls"),
         F.greatest(number(lambda x: x["result"].isNotNull()), F.lit(0)).alias("n_linked"),
         (F.greatest(number(lambda x: F.size(x["problems"]) > 0), F.lit(0)) + F.coalesce("broken", F.lit(0))).alias("n_invalid"),
+        F.array_max(F.transform("calls", lambda x: x["depth"])).alias("depth"),
     )
     kind = dict(chats.dtypes)[conv_id]
     out = full.select(F.col("_conv").alias("c0"), "turn", "role", "text", "calls", F.col("_conv").alias("conv"), F.col("turn").alias("t2"), counted.alias("n"))
-    out = out.mapInArrow(_written, f"conv {kind}, turn long, calls struct<n_calls:int,n_linked:int,n_invalid:bigint>, json string")
-    return out.select(F.col("conv").alias(conv_id), F.col("turn").alias(turn), *(F.col(f"calls.{x}").cast("long").alias(x) for x in ("n_calls", "n_linked", "n_invalid")), "json")
+    out = out.mapInArrow(_written, f"conv {kind}, turn long, calls struct<n_calls:int,n_linked:int,n_invalid:bigint,depth:bigint>, json string")
+    return out.select(F.col("conv").alias(conv_id), F.col("turn").alias(turn), *(F.col(f"calls.{x}").cast("long").alias(x) for x in ("n_calls", "n_linked", "n_invalid", "depth")), "json")
 
 
 def digest(json_text: Column) -> Column:
@@ -299,15 +338,45 @@ def write_jsonl(messages: DataFrame, path: str, conv_id: str = "conv_id", turn:
     messages.repartitionByRange(conv_id, turn).sortWithinPartitions(conv_id, turn).select("json").write.text(path)
 
 
+#: Tools that with_calls() calls.
+TOOLS = {
+    "measure": {"type": "object", "required": ["chars"], "properties": {"chars": {"type": "integer", "maximum": 1500}}, "additionalProperties": False},
+    "follow": {"type": "object", "required": ["last", "size"], "properties": {"size": {"type": "integer"}}},
+}
+
+
+def with_calls(chats: DataFrame) -> DataFrame:
+    """conversations with calls by a fixed rule, as the tables have none: each assistant turn calls `measure` with the
+    length of its text, and before it, in the text, `follow`, which names that call and the one of the turn before the
+    last; a user turn gives its own length as the result of the `measure` of the turn before."""
+    turn = lambda by: (F.col("turn") - by).cast("string")
+    text = F.coalesce("text", F.lit(""))
+    chars = F.length(text).cast("string")
+    follow = F.concat(F.lit('<tool_call>{"id":"b'), turn(0), F.lit('","name":"follow","arguments":{"size":{"$result":"a'), turn(0), F.lit('"},"last":{"$result":"b'), turn(2), F.lit('"}}}</tool_call>'))
+    measure = F.concat(F.lit('<tool_call>{"id":"a'), turn(0), F.lit('","name":"measure","arguments":{"chars":'), chars, F.lit("}}</tool_call>"))
+    result = F.concat(F.lit('<tool_result>{"id":"a'), turn(1), F.lit('","content":'), chars, F.lit("}</tool_result>"))
+    said = F.when(F.col("role") == "assistant", F.concat(text, follow, measure)).when(F.col("role") == "user", F.concat(text, result)).otherwise(F.col("text"))
+    return chats.withColumn("text", said)
+
+
 def query(spark, sf_dir: str) -> DataFrame:
-    r = format_messages(table(spark, sf_dir, "conversations"))
-    return r.select("conv_id", "turn", "n_calls", "n_linked", "n_invalid", digest(F.col("json")).alias("json_sha256"))
+    r = format_messages(with_calls(table(spark, sf_dir, "conversations")), schemas=TOOLS)
+    return r.select("conv_id", "turn", "n_calls", "n_linked", "n_invalid", "depth", digest(F.col("json")).alias("json_sha256"))
 
 
-#: The conversations of the tables hold no calls; the JSON of a plain message is within reach of SQL.
 SQL = r"""
-SELECT conv_id, turn, CAST(0 AS BIGINT) AS n_calls, CAST(0 AS BIGINT) AS n_linked, CAST(0 AS BIGINT) AS n_invalid,
-  sha256('{"content":' || coalesce(CAST(to_json(text) AS VARCHAR), 'null') || ',"conversation":' || coalesce(CAST(conv_id AS VARCHAR), 'null')
-    || ',"role":' || coalesce(CAST(to_json(role) AS VARCHAR), 'null') || ',"turn":' || coalesce(CAST(turn AS VARCHAR), 'null') || '}') AS json_sha256
-FROM conversations
+WITH c AS (SELECT conv_id, turn, role, text, length(coalesce(text, '')) AS chars, role = 'assistant' AS calls FROM conversations),
+i AS (SELECT conv_id, turn, turn - 2 * row_number() OVER (PARTITION BY conv_id, turn % 2 ORDER BY turn) AS run FROM c WHERE calls),
+b AS (SELECT conv_id, turn, row_number() OVER (PARTITION BY conv_id, turn % 2, run ORDER BY turn) AS depth FROM i),
+m AS (SELECT c.conv_id, c.turn, c.role, c.calls, c.chars, b.depth, u.chars AS result,
+  CASE WHEN c.role = 'user' THEN coalesce(c.text, '') || '<tool_result>{"id":"a' || (c.turn - 1) || '","content":' || c.chars || '}</tool_result>' WHEN c.calls THEN coalesce(c.text, '') ELSE c.text END AS said
+  FROM c LEFT JOIN b USING (conv_id, turn) LEFT JOIN c u ON u.conv_id = c.conv_id AND u.turn = c.turn + 1 AND u.role = 'user')
+SELECT conv_id, turn, CAST(CASE WHEN calls THEN 2 ELSE 0 END AS BIGINT) AS n_calls, CAST(CASE WHEN calls AND result IS NOT NULL THEN 1 ELSE 0 END AS BIGINT) AS n_linked,
+  CAST(CASE WHEN calls AND chars > 1500 THEN 1 ELSE 0 END AS BIGINT) AS n_invalid, CAST(depth AS BIGINT) AS depth,
+  sha256('{"content":' || coalesce(CAST(to_json(said) AS VARCHAR), 'null') || ',"conversation":' || coalesce(CAST(conv_id AS VARCHAR), 'null') || ',"role":' || coalesce(CAST(to_json(role) AS VARCHAR), 'null')
+    || CASE WHEN calls THEN ',"tool_calls":[{"arguments":{"chars":' || chars || '},"depth":0,"duplicate":false,"id":"a' || turn || '","name":"measure","problems":['
+      || CASE WHEN chars > 1500 THEN '"$.chars: above maximum"' ELSE '' END || ']' || CASE WHEN result IS NOT NULL THEN ',"result":' || result ELSE '' END
+      || '},{"arguments":{"last":{"$result":"b' || (turn - 2) || '"},"size":{"$result":"a' || turn || '"}},"depth":' || depth || ',"duplicate":false,"id":"b' || turn || '","name":"follow","problems":[]}]' ELSE '' END
+    || ',"turn":' || coalesce(CAST(turn AS VARCHAR), 'null') || '}') AS json_sha256
+FROM m
 """

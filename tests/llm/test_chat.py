@@ -125,3 +125,37 @@ def test_files_split_the_range(spark, tmp_path):
     rows = [(1, k, "user", f"t{k}") for k in range(50)] + [(2, 0, "user", "x")]
     c.write_jsonl(c.format_messages(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")), str(tmp_path / "out"))
     assert spark.read.json(str(tmp_path / "out")).count() == 51
+
+
+def test_depths_of_any_links(spark):
+    """Chains, trees, shared needs and cycles against the definition."""
+    rng = __import__("random").Random(3)
+    needs = {f"c{k}": [f"c{k - 1}"] * (k > 0) for k in range(200)}
+    needs |= {f"d{k}": sorted({f"d{rng.randrange(k)}" for _ in range(rng.randrange(4))}) if k else [] for k in range(60)}
+    needs |= {"x": ["y"], "y": ["z"], "z": ["x"], "w": ["z", "c3"], "s": ["s"], "t": ["s"], "u": ["gone"], "v": ["u", "c150"]}
+    known: dict[str, int] = {}
+    while True:
+        ready = {k: max((known[n] + 1 for n in v if n in needs), default=0) for k, v in needs.items() if k not in known and all(n in known for n in v if n in needs)}
+        if not ready:
+            break
+        known |= ready
+    calls = spark.createDataFrame([("1", k, v) for k, v in needs.items()], "conv string, call string, needs array<string>")
+    assert {r.call: r.depth for r in c.depths(calls).collect()} == {k: known.get(k) for k in needs}
+
+
+def test_messages_and_schemas_of_any_kind(spark):
+    odd = ['{"id":1,"arguments":{"x":1e999}}', '{"id":"\\ud800"}', '{"id":2,"arguments":{"a":"\\udc00"}}', '{"id":3,"arguments":' + "[" * 3000 + "]" * 3000 + "}", '{"id":4,"arguments":NaN}']
+    text = "".join(f"<tool_call>{x}</tool_call>" for x in odd)
+    assert got(spark, [(1, 0, "assistant", text)])[1, 0][:3] == (0, 0, 5)
+    bad = [{"pattern": "("}, {"properties": {"a": {"minimum": "x"}}}, {"properties": []}, {"required": 5}, {"properties": {"a": {"type": "integer", "multipleOf": 1e-320}}}]
+    big = "<tool_call>" + json.dumps({"id": "n", "name": "t0", "arguments": {"a": 10**400}}) + "</tool_call>"
+    rows = [(1, 0, "assistant", "".join(call(f"i{k}", f"t{k}", a="s" if k == 0 else 1) for k in range(len(bad))) + big)]
+    n, _, invalid, m = got(spark, rows, schemas={f"t{k}": v for k, v in enumerate(bad)})[1, 0]
+    assert n == 6 and len(m["tool_calls"]) == 6 and c.problems(10**400, {"type": "integer"}) == []
+    assert c.checked("s", {"pattern": "("}) == ["$: the schema can't be applied: PatternError"] and invalid == 2
+
+
+def test_calls_of_the_query(spark):
+    rows = [(1, 0, "user", "q"), (1, 1, "assistant", "x" * 1501), (1, 2, "user", "abc"), (1, 3, "assistant", "é"), (1, 4, "system", None), (1, 7, "assistant", "")]
+    r = c.format_messages(c.with_calls(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")), schemas=c.TOOLS)
+    assert sorted((x.turn, x.n_calls, x.n_linked, x.n_invalid, x.depth) for x in r.collect()) == [(0, 0, 0, 0, None), (1, 2, 1, 1, 1), (2, 0, 0, 0, None), (3, 2, 0, 0, 2), (4, 0, 0, 0, None), (7, 2, 0, 0, 1)]
