@@ -8,20 +8,18 @@ extended word by word to both sides, so that hash collisions cost time but never
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, let, table
+from .common import ascii_lower, let, table, unused
 
 #: Everything that separates words: the ASCII characters but digits and (lower-case) letters.
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WINDOW, K = 13, 5
 #: Low bits of a packed fingerprint that hold its position; no text can have more words.
 POSITION = (1 << 30) - 1
-#: Bytes of benchmark fingerprints that one broadcast may hold; more are looked up in several blocks.
-BLOCK_BYTES = 32 << 20
+#: Bytes of benchmark fingerprints that are broadcast at most; more are joined by a shuffle.
+BROADCAST_BYTES = 32 << 20
 #: Up to so many benchmark fingerprints stand in the plan as a set, before documents' fingerprints become rows.
 SET_MAX = 50_000
 
@@ -81,20 +79,23 @@ def decontaminate(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", tex
     """A row for each row of docs: its id, n_words, n_hit, items (ids of items with a window in the text, as sorted
     strings), spans (struct<s,e>, word positions of verified matches, ends included).
 
-    Null and empty texts have no words. Items without words match nothing; items without an id mark words but are not
-    listed. Repeated document rows give a row each; repeated items count once. Other columns are ignored. An empty
-    benchmark hits nothing.
+    Null and empty texts have no words; long ones are read whole. Items without words match nothing; items without an id
+    mark words but are not listed. Repeated document rows give a row each, rows without an id or with the same one go by
+    their texts; repeated items count once. Other columns are ignored, so their names can't clash. An empty benchmark
+    hits nothing, an empty table gives no rows.
 
-    The benchmark is the query set: its fingerprints are broadcast, in blocks of at most BLOCK_BYTES, so no document
-    text is shuffled; only one small row for each document and each hit is.
+    The benchmark is the query set: up to BROADCAST_BYTES its fingerprints are broadcast, so no document text is
+    shuffled, only one small row for each document and each hit. Beyond that both sides are shuffled by fingerprint,
+    those of the documents once, with the words around. Rows are told apart by id and text, not by a running number, so
+    that a task that runs again deals them alike.
     """
     bench = benchmark_fingerprints(items, item_id, item_text, window, k)
     size = bench.agg(
         F.sum(F.lit(64) + F.octet_length(F.array_join("around", " ")) + 24 * F.size("around") + F.octet_length(F.array_join("items", " ")) + 24 * F.size("items")).alias("b"),
         F.collect_set(F.when(F.col("need") < window, F.col("need"))).alias("short"),
     ).first()
-    blocks, short = max(1, math.ceil((size["b"] or 0) / BLOCK_BYTES)), sorted(size["short"])
-    w = docs.select(F.col(doc_id).alias("id"), F.monotonically_increasing_id().alias("row"), words(F.col(text)).alias("w"))
+    small, short = (size["b"] or 0) <= BROADCAST_BYTES, sorted(size["short"])
+    w = docs.select(F.col(doc_id).alias("id"), F.xxhash64(text).alias("th"), words(F.col(text)).alias("w"))
     packed = let(F.transform("w", lambda x: F.xxhash64(x)), lambda h: F.concat(winnow(h, window, k), *(F.array_compact(_grams(h, n)) for n in short)))
     known = [r[0] for r in bench.select("fp").distinct().limit(SET_MAX + 1).collect()]
     if len(known) <= SET_MAX:
@@ -108,12 +109,11 @@ def decontaminate(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", tex
 
     #: a first element without fingerprint stands for the document itself
     itself = F.struct(F.lit(None).cast("bigint").alias("fp"), *(F.lit(None).cast("int").alias(x) for x in ("at", "start")), F.lit(None).cast("array<string>").alias("near"))
-    each = w.select("id", "row", F.size("w").alias("n"), F.explode(F.concat(F.array(itself), F.transform(packed, narrow))).alias("p")).select("id", "row", "n", "p.*")
-    hits = None
-    for b in range(blocks):
-        part = bench if blocks == 1 else bench.where(F.pmod(F.xxhash64("fp", "around"), F.lit(blocks)) == b)
-        found = each.join(F.broadcast(part), "fp", "left").where(F.col("around").isNotNull() | (F.col("fp").isNull() if not b else F.lit(False)))
-        hits = found if hits is None else hits.unionByName(found)
+    each = w.select("id", "th", F.size("w").alias("n"), F.explode(F.concat(F.array(itself), F.transform(packed, narrow))).alias("p")).select("id", "th", "n", "p.*")
+    if small:
+        hits = each.join(F.broadcast(bench), "fp", "left").where(F.col("around").isNotNull() | F.col("fp").isNull())
+    else:
+        hits = each.join(bench, "fp").unionByName(each.where("fp IS NULL"), allowMissingColumns=True)
     origin = F.col("at") - F.col("before")
     differ = F.filter(F.sequence(F.lit(0), F.size("around") - 1), lambda j: ~F.coalesce(F.get(F.col("near"), origin - F.col("start") + j) == F.get(F.col("around"), j), F.lit(False)))
     run = let(
@@ -123,12 +123,15 @@ def decontaminate(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", tex
             (F.coalesce(F.array_min(F.filter(d, lambda j: j >= F.col("before"))), F.size("around")) - 1).alias("hi"),
         ),
     )
-    hits = hits.select("id", "row", "n", "need", "items", origin.alias("o"), F.when(F.col("around").isNotNull(), run).alias("r")).where(
+    hits = hits.select("id", "th", "n", "need", "items", origin.alias("o"), F.when(F.col("around").isNotNull(), run).alias("r")).where(
         F.col("r").isNull() | (F.col("r.hi") - F.col("r.lo") + 1 >= F.col("need"))
     )
     span = F.when(F.col("r").isNotNull(), F.struct((F.col("o") + F.col("r.lo")).alias("s"), (F.col("o") + F.col("r.hi")).alias("e")))
-    per_doc = hits.groupBy("row").agg(
-        F.first("id").alias("id"), F.first("n").alias("n"), F.array_sort(F.collect_set(span)).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items")
+    per_doc = hits.groupBy("id", "th").agg(
+        F.first("n").alias("n"),
+        F.count(F.when(F.col("r").isNull(), 1)).alias("copies"),
+        F.array_sort(F.collect_set(span)).alias("spans"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"),
     )
     covered = F.aggregate(
         "spans",
@@ -136,7 +139,8 @@ def decontaminate(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", tex
         lambda a, s: F.struct(F.greatest(a["last"], s["e"]).alias("last"), (a["n"] + F.greatest(F.lit(0), s["e"] - F.greatest(s["s"] - 1, a["last"]))).alias("n")),
         lambda a: a["n"],
     )
-    return per_doc.select(F.col("id").alias(doc_id), F.col("n").cast("long").alias("n_words"), covered.alias("n_hit"), "items", "spans")
+    each = per_doc.select("id", F.col("n").cast("long").alias("n_words"), covered.alias("n_hit"), "items", "spans", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy"))
+    return each.select(F.col("id").alias(doc_id), "n_words", "n_hit", "items", "spans")
 
 
 def contaminated() -> Column:
@@ -145,12 +149,14 @@ def contaminated() -> Column:
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of docs that aren't contaminated, with all their columns. Each row goes by its own text: rows without an
-    id and rows that share one are judged like others."""
-    own = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
-    judged = decontaminate(docs.select(F.struct(F.col(doc_id).alias("i"), own.alias("h")).alias("_row"), F.col(text).alias("_text")), items, "_row", "_text")
-    bad = judged.where(contaminated()).select(F.col("_row.i").alias("_bad"), F.col("_row.h").alias("_hash")).distinct()
-    return docs.join(bad, docs[doc_id].eqNullSafe(bad["_bad"]) & (F.xxhash64(F.coalesce(docs[text], F.lit(""))) == bad["_hash"]), "left_anti")
+    """The rows of docs that aren't contaminated, with all their columns, whatever their names. Each row goes by its own
+    text: rows without an id and rows that share or repeat one are judged like others. Null and empty texts stay; an
+    empty benchmark takes nothing, an empty table stays empty."""
+    own = lambda t: F.xxhash64(F.coalesce(t, F.lit("")))
+    judged = decontaminate(docs.select(F.struct(F.col(doc_id).alias("i"), own(F.col(text)).alias("h")).alias("row"), F.col(text).alias("text")), items, "row", "text")
+    i, h = unused(docs, "bad"), unused(docs, "hash")
+    bad = judged.where(contaminated()).select(F.col("row.i").alias(i), F.col("row.h").alias(h)).distinct()
+    return docs.join(bad, docs[doc_id].eqNullSafe(bad[i]) & (own(docs[text]) == bad[h]), "left_anti")
 
 
 def query(spark, sf_dir: str) -> DataFrame:

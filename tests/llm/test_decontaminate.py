@@ -57,9 +57,9 @@ def test_against_brute_force(spark, seed):
     assert got(spark, docs, items) == brute(docs, items)
 
 
-def test_blocks_and_large_benchmarks(spark, monkeypatch):
+def test_large_benchmarks_are_joined_by_a_shuffle(spark, monkeypatch):
     docs, items = made(9)
-    monkeypatch.setattr(d, "BLOCK_BYTES", 2000)
+    monkeypatch.setattr(d, "BROADCAST_BYTES", 2000)
     monkeypatch.setattr(d, "SET_MAX", 3)
     assert got(spark, docs, items) == brute(docs, items)
 
@@ -70,6 +70,15 @@ def test_repeated_words_and_ties(spark):
     assert got(spark, docs, items) == brute(docs, items)
 
 
+def test_repeated_rows_and_ids(spark):
+    docs, items = [(1, "a b " * 20), (1, "a b " * 20), (1, "c " * 14), (None, "a b " * 20), (None, None), (None, None), (2, "")], [(1, "a b " * 20), (2, None), (None, "c " * 14)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    r = d.decontaminate(frame, spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert sorted((repr(x.doc_id), x.n_words, x.n_hit, tuple(x["items"])) for x in r) == sorted(
+        [("1", 40, 40, ("1",))] * 2 + [("1", 14, 14, ()), ("None", 40, 40, ("1",))] + [("None", 0, 0, ())] * 2 + [("2", 0, 0, ())]
+    )
+
+
 def test_empty_tables(spark):
     assert got(spark, [], [(1, "x " * 20)]) == []
     assert got(spark, [(1, "x " * 20)], []) == [(1, 20, 0, ())]
@@ -88,7 +97,7 @@ def test_every_window_keeps_a_fingerprint_of_its_own(spark):
 
 
 def test_extra_columns_clash(spark):
-    docs = spark.createDataFrame([(1, "x " * 20, 5, "k")], "doc_id long, text string, row int, w string")
+    docs = spark.createDataFrame([(1, "x " * 20, 5, "k")], "doc_id long, text string, bad int, hash string")
     items = spark.createDataFrame([(1, "x " * 20, 7)], "item_id long, text string, fp int")
     assert d.decontaminate(docs, items).first().n_hit == 20
     assert d.drop_contaminated(docs, items).count() == 0
