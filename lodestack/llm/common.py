@@ -54,3 +54,16 @@ def ascii_lower(text: Column) -> Column:
     """A-Z lower-cased, everything else as it is."""
     is_ascii = F.length(text) == F.octet_length(text)
     return F.when(is_ascii, F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
+
+
+def within(texts: DataFrame, most: int) -> DataFrame:
+    """The rows of `texts` (id, t, and more; a bounded sample, written), by the hash of their id, as far as their texts
+    have at most `most` characters together, and one row at least. Only ids and lengths come to the driver."""
+    sizes = sorted((r["h"], r["id"], r["n"] or 0) for r in texts.select("id", F.xxhash64("id").alias("h"), F.length("t").alias("n")).collect())
+    total, last = 0, None
+    for h, i, n in sizes:
+        total += n
+        if last is not None and total > most:
+            return texts.where((F.xxhash64("id") < last[0]) | ((F.xxhash64("id") == last[0]) & (F.col("id") <= last[1])))
+        last = h, i
+    return texts

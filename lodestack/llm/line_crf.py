@@ -1,8 +1,9 @@
 """Quality rules: text statistics, and line sequence labelling by a linear-chain conditional random field.
 
 Viterbi decoding marks each line as content or boilerplate from the look of the line and of its neighbours; a document
-is kept if enough of its characters stand in content lines. The field is trained here, on lines that take the rating of
-their document.
+is kept if enough of its characters stand in content lines. The field is trained here, on lines labelled by evidence:
+boilerplate are the lines of poor documents, and lines that documents of different openings have in common (licences,
+navigation); copies of one text share its opening and are no evidence.
 """
 
 from __future__ import annotations
@@ -14,13 +15,18 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import cut, table, within
 
 #: Rated documents that the field is trained on at most: those of the least hash of their id.
 SAMPLE = 4_000
+#: Characters that the texts of these documents have together at most, which bounds what comes to the driver.
+SAMPLE_CHARS = 40_000_000
+#: Documents of different openings that share a line of boilerplate.
+SHARED = 3
 #: Least share of content characters of a kept document.
 SHARE = 0.5
 SPACE = " \t\n\x0b\x0c\r"
@@ -145,48 +151,86 @@ class Field:
         return probs, moves
 
 
-def fit(docs: list[tuple[list[list[str]], int]], epochs: int = 8, rate: float = 0.3, ridge: float = 1e-4, most: float = 3.0) -> Field:
-    """By adaptive gradient steps on the log-likelihood of the labels; without both labels, a field that marks all as
-    content. Moves are kept within `most` to either side, so that no neighbour outweighs a line's own look for good."""
+def fit(docs: list[tuple[list[list[str]], list[int]]], epochs: int = 8, rate: float = 0.3, ridge: float = 1e-4) -> Field:
+    """By adaptive gradient steps on the log-likelihood of the lines' labels; without both labels, a field that marks all
+    as content."""
     model, sums, move_sums = Field(), {}, [[1e-6, 1e-6], [1e-6, 1e-6]]
-    if len({y for _, y in docs}) < 2:
+    if len({y for _, labels in docs for y in labels}) < 2:
         return Field({"bias": 1.0})
     for epoch in range(epochs):
         for at in np.random.default_rng(epoch).permutation(len(docs)):
-            lines, y = docs[at]
-            probs, moves = model.expectations(model.emissions(lines))
-            gradient: dict[str, float] = {}
-            for line, p in zip(lines, probs):
-                for f in line:
-                    gradient[f] = gradient.get(f, 0.0) + y - p
+            lines, labels = docs[at]
+            by_feature, by_move = slopes(model, lines, labels)
             n = len(lines)
-            for f, g in gradient.items():
+            for f, g in by_feature.items():
                 g = g / n - ridge * model.weights.get(f, 0.0)
                 sums[f] = sums.get(f, 1e-6) + g * g
                 model.weights[f] = model.weights.get(f, 0.0) + rate * g / math.sqrt(sums[f])
             for i in (0, 1):
                 for j in (0, 1):
-                    g = ((n - 1) * (i == j == y) - moves[i][j]) / n
+                    g = by_move[i][j] / n - ridge * model.moves[i][j]
                     move_sums[i][j] += g * g
-                    model.moves[i][j] = max(-most, min(most, model.moves[i][j] + rate * g / math.sqrt(move_sums[i][j])))
+                    model.moves[i][j] += rate * g / math.sqrt(move_sums[i][j])
     return model
 
 
-def train(docs: DataFrame, ratings: DataFrame, doc_id: str = "doc_id", text: str = "text", sample: int = SAMPLE) -> Field:
-    """A field for `ratings` (columns doc_id, quality), from at most `sample` rated documents; only their line features
-    come to the driver. Of several ratings of one document the least counts."""
+def slopes(model: Field, lines: list[list[str]], labels: list[int]) -> tuple[dict[str, float], list[list[float]]]:
+    """Derivatives of the log-likelihood of `labels` by the weights and by the moves: observed less expected counts."""
+    probs, expected = model.expectations(model.emissions(lines))
+    by_feature: dict[str, float] = {}
+    for line, y, p in zip(lines, labels, probs):
+        for f in line:
+            by_feature[f] = by_feature.get(f, 0.0) + y - p
+    by_move = [[-x for x in row] for row in expected]
+    for i, j in zip(labels, labels[1:]):
+        by_move[i][j] += 1
+    return by_feature, by_move
+
+
+def labelled(rows: list[tuple[int, list[tuple[int, list[str]]]]], shared: int = SHARED) -> list[tuple[list[list[str]], list[int]]]:
+    """(features, labels) of the lines of each document, from its rating (0 poor) and, of each line, a hash and features."""
+    openings: dict[int, set[int]] = {}
+    for _, lines in rows:
+        for h, _ in lines:
+            openings.setdefault(h, set()).add(lines[0][0])
+    return [([f for _, f in lines], [int(q > 0 and len(openings[h]) < shared) for h, _ in lines]) for q, lines in rows if lines]
+
+
+def line_accuracy(model: Field, docs: list[tuple[list[list[str]], list[int]]]) -> float:
+    """The share of lines whose decoded label is the given one."""
+    right = [a == b for lines, labels in docs for a, b in zip(model.viterbi(model.emissions(lines)), labels)]
+    return sum(right) / len(right) if right else 1.0
+
+
+def evidence(docs: DataFrame, ratings: DataFrame, doc_id: str = "doc_id", text: str = "text", sample: int = SAMPLE, chars: int = SAMPLE_CHARS) -> list[tuple[list[list[str]], list[int]]]:
+    """Labelled lines of at most `sample` rated documents of at most `chars` characters together, by `labelled`; only
+    hashes and features of lines come to the driver. ratings: doc_id, quality.
+
+    Ratings with a null, and those of documents that docs hasn't, are left out; of several ratings of one document, and
+    of several texts of one id, the least counts. Null and empty texts have no lines; long ones count whole.
+    """
     rated = ratings.select(F.col(doc_id).cast("long").alias("id"), F.col("quality").alias("q")).where("id IS NOT NULL AND q IS NOT NULL")
     chosen = rated.groupBy("id").agg(F.min("q").alias("q")).orderBy(F.xxhash64("id"), "id").limit(sample)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            lines = ["\n".join(" ".join(f) for f, _ in lines_of(t.as_py() or "")[0]) for t in b.column(2)]
+            lines = []
+            for t in b.column(2):
+                text = t.as_py() or ""
+                hashes = [xxhash.xxh64_intdigest(x.strip(SPACE).encode("utf-8", "replace")) for x in text.split("\n") if x.strip(SPACE)]
+                lines.append("\n".join(" ".join([str(h), *f]) for h, (f, _) in zip(hashes, lines_of(text)[0])))
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(lines, pa.string())], ["id", "q", "lines"])
 
     found = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("t")).join(F.broadcast(chosen), "id")
-    found = found.groupBy("id").agg(F.min("q").cast("int").alias("q"), F.min("t").alias("t"))  # one text of each id, however often it occurs
-    rows = found.mapInArrow(run, "id long, q int, lines string").toArrow().sort_by([("id", "ascending"), ("lines", "ascending")])
-    return fit([([x.split(" ") for x in lines.as_py().split("\n")], int(q.as_py() > 0)) for q, lines in zip(rows["q"], rows["lines"]) if lines.as_py()])
+    found = cut(found.groupBy("id").agg(F.min("q").cast("int").alias("q"), F.min("t").alias("t")))  # one text of each id, however often it occurs
+    rows = within(found, chars).select("id", "q", "t").mapInArrow(run, "id long, q int, lines string").toArrow().sort_by([("id", "ascending"), ("lines", "ascending")])
+    split = lambda x: (int((p := x.split(" "))[0]), p[1:])
+    return labelled([(q.as_py(), [split(x) for x in lines.as_py().split("\n")]) for q, lines in zip(rows["q"], rows["lines"]) if lines.as_py()])
+
+
+def train(docs: DataFrame, ratings: DataFrame, doc_id: str = "doc_id", text: str = "text", sample: int = SAMPLE, chars: int = SAMPLE_CHARS) -> Field:
+    """A field for the lines of evidence(); without ratings one that marks all as content."""
+    return fit(evidence(docs, ratings, doc_id, text, sample, chars))
 
 
 COLUMNS = {"n_words": "long", "word_chars": "long", "n_symbols": "long", "n_dup_lines": "long", "n_repeat_words": "long", "base_failed": "boolean", "content_share": "double", "kept": "boolean"}
@@ -207,7 +251,8 @@ def judge(text: str | None, model: Field, share: float = SHARE) -> tuple:
 
 def assess(docs: DataFrame, model: Field, doc_id: str = "doc_id", text: str = "text", share: float = SHARE) -> DataFrame:
     """A row for each row of docs: its id and COLUMNS. Null texts count as empty, which fail; whole texts are read;
-    repeated rows give a row each; other columns are ignored. Map-only: nothing is shuffled."""
+    repeated rows and rows without an id give a row each; an empty table gives none; other columns are ignored, so their
+    names can't clash. Map-only: nothing is shuffled."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     d = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("t"))
 
@@ -224,3 +269,21 @@ def assess(docs: DataFrame, model: Field, doc_id: str = "doc_id", text: str = "t
 def query(spark, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return assess(docs, train(docs, table(spark, sf_dir, "labels")))
+
+
+def base_query(spark, sf_dir: str) -> DataFrame:
+    """What SQL can express of the above: the statistics, and whether they fail a document."""
+    return query(spark, sf_dir).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
+
+
+BASE_SQL = r"""
+WITH t AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+d AS (SELECT doc_id, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w FROM t),
+l AS (SELECT doc_id, count(*) - count(DISTINCT line) AS dup FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM t) WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id),
+g AS (SELECT doc_id, i, array_to_string(w[i:i + 7], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 6)) AS i FROM d WHERE len(w) >= 8)),
+r AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(i, i + 8)) AS p FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, g) AS k FROM g) WHERE k > 1) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+  CAST(length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols, CAST(coalesce(dup, 0) AS BIGINT) AS n_dup_lines, CAST(coalesce(r.n, 0) AS BIGINT) AS n_repeat_words,
+  len(w) < 20 OR 100 * coalesce(r.n, 0) > 30 * len(w) AS base_failed
+FROM d LEFT JOIN l USING (doc_id) LEFT JOIN r USING (doc_id)
+"""

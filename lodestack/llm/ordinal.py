@@ -19,10 +19,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import cut, table, within
 
 #: Labelled rows that a model is fitted on at most: those of the least hash of their id. Everything else covers all rows.
 SAMPLE = 12_000
+#: Characters that the texts of these rows have together at most, which bounds what comes to the driver.
+SAMPLE_CHARS = 60_000_000
 DIMENSIONS = 1 << 18
 #: Features of fewer sampled documents have no weight.
 MIN_DOCS = 8
@@ -133,6 +135,18 @@ def constant(grades_n: int = GRADES) -> Model:
     return Model(np.zeros(DIMENSIONS, np.float32), np.full(grades_n - 1, -30.0))
 
 
+def slopes(score: np.ndarray, y: np.ndarray, t: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Negative log-likelihood of each row by its score and grade, its derivative by the score, and the sums of the
+    derivatives by the thresholds t."""
+    last = len(t)
+    bounds = np.concatenate([[-30.0], t, [30.0]])
+    above = np.where(y < last, _logistic(bounds[y + 1] - score), 1.0)
+    below = np.where(y > 0, _logistic(bounds[y] - score), 0.0)
+    p = np.maximum(above - below, 1e-9)
+    d_above, d_below = above * (1 - above) / p, below * (1 - below) / p
+    return -np.log(p), d_above - d_below, np.array([d_below[y == k + 1].sum() - d_above[y == k].sum() for k in range(last)])
+
+
 def fit_sparse(x: Sparse, grades: np.ndarray, grades_n: int = GRADES, epochs: int = 30, rate: float = 1.0, ridge: float = 1e-6, batch: int = 256) -> Model:
     """By adaptive gradient steps on the negative log-likelihood."""
     w, w_sum = np.zeros(DIMENSIONS), np.full(DIMENSIONS, 1e-8)
@@ -141,17 +155,11 @@ def fit_sparse(x: Sparse, grades: np.ndarray, grades_n: int = GRADES, epochs: in
     for _ in range(epochs):
         for part in np.array_split(order.permutation(len(grades)), max(1, len(grades) // batch)):
             of, numbers, values = x.rows(part)
-            y = grades[part]
-            score = np.bincount(of, values * w[numbers], len(part))
-            bounds = np.concatenate([[-30.0], t, [30.0]])
-            above = np.where(y < grades_n - 1, _logistic(bounds[y + 1] - score), 1.0)
-            below = np.where(y > 0, _logistic(bounds[y] - score), 0.0)
-            p = np.maximum(above - below, 1e-9)
-            d_above, d_below = above * (1 - above) / p, below * (1 - below) / p
-            g = np.bincount(numbers, values * (d_above - d_below)[of], DIMENSIONS) / len(part) + ridge * w
+            _, by_score, by_threshold = slopes(np.bincount(of, values * w[numbers], len(part)), grades[part], t)
+            g = np.bincount(numbers, values * by_score[of], DIMENSIONS) / len(part) + ridge * w
             w_sum += g * g
             w -= rate * g / np.sqrt(w_sum)
-            g = np.array([d_below[y == k + 1].sum() - d_above[y == k].sum() for k in range(grades_n - 1)]) / len(part)
+            g = by_threshold / len(part)
             t_sum += g * g
             t = np.sort(t - 0.3 * g / np.sqrt(t_sum))
     return Model(w.astype(np.float32), t)
@@ -172,20 +180,19 @@ def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     _of_token.cache_clear()
 
 
-def train(docs: DataFrame, ratings: DataFrame, doc_id: str = "doc_id", text: str = "text", sample: int = SAMPLE, min_docs: int = MIN_DOCS) -> Model:
-    """A model of `ratings` (columns doc_id, quality, toxic), fitted on at most `sample` of them; only their feature
-    vectors come to the driver. Of several ratings of one document the least grade counts."""
+def train(docs: DataFrame, ratings: DataFrame, doc_id: str = "doc_id", text: str = "text", sample: int = SAMPLE, min_docs: int = MIN_DOCS, chars: int = SAMPLE_CHARS) -> Model:
+    """A model of `ratings` (columns doc_id, quality, toxic), fitted on at most `sample` of them, whose texts have at most
+    `chars` characters together; only their feature vectors come to the driver.
+
+    Ratings with a null, and those of documents that docs hasn't, are left out; of several ratings of one document the
+    least grade counts, of several texts of one id the least. Null and empty texts have no features; long ones count
+    whole. Without ratings, or with one grade only, the model selects everything. Other columns are ignored.
+    """
     graded = ratings.select(F.col(doc_id).cast("long").alias("id"), grade(F.col("quality"), F.col("toxic")).alias("g")).where("id IS NOT NULL AND g IS NOT NULL")
     chosen = graded.groupBy("id").agg(F.min("g").alias("g")).orderBy(F.xxhash64("id"), "id").limit(sample)
-    rows = (
-        docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("t"))
-        .join(F.broadcast(chosen), "id")
-        .groupBy("id")
-        .agg(F.min("g").alias("g"), F.min("t").alias("t"))  # one text of each id, however often it occurs
-        .select("id", "g", "t")
-        .mapInArrow(_vectors, "id long, g int, n binary, v binary")
-        .toArrow()
-    )
+    found = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("t")).join(F.broadcast(chosen), "id")
+    found = cut(found.groupBy("id").agg(F.min("g").alias("g"), F.min("t").alias("t")))  # one text of each id, however often it occurs
+    rows = within(found, chars).select("id", "g", "t").mapInArrow(_vectors, "id long, g int, n binary, v binary").toArrow()
     parts = [b for b in rows.to_batches() if len(b)]
     seen = np.zeros(DIMENSIONS, np.int64)
     for b in parts:
@@ -212,8 +219,8 @@ def train(docs: DataFrame, ratings: DataFrame, doc_id: str = "doc_id", text: str
 def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text", tail: float = TAIL) -> DataFrame:
     """A row for each row of docs: its id, expected_grade, tail_probability (of the highest grade), selected.
 
-    Null and empty texts have the score 0. Whole texts are read; repeated rows give a row each; other columns are
-    ignored. Map-only: nothing is shuffled.
+    Null and empty texts have the score 0. Whole texts are read; repeated rows and rows without an id give a row each; an
+    empty table gives none; other columns are ignored, so their names can't clash. Map-only: nothing is shuffled.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     d = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("t"))
@@ -230,7 +237,10 @@ def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "te
 
 
 def keep_selected(docs: DataFrame, model: Model, text: str = "text", tail: float = TAIL) -> DataFrame:
-    """The rows of docs whose text the model selects, with all their columns. Map-only."""
+    """The rows of docs whose text the model selects, with all their columns, whatever their names. Map-only.
+
+    Null and empty texts have the score 0, by which they stay or go; rows without an id, and repeated ones, go by their
+    texts; whole texts are read; an empty table stays empty."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index(text)
 

@@ -1,4 +1,7 @@
-"""The queries of this subpackage, by name, with their DuckDB oracles."""
+"""The queries of this subpackage, by name, with their DuckDB oracles.
+
+The last two show what SQL can express of `op5` and `op3`, whose models it can't.
+"""
 
 from __future__ import annotations
 
@@ -15,6 +18,8 @@ QUERIES = {
     "op8_near_duplicates": bagminhash.query,
     "op9_quality_classifier": ordinal.query,
     "op10_secrets": secrets.query,
+    "quality_rules_base": line_crf.base_query,
+    "url_rules": url_filter.rules_query,
 }
 ORACLES = {
     "op1_decontaminate": decontaminate.SQL,
@@ -23,4 +28,6 @@ ORACLES = {
     "op7_warc": warc.SQL,
     "op8_near_duplicates": bagminhash.SQL,
     "op10_secrets": secrets.SQL,
+    "quality_rules_base": line_crf.BASE_SQL,
+    "url_rules": url_filter.RULES_SQL,
 }

@@ -207,3 +207,18 @@ def seed_labels(pages: DataFrame, url: str = "url") -> DataFrame:
 def query(spark, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     return judge(pages, train(seed_labels(pages)))
+
+
+def rules_query(spark, sf_dir: str) -> DataFrame:
+    """What SQL can express of the above: host, path and rule, and the verdict of the rule, null without one."""
+    verdicts = F.create_map(*(F.lit(x) for kv in RULES.items() for x in kv))
+    return query(spark, sf_dir).select("page_id", "host", "path", "rule", F.when(F.col("rule").isNotNull(), F.element_at(verdicts, F.col("rule"))).alias("ruled"))
+
+
+RULES_SQL = r"""
+WITH u AS (SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+p AS (SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM u),
+r(rule, own, under, ruled) AS (VALUES ('net/', 'net', '/', 'block'), ('example.net/en/', 'example.net', '/en/', 'allow'), ('example.com/de/', 'example.com', '/de/', 'block'), ('org/fr/', 'org', '/fr/', 'allow')),
+f AS (SELECT page_id, max_by(rule, length(rule)) AS rule, max_by(ruled, length(rule)) AS ruled FROM p JOIN r ON (host = own OR suffix(host, '.' || own)) AND starts_with(path, under) GROUP BY page_id)
+SELECT page_id, host, path, rule, ruled FROM p LEFT JOIN f USING (page_id)
+"""

@@ -118,6 +118,69 @@ def test_crf_held_out(spark):
     assert line_crf.train(docs, ratings.where("quality = 1")).weights == {"bias": 1.0}
 
 
+def test_crf_marks_lines_within_documents(spark):
+    """Navigation and licence lines that documents share, between lines of their own: labels change within a document."""
+    rng = random.Random(11)
+    shared = [f"Home | About | Contact {k} | Help" for k in range(8)] + [f"(c) 20{k} ALL RIGHTS RESERVED ***" for k in range(10, 16)]
+
+    def made(n):
+        return [(k, "\n".join(x for line in written(rng, 2).split("\n") for x in ([line, rng.choice(shared)] if rng.random() < 0.4 else [line]))) for k in range(n)]
+
+    of = lambda rows: line_crf.evidence(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame([(k, 1) for k, _ in rows], "doc_id long, quality int"))
+    train, held = of(made(300)), of(made(200))
+    assert 0.1 < np.mean([y == 0 for _, labels in held for y in labels]) < 0.5
+    assert line_crf.line_accuracy(line_crf.fit(train), held) >= 0.97
+
+
+def test_copies_are_no_evidence_of_boilerplate():
+    copy = [(h, ["bias"]) for h in (1, 2, 3)]
+    assert all(labels == [1, 1, 1] for _, labels in line_crf.labelled([(1, copy)] * 9))
+    others = [(1, [(10 + k, ["bias"]), (2, ["bias"])]) for k in range(3)]
+    assert [labels for _, labels in line_crf.labelled([(1, copy), *others, (0, [(99, ["bias"])]), (1, [])])] == [[1, 0, 1], *[[1, 0]] * 3, [0]]
+
+
+def test_crf_gradient_against_differences():
+    rng = random.Random(4)
+    lines, labels = [[rng.choice("ab"), rng.choice("cd")] for _ in range(6)], [rng.randrange(2) for _ in range(6)]
+    field = line_crf.Field({f: rng.gauss(0, 1) for f in "abcd"}, [[rng.gauss(0, 1) for _ in range(2)] for _ in range(2)])
+
+    def likelihood():
+        scores = field.emissions(lines)
+        total = lambda y: sum(s for s, v in zip(scores, y) if v) + sum(field.moves[a][b] for a, b in zip(y, y[1:]))
+        return total(labels) - math.log(sum(math.exp(total(y)) for y in itertools.product((0, 1), repeat=6)))
+
+    by_feature, by_move = line_crf.slopes(field, lines, labels)
+    for at, key, got in [(field.weights, f, by_feature.get(f, 0.0)) for f in "abcd"] + [(field.moves[i], j, by_move[i][j]) for i in (0, 1) for j in (0, 1)]:
+        at[key] += 1e-5
+        up = likelihood()
+        at[key] -= 2e-5
+        assert abs((up - likelihood()) / 2e-5 - got) < 1e-6
+        at[key] += 1e-5
+
+
+def test_ordinal_gradient_against_differences():
+    rng = np.random.default_rng(5)
+    score, y, t = rng.normal(0, 2, 40), rng.integers(0, 3, 40), np.array([-0.7, 1.1])
+    loss, by_score, by_threshold = ordinal.slopes(score, y, t)
+    p = np.diff(np.concatenate([np.zeros((40, 1)), 1 / (1 + np.exp(score[:, None] - t)), np.ones((40, 1))], 1), axis=1)[np.arange(40), y]
+    assert np.abs(loss + np.log(p)).max() < 1e-9
+    assert np.abs((ordinal.slopes(score + 1e-6, y, t)[0] - ordinal.slopes(score - 1e-6, y, t)[0]) / 2e-6 - by_score).max() < 1e-6
+    for k in range(2):
+        e = np.eye(2)[k] * 1e-6
+        assert abs((ordinal.slopes(score, y, t + e)[0].sum() - ordinal.slopes(score, y, t - e)[0].sum()) / 2e-6 - by_threshold[k]) < 1e-5
+
+
+def test_samples_are_bounded_by_characters(spark):
+    from lodestack.llm.common import within
+
+    rows = spark.createDataFrame([(k, "x" * 100) for k in range(50)] + [(99, None)], "id long, t string")
+    assert within(rows, 10**9).count() == 51 and within(rows, 0).count() >= 1
+    some = within(rows, 1000).collect()
+    assert sum(len(r.t or "") for r in some) == 1000
+    hashes = {r.id: r.h for r in rows.select("id", F.xxhash64("id").alias("h")).collect()}
+    assert max(hashes[r.id] for r in some) < min(h for i, h in hashes.items() if i not in {r.id for r in some})
+
+
 def urls(seed, n=800):
     rng = random.Random(seed)
     out = []
@@ -139,6 +202,17 @@ def test_trees_held_out_and_expression_agrees(spark):
     assert np.abs(p - [got[k].probability for k in range(800)]).max() < 1e-5
 
 
+def test_trees_on_hosts_that_they_have_not_seen(spark):
+    """Trained on some hosts, judged on others: what counts is the look of a host, not its name."""
+    host = lambda u: u.split("/")[2]
+    every = urls(3, 3000)
+    seen = {h for k, h in enumerate(sorted({host(u) for u, _ in every})) if k % 2}
+    model = url_filter.train(spark.createDataFrame([x for x in every if host(x[0]) in seen], "url string, label int"))
+    others = [x for x in every if host(x[0]) not in seen]
+    got = {r.page_id: r.verdict for r in url_filter.judge(spark.createDataFrame([(k, u) for k, (u, _) in enumerate(others)], "page_id long, url string"), model, rules={}).collect()}
+    assert len(others) > 500 and sum((got[k] == "block") == bool(y) for k, (_, y) in enumerate(others)) >= 0.97 * len(others)
+
+
 def test_rates_of_all_suffixes_are_kept(spark):
     rows = [(f"http://a.s{k}/{j}", k % 2) for k in range(300) for j in range(2 + k % 3)] + [("http://a.\"é\\/", 1)]
     model = url_filter.train(spark.createDataFrame(rows, "url string, label int"))
