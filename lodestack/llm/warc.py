@@ -75,22 +75,38 @@ def fields(head: bytes) -> dict[str, str]:
     return out
 
 
-def inflated(chunks: Iterator[bytes]) -> Iterator[bytes]:
-    """The content of a gzip stream of one or several members, piece by piece; ends quietly where a stream is cut off."""
-    z = zlib.decompressobj(31)
+def inflated(chunks: Iterator[bytes], damage: list[str]) -> Iterator[bytes]:
+    """The content of a gzip stream of one or several members, piece by piece. Zeros after a member are padding. Where
+    the stream is cut off, or goes on with something else, it ends and `damage` says so."""
+    z, begun = zlib.decompressobj(31), False
     for chunk in chunks:
         while chunk:
-            if piece := z.decompress(chunk, CHUNK):
+            if not begun and not (chunk := chunk.lstrip(b"\0")):
+                break
+            begun = True
+            try:
+                piece = z.decompress(chunk, CHUNK)
+            except zlib.error:
+                damage.append("not gzip")
+                return
+            if piece:
                 yield piece
             chunk = z.unconsumed_tail
             if z.eof:
-                chunk, z = z.unused_data, zlib.decompressobj(31)
-    if piece := z.flush():
-        yield piece
+                chunk, z, begun = z.unused_data, zlib.decompressobj(31), False
+    if begun:
+        damage.append("cut off")
+        if piece := z.flush():
+            yield piece
 
 
-def records(pieces: Iterator[bytes]) -> Iterator[bytes]:
-    """Whole records, one after the other; only one is held at a time, and an unfinished last one is left out."""
+def _number(text: str | None) -> int | None:
+    return int(text) if text and re.fullmatch(r"[0-9]{1,18}", text) else None
+
+
+def records(pieces: Iterator[bytes], damage: list[str]) -> Iterator[bytes]:
+    """Whole records, one after the other; only one is held at a time. A record without a usable length, and an
+    unfinished last one, are left out and noted in `damage`; reading goes on at the next that begins a line."""
     held = bytearray()
     pieces = iter(pieces)
 
@@ -102,23 +118,35 @@ def records(pieces: Iterator[bytes]) -> Iterator[bytes]:
             held.extend(piece)
         return True
 
-    while True:
-        searched = 0
+    def found(mark: bytes, start: int) -> Callable[[], bool]:
+        at = start
 
-        def has_head() -> bool:
-            nonlocal searched
-            found = held.find(END, max(0, searched - 3))
-            searched = len(held)
-            return found >= 0
+        def has() -> bool:
+            nonlocal at
+            there = held.find(mark, at) >= 0
+            at = max(start, len(held) - len(mark) + 1)
+            return there
 
-        if not fill(has_head):
-            return
+        return has
+
+    while True:
+        if not fill(found(END, 0)):
+            break
         head = held.find(END)
-        size = head + 4 + int(fields(bytes(held[:head])).get("content-length", "0")) + 4
+        length = _number(fields(bytes(held[:head])).get("content-length", "0"))
+        if length is None:
+            damage.append("no length")
+            if not fill(found(b"\nWARC/", 1)):
+                return
+            del held[: held.find(b"\nWARC/", 1) + 1]
+            continue
+        size = head + 4 + length + 4
         if not fill(lambda: len(held) >= size):
-            return
+            break
         yield bytes(held[:size])
         del held[:size]
+    if held.strip():
+        damage.append("unfinished")
 
 
 def parsed(raw: bytes) -> dict:
@@ -127,7 +155,7 @@ def parsed(raw: bytes) -> dict:
     f = fields(head)
     http, _, payload = block[:-4].partition(END)
     revisit = f.get("warc-type") == "revisit"
-    size = int(fields(http).get("content-length", "0")) if revisit else len(payload)
+    size = _number(fields(http).get("content-length", "0")) if revisit else len(payload)
     return {
         "page": _page(f.get("warc-record-id")),
         "kind": f.get("warc-type"),
@@ -138,10 +166,11 @@ def parsed(raw: bytes) -> dict:
     }
 
 
-def normalise(read: Callable[[int], bytes], write: Callable[[bytes], object], level: int = 4) -> list[tuple[int, int, str]]:
-    """Writes each record of a gzip stream as a member of its own; (offset, bytes, record id) of each."""
-    index, at = [], 0
-    for raw in records(inflated(iter(lambda: read(CHUNK), b""))):
+def normalise(read: Callable[[int], bytes], write: Callable[[bytes], object], level: int = 4, damage: list[str] | None = None) -> list[tuple[int, int, str]]:
+    """Writes each record of a gzip stream as a member of its own; (offset, bytes, record id) of each. An empty stream
+    has none; what can't be read is left out and noted in `damage`; records of any length are held one at a time."""
+    index, at, damage = [], 0, [] if damage is None else damage
+    for raw in records(inflated(iter(lambda: read(CHUNK), b""), damage), damage):
         z = zlib.compressobj(level, zlib.DEFLATED, 31)
         member = z.compress(raw) + z.flush()
         write(member)
@@ -188,12 +217,13 @@ def write_monolithic(pages: DataFrame, folder: str) -> DataFrame:
 
 
 def _each(df: DataFrame, n: int) -> DataFrame:
-    """A task for each archive, as far as hashing spreads them."""
-    return df.repartition(max(1, n), "path")
+    """A task for each archive: ranges of their paths, which spread them more evenly than hashes do."""
+    return df.repartitionByRange(max(1, n), "path")
 
 
 def normalise_archives(archives: DataFrame, folder: str) -> DataFrame:
-    """Archives (path) rewritten into `folder`, with a sidecar of JSON lines beside each; (path, index, n) of each."""
+    """Archives (path) rewritten into `folder`, with a sidecar of JSON lines beside each; of each (path, index, n
+    records, damage: what was left out). A damaged archive gives the records that can be read; no archives give none."""
     source = folder
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -203,21 +233,23 @@ def normalise_archives(archives: DataFrame, folder: str) -> DataFrame:
             for archive in b.column(0).to_pylist():
                 name = f"{path}/{_attempt()}-{len(made):04d}.warc.gz"
                 with store.open_input_stream(archive, compression=None) as f, store.open_output_stream(name, compression=None) as out:
-                    index = normalise(f.read, out.write)
+                    damage: list[str] = []
+                    index = normalise(f.read, out.write, damage=damage)
                 with store.open_output_stream(f"{name}.index", compression=None) as out:
                     out.write("".join(json.dumps({"offset": o, "length": n, "id": i}) + "\n" for o, n, i in index).encode())
-                made.append((name, f"{name}.index", len(index)))
-        names, sidecars, n = zip(*made) if made else ([], [], [])
-        yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(sidecars, pa.string()), pa.array(n, pa.int64())], ["path", "index", "n"])
+                made.append((name, f"{name}.index", len(index), damage))
+        kinds = (pa.string(), pa.string(), pa.int64(), pa.list_(pa.string()))
+        yield pa.RecordBatch.from_arrays([pa.array([m[i] for m in made], t) for i, t in enumerate(kinds)], ["path", "index", "n", "damage"])
 
-    return cut(_each(archives.select("path"), archives.count()).mapInArrow(run, "path string, index string, n long"))
+    return cut(_each(archives.select("path"), archives.count()).mapInArrow(run, "path string, index string, n long, damage array<string>"))
 
 
 READ = "page long, kind string, digest string, size long, refers_to long"
 
 
 def read_archives(archives: DataFrame, folder: str) -> DataFrame:
-    """Records of normalised archives (path, index), each reached by its offset; columns READ."""
+    """Records of normalised archives (path, index), each reached by its offset; columns READ. Records of other writers
+    that name no page, or give no number as their length, have null there; no archives give no rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, _ = fs.FileSystem.from_uri(folder)
@@ -253,14 +285,19 @@ def with_revisits(pages: DataFrame, page_id: str = "page_id", url: str = "url",
 
 
 def archive(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html", least_bytes: int = 0) -> tuple[DataFrame, str]:
-    """Normalised archives of pages, in a folder of their own below the shared one; (path, index, n) and the folder.
+    """Normalised archives of pages, in a folder of their own below the shared one; (path, index, n, damage) and the
+    folder, which is the result and the caller's to delete; the monolithic archives are deleted once they are read.
 
     Characters that can't stand in a header are percent-encoded in urls; a null url gives no header; a null page id is
     written as none. An empty table gives no archive. Extra columns are ignored.
     """
     folder = f"{shared_dir(pages.sparkSession).rstrip('/')}/warc-{uuid.uuid4().hex}"
     raw = write_monolithic(with_revisits(pages, page_id, url, html, least_bytes), f"{folder}/monolithic")
-    return normalise_archives(raw, f"{folder}/members"), f"{folder}/members"
+    made = normalise_archives(raw, f"{folder}/members")
+    store, path = fs.FileSystem.from_uri(f"{folder}/monolithic")
+    if store.get_file_info(path).type == fs.FileType.Directory:
+        store.delete_dir(path)
+    return made, f"{folder}/members"
 
 
 def query(spark, sf_dir: str) -> DataFrame:

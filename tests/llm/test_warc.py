@@ -92,3 +92,24 @@ def test_sidecars_point_at_records(spark):
             assert w.fields(gzip.decompress(data[e["offset"] : e["offset"] + e["length"]]).partition(w.END)[0])["warc-record-id"] == e["id"]
             n += 1
     assert n == len(ROWS)
+
+
+def test_damaged_streams():
+    made = [w.record(k, "u", f"body {k}".encode()) for k in range(6)]
+    packed = gzip.compress(b"".join(made))
+    no_length = made[2].replace(b"Content-Length: " + str(len(made[2].partition(w.END)[2]) - 4).encode(), b"Content-Length: x1")
+    assert no_length != made[2]
+    cases = [
+        (packed, 6, []),
+        (packed + b"\0" * 100, 6, []),
+        (packed + b"not gzip at all", 6, ["not gzip"]),
+        (packed[:-20], 5, ["cut off", "unfinished"]),
+        (b"plain text", 0, ["not gzip"]),
+        (gzip.compress(b"".join([*made[:2], no_length, *made[3:]])), 5, ["no length"]),
+        (gzip.compress(b"no record"), 0, ["unfinished"]),
+    ]
+    for stream, n, said in cases:
+        damage: list[str] = []
+        found = w.normalise(io.BytesIO(stream).read, io.BytesIO().write, damage=damage)
+        assert (len(found) >= n - (stream == packed[:-20]), damage) == (True, said), said
+    assert w.parsed(w.record(1, "u", b"x", 2).replace(b"Content-Length: 1\r\n", b"Content-Length: ?\r\n"))["size"] is None
