@@ -178,25 +178,29 @@ def decode(encoded: DataFrame, doc_id: str = "doc_id", ids: str = "ids", path: s
     return d.mapInArrow(run, f"id {d.dtypes[0][1]}, text string").withColumnRenamed("id", doc_id)
 
 
-def digests(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", path: str | None = None, pattern: str | None = None) -> DataFrame:
+def digests(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", path: str | None = None, pattern: str | None = None, with_ids: bool = False) -> DataFrame:
     """A row for each row of docs: its id, n_tokens, ids_sha256 (of the ids as little-endian unsigned 32-bit integers),
-    decoded_sha256 (of the bytes that the ids decode to). Nulls, repeats and other columns as for encode()."""
+    decoded_sha256 (of the bytes that the ids decode to), and the ids (array<int>) themselves if asked for. Nulls,
+    repeats, empty tables and other columns as for encode()."""
     content, by = _shared(docs, path, pattern)
     d = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("t"))
+    kinds = {"n_tokens": pa.int64(), "ids_sha256": pa.string(), "decoded_sha256": pa.string()} | ({"ids": pa.list_(pa.int32())} if with_ids else {})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(content.value, by)
         for batch in batches:
-            n, first, second = [], [], []
-            for t in batch.column(1):
+            rows, start, size = [], 0, 0
+            for at, t in enumerate(batch.column(1), 1):
                 ids = c.encode(t.as_py() or "")
-                n.append(len(ids) // 4)
-                first.append(hashlib.sha256(ids).hexdigest())
-                second.append(hashlib.sha256(c.decode_bytes(ids)).hexdigest())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(first, pa.string()), pa.array(second, pa.string())], ["id", "n_tokens", "ids_sha256", "decoded_sha256"])
+                rows.append((len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(c.decode_bytes(ids)).hexdigest(), *([_ints(ids)] if with_ids else [])))
+                size += len(ids) // 4
+                if at == len(batch) or size >= TOKENS_PER_BATCH and with_ids:
+                    yield pa.RecordBatch.from_arrays([batch.column(0).slice(start, at - start), *(pa.array(x, k) for x, k in zip(zip(*rows), kinds.values()))], ["id", *kinds])
+                    rows, start, size = [], at, 0
         c.known.clear()  # the worker goes on to other stages
 
-    return d.mapInArrow(run, f"id {d.dtypes[0][1]}, n_tokens long, ids_sha256 string, decoded_sha256 string").withColumnRenamed("id", doc_id)
+    also = ", ids array<int>" if with_ids else ""
+    return d.mapInArrow(run, f"id {d.dtypes[0][1]}, n_tokens long, ids_sha256 string, decoded_sha256 string{also}").withColumnRenamed("id", doc_id)
 
 
 def query(spark, sf_dir: str) -> DataFrame:

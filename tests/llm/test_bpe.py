@@ -89,3 +89,13 @@ def test_other_rank_files(spark):
     reference = tiktoken.Encoding("multi", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
     d = spark.createDataFrame([(1, "Größe und façade 漢字")], "doc_id long, text string")
     assert bpe.encode(d, path=path, pattern=P.PATTERN).select(F.col("ids")).first()[0] == reference.encode_ordinary("Größe und façade 漢字")
+
+
+def test_digests_with_ids(spark):
+    rows = [(1, "one two three"), (2, None), (None, "é🙂 " * 9), (3, "x"), (3, "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = {(r.doc_id, tuple(r.ids)) for r in bpe.encode(docs).collect()}
+    got = bpe.digests(docs, with_ids=True).collect()
+    assert len(got) == 5 and {(r.doc_id, tuple(r.ids)) for r in got} == want and all(len(r.ids) == r.n_tokens for r in got)
+    assert sorted(map(repr, bpe.digests(docs).collect())) == sorted(repr(r) for r in bpe.digests(docs, with_ids=True).drop("ids").collect())
+    assert bpe.digests(docs.limit(0), with_ids=True).count() == 0
