@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import accumulate
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import bound, strip, text_of, token_estimate
+from .structure import Headings, chunk_structs
 
 MAX_CHARS, WINDOW_OVERLAP = 1400, 220
 
@@ -46,65 +49,74 @@ class Packing:
         return max(self.most - self.overlap, self.most // 2)
 
 
+#: Where texts are divided: blank lines, else blanks after the end of a sentence. Fixed values.
+PARAGRAPH, SENTENCE = r"\n\s*\n", r"(?<=[.!?。;:])\s+"
+
+
 def tidy(text: str | None) -> str:
+    """Runs of blanks as one, no zero characters, at most one blank line between others."""
     return re.sub(r"\n{3,}", "\n\n", re.sub(r"[ \t]+", " ", (text or "").replace("\x00", " "))).strip()
 
 
-def _slices(text: str, p: Packing) -> list[str]:
-    return [text[i : i + p.most].strip() for i in range(0, len(text), p.step)]
+def _windows(text: str, p: Packing) -> list[str]:
+    """The text, if it isn't too long, else overlapping windows up to its end, the last of which may hold nothing new."""
+    starts = range(0, len(text), p.step) if len(text) > p.most else [0]
+    return [x for x in (text[s : s + p.most].strip() for s in starts) if x]
 
 
 def settled(chunks: list[str], p: Packing = Packing()) -> list[str]:
-    """Chunks within the limits: longer ones are cut into windows, and short ones join the one before, if there is room,
-    or go."""
-    out: list[str] = []
-    for whole in map(tidy, chunks):
-        for piece in map(tidy, _slices(whole, p) if len(whole) > p.most else [whole]):
-            if len(piece) >= p.least:
-                out.append(piece[: p.most].strip())
-            elif piece and out and len(out[-1]) + 1 + len(piece) <= p.most:
-                out[-1] = f"{out[-1]}\n{piece}"
+    """Chunks within the limits: each window of enough characters, with the shorter ones that follow it as far as there
+    is room. Others, and short ones before the first, go."""
+    pieces = [tidy(x) for c in chunks for x in _windows(tidy(c), p)]
+    firsts = [k for k, x in enumerate(pieces) if len(x) >= p.least]
+    out = []
+    for k, end in zip(firsts, [*firsts[1:], len(pieces)]):
+        room = p.most - len(pieces[k])
+        joined = [pieces[k]]
+        for x in pieces[k + 1 : end]:
+            if x and len(x) < room:
+                joined.append(x)
+                room -= len(x) + 1
+        out.append("\n".join(joined))
     return out
 
 
-def _paragraphs(text: str, p: Packing) -> list[str]:
-    for divide in (r"\n\s*\n", r"(?<=[.!?。;:])\s+"):
-        parts = [x.strip() for x in re.split(divide, text) if x.strip()]
-        if len(parts) > 1:
-            return parts
-    return [text[i : i + p.most] for i in range(0, len(text), p.most)]
+def _parts(text: str, p: Packing) -> list[str]:
+    """Paragraphs; of a text of one paragraph the sentences; of one sentence slices."""
+    by_paragraph, by_sentence = ([x for x in map(str.strip, re.split(by, text)) if x] for by in (PARAGRAPH, SENTENCE))
+    slices = [text[s : s + p.most] for s in range(0, len(text), p.most)]
+    return next((parts for parts in (by_paragraph, by_sentence) if len(parts) > 1), slices)
 
 
 def packed(text: str | None, p: Packing = Packing()) -> list[str]:
-    """Paragraphs, else sentences, else slices, filled into chunks; each begins with the end of the one before.
+    """Parts of a text, as many to a chunk as have room together, each chunk beginning with the end of the one before.
 
-    What is shorter than `least` when the next part doesn't fit is lost; a part longer than `most` is cut into windows,
-    and the part after it begins without overlap.
+    Where a chunk ends is looked up in the running lengths of the parts. A part longer than `most` ends the chunk before
+    it, whatever its length, stands in windows of its own, and the chunk after it begins without overlap. Another chunk
+    of fewer than `least` characters is lost.
     """
     text = tidy(text)
     if len(text) <= p.most:
-        return settled([text] if text else [], p)
+        return settled([text], p)
+    parts = _parts(text, p)
+    ends = [0, *accumulate(len(x) + 1 for x in parts)]  # of each part, with the line end after it
+    long = [k for k, x in enumerate(parts) if len(x) > p.most] + [len(parts)]
     out: list[str] = []
-    held = ""
-
-    def close() -> None:
-        if len(held) >= p.least:
-            out.append(held.strip())
-
-    for part in _paragraphs(text, p):
-        if len(part) > p.most:
-            if held:
-                out.append(held.strip())
-            held = ""
-            out += [x for x in _slices(part, p) if len(x) >= p.least]
+    at, overlap = 0, ""
+    while at < len(parts):
+        stop = long[bisect_left(long, at)]
+        if stop == at:
+            out += [x for x in _windows(parts[at], p) if len(x) >= p.least]
+            at, overlap = at + 1, ""
             continue
-        joined = f"{held}\n{part}".strip() if held else part
-        if len(joined) > p.most:
-            close()
-            before = out[-1][-p.overlap :].strip() if p.overlap > 0 and out else ""
-            joined = f"{before}\n{part}".strip() if p.overlap > 0 and out else part
-        held = joined
-    close()
+        room = ends[at] + p.most + 1 - (len(overlap) + 1 if overlap else 0)
+        end = max(at + 1, min(stop, bisect_right(ends, room) - 1))
+        chunk = "\n".join(([overlap] if overlap else []) + parts[at:end]).strip()
+        cut_off = end == stop < len(parts)
+        if cut_off or len(chunk) >= p.least:
+            out.append(chunk)
+        overlap = out[-1][-p.overlap :].strip() if p.overlap > 0 and out and not cut_off else ""
+        at = end
     return settled(out, p)
 
 
@@ -121,17 +133,30 @@ def pack(text: Column, p: Packing = Packing()) -> Column:
 
 def packed_chunks(rows: DataFrame, doc_id: str, text: str, source: str, source_level: Column | None = None, source_index: Column | None = None, p: Packing = Packing()) -> DataFrame:
     """The columns of rows but the text, and: chunk_id (document:source:index:piece, counted from 1), source,
-    source_level, text, char_count, token_estimate, needs_ocr."""
+    source_level, text, char_count, token_estimate, needs_ocr. Columns of rows that have one of these names go."""
     index = source_index if source_index is not None else F.lit(1)
     level = source_level if source_level is not None else F.lit(source)
-    d = rows.select(*(c for c in rows.columns if c != text), level.alias("source_level"), index.cast("int").alias("_index"), F.posexplode(pack(F.col(text), p)).alias("_piece", "text"))
+    made = ("chunk_id", "source", "source_level", "text", "char_count", "token_estimate", "needs_ocr")
+    kept = [c for c in rows.columns if c != text and c not in made]
+    own = F.struct(level.alias("level"), index.cast("int").alias("index"), F.coalesce(F.nullif(F.col(doc_id).cast("string"), F.lit("")), F.lit("unknown")).alias("id"))
+    d = rows.select(F.struct(*kept).alias("row") if kept else F.lit(None).alias("row"), own.alias("own"), F.posexplode(pack(F.col(text), p)).alias("piece", "text"))
     return d.select(
-        *(c for c in rows.columns if c not in (text, "source_level")),
-        F.format_string("%s:%s:%05d:%03d", F.coalesce(F.nullif(F.col(doc_id).cast("string"), F.lit("")), F.lit("unknown")), F.lit(source), "_index", F.col("_piece") + 1).alias("chunk_id"),
+        *(F.col("row")[c].alias(c) for c in kept),
+        F.format_string("%s:%s:%05d:%03d", "own.id", F.lit(source), "own.index", F.col("piece") + 1).alias("chunk_id"),
         F.lit(source).alias("source"),
-        "source_level",
+        F.col("own.level").alias("source_level"),
         "text",
         F.length("text").alias("char_count"),
         token_estimate(F.col("text")).alias("token_estimate"),
         F.lit(False).alias("needs_ocr"),
     )
+
+
+def chosen_chunks(docs: DataFrame, doc_id: str, text: str, size: int = MAX_CHARS, overlap: int = WINDOW_OVERLAP, least: int = 80, h: Headings = Headings()) -> DataFrame:
+    """Structured chunks (article, clause, point) of documents that have any, else overlapping windows at level
+    `fallback`: doc_id, chunk_no (from 1), level, article_number, clause_number, point_key, chunk, char_count. The choice
+    is made within the row, so nothing is shuffled. Blank texts give no rows."""
+    place = lambda: (F.lit("").alias(k) for k in ("article_number", "clause_number", "point_key"))
+    fallback = F.transform(windows(F.col(text), size, overlap), lambda x: F.struct(F.lit("fallback").alias("level"), *place(), x.alias("chunk")))
+    chosen = bound(chunk_structs(F.col(text), least, h), lambda s: F.when(F.size(s) > 0, s).otherwise(fallback))
+    return docs.select(doc_id, F.posexplode(chosen).alias("n", "x")).select(doc_id, (F.col("n") + 1).alias("chunk_no"), "x.*", F.length("x.chunk").alias("char_count"))

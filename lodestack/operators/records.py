@@ -9,6 +9,7 @@ from ..functions.dates import date_iso, datetime_iso
 from ..functions.ids import all_urls, attachment_type, classified, document_id, id_type, relation_type, stable_id
 from ..functions.text import clean_document, clean_text, strip, text_of
 from .quality import quality_flags, quality_score
+from .structure import parts
 
 _NAMED = "struct<name:string>"
 _PERSON = "struct<personName:string,jobTitleName:string,agencyName:string>"
@@ -19,6 +20,14 @@ DETAIL = (
     "documentRelatedList array<struct<relatedDocumentId:string,targetDocumentId:string,sourceDocumentId:string,id:string,relatedType:string,title:string,relatedTitle:string>>, "
     "documentContent string"
 )
+#: Patterns of headers and numbers of documents. Fixed values.
+NATIONAL_TITLE = "CỘNG HÒA XÃ HỘI CHỦ NGHĨA VIỆT NAM"
+HEADER_CODE = r"(?iuU)Số\s*:\s*([0-9]+/\d{4}/[A-Za-zÀ-ỹĐđ0-9\-]+)"
+ISSUING_BODY = "uy ban|hoi dong|chinh phu"
+PLACE_DATE = r"(?iuU),\s*ngày\s+\d{1,2}\s+tháng\s+\d{1,2}\s+năm\s+\d{4}"
+MOTTO = r"(?iuU)^.*Hạnh phúc\s+"
+LEGAL_BASE = r"(?iu)(Căn cứ[^;\n]+;|Theo đề nghị[^;\n]+;)"
+NUMBER = r"\b\d+/\d{4}/[A-Z0-9\-]+\b"
 FILES = "array<struct<fileName:string,originalFileName:string,presignedUrl:string>>"
 
 
@@ -107,62 +116,90 @@ def from_detail(details: DataFrame, doc_id: str = "doc_id", detail: str = "detai
     )
 
 
-def rag_ready(records: DataFrame) -> DataFrame:
-    """Records without page sources, with links by kind, clean content, score and flags."""
+def rag_ready(records: DataFrame, chunks: DataFrame | None = None, key: str = "canonical_doc_id") -> DataFrame:
+    """Records without page sources, with links by kind, clean content, score, flags and header fields, and, given
+    chunks, chunk_count: those of the record's document, 0 without any."""
     kinds = classified(all_urls(F.col("attachments"), F.col("file_urls")))
     r = records.withColumns(kinds | {"content_clean": clean_text(F.col("content_text"))})
-    c = {k: F.col(k) for k in ("title", "document_type", "document_number", "issued_date", "issued_at", "issuing_agency", "source_url", "content_clean")}
+    c = {k: F.col(k) if k in r.columns else F.lit("") for k in ("title", "document_type", "document_number", "issued_date", "issued_at", "issuing_agency", "source_url", "content_clean")}
     date = F.concat(text_of(c["issued_date"]), text_of(c["issued_at"]))
     score = quality_score(c["title"], c["document_type"], c["document_number"], date, c["issuing_agency"], c["source_url"], c["content_clean"])
     flags = quality_flags(c["title"], c["document_type"], c["document_number"], c["issued_date"], c["content_clean"])
-    return r.withColumns({"quality_score": score, "quality_flags": flags}).drop("attachments", "file_urls", "related_documents", "content_text")
+    r = r.withColumns({"quality_score": score, "quality_flags": flags} | header_fields(F.col("content_clean")))
+    r = r.drop("attachments", "file_urls", "related_documents", "content_text", "full_html_content", "content_html", "articles", "candidate_fields")
+    if chunks is None:
+        return r
+    counts = chunks.groupBy(key).agg(F.count("*").alias("chunk_count"))
+    return r.join(counts, key, "left").withColumn("chunk_count", F.coalesce("chunk_count", F.lit(0)))
 
 
-def header_fields(content: Column, title: str = "CỘNG HÒA XÃ HỘI CHỦ NGHĨA VIỆT NAM", bases: int = 12) -> dict[str, Column]:
+def header_fields(content: Column, title: str = NATIONAL_TITLE, bases: int = 12) -> dict[str, Column]:
     """Code, national title, issuing body (of the first 20 lines), place and date (of the first 30), legal bases."""
     from ..functions.text import collapse, lines, normalize_for_match
 
     ls, text = lines(content), collapse(text_of(content))
-    code = F.regexp_extract(text, r"(?iuU)Số\s*:\s*([0-9]+/\d{4}/[A-Za-zÀ-ỹĐđ0-9\-]+)", 1)
-    body = F.filter(F.slice(ls, F.lit(1), F.lit(20)), lambda x: normalize_for_match(x).rlike("uy ban|hoi dong|chinh phu"))
-    place = F.filter(F.slice(ls, F.lit(1), F.lit(30)), lambda x: x.rlike(r"(?iuU),\s*ngày\s+\d{1,2}\s+tháng\s+\d{1,2}\s+năm\s+\d{4}"))
-    return {
+    code = F.regexp_extract(text, HEADER_CODE, 1)
+    body = F.filter(F.slice(ls, F.lit(1), F.lit(20)), lambda x: normalize_for_match(x).rlike(ISSUING_BODY))
+    place = F.filter(F.slice(ls, F.lit(1), F.lit(30)), lambda x: x.rlike(PLACE_DATE))
+    found = {
         "header_document_code": F.when(code != "", F.concat(F.lit("Số: "), code)).otherwise(""),
         "header_national_title": F.regexp_extract(text, f"(?iu){title}", 0),
         "header_issuing_body": F.coalesce(F.get(body, F.lit(0)), F.lit("")),
-        "header_place_date": F.coalesce(strip(F.regexp_replace(F.get(place, F.lit(0)), r"(?iuU)^.*Hạnh phúc\s+", "")), F.lit("")),
-        "header_legal_bases": F.slice(F.regexp_extract_all(text_of(content), F.lit(r"(?iu)(Căn cứ[^;\n]+;|Theo đề nghị[^;\n]+;)"), F.lit(1)), F.lit(1), F.lit(bases)),
+        "header_place_date": F.coalesce(strip(F.regexp_replace(F.get(place, F.lit(0)), MOTTO, "")), F.lit("")),
+        "header_legal_bases": F.slice(F.regexp_extract_all(text_of(content), F.lit(LEGAL_BASE), F.lit(1)), F.lit(1), F.lit(bases)),
     }
+    return {name: c.alias(name) for name, c in found.items()}
 
 
-def from_page(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    """Records of plain pages: title, content, links and labelled values from the page itself."""
-    from ..functions.html import html_content, html_file_links, html_pairs, html_related_links, html_title
+#: Labels of the fields of a page: parts of normalised labels. Fixed values.
+LABELS = {
+    "document_number": ("so ky hieu", "so hieu", "so van ban", "so"),
+    "document_type": ("loai van ban", "hinh thuc", "ten loai"),
+    "summary": ("trich yeu", "noi dung", "ten goi", "tom tat"),
+    "issuing_agency": ("co quan ban hanh", "co quan"),
+    "signer": ("nguoi ky", "chuc danh", "ky boi"),
+    "issued_date": ("ngay ban hanh", "ngay ky"),
+    "effective_date": ("ngay co hieu luc", "hieu luc tu ngay"),
+    "expired_date": ("ngay het hieu luc",),
+    "gazette_date": ("ngay cong bao",),
+    "status": ("tinh trang hieu luc", "trang thai"),
+    "field": ("linh vuc", "nganh", "pham vi"),
+}
 
-    u, h = F.col(url), F.col(html)
-    p = pages.select(
-        u.alias("source_url"), html_title(h).alias("title"), html_content(h).alias("_c"), html_pairs(h).alias("_p"), html_file_links(h, u).alias("file_urls"), html_related_links(h, u).alias("related_urls")
-    )
-    labelled = lambda *synonyms: F.coalesce(
-        F.get(
-            F.flatten(F.transform(F.filter(F.map_entries("_p"), lambda e: F.exists(F.array(*map(F.lit, synonyms)), lambda s: F.contains(e["key"], s))), lambda e: F.filter(e["value"], lambda v: strip(v) != ""))),
-            F.lit(0),
-        ),
-        F.lit(""),
-    )
-    content = clean_document(F.col("_c"))
-    number = F.regexp_extract(content, r"\b\d+/\d{4}/[A-Z0-9\-]+\b", 0)
+
+def from_page(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
+    """Records of plain pages, in the columns of an API record: title, content, links and labelled values come from the
+    page, which is parsed once. A number that isn't labelled is looked for in the page's text; a type that isn't stays
+    blank. Null pages give blank records."""
+    from ..functions.html import by_label, html_page, labelled, values
+
+    page = pages.select(F.col(url).alias("source_url"), F.col(html).alias("full_html_content"), html_page(F.col(html), F.col(url)).alias("page"))
+    said = {name: strip(labelled(F.col("page.facts"), *synonyms)) for name, synonyms in LABELS.items()}
+    p = page.select("*", F.struct(*(c.alias(k) for k, c in said.items())).alias("said"), clean_document(F.col("page.content")).alias("content_text"), values(F.col("page.facts"), "file").alias("file_urls"))
+    said = {name: F.col(f"said.{name}") for name in LABELS}
+    as_attachment = lambda u: F.struct(F.lit("").alias("file_name"), F.lit("").alias("display_name"), F.lit("url").alias("file_type"), u.alias("url"))
     return p.select(
         stable_id(F.col("source_url")).alias("id"),
         document_id(F.col("source_url")).alias("canonical_doc_id"),
+        id_type(document_id(F.col("source_url"))).alias("id_type"),
+        _filled(F.col("page.title"), said["summary"]).alias("title"),
+        said["document_type"].alias("document_type"),
+        _filled(said["document_number"], F.regexp_extract("page.text", NUMBER, 0)).alias("document_number"),
+        *(said[k].alias(k) for k in ("summary", "issuing_agency", "signer")),
+        *(date_iso(said[k]).alias(k) for k in ("issued_date", "effective_date", "expired_date", "gazette_date")),
+        *(F.lit("").alias(k) for k in ("updated_date", "updated_at")),
+        *(said[k].alias(k) for k in ("status", "field")),
         "source_url",
-        "title",
-        _filled(labelled("so hieu", "so ky hieu"), number).alias("document_number"),
-        labelled("loai van ban").alias("document_type"),
-        labelled("co quan ban hanh").alias("issuing_agency"),
-        date_iso(labelled("ngay ban hanh")).alias("issued_date"),
-        labelled("tinh trang").alias("status"),
         "file_urls",
-        "related_urls",
-        content.alias("content_text"),
+        values(F.col("page.facts"), "related").alias("related_documents"),
+        F.transform("file_urls", as_attachment).alias("attachments"),
+        "full_html_content",
+        parts(F.col("content_text")).alias("articles"),
+        "content_text",
+        by_label(F.col("page.facts"), 2).alias("candidate_fields"),
     )
+
+
+def full(records: DataFrame, content: str = "full_html_content") -> DataFrame:
+    """Records with the links of all attachments and files, and the content as it came."""
+    return records.withColumns({"file_urls": all_urls(F.col("attachments"), F.col("file_urls")), "content_html": text_of(F.col(content))})

@@ -121,9 +121,8 @@ def structured(docs: DataFrame, doc_id: str, text: str, h: Headings = Headings()
     return docs.select(doc_id, F.explode(parts(F.col(text), h)).alias("x")).select(doc_id, "x.*")
 
 
-def structured_chunks(docs: DataFrame, doc_id: str, text: str, least: int = 80, h: Headings = Headings()) -> DataFrame:
-    """Chunks of articles, clauses and points with their headings: doc_id, chunk_no, level, numbers and keys, chunk,
-    char_count. Empty parts and chunks shorter than `least` are left out and take no number. Map-only."""
+def chunk_structs(text: Column, least: int = 80, h: Headings = Headings()) -> Column:
+    """array<struct<level,article_number,clause_number,point_key,chunk>>: articles, clauses and points with their headings."""
 
     def chunk(x: Column) -> Column:
         number, title = x["article_number"], x["article_title"]
@@ -136,6 +135,11 @@ def structured_chunks(docs: DataFrame, doc_id: str, text: str, least: int = 80,
         )
         return F.struct(*(x[k].alias(k) for k in ("level", "article_number", "clause_number", "point_key")), F.regexp_replace(strip(whole), "\n{3,}", "\n\n").alias("chunk"))
 
-    made = F.transform(F.filter(parts(F.col(text), h), lambda x: x["content"] != ""), chunk)
-    kept = F.filter(made, lambda x: F.length(x["chunk"]) >= least)
-    return docs.select(doc_id, F.posexplode(kept).alias("n", "x")).select(doc_id, (F.col("n") + 1).alias("chunk_no"), "x.*", F.length("x.chunk").alias("char_count"))
+    made = F.transform(F.filter(parts(text, h), lambda x: x["content"] != ""), chunk)
+    return F.filter(made, lambda x: F.length(x["chunk"]) >= least)
+
+
+def structured_chunks(docs: DataFrame, doc_id: str, text: str, least: int = 80, h: Headings = Headings()) -> DataFrame:
+    """Chunks of articles, clauses and points with their headings: doc_id, chunk_no, level, numbers and keys, chunk,
+    char_count. Empty parts and chunks shorter than `least` are left out and take no number. Map-only."""
+    return docs.select(doc_id, F.posexplode(chunk_structs(F.col(text), least, h)).alias("n", "x")).select(doc_id, (F.col("n") + 1).alias("chunk_no"), "x.*", F.length("x.chunk").alias("char_count"))
