@@ -306,12 +306,6 @@ def block_merge(spark, sf_dir):
     return t(spark, sf_dir, "documents").select("doc_id", b.alias("b")).where(F.size("b") > 0).select("doc_id", F.size("b").cast("long").alias("blocks"), F.sha2(F.array_join("b", "\n"), 256).alias("digest"))
 
 
-@query()
-def packed_chunks(spark, sf_dir):
-    d = t(spark, sf_dir, "documents").select("doc_id", "lang", "text")
-    return chunking.packed_chunks(d, "doc_id", "text", "content_clean")
-
-
 @query()
 def repaired_blocks(spark, sf_dir):
     blocks = F.filter(F.transform(html.html_blocks(F.col("html")), text.repair_block), lambda b: b != "")
@@ -323,12 +317,6 @@ def html_title(spark, sf_dir):
     return t(spark, sf_dir, "pages").select("page_id", html.html_title(F.col("html")).alias("title"))
 
 
-@query()
-def html_links(spark, sf_dir):
-    p = t(spark, sf_dir, "pages")
-    return p.select("page_id", F.posexplode(html.html_links(F.col("html"), F.col("url"), host="example.com")).alias("n", "link"))
-
-
 @query()
 def page_records(spark, sf_dir):
     return records.from_page(t(spark, sf_dir, "pages"))
