@@ -70,3 +70,11 @@ def cutoff(latest: Column, overlap_days: int = 1, now: Column | None = None) ->
     """Where an incremental run starts: midnight `overlap_days` before the day of `latest`, not in the future."""
     start = F.date_trunc("day", latest) - F.make_dt_interval(F.lit(overlap_days))
     return F.least(start, now if now is not None else F.current_timestamp())
+
+
+def index_timestamp(c: Column) -> Column:
+    """The timestamp of a date or time for an index; null where there is none. Texts with an offset are taken to UTC,
+    whatever the machine's own zone; others are as written; d/m/yyyy isn't read."""
+    raw = _raw(c)
+    known = F.when(_is_timed(raw), _timed_ok(raw)).otherwise(_valid_day(raw).isNotNull())
+    return F.when(known, F.try_to_timestamp(F.nullif(datetime_iso(c), F.lit("")), F.lit("yyyy-MM-dd'T'HH:mm:ss")))

@@ -10,15 +10,6 @@ from pyspark.sql import functions as F
 
 from ..functions.text import strip, text_of
 
-#: Rows up to which a side is broadcast; it is counted (that many rows at most) before.
-BROADCAST_ROWS = 100_000
-
-
-def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """df, marked for broadcast if it has few rows; else as it is, for a shuffled join."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
-
-
 def last_wins(rows: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """The last row of each key by `order`; rows with a blank key are left out.
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import re
 import unicodedata
 from collections.abc import Iterable, Sequence
@@ -10,6 +11,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.text import normalize_for_match, strip, text_of
 
@@ -59,8 +61,32 @@ def keyword_hit(text: Column, keyword: str) -> Column:
     return F.contains(text, F.lit(k))
 
 
-def flattened(c: Column, kind: str) -> Column:
-    return F.array_join(c, " ") if kind.startswith("array<string") else text_of(c)
+def flattened(c: Column, kind: str | T.DataType) -> Column:
+    """One text of a value: values of structs and maps and items of lists, at any depth, joined by blanks; null is ""."""
+    kind = T._parse_datatype_string(kind) if isinstance(kind, str) else kind
+    if isinstance(kind, T.StructType):
+        return F.concat_ws(" ", *(F.nullif(flattened(c[f.name], f.dataType), F.lit("")) for f in kind.fields))
+    if isinstance(kind, T.ArrayType):
+        return F.coalesce(F.array_join(F.filter(F.transform(c, lambda x: flattened(x, kind.elementType)), lambda x: x != ""), " "), F.lit(""))
+    if isinstance(kind, T.MapType):
+        return flattened(F.map_values(c), T.ArrayType(kind.valueType))
+    return text_of(c.cast("string"))
+
+
+def load_topics(text: str) -> list[Topic]:
+    """Topics of a JSON text: a list of objects with slug, name and keywords, or an object of such by slug."""
+    given = json.loads(text)
+    rows = [{"slug": k, **v} for k, v in given.items()] if isinstance(given, dict) else given
+    topics = [Topic(str(r["slug"]).strip(), str(r.get("name") or r["slug"]).strip(), tuple(distinct_keywords(map(str, r.get("keywords", ()))))) for r in rows]
+    if len({t.slug for t in topics}) < len(topics):
+        raise ValueError("a slug comes twice")
+    return topics
+
+
+def filtered(matched: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows of match_topics() that have a topic, and one row of how many were kept and filtered_out."""
+    has = F.size("topic_labels") > 0
+    return matched.where(has), matched.agg(F.count_if(has).alias("kept"), F.count_if(~has).alias("filtered_out"))
 
 
 def match_topics(docs: DataFrame, fields: Sequence[str], topics: Sequence[Topic], limit: int | None = None) -> DataFrame:

@@ -41,3 +41,13 @@ def pdf_texts(files: DataFrame, most_pages: int = 80) -> DataFrame:
             yield pd.DataFrame(rows, columns=["path", "text", "issue"])
 
     return files.select("path", "content").mapInPandas(run, "path string, text string, issue string")
+
+
+def pdf_of_documents(docs: DataFrame, texts: DataFrame, key: str, urls: str = "pdf_urls", most_urls: int = 1) -> DataFrame:
+    """key, text, pdf_url, issue of each document: the first text that isn't empty among those of its first `most_urls`
+    different links; else the issue of the first of them, no_pdf_url without any. texts: path (the link), text, issue."""
+    d = docs.select(key, F.slice(F.array_distinct(F.filter(F.coalesce(urls, F.array().cast("array<string>")), lambda u: F.trim(u) != "")), 1, most_urls).alias("links"))
+    each = d.select(key, F.posexplode("links").alias("n", "path")).join(texts.select("path", "text", "issue"), "path", "left")
+    tried = F.struct((F.coalesce(F.col("text"), F.lit("")) == "").alias("empty"), "n", F.coalesce("text", F.lit("")).alias("text"), F.col("path").alias("pdf_url"), F.coalesce("issue", F.lit("pdf_extract_failed")).alias("issue"))
+    best = each.groupBy(key).agg(F.min(tried).alias("b")).select(key, "b.text", "b.pdf_url", F.when(F.col("b.empty"), F.col("b.issue")).otherwise("").alias("issue"))
+    return d.select(key).join(best, key, "left").select(key, F.coalesce("text", F.lit("")).alias("text"), "pdf_url", F.coalesce("issue", F.lit("no_pdf_url")).alias("issue"))

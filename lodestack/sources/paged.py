@@ -3,16 +3,17 @@
 from __future__ import annotations
 
 import json
-import os
 from collections.abc import Iterator
 
-from pyspark.sql import SparkSession
+from pyarrow import fs
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 
-def page_size(limit: int | None) -> int:
-    """At least 5 and at most 50."""
-    return min(max(limit or 50, 5), 50)
+def _opened(folder: str) -> tuple[fs.FileSystem, str]:
+    store, path = fs.FileSystem.from_uri(folder) if "://" in folder or folder.startswith(("/", "file:")) else (fs.LocalFileSystem(), folder)
+    return store, path.rstrip("/")
 
 
 class SavedPage(InputPartition):
@@ -28,8 +29,10 @@ class PagedReader(DataSourceReader):
         self.folder, self.pattern = options["path"], options.get("pattern", "page_{:05d}.json")
 
     def partitions(self) -> list[InputPartition]:
+        store, folder = _opened(self.folder)
+        there = {f.path for f in store.get_file_info(fs.FileSelector(folder, allow_not_found=True))}
         found, n = [], 1
-        while os.path.exists(path := os.path.join(self.folder, self.pattern.format(n))):
+        while (path := f"{folder}/{self.pattern.format(n)}") in there:
             found.append(SavedPage(path, n))
             n += 1
         return found or [SavedPage("", 0)]
@@ -37,12 +40,14 @@ class PagedReader(DataSourceReader):
     def read(self, partition: SavedPage) -> Iterator[tuple]:
         if not partition.path:
             return
-        with open(partition.path, encoding="utf-8-sig") as f:
-            page = json.load(f)
+        with _opened(self.folder)[0].open_input_stream(partition.path) as f:
+            page = json.loads(f.read().decode("utf-8-sig"))
+        total = page.get("total") if isinstance(page, dict) else None
+        total = int(total) if isinstance(total, (int, float)) or isinstance(total, str) and total.isdecimal() else None
         items = page.get("items", []) if isinstance(page, dict) else page
         for place, item in enumerate(items):
             if isinstance(item, dict):
-                yield partition.number, place, str(item.get("id") or ""), json.dumps(item, ensure_ascii=False)
+                yield partition.number, place, str(item.get("id") or ""), json.dumps(item, ensure_ascii=False), total
 
 
 class PagedSource(DataSource):
@@ -51,7 +56,7 @@ class PagedSource(DataSource):
         return "saved_pages"
 
     def schema(self) -> str:
-        return "page int, place int, id string, item string"
+        return "page int, place int, id string, item string, total int"
 
     def reader(self, schema) -> DataSourceReader:
         return PagedReader(self.options)
@@ -59,3 +64,21 @@ class PagedSource(DataSource):
 
 def register(spark: SparkSession) -> None:
     spark.dataSource.register(PagedSource)
+
+
+def listed(items: DataFrame, limit: int | None = None, old: Column | None = None, early_stop: bool = True, least_size: int = 5, most_size: int = 50) -> DataFrame:
+    """Items as a listing would give them: the first of each id, none that is blank or `old`, and `limit` at most.
+
+    Pages end where the total says so, for pages of as many items as were asked for (the limit, within the two sizes),
+    and after a page all of whose items are old. That stop can miss an old document that was updated late;
+    early_stop=False reads on. Only numbers of pages meet in one place.
+    """
+    size = min(max(limit or most_size, least_size), most_size)
+    is_old = F.coalesce(old, F.lit(False)) if old is not None else F.lit(False)
+    i = items.where(F.trim("id") != "").withColumn("is_old", is_old)
+    pages = i.groupBy("page").agg(F.bool_and("is_old").alias("all_old"), F.max("total").alias("total"))
+    ends = F.col("total").isNotNull() & (F.col("page") * size >= F.col("total"))
+    stops = pages.where(ends | (F.col("all_old") if early_stop and old is not None else F.lit(False))).agg(F.min("page").alias("last"))
+    kept = i.join(F.broadcast(stops)).where(F.col("last").isNull() | (F.col("page") <= F.col("last"))).where("NOT is_old")  # one row
+    first = kept.groupBy("id").agg(F.min(F.struct("page", "place", "item")).alias("f")).select("f.page", "f.place", "id", "f.item")
+    return first.orderBy("page", "place").limit(limit) if limit is not None else first

@@ -2,21 +2,17 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame
 
+from ..sources.storage import shared_folder
+
 
 def drained(stream: DataFrame) -> DataFrame:
     """The stream's rows, all that are available now, as a table in the shared folder."""
     spark = stream.sparkSession
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if not base and spark.sparkContext.master.startswith("local"):
-        base = tempfile.mkdtemp(prefix="lodestack-stream-")
-    if not base:
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    path = f"{base.rstrip('/')}/stream-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
     run = stream.writeStream.format("parquet").option("path", f"{path}/rows").option("checkpointLocation", f"{path}/state").trigger(availableNow=True).start()
     run.awaitTermination()
     return spark.read.schema(stream.schema).parquet(f"{path}/rows")

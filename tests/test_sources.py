@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lodestack.operators.retrieval import upserted
-from lodestack.sources import binary, jsonl, paged
+from lodestack.sources import binary, collections, jsonl, paged
 from lodestack.streaming import incremental
 
 
@@ -20,7 +20,33 @@ def test_jsonl_scans(spark, tmp_path):
     z = tmp_path / "b.jsonl.gz"
     z.write_bytes(gzip.compress(b'{"a": 3}\n{"a": 4}\n'))
     assert sorted(r.a for r in jsonl.scan(spark, str(z), "a int").collect()) == [3, 4]
-    assert jsonl.scan(spark, str(z), "a int", limit=1).count() == 1
+    assert [r.a for r in jsonl.scan(spark, str(z), "a int", limit=1).collect()] == [3]
+    assert jsonl.scan(spark, str(tmp_path / "none*.jsonl"), "a int").collect() == []
+    with pytest.raises(Exception, match=r"a\.jsonl:\d+: not a JSON line"):
+        jsonl.scan(spark, str(p), "a int").collect()
+
+
+def test_line_numbers(spark, tmp_path):
+    for name, n in (("x", 3000), ("y", 7)):
+        (tmp_path / f"{name}.jsonl").write_text("".join(json.dumps({"a": k, "pad": "p" * 50}) + "\n" for k in range(n)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        rows = jsonl.numbered(spark, str(tmp_path)).collect()
+        assert len(rows) == 3007 and all(json.loads(r.value)["a"] == r.line - 1 for r in rows)
+        assert [r.a for r in jsonl.scan(spark, str(tmp_path), "a int, bad string", limit=5).collect()] == [0, 1, 2, 3, 4]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_snapshots_and_collections(spark, tmp_path):
+    jsonl.snapshots(spark.createDataFrame([("a", "{}")], "id string, body string"), f"{tmp_path}/raw", "list", F.lit("2024-01-01"))
+    assert [(r.id, r.kind, str(r.day)) for r in spark.read.parquet(f"{tmp_path}/raw").collect()] == [("a", "list", "2024-01-01")]
+    root, schema = str(tmp_path), "id string, embedding array<float>"
+    assert collections.create(spark, root, "c", schema).count() == 0
+    spark.createDataFrame([("a", [1.0])], schema).write.mode("append").parquet(f"{root}/c")
+    assert collections.create(spark, root, "c", schema).count() == 1
+    assert spark.read.parquet(collections.backed_up(spark, root, "c", "20240101")).count() == 1
+    assert collections.backed_up(spark, root, "c", "20240102") is None and collections.reset(spark, root, "c", schema).count() == 0
 
 
 def test_jsonl_sinks(spark, tmp_path):
@@ -48,7 +74,25 @@ def test_paged_source(spark, tmp_path):
     got = spark.read.format("saved_pages").option("path", str(tmp_path)).load().orderBy("page", "place").collect()
     assert [r.id for r in got] == ["a", "b", "c"] and json.loads(got[0].item) == {"id": "a"}
     assert spark.read.format("saved_pages").option("path", str(tmp_path / "none")).load().count() == 0
-    assert [paged.page_size(n) for n in (1, 20, 500, None)] == [5, 20, 50, 50]
+
+
+def test_listing_rules(spark):
+    rows = [(1, 0, "a", "2024-02-01", 14), (1, 1, "b", "2023-01-01", 14), (2, 0, "a", "2024-02-01", 14), (2, 1, " ", "", 14), (2, 2, "c", "2024-01-05", 14), (3, 0, "d", "2023-01-01", 14), (4, 0, "e", "2024-03-01", 14)]
+    items = spark.createDataFrame([(p, n, i, d, t) for p, n, i, d, t in rows], "page int, place int, id string, item string, total int")
+    ids = lambda **more: [r.id for r in paged.listed(items, **more).orderBy("page", "place").collect()]
+    old = F.col("item") < "2024-01-01"
+    assert ids() == ["a", "b"] and ids(least_size=5, limit=5) == ["a", "b", "c", "d"] and ids(limit=1) == ["a"]  # 14 items: one page of 50, three of 5
+    big = items.withColumn("total", F.lit(None).cast("int"))
+    listed = lambda **more: [r.id for r in paged.listed(big, **more).orderBy("page", "place").collect()]
+    assert listed() == ["a", "b", "c", "d", "e"] and listed(old=old) == ["a", "c"] and listed(old=old, early_stop=False) == ["a", "c", "e"]
+
+
+def test_pdf_of_documents(spark):
+    docs = spark.createDataFrame([("a", ["u1", "u2", "u2", "u3"]), ("b", []), ("c", None), ("d", ["u1"]), ("e", ["gone"])], "k string, pdf_urls array<string>")
+    texts = spark.createDataFrame([("u1", "", "pdf_too_large"), ("u2", "two", ""), ("u3", "three", "")], "path string, text string, issue string")
+    got = lambda n: sorted(map(tuple, binary.pdf_of_documents(docs, texts, "k", most_urls=n).collect()))
+    assert got(3)[0] == ("a", "two", "u2", "") and got(1)[0] == ("a", "", "u1", "pdf_too_large")
+    assert got(1)[1:] == [("b", "", None, "no_pdf_url"), ("c", "", None, "no_pdf_url"), ("d", "", "u1", "pdf_too_large"), ("e", "", "gone", "pdf_extract_failed")]
 
 
 def test_binary(spark, tmp_path):
@@ -69,6 +113,21 @@ def test_incremental(spark, tmp_path):
     assert [r.id for r in incremental.new_rows(batch, stored, [("id", "id"), ("url", "url")]).collect()] == ["3"]
 
 
+def test_runs(spark):
+    found = spark.createDataFrame([("1", "ok"), ("2", "no"), ("3", "bad"), ("3", "bad"), ("4", "ok"), ("5", "ok"), ("5", "ok")], "id string, s string")
+    stored = spark.createDataFrame([("4",)], "id string")
+    row = incremental.run_counts(found, stored, "id", F.col("s") != "no", F.col("s") == "bad").first()
+    assert row.asDict() == {"discovered": 7, "duplicates": 3, "filtered": 1, "failed": 1, "saved": 2}
+    rows, seen = incremental.counted(found, "run", bad=F.col("s") == "bad")
+    assert rows.count() == 7 and seen.get == {"n": 7, "bad": 2}
+    batch = spark.createDataFrame([("9", "b"), ("9", "a"), ("", "x"), ("", "x"), ("4", "z")], "id string, s string")
+    assert sorted(map(tuple, incremental.backfilled(batch, stored, [("id", "id")]).collect())) == [("", "x"), ("", "x"), ("9", "a")]
+    derived = incremental.repaired(found.distinct(), "id", {"clean": (stored, lambda d: d.select("id", F.upper("s").alias("t")))})
+    assert sorted(r.id for r in derived["clean"].collect()) == ["1", "2", "3", "5"]
+    days = spark.createDataFrame([("a", "01/02/2024"), ("b", ""), ("c", "2024-03-01"), ("d", "2024-03-01")], "id string, day string")
+    assert [r.id for r in incremental.newest_first(days, "day", "id").collect()] == ["c", "d", "a", "b"]
+
+
 def test_stream_into_versions(spark, tmp_path):
     state = {}
 
