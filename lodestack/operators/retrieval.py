@@ -21,15 +21,30 @@ def query_terms(query: Column) -> tuple[Column, Column, Column]:
     return q, terms, F.filter(pairs, lambda p: p.isNotNull())
 
 
-def _hits(parts: Column, text: Column, points: int) -> Column:
-    return F.aggregate(parts, F.lit(0), lambda s, p: s + F.when(F.contains(text, p), points).otherwise(0))
+def _points(found: Column) -> Column:
+    return F.aggregate(found, F.lit(0), lambda s, p: s + p)
 
 
 def lexical_score(title: Column, body: Column, query: Column, terms: Column, bigrams: Column) -> Column:
     """50 for the whole query, 8 for each bigram in title and body, 4 for each term in the title, 1 for each in the body;
-    all by substrings of normalised texts, repeated terms counted again."""
-    both = lambda text: F.when((query != "") & F.contains(text, query), 50).otherwise(0) + _hits(bigrams, text, 8)
-    return bound(strip(F.concat(title, F.lit(" "), body)), both) + _hits(terms, title, 4) + _hits(terms, body, 1)
+    all by substrings of normalised texts, repeated terms counted again.
+
+    Texts are searched for terms first: a bigram can only be where both of its terms are, the query where all are.
+    """
+    seen = F.transform(terms, lambda t: F.struct(F.contains(title, t).alias("t"), F.contains(body, t).alias("b")))
+
+    def scored(f: Column) -> Column:
+        there = lambda i: F.coalesce(F.get(f, i)["t"] | F.get(f, i)["b"], F.lit(False))
+        by_term = _points(F.transform(f, lambda x: 4 * x["t"].cast("int") + x["b"].cast("int")))
+
+        def by_whole(text: Column) -> Column:
+            pairs = _points(F.transform(bigrams, lambda p, i: F.when(there(i) & there(i + 1), F.when(F.contains(text, p), 8).otherwise(0)).otherwise(0)))
+            every = F.forall(f, lambda x: x["t"] | x["b"])
+            return pairs + F.when((query != "") & every, F.when(F.contains(text, query), 50).otherwise(0)).otherwise(0)
+
+        return by_term + bound(strip(F.concat(title, F.lit(" "), body)), by_whole)
+
+    return bound(seen, scored)
 
 
 def best(rows: DataFrame, group: Sequence[str], order: Sequence[Column], k: int, rank: str = "rank") -> DataFrame:

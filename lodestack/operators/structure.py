@@ -1,7 +1,7 @@
 """Articles, clauses and points of a text from its lines, and the chunks they make.
 
-The parse is a running sum of starts over the lines of one document. It stays within the row: lines are an array, starts
-are numbered by one pass over it, so there is no shuffle and no sort, however long one document is.
+The parse is running sums of starts over the lines of one document. It stays within the row: lines are an array, so there
+is no shuffle and no sort, however long one document is, and the work grows with its lines.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import bound, lines, normalize_for_match, strip
+from ..functions.text import bound, lines, normalize_for_match, running, strip
 
 
 @dataclass(frozen=True)
@@ -49,33 +49,50 @@ def tagged_lines(text: Column, h: Headings = Headings()) -> Column:
         ),
     )
 
-    def step(s: Column, x: Column) -> Column:
-        i = F.size(s["out"])
-        is_a = x["article"] != ""
-        is_c = ~is_a & (x["clause"] != "") & (s["a"] > 0)
-        is_p = ~is_a & ~is_c & (x["point"] != "") & (s["c"] > 0)
-        a = s["a"] + is_a.cast("int")
-        c = F.when(is_a, 0).otherwise(s["c"] + is_c.cast("int"))
-        k = s["k"] + is_c.cast("int")
-        p = F.when(is_a | is_c, 0).otherwise(s["p"] + is_p.cast("int"))
-        line = F.struct(
-            F.when(is_a, "article").when(is_c, "clause").when(is_p, "point").otherwise("text").alias("kind"),
-            i.alias("i"),
-            a.alias("a"),
-            c.alias("c"),
-            p.alias("p"),
-            k.alias("k"),
-            F.when(is_a, x["article"]).when(is_c, x["clause"]).when(is_p, F.lower(x["point"])).otherwise("").alias("key"),
-            F.when(is_a, strip(F.regexp_replace(x["x"], h.article_raw, "")))
-            .when(is_c, strip(F.regexp_extract(x["x"], h.clause, 2)))
-            .when(is_p, strip(F.regexp_extract(x["x"], h.point, 2)))
-            .otherwise(x["x"])
-            .alias("text"),
-        )
-        return F.struct(a.alias("a"), c.alias("c"), p.alias("p"), k.alias("k"), F.array_append(s["out"], line).alias("out"))
+    yes = lambda test: test.cast("int")
+    at = lambda numbers, places: F.coalesce(F.get(numbers, places - 1), F.lit(0))
+
+    def numbered(s: Column) -> Column:
+        """Articles and clauses are counted over the whole text; a number within an article or clause is such a count
+        less what it was where the article or clause began."""
+        is_a = lambda x: x["article"] != ""
+        return bound(running(F.transform(s, lambda x: yes(is_a(x)))), lambda a: with_articles(s, is_a, a))
+
+    def with_articles(s: Column, is_a, a: Column) -> Column:
+        is_c = lambda x, i: ~is_a(x) & (x["clause"] != "") & (F.get(a, i) > 0)
+        return bound(running(F.transform(s, lambda x, i: yes(is_c(x, i)))), lambda k: with_clauses(s, is_a, is_c, a, k))
 
-    start = F.struct(*(F.lit(0).alias(x) for x in "acpk"), F.array().cast(f"array<{LINE}>").alias("out")).cast(f"struct<a:int,c:int,p:int,k:int,out:array<{LINE}>>")
-    return F.aggregate(seen, start, step, lambda s: s["out"])
+    def with_clauses(s: Column, is_a, is_c, a: Column, k: Column) -> Column:
+        before = F.filter(F.transform(s, lambda x, i: F.when(is_a(x), F.get(k, i))), lambda n: n.isNotNull())
+        of = lambda b: F.transform(k, lambda n, i: F.when(F.get(a, i) > 0, n - at(b, F.get(a, i))).otherwise(0))
+        return bound(bound(before, of), lambda c: with_places(s, is_a, is_c, a, k, c))
+
+    def with_places(s: Column, is_a, is_c, a: Column, k: Column, c: Column) -> Column:
+        is_p = lambda x, i: ~is_a(x) & ~is_c(x, i) & (x["point"] != "") & (F.get(c, i) > 0)
+
+        def with_points(upto: Column) -> Column:
+            before = F.filter(F.transform(s, lambda x, i: F.when(is_a(x) | is_c(x, i), F.get(upto, i))), lambda n: n.isNotNull())
+            return bound(before, lambda b: F.transform(s, lambda x, i: line(x, i, F.get(upto, i) - at(b, F.get(a, i) + F.get(k, i)))))
+
+        def line(x: Column, i: Column, p: Column) -> Column:
+            return F.struct(
+                F.when(is_a(x), "article").when(is_c(x, i), "clause").when(is_p(x, i), "point").otherwise("text").alias("kind"),
+                i.alias("i"),
+                F.get(a, i).alias("a"),
+                F.get(c, i).alias("c"),
+                p.alias("p"),
+                F.get(k, i).alias("k"),
+                F.when(is_a(x), x["article"]).when(is_c(x, i), x["clause"]).when(is_p(x, i), F.lower(x["point"])).otherwise("").alias("key"),
+                F.when(is_a(x), strip(F.regexp_replace(x["x"], h.article_raw, "")))
+                .when(is_c(x, i), strip(F.regexp_extract(x["x"], h.clause, 2)))
+                .when(is_p(x, i), strip(F.regexp_extract(x["x"], h.point, 2)))
+                .otherwise(x["x"])
+                .alias("text"),
+            )
+
+        return bound(running(F.transform(s, lambda x, i: yes(is_p(x, i)))), with_points)
+
+    return bound(seen, numbered)
 
 
 def parts(text: Column, h: Headings = Headings()) -> Column:
@@ -87,11 +104,14 @@ def parts(text: Column, h: Headings = Headings()) -> Column:
     """
 
     def of_lines(l: Column) -> Column:
-        articles, clauses = (F.filter(l, lambda x: x["kind"] == kind) for kind in ("article", "clause"))
-        starts = F.transform(F.filter(l, lambda x: x["kind"].isin("article", "clause")), lambda x: x["i"])
+        of_kind = lambda *kinds: F.filter(l, lambda x: x["kind"].isin(*kinds))
+        kinds = F.struct(of_kind("article").alias("article"), of_kind("clause").alias("clause"), F.transform(of_kind("article", "clause"), lambda x: x["i"]).alias("starts"))
+        return bound(kinds, lambda of: of_kinds(l, of["article"], of["clause"], of["starts"]))
+
+    def of_kinds(l: Column, articles: Column, clauses: Column, starts: Column) -> Column:
 
         def one(x: Column) -> Column:
-            end = F.coalesce(F.get(F.filter(starts, lambda s: s > x["i"]), F.lit(0)), F.size(l))
+            end = F.coalesce(F.get(starts, x["a"] + x["k"]), F.size(l))
             more = F.transform(F.filter(F.slice(l, x["i"] + 2, F.greatest(end - x["i"] - 1, F.lit(0))), lambda y: y["kind"] == "text"), lambda y: y["text"])
             content = (
                 F.when(x["kind"] == "article", F.array_join(more, "\n"))
