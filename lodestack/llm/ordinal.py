@@ -10,9 +10,10 @@ from __future__ import annotations
 import functools
 import math
 import re
-import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +33,7 @@ GRADES = 3
 #: Least probability of the highest grade of a selected document.
 TAIL = 0.7
 
-_TOKEN, _WORD, _OTHER = re.compile(r"\S+"), re.compile(r"\w+"), re.compile(r"\w+")
+_TOKEN, _WORD = re.compile(r"\S+"), re.compile(r"\w+")
 SYMBOLS = "#*$%&|<>!"
 
 
@@ -42,15 +43,18 @@ def grade(quality: Column, toxic: Column) -> Column:
 
 
 def _hashed(feature: str) -> int:
-    return zlib.crc32(feature.encode("utf-8", "replace")) % DIMENSIONS
+    return crc32(feature.encode("utf-8", "replace")) % DIMENSIONS
 
 
 @functools.lru_cache(maxsize=100_000)
 def _of_token(token: str) -> tuple[int, ...]:
-    core = "".join(_WORD.findall(token))
+    core, marks = (token, "") if token.isalnum() else ("".join(_WORD.findall(token)), _WORD.sub("", token)[:8])
     low = core.lower()
-    shape = _hashed(f"s{_OTHER.sub('', token)[:8]}{'U' if len(core) > 1 and core.isupper() else 'l'}")
-    return (_hashed(f"w{low}"), _hashed(f"p{low[:5]}"), _hashed(f"q{low[:4]}"), shape) if low else (shape,)
+    shape = _hashed(f"s{marks}{'U' if len(core) > 1 and core.isupper() else 'l'}")
+    if not low.isascii():
+        return _hashed(f"w{low}"), _hashed(f"p{low[:5]}"), _hashed(f"q{low[:4]}"), shape
+    raw = low.encode()  # the same numbers, in fewer steps
+    return (crc32(b"w" + raw) % DIMENSIONS, crc32(b"p" + raw[:5]) % DIMENSIONS, crc32(b"q" + raw[:4]) % DIMENSIONS, shape) if raw else (shape,)
 
 
 def _level(share: float) -> int:
@@ -62,10 +66,7 @@ def features(text: str) -> tuple[np.ndarray, np.ndarray]:
     tokens = _TOKEN.findall(text)
     if not tokens:
         return np.zeros(0, np.int32), np.zeros(0, np.float32)
-    found: list[int] = []
-    for own in map(_of_token, tokens):
-        found += own
-    numbers, counts = np.unique(np.array(found, np.int32), return_counts=True)
+    numbers, counts = np.unique(np.fromiter(chain.from_iterable(map(_of_token, tokens)), np.int32), return_counts=True)
     values = np.log1p(counts)
     values /= math.sqrt(float(values @ values))
     n = len(tokens)
@@ -201,7 +202,7 @@ def train(docs: DataFrame, ratings: DataFrame, doc_id: str = "doc_id", text: str
     for b in parts:
         (numbers, bounds), (values, _) = _flat(b.column(2), np.int32), _flat(b.column(3), np.float32)
         kept.append(Sparse(numbers, values, bounds[:-1], bounds[1:]).only(seen >= min_docs))
-        keys += [(i, zlib.crc32(numbers[bounds[k] : bounds[k + 1]])) for k, i in enumerate(b.column(0).to_pylist())]
+        keys += [(i, crc32(numbers[bounds[k] : bounds[k + 1]])) for k, i in enumerate(b.column(0).to_pylist())]
         grades += b.column(1).to_pylist()
     del rows, parts
     order = sorted(range(len(keys)), key=keys.__getitem__)  # so that the model doesn't depend on how rows were dealt
