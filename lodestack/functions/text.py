@@ -24,29 +24,6 @@ def bound(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-#: Elements that one fold gathers.
-FOLD = 512
-
-
-def running(numbers: Column) -> Column:
-    """Sums of `numbers` (an array of integers) up to each place. A fold copies what it has gathered for each element, so
-    blocks are folded, then their totals."""
-    none = F.struct(F.lit(0).alias("sum"), F.array().cast("array<int>").alias("out"))
-    step = lambda a, x: F.struct((a["sum"] + x).alias("sum"), F.array_append(a["out"], a["sum"] + x).alias("out"))
-    folded = lambda b: F.aggregate(b, none, step, lambda a: a["out"])
-
-    def of_blocks(sums: Column) -> Column:
-        totals = folded(F.transform(sums, lambda b: F.get(b, F.size(b) - 1)))
-        added = lambda upto: F.flatten(F.transform(sums, lambda b, i: F.transform(b, lambda x: x + F.coalesce(F.get(upto, i - 1), F.lit(0)))))
-        return bound(totals, added)
-
-    def of(n: Column) -> Column:
-        blocks = F.transform(F.sequence(F.lit(0), F.size(n) - 1, F.lit(FOLD)), lambda k: folded(F.slice(n, k + 1, FOLD)))
-        return F.when(F.size(n) > FOLD, bound(blocks, of_blocks)).otherwise(folded(n))
-
-    return bound(numbers, of)
-
-
 def text_of(c: Column) -> Column:
     return F.coalesce(c.cast("string"), F.lit(""))
 

@@ -1,7 +1,8 @@
 """Articles, clauses and points of a text from its lines, and the chunks they make.
 
-The parse is running sums of starts over the lines of one document. It stays within the row: lines are an array, so there
-is no shuffle and no sort, however long one document is, and the work grows with its lines.
+The parse is a running sum of starts over the lines of one document. It stays within the row: lines are an array, starts
+are numbered by one pass over it, so there is no shuffle and no sort, however long one document is, and the work grows
+with its lines.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import bound, lines, normalize_for_match, running, strip
+from ..functions.text import bound, lines, normalize_for_match, strip
 
 
 @dataclass(frozen=True)
@@ -29,6 +30,8 @@ class Headings:
     point_word: str = "Điểm"
 
 
+#: Lines that one fold gathers; a fold copies what it has gathered for each, so long texts are folded block by block.
+FOLD = 512
 LINE = "struct<kind:string,i:int,a:int,c:int,p:int,k:int,key:string,text:string>"
 
 
@@ -49,50 +52,41 @@ def tagged_lines(text: Column, h: Headings = Headings()) -> Column:
         ),
     )
 
-    yes = lambda test: test.cast("int")
-    at = lambda numbers, places: F.coalesce(F.get(numbers, places - 1), F.lit(0))
-
-    def numbered(s: Column) -> Column:
-        """Articles and clauses are counted over the whole text; a number within an article or clause is such a count
-        less what it was where the article or clause began."""
-        is_a = lambda x: x["article"] != ""
-        return bound(running(F.transform(s, lambda x: yes(is_a(x)))), lambda a: with_articles(s, is_a, a))
-
-    def with_articles(s: Column, is_a, a: Column) -> Column:
-        is_c = lambda x, i: ~is_a(x) & (x["clause"] != "") & (F.get(a, i) > 0)
-        return bound(running(F.transform(s, lambda x, i: yes(is_c(x, i)))), lambda k: with_clauses(s, is_a, is_c, a, k))
-
-    def with_clauses(s: Column, is_a, is_c, a: Column, k: Column) -> Column:
-        before = F.filter(F.transform(s, lambda x, i: F.when(is_a(x), F.get(k, i))), lambda n: n.isNotNull())
-        of = lambda b: F.transform(k, lambda n, i: F.when(F.get(a, i) > 0, n - at(b, F.get(a, i))).otherwise(0))
-        return bound(bound(before, of), lambda c: with_places(s, is_a, is_c, a, k, c))
-
-    def with_places(s: Column, is_a, is_c, a: Column, k: Column, c: Column) -> Column:
-        is_p = lambda x, i: ~is_a(x) & ~is_c(x, i) & (x["point"] != "") & (F.get(c, i) > 0)
-
-        def with_points(upto: Column) -> Column:
-            before = F.filter(F.transform(s, lambda x, i: F.when(is_a(x) | is_c(x, i), F.get(upto, i))), lambda n: n.isNotNull())
-            return bound(before, lambda b: F.transform(s, lambda x, i: line(x, i, F.get(upto, i) - at(b, F.get(a, i) + F.get(k, i)))))
+    counts, none = ("a", "c", "p", "k", "i"), F.array().cast(f"array<{LINE}>")
+
+    def step(s: Column, x: Column) -> Column:
+        is_a = x["article"] != ""
+        is_c = ~is_a & (x["clause"] != "") & (s["a"] > 0)
+        is_p = ~is_a & ~is_c & (x["point"] != "") & (s["c"] > 0)
+        now = {
+            "a": s["a"] + is_a.cast("int"),
+            "c": F.when(is_a, 0).otherwise(s["c"] + is_c.cast("int")),
+            "p": F.when(is_a | is_c, 0).otherwise(s["p"] + is_p.cast("int")),
+            "k": s["k"] + is_c.cast("int"),
+        }
+        line = F.struct(
+            F.when(is_a, "article").when(is_c, "clause").when(is_p, "point").otherwise("text").alias("kind"),
+            s["i"].alias("i"),
+            *(now[n].alias(n) for n in "acpk"),
+            F.when(is_a, x["article"]).when(is_c, x["clause"]).when(is_p, F.lower(x["point"])).otherwise("").alias("key"),
+            F.when(is_a, strip(F.regexp_replace(x["x"], h.article_raw, "")))
+            .when(is_c, strip(F.regexp_extract(x["x"], h.clause, 2)))
+            .when(is_p, strip(F.regexp_extract(x["x"], h.point, 2)))
+            .otherwise(x["x"])
+            .alias("text"),
+        )
+        return F.struct(*(now[n].alias(n) for n in "acpk"), (s["i"] + 1).alias("i"), F.array_append(s["out"], line).alias("out"))
 
-        def line(x: Column, i: Column, p: Column) -> Column:
-            return F.struct(
-                F.when(is_a(x), "article").when(is_c(x, i), "clause").when(is_p(x, i), "point").otherwise("text").alias("kind"),
-                i.alias("i"),
-                F.get(a, i).alias("a"),
-                F.get(c, i).alias("c"),
-                p.alias("p"),
-                F.get(k, i).alias("k"),
-                F.when(is_a(x), x["article"]).when(is_c(x, i), x["clause"]).when(is_p(x, i), F.lower(x["point"])).otherwise("").alias("key"),
-                F.when(is_a(x), strip(F.regexp_replace(x["x"], h.article_raw, "")))
-                .when(is_c(x, i), strip(F.regexp_extract(x["x"], h.clause, 2)))
-                .when(is_p(x, i), strip(F.regexp_extract(x["x"], h.point, 2)))
-                .otherwise(x["x"])
-                .alias("text"),
-            )
+    def block(s: Column, lines_: Column) -> Column:
+        done = F.aggregate(lines_, F.struct(*(s[n].alias(n) for n in counts), none.alias("out")), step)
+        return bound(done, lambda d: F.struct(*(d[n].alias(n) for n in counts), F.array_append(s["out"], d["out"]).alias("out")))
 
-        return bound(running(F.transform(s, lambda x, i: yes(is_p(x, i)))), with_points)
+    def of(every: Column) -> Column:
+        blocks = F.transform(F.sequence(F.lit(0), F.size(every) - 1, F.lit(FOLD)), lambda k: F.slice(every, k + 1, FOLD))
+        start = F.struct(*(F.lit(0).alias(n) for n in counts), F.array().cast(f"array<array<{LINE}>>").alias("out"))
+        return F.when(F.size(every) > 0, F.flatten(F.aggregate(blocks, start, block, lambda s: s["out"]))).otherwise(none)
 
-    return bound(seen, numbered)
+    return bound(seen, of)
 
 
 def parts(text: Column, h: Headings = Headings()) -> Column:

@@ -282,3 +282,13 @@ def test_repair_lists_what_is_missing(spark):
     got = rows(corpus.missing_outputs(ids(1, 2, 3, 3), "id", full=ids(1, 2, 2), chunks=ids(1)), "id")
     assert got == [(2, False, True), (3, True, True)]
     assert rows(corpus.zero_filled_counts(ids(1, 2), ids(2, 2, 3), "id"), "id") == [(1, 0), (2, 2)]
+
+
+def test_long_texts_are_parsed_block_by_block(spark, monkeypatch):
+    from lodestack.operators import structure
+
+    said = [x for k in range(1, 40) for x in (f"Điều {k}. title {k}", "a line", f"{k}. clause", "more", "a) point", "rest")]
+    d = spark.createDataFrame([(1, "\n".join(["before", *said])), (2, ""), (3, None)], "doc_id int, text string")
+    whole = [tuple(r) for r in structure.structured(d, "doc_id", "text").collect()]
+    monkeypatch.setattr(structure, "FOLD", 7)
+    assert [tuple(r) for r in structure.structured(d, "doc_id", "text").collect()] == whole and len(whole) == 39 * 3

@@ -87,10 +87,3 @@ def test_urls_by_kind_take_the_first_that_fits(spark):
 
 def test_relations(spark):
     assert each(spark, ["1", "15", "99", "x", " ", None], ids.relation_type) == ["abrogates", "referenced_text", "unknown_99", "x", "unknown", "unknown"]
-
-
-def test_running_sums(spark, monkeypatch):
-    monkeypatch.setattr(text, "FOLD", 4)
-    rows = [(n, [(7 * k) % 5 - 1 for k in range(n)]) for n in (0, 1, 3, 4, 5, 16, 17, 70)]
-    got = spark.createDataFrame(rows, "n int, a array<int>").select("n", "a", text.running(F.col("a")).alias("s")).collect()
-    assert all(r.s == [sum(r.a[: k + 1]) for k in range(r.n)] for r in got)
