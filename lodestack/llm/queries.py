@@ -5,7 +5,7 @@ The last two show what SQL can express of `op5` and `op3`, whose models it can't
 
 from __future__ import annotations
 
-from . import bagminhash, bpe, chat, decontaminate, divergence, filter_audit, line_crf, line_dedup, ordinal, secrets, url_filter, warc
+from . import bagminhash, bpe, chat, decontaminate, divergence, filter_audit, line_crf, line_dedup, ordinal, secrets, suffix_dedup, url_filter, warc
 
 QUERIES = {
     "op1_decontaminate": decontaminate.query,
@@ -18,6 +18,7 @@ QUERIES = {
     "op8_near_duplicates": bagminhash.query,
     "op9_quality_classifier": ordinal.query,
     "op10_secrets": secrets.query,
+    "op11_suffix_dedup": suffix_dedup.query,
     "op12_source_divergence": divergence.query,
     "op13_filter_audit": filter_audit.query,
     "quality_rules_base": line_crf.base_query,
@@ -30,6 +31,7 @@ ORACLES = {
     "op7_warc": warc.SQL,
     "op8_near_duplicates": bagminhash.SQL,
     "op10_secrets": secrets.SQL,
+    "op11_suffix_dedup": suffix_dedup.SQL,
     "op12_source_divergence": divergence.SQL,
     "op13_filter_audit": filter_audit.SQL,
     "quality_rules_base": line_crf.BASE_SQL,
