@@ -48,7 +48,8 @@ CHUNK = 4096
 HEX_BITS, WIDE_BITS = 3.0, 3.8
 #: Least length of what is left of an entropy span outside base spans.
 PART = 8
-#: Candidates of these shapes are no secrets: identifiers, paths and file names of plain parts, digests named as such.
+#: Candidates of these shapes are no secrets: identifiers, paths and file names of plain parts (see `plain_parts`), digests
+#: named as such.
 ALLOW = (
     "^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$",
     "^/?[A-Za-z]+[0-9]{0,4}([/_-][A-Za-z]+[0-9]{0,4}|[/_-][0-9]{1,4})+/?$",
@@ -186,10 +187,18 @@ def _windows(text: Column) -> Column:
     return let(let(codes, chunks), united)
 
 
+def plain_parts(value: Column) -> Column:
+    """The second of ALLOW, part by part: a repeated group of a pattern takes a stack frame for each of its rounds, and a
+    path may have a million."""
+    parts = F.split(F.regexp_replace(value, "^/|/$", ""), "[/_-]")
+    plain = lambda p: F.forall(p, lambda x: x.rlike("^([A-Za-z]+[0-9]{0,4}|[0-9]{1,4})$"))
+    return let(parts, lambda p: (F.size(p) > 1) & F.get(p, F.lit(0)).rlike("^[A-Za-z]") & plain(p))
+
+
 def entropy_spans(text: Column) -> Column:
     """array<struct<s,k,e>>, by start, apart from each other."""
     mixed = lambda v: v.rlike("[0-9]") & v.rlike("[A-Za-z]")
-    allowed = lambda v: reduce(lambda a, b: a | b, (v.rlike(p) for p in ALLOW))
+    allowed = lambda v: v.rlike(ALLOW[0]) | v.rlike(ALLOW[2]) | plain_parts(v)
     masked = reduce(lambda t, w: F.regexp_replace(t, w[0], " " * w[1]), ALLOWED_WORDS, text)
     tokens = F.filter(let(masked, lambda t: located(t, CANDIDATE)), lambda m: mixed(m["v"]) & ~allowed(m["v"]))
     found = F.flatten(

@@ -107,3 +107,18 @@ def test_long_text_and_clashing_columns(spark):
     r = s.scan(d).first()
     assert [tuple(x) for x in r.spans] == [(400_000, 1, 400_016)]
     assert s.scan(d.limit(0)).count() == 0
+
+
+def test_plain_parts_are_the_allowed_shape(spark):
+    rng = random.Random(8)
+    values = ["".join(rng.choice("aZ09/_-+") for _ in range(rng.randrange(12))) for _ in range(3000)] + ["", "/", "a/b", "/a1/2345/", "a/b//", "//a/b", "a-12345", "1/a"]
+    d = spark.createDataFrame([(v,) for v in values], "v string")
+    assert [r[0] for r in d.select(s.plain_parts(F.col("v"))).collect()] == [bool(re.search(s.ALLOW[1], v)) for v in values]
+
+
+def test_a_path_of_a_million_segments(spark):
+    """A repeated group of a pattern would take a stack frame for each segment."""
+    texts = ["k1/" * 1_000_000 + "k", "x-1_" * 250_000 + "=", "k1/" * 100_000 + "Zx9+Qw3rT7uP1aSd5fGh8jKl2ZxC4vBn6M"]
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    spans = [r.spans for r in s.scan(d).orderBy("doc_id").collect()]
+    assert spans[0] == [] and [x["k"] for x in spans[2]] == [3] and spans[2][0]["e"] == len(texts[2])
