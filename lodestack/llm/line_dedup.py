@@ -4,9 +4,9 @@ Every common block of enough words is a union of shortest runs: lines that follo
 not without their first line or not without their last. Each shortest run points to the first document that has it, so
 an earlier holder of any part of a block that could be deleted alone is found, however frequent its lines are. A
 document and such an earlier one are aligned by patience diff over the lines of the runs that they share; aligned common
-blocks of enough words are deleted from the later document. Shared runs that no single alignment can hold, as they stand
-in another order or more than once, go after it. Only those runs are brought together, so the work stays in proportion
-to the lines.
+blocks of enough words are deleted from the later document, and nothing else. Blocks that no single alignment can hold, as
+they stand in another order or more than once, come out of further alignments of what is left. Only those runs are
+brought together, so the work stays in proportion to the lines.
 """
 
 from __future__ import annotations
@@ -28,6 +28,8 @@ from .common import cut, let, table, unused
 MIN_WORDS = 25
 #: Lines, and pairs of documents, that a Python worker turns over at once.
 LINES, PAIRS = 100_000, 100
+#: Alignments of what a document and an earlier one share, before runs that are left are aligned one by one.
+ROUNDS = 8
 #: What \s stands for.
 WHITE = " \t\n\x0b\f\r"
 
@@ -98,15 +100,26 @@ def patience(a: list[int], b: list[int]) -> list[tuple[int, int]]:
 
 def repeated_lines(runs: list[tuple[bytes, list[int], list[int]]], min_words: int) -> list[int]:
     """Places, in a document, of the lines to delete, from the runs that it shares with an earlier one: lines (of each
-    its hash and words), places of the run there, and here."""
+    its hash and words), places of the run there, and here.
 
-    def places(which: int) -> list[tuple[int, int, int]]:
-        return sorted({(at + j, *line) for run in runs for j, line in enumerate(struct.iter_unpack("<qi", run[0])) for at in run[which]})
+    Only what patience diff aligns goes. Blocks that stand in another order, or more than once, don't fit one alignment:
+    the runs that have lines left are aligned again, `ROUNDS` times at most, and then one by one.
+    """
 
-    gone = set(common_blocks([x[:2] for x in places(1)], places(2), min_words))
-    for lines, _, here in runs:  # common blocks by themselves, which an alignment in order may have left
+    def places(of: list, which: int) -> list[tuple[int, int, int]]:
+        return sorted({(at + j, *line) for run in of for j, line in enumerate(run[0]) for at in run[which]})
+
+    gone: set[int] = set()
+    left = [(list(struct.iter_unpack("<qi", lines)), there, here) for lines, there, here in runs]
+    for _ in range(ROUNDS):
+        before = len(gone)
+        gone.update(common_blocks([x[:2] for x in places(left, 1)], places(left, 2), min_words))
+        left = [run for run in left if any(at + j not in gone for at in run[2] for j in range(len(run[0])))]
+        if not left or len(gone) == before:
+            break
+    for lines, there, here in left:
         for at in here:
-            gone.update(range(at, at + len(lines) // 12))
+            gone.update(common_blocks([x[:2] for x in places([(lines, there[:1])], 1)], places([(lines, [at])], 1), min_words))
     return sorted(gone)
 
 
@@ -269,8 +282,10 @@ SQL = r"""
 WITH p AS (SELECT doc_id, text, string_split(text, chr(10)) AS parts FROM documents),
 l AS (SELECT doc_id, i, trim(parts[i], ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS x FROM (SELECT doc_id, parts, unnest(range(1, len(parts) + 1)) AS i FROM p)),
 f AS (SELECT doc_id, i, x, row_number() OVER w AS o, sum(len(string_split_regex(x, '[ 	
-]+'))) OVER w AS upto, len(string_split_regex(x, '[ 	
-]+')) AS n
+
+]+'))) OVER w AS upto, len(string_split_regex(x, '[ 	
+
+]+')) AS n
   FROM l WHERE x <> '' WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
 w AS (SELECT a.doc_id, a.o AS s, min(b.o) AS e FROM f a JOIN f b ON a.doc_id = b.doc_id AND b.o >= a.o AND b.upto - a.upto + a.n >= 25 GROUP BY ALL
   UNION SELECT b.doc_id, max(a.o), b.o FROM f a JOIN f b ON a.doc_id = b.doc_id AND b.o >= a.o AND b.upto - a.upto + a.n >= 25 GROUP BY ALL),

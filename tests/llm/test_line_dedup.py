@@ -159,3 +159,51 @@ def test_columns_of_clashing_names(spark):
     assert out.columns == [*docs.columns, "__lines", "_dropped", "_emptied"]
     assert sorted(tuple(r)[2:8] for r in out.collect()) == sorted(r[2:] for r in rows)
     assert sorted(map(repr, d.deduplicated(docs).collect())) == sorted(map(repr, docs.where("doc_id = 1").collect()))
+
+
+def exhaustive(docs, min_words):
+    """Lines in a block of enough words that any earlier document has, over all pairs and blocks."""
+    gone = {}
+    for k, lines in docs.items():
+        gone[k] = set()
+        for e, other in docs.items():
+            if e < k:
+                have = {tuple(other[i:j]) for i in range(len(other)) for j in range(i + 1, len(other) + 1)}
+                for i in range(len(lines)):
+                    for j in range(i + 1, len(lines) + 1):
+                        if sum(len(x.split()) for x in lines[i:j]) >= min_words and tuple(lines[i:j]) in have:
+                            gone[k].update(range(i, j))
+    return gone
+
+
+def test_moved_and_repeated_blocks_against_all_pairs(spark):
+    rng = random.Random(12)
+    lines = [f"l{k} " + "w " * rng.randrange(4) for k in range(14)]
+    lines = [x.strip() for x in lines]
+    for _ in range(6):
+        docs = {}
+        for k in range(25):
+            blocks = [lines[(s := rng.randrange(14)) : s + rng.randrange(1, 5)] for _ in range(rng.randrange(1, 5))]
+            rng.shuffle(blocks)
+            docs[k] = [x for b in blocks for x in b * rng.choice([1, 1, 2])]
+        want = exhaustive(docs, 6)
+        for k, text, dropped, _ in got(spark, [(k, "\n".join(v)) for k, v in docs.items()], min_words=6):
+            assert dropped == len(want[k])
+            assert (text.split("\n") if text else []) == [x for i, x in enumerate(docs[k]) if i not in want[k]]
+
+
+def test_many_blocks_in_reverse_order():
+    """More rounds of alignment than ROUNDS would be needed; the rest go one by one."""
+    import struct
+
+    runs = [(struct.pack("<qi", k, 30), [k * 2], [(99 - k) * 2]) for k in range(100)]
+    assert d.repeated_lines(runs, 25) == [k * 2 for k in range(100)]
+
+
+def test_nothing_goes_without_alignment(monkeypatch):
+    import struct
+
+    runs = [(struct.pack("<qiqi", 1, 13, 2, 13), [0], [4])]
+    assert d.repeated_lines(runs, 25) == [4, 5]
+    monkeypatch.setattr(d, "patience", lambda a, b: [])
+    assert d.repeated_lines(runs, 25) == []
