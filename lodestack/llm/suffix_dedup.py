@@ -17,6 +17,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -146,14 +147,21 @@ def _single(repeat: int):
 _TEXTS = "key long, same long, n long, text binary"
 
 
+def _zipped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The texts (second column) compressed, so that shuffles of whole texts take less of the disk."""
+    pack = zstandard.ZstdCompressor(level=1).compress
+    for batch in batches:
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([pack(t.as_buffer()) for t in batch.column(1)], pa.binary()), *batch.columns[2:]], batch.schema.names)
+
+
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """From (doc, t, wanted with key, same, n, span) the segments' texts; one that isn't the segment's is passed over."""
-    last = None
+    last, unpack = None, zstandard.ZstdDecompressor().decompress
     for batch in batches:
         for doc, text, wanted in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist()):
             if doc == last:  # a repeated row
                 continue
-            last, data, rows = doc, text.as_buffer().to_pybytes(), []
+            last, data, rows = doc, unpack(text.as_buffer()), []
             for w in wanted:
                 a = w["span"] >> 32
                 t = data[a : a + (w["span"] & 0xFFFFFFFF)]
@@ -263,10 +271,11 @@ _KEPT = "n_bytes long, spans array<struct<s:int,e:int>>, kept binary"
 
 def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """From (id, t, runs with span, same, runs) the id, and what is left of the text. Runs count if the segment is there."""
+    unpack = zstandard.ZstdDecompressor().decompress
     for batch in batches:
         out = []
         for text, found in zip(batch.column(1), batch.column(2).to_pylist()):
-            data = text.as_buffer().to_pybytes()
+            data = unpack(text.as_buffer())
             runs = []
             for f in found or []:
                 a = f["span"] >> 32
@@ -309,7 +318,7 @@ def repeats_removed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     length = F.col("of.span").bitwiseAND(F.lit(0xFFFFFFFF))
     large = groups.groupBy("key").agg(F.sum(length).alias("bytes")).where(F.col("bytes") > key_bytes).select("key")
     wanted = groups.join(large, "key", "left_anti").groupBy(F.col("of.doc").alias("doc")).agg(F.collect_list(F.struct("key", "same", "n", F.col("of.span").alias("span"))).alias("wanted"))
-    texts = long.join(wanted, "doc").select("doc", "t", "wanted").mapInArrow(_texts, _TEXTS)
+    texts = long.mapInArrow(_zipped, "doc long, t binary").join(wanted, "doc").select("doc", "t", "wanted").mapInArrow(_texts, _TEXTS)
     runs = texts.repartition("key").sortWithinPartitions("key", "same").mapInArrow(_sorted(repeat), _RUNS)
     hits = found.join(cut(runs), ["key", "same"]).select("doc", "same", "span", "runs")
     if not large.isEmpty():
@@ -318,7 +327,8 @@ def repeats_removed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         again = cut(each.groupBy("key", "same").agg(F.count("*").alias("n")).where("n > 1").select("key", "same"))
         hits = hits.unionByName(each.join(again, ["key", "same"]).select("doc", "same", "span", F.array(F.lit(0), F.lit(repeat)).alias("runs")))
     per_doc = hits.groupBy("doc").agg(F.collect_set(F.struct("span", "same", "runs")).alias("found"))
-    out = d.withColumn("doc", doc).join(per_doc, "doc", "left").select("id", "t", "found").mapInArrow(_kept, f"id {docs.schema[doc_id].dataType.simpleString()}, {_KEPT}")
+    kind = docs.schema[doc_id].dataType.simpleString()
+    out = d.select("id", "t", doc.alias("doc")).mapInArrow(_zipped, f"id {kind}, t binary, doc long").join(per_doc, "doc", "left").select("id", "t", "found").mapInArrow(_kept, f"id {kind}, {_KEPT}")
     return out.withColumnRenamed("id", doc_id)
 
 
