@@ -68,7 +68,7 @@ def normalize_key(c: Column) -> Column:
     return collapse(F.regexp_replace(F.lower(strip_accents(text_of(c))), r"[\s:/\-_,.;]+", " "))
 
 
-#: Navigation lines that carry no content; patterns for whole lower-cased lines. Fixed values.
+#: Navigation lines that carry no content: whole lower-cased lines. Fixed values.
 NOISE_LINES = (
     "trang chủ",
     "liên hệ",
@@ -76,18 +76,45 @@ NOISE_LINES = (
     "hướng dẫn khai thác",
     "sơ đồ cổng thông tin",
 )
+#: Distinct lines that are remembered; with one more all are forgotten.
+REMEMBERED = 2000
 
 
-def clean_document(c: Column, noise: Sequence[str] = NOISE_LINES) -> Column:
-    """Lines stripped and collapsed, without blank ones, noise and repeats of an earlier line.
+def unrepeated(lines: Column, remembered: int = REMEMBERED) -> Column:
+    """lines without those that were kept before and are still remembered: once more than `remembered` different ones have
+    been kept, all are forgotten.
 
-    Repeats are forgotten after 2000 distinct lines in the row-by-row original; here a line is kept once in the whole
-    text, which is the same up to 2000 distinct lines and stricter beyond.
+    A line is fresh if its previous occurrence lies before the present epoch, so the epochs' starts come out of one pass
+    over the places of previous occurrences; within an epoch a line is kept once.
     """
+    if_short = F.array_distinct(lines)
+
+    def previous(x: Column) -> Column:
+        """Of each line its place and that of the previous equal one, or -1."""
+        placed = F.array_sort(F.transform(x, lambda line, i: F.struct(line.alias("x"), i.alias("i"))))
+        return bound(placed, lambda p: F.array_sort(F.transform(p, lambda y, j: F.struct(y["i"].alias("i"), F.when(F.coalesce(F.get(p, j - 1)["x"] == y["x"], F.lit(False)), F.get(p, j - 1)["i"]).otherwise(-1).alias("before")))))
+
+    def step(a: Column, p: Column) -> Column:
+        kept = a["kept"] + (p["before"] < a["start"]).cast("int")
+        full, after = kept > remembered, p["i"] + 1
+        starts = F.when(full, F.array_append(a["starts"], after)).otherwise(a["starts"])
+        return F.struct(F.when(full, after).otherwise(a["start"]).alias("start"), F.when(full, 0).otherwise(kept).alias("kept"), starts.alias("starts"))
+
+    def by_epochs(x: Column) -> Column:
+        state = F.struct(F.lit(0).alias("start"), F.lit(0).alias("kept"), F.array(F.lit(0)).alias("starts"))
+        starts = F.aggregate(previous(x), state, step, lambda a: a["starts"])
+        part = lambda s: F.transform(s, lambda b, k: F.array_distinct(F.slice(x, b + 1, F.coalesce(F.get(s, k + 1), F.size(x)) - b)))
+        return F.flatten(bound(starts, part))
+
+    return F.when(F.size(if_short) <= remembered, if_short).otherwise(bound(lines, by_epochs))
+
+
+def clean_document(c: Column, noise: Sequence[str] = NOISE_LINES, remembered: int = REMEMBERED) -> Column:
+    """Lines stripped and collapsed, without blank ones, noise and repeats of an earlier line that is still remembered."""
     spaced = F.regexp_replace(F.regexp_replace(F.regexp_replace(text_of(c), "\u00a0", " "), r"\r\n?", "\n"), "[ \t]+", " ")
     lines = F.transform(F.split(spaced, "\n"), collapse)
     kept = F.filter(lines, lambda x: (x != "") & ~F.lower(x).isin(list(noise)))
-    return F.array_join(F.array_distinct(kept), "\n")
+    return F.array_join(bound(kept, lambda x: unrepeated(x, remembered)), "\n")
 
 
 def clean_text(c: Column) -> Column:

@@ -10,6 +10,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.text import bound, normalize_for_match, strip, text_of
+from ..sources.storage import written
+from . import lexical, neighbours
 from .corpus import last_wins
 
 
@@ -63,11 +65,8 @@ def blocks(queries: DataFrame, rows: int = BLOCK) -> list[DataFrame]:
     return [queries.where(number == i) for i in range(n)] if n > 1 else [queries]
 
 
-def lexical_topk(chunks: DataFrame, queries: DataFrame, chunk_id: str, title: str | None, body: str, query_id: str, query: str, k: int = 5) -> DataFrame:
-    """query_id, rank, chunk_id, score of the k best chunks of each query, ties by chunk_id; scores of 0 don't count.
-
-    The queries are a stated set: a pass over the chunks scores a block of them.
-    """
+def _lexical_scan(chunks: DataFrame, queries: DataFrame, chunk_id: str, title: str | None, body: str, query_id: str, query: str, k: int) -> DataFrame:
+    """lexical_topk() by a pass over the chunks for each block of queries."""
     q, terms, bigrams = query_terms(F.col(query))
     asked = queries.select(F.col(query_id).alias("_q"), q.alias("_text"), terms.alias("_terms"), bigrams.alias("_bigrams"))
     # normalised below the join, once for each chunk
@@ -78,13 +77,46 @@ def lexical_topk(chunks: DataFrame, queries: DataFrame, chunk_id: str, title: st
     return top.select(F.col("_q").alias(query_id), "rank", F.col("_c").alias(chunk_id), "score")
 
 
+def lexical_topk(chunks: DataFrame, queries: DataFrame, chunk_id: str, title: str | None, body: str, query_id: str, query: str, k: int = 5, postings: DataFrame | None = None) -> DataFrame:
+    """query_id, rank, chunk_id, score of the k best chunks of each query, ties by chunk_id; scores of 0 don't count.
+
+    postings: lexical.index() of the chunks, written before. With it only chunks that can reach the k-th score are scored
+    (see `lexical`), which pays from some tens of queries on; without it a pass over the chunks scores a block of queries.
+    The result is the same. Chunks that share an id are ranked each; queries that share one are one by their best chunks.
+    """
+    if postings is None:
+        return _lexical_scan(chunks, queries, chunk_id, title, body, query_id, query, k)
+    pairs, score = lexical_pairs(chunks, queries, chunk_id, title, body, query_id, query, k, postings)
+    top = best(score(pairs.rows.select("q", "chunk")), ["q"], [F.desc("score"), F.asc("chunk")], k).where("score > 0")
+    return top.select(F.col("q").alias(query_id), "rank", F.col("chunk").alias(chunk_id), "score")
+
+
+def lexical_pairs(chunks: DataFrame, queries: DataFrame, chunk_id: str, title: str | None, body: str, query_id: str, query: str, k: int, postings: DataFrame):
+    """The pairs that lexical_topk() scores (lexical.Candidates), and what scores them."""
+    q, terms, bigrams = query_terms(F.col(query))
+    asked = written(queries.select(F.col(query_id).alias("q"), q.alias("text"), terms.alias("terms"), bigrams.alias("bigrams")))
+    lengths = asked.where("text <> ''").agg(F.min(F.length("text"))).first()[0]
+    sizes = tuple(range(min(lengths or lexical.GRAM, lexical.GRAM), lexical.GRAM + 1))  # shorter queries have no trigram
+    if len(sizes) > 1:
+        postings = lexical.index(chunks, chunk_id, title, body, sizes)
+    words = lexical_score(F.col("title"), F.col("body"), F.col("text"), F.col("terms"), F.col("bigrams"))
+
+    def score(pairs: DataFrame) -> DataFrame:
+        pairs = written(pairs)
+        c = chunks.select(F.col(chunk_id).alias("chunk"), *([F.col(title).alias("title")] if title else []), F.col(body).alias("body"))
+        c = c.join(pairs.select(F.col("chunk").alias("wanted")).distinct(), F.col("chunk").eqNullSafe(F.col("wanted")), "left_semi")
+        c = c.select("chunk", (normalize_for_match(F.col("title")) if title else F.lit("")).alias("title"), normalize_for_match(F.col("body")).alias("body"))
+        both = pairs.withColumnRenamed("chunk", "of").join(c, F.col("of").eqNullSafe(F.col("chunk"))).drop("of").join(asked, "q")
+        return both.select("q", "chunk", words.alias("score"))
+
+    return lexical.candidates(postings, asked, title is not None, k, score, sizes), score
+
+
 def dot(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, x: s + F.coalesce(x, F.lit(0.0)))
 
 
-def vector_topk(vectors: DataFrame, queries: DataFrame, vec_id: str, embedding: str, query_id: str, query: str, k: int = 10) -> DataFrame:
-    """query_id, rank, vec_id, score (cosine of unit vectors, to six places) and distance of the k nearest vectors,
-    exactly, ties by vec_id. The queries are a stated set, scored in blocks."""
+def _vector_scan(vectors: DataFrame, queries: DataFrame, vec_id: str, embedding: str, query_id: str, query: str, k: int) -> DataFrame:
     asked = queries.select(F.col(query_id).alias("_q"), F.col(query).alias("_e"))
     v = vectors.select(F.col(vec_id).alias("_v"), F.col(embedding).alias("_x"))
     score = F.round(dot(F.col("_x"), F.col("_e")), 6)
@@ -93,6 +125,18 @@ def vector_topk(vectors: DataFrame, queries: DataFrame, vec_id: str, embedding:
     return top.select(F.col("_q").alias(query_id), "rank", F.col("_v").alias(vec_id), "score", F.round(1 - F.col("score"), 6).alias("distance"))
 
 
+def vector_topk(vectors: DataFrame, queries: DataFrame, vec_id: str, embedding: str, query_id: str, query: str, k: int = 10, pivots: int | None = None) -> DataFrame:
+    """query_id, rank, vec_id, score (cosine of unit vectors, to six places) and distance of the k nearest vectors,
+    exactly, ties by vec_id. With `pivots` whole groups of vectors that lie in clusters are never compared (see
+    `neighbours`); without, the queries are scored in blocks against all, which vectors without clusters ask for."""
+    if pivots is None:
+        return _vector_scan(vectors, queries, vec_id, embedding, query_id, query, k)
+    score = F.round(dot(F.col("x"), F.col("e")), 6)
+    pairs, _ = neighbours.neighbours(vectors, queries, vec_id, embedding, query_id, query, k, score, pivots)
+    top = best(pairs, ["q"], [F.desc("score"), F.asc("v")], k)
+    return top.select(F.col("q").alias(query_id), "rank", F.col("v").alias(vec_id), "score", F.round(1 - F.col("score"), 6).alias("distance"))
+
+
 def embedding_text(title: Column, text: Column, head: int = 300) -> Column:
     """What is embedded of a chunk: its text, below the title unless its beginning has it."""
     t = strip(text_of(title))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import dates, html, ids, text
-from ..operators import chunking, corpus, embedding, quality, records, retrieval, structure, topics
+from ..operators import chunking, corpus, embedding, lexical, quality, records, retrieval, structure, topics
 from ..streaming import incremental
 from .registry import ORACLES, QUERIES
 
@@ -72,6 +72,26 @@ def clean_lines_dedupe(spark, sf_dir):
     return t(spark, sf_dir, "documents").select("doc_id", c.alias("c")).select("doc_id", F.sha2("c", 256).alias("digest"), F.length("c").alias("length"))
 
 
+#: Each word of a document as a line, numbered so that long ones have more different lines than are remembered. An epoch
+#: begins after the line that is one too many: the 2001st whose previous occurrence lies before the epoch.
+_DUCK_RESET = f"""WITH RECURSIVE l AS (SELECT doc_id, i, x, coalesce(lag(i) OVER (PARTITION BY doc_id, x ORDER BY i), 0) AS before FROM (
+  SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY j) AS i, x FROM (SELECT doc_id, j, w || ' ' || (j - 1) % 13 AS x FROM (
+    SELECT doc_id, unnest(w) AS w, generate_subscripts(w, 1) AS j FROM (SELECT doc_id, regexp_extract_all(text, '[A-Za-z]+') AS w FROM documents))))),
+e AS (SELECT DISTINCT doc_id, CAST(1 AS BIGINT) AS s FROM l UNION ALL
+  SELECT doc_id, i + 1 FROM (SELECT l.doc_id, l.i, row_number() OVER (PARTITION BY l.doc_id ORDER BY l.i) AS r FROM l JOIN e ON l.doc_id = e.doc_id AND l.i >= e.s AND l.before < e.s) WHERE r = 2001),
+k AS (SELECT l.doc_id, l.i, l.x FROM l JOIN (SELECT doc_id, s, lead(s) OVER (PARTITION BY doc_id ORDER BY s) AS next FROM e) e ON l.doc_id = e.doc_id AND l.i >= s AND (next IS NULL OR l.i < next) WHERE before < s)
+SELECT doc_id, count(k.i) AS n_lines, sha256(coalesce(string_agg(x, chr(10) ORDER BY i), '')) AS digest FROM documents LEFT JOIN k USING (doc_id) GROUP BY doc_id"""
+
+
+@query(_DUCK_RESET)
+def clean_lines_reset(spark, sf_dir):
+    words = F.regexp_extract_all("text", F.lit("[A-Za-z]+"), F.lit(0))
+    lined = F.array_join(F.transform(words, lambda w, i: F.concat(w, F.lit(" "), (i % 13).cast("string"))), "\n")
+    c = t(spark, sf_dir, "documents").select("doc_id", text.clean_document(lined).alias("c"))
+    n = F.when(F.col("c") == "", 0).otherwise(F.size(F.split("c", "\n"))).cast("long")
+    return c.select("doc_id", n.alias("n_lines"), F.sha2("c", 256).alias("digest"))
+
+
 _COLLAPSED = r"regexp_replace(regexp_replace(text, '[ \t]+', ' ', 'g'), '\n{3,}', chr(10) || chr(10), 'g')"
 
 
@@ -229,8 +249,8 @@ def distinct_documents(spark, sf_dir):
     return corpus.distinct_documents(t(spark, sf_dir, "events"), "user_id")
 
 
-def _duck_lexical() -> str:
-    return f"""WITH q AS (SELECT item_id, n, list_filter(string_split(n, ' '), lambda x: length(x) >= 3) AS terms FROM (SELECT item_id, {_duck_norm('text')} AS n FROM benchmark WHERE item_id % 100 = 0)),
+def _duck_lexical(which: str = "WHERE item_id % 100 = 0") -> str:
+    return f"""WITH q AS (SELECT item_id, n, list_filter(string_split(n, ' '), lambda x: length(x) >= 3) AS terms FROM (SELECT item_id, {_duck_norm('text')} AS n FROM benchmark {which})),
 d AS (SELECT doc_id, {_duck_norm('text')} AS b FROM documents),
 s AS (SELECT item_id, doc_id, CASE WHEN n <> '' AND contains(b, n) THEN 50 ELSE 0 END
   + coalesce(list_sum(list_transform(range(1, len(terms)), lambda i: CASE WHEN contains(b, terms[i] || ' ' || terms[i + 1]) THEN 8 ELSE 0 END)), 0)
@@ -244,13 +264,31 @@ def lexical_topk(spark, sf_dir):
     return retrieval.lexical_topk(t(spark, sf_dir, "documents"), asked, "doc_id", None, "text", "item_id", "text")
 
 
-@query("""SELECT query_id, CAST(rank AS INT) AS rank, vec_id, score, round(1 - score, 6) AS distance FROM (
+@query(_duck_lexical(""))
+def lexical_index_topk(spark, sf_dir):
+    d, asked = t(spark, sf_dir, "documents"), t(spark, sf_dir, "benchmark")
+    return retrieval.lexical_topk(d, asked, "doc_id", None, "text", "item_id", "text", postings=lexical.index(d, "doc_id", None, "text"))
+
+
+_DUCK_VECTORS = """SELECT query_id, CAST(rank AS INT) AS rank, vec_id, score, round(1 - score, 6) AS distance FROM (
   SELECT q.vec_id AS query_id, v.vec_id AS vec_id, s AS score, row_number() OVER (PARTITION BY q.vec_id ORDER BY s DESC, v.vec_id) AS rank
-  FROM (SELECT * FROM embeddings WHERE vec_id % 100 = 0) q, embeddings v, LATERAL (SELECT round(list_sum(list_transform(range(1, 65), lambda i: CAST(q.embedding[i] AS DOUBLE) * CAST(v.embedding[i] AS DOUBLE))), 6) AS s)) WHERE rank <= 10""")
-def vector_topk(spark, sf_dir):
+  FROM (SELECT * FROM embeddings WHERE vec_id % 100 = 0) q, embeddings v, LATERAL (SELECT round(list_sum(list_transform(range(1, 65), lambda i: CAST(q.embedding[i] AS DOUBLE) * CAST(v.embedding[i] AS DOUBLE))), 6) AS s)) WHERE rank <= 10"""
+
+
+def _vectors(spark, sf_dir, **more) -> DataFrame:
     e = t(spark, sf_dir, "embeddings")
     asked = e.where("vec_id % 100 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("q"))
-    return retrieval.vector_topk(e, asked, "vec_id", "embedding", "query_id", "q")
+    return retrieval.vector_topk(e, asked, "vec_id", "embedding", "query_id", "q", **more)
+
+
+@query(_DUCK_VECTORS)
+def vector_topk(spark, sf_dir):
+    return _vectors(spark, sf_dir)
+
+
+@query(_DUCK_VECTORS)
+def vector_pivot_topk(spark, sf_dir):
+    return _vectors(spark, sf_dir, pivots=64)
 
 
 @query(f"""SELECT count(*) AS n, CAST(min(l) AS INT) AS min, CAST(max(l) FILTER (r = least(floor(c * 0.5), c - 1)) AS INT) AS p50, CAST(max(l) FILTER (r = least(floor(c * 0.9), c - 1)) AS INT) AS p90, CAST(max(l) FILTER (r = least(floor(c * 0.99), c - 1)) AS INT) AS p99,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -37,3 +37,11 @@ def renamed(spark: SparkSession, old: str, new: str) -> bool:
 def deleted(spark: SparkSession, path: str) -> bool:
     p, store = _path(spark, path)
     return bool(store.delete(p, True))
+
+
+def written(df: DataFrame) -> DataFrame:
+    """df written to the shared folder and read from there, so that it is computed once and lost executors cost no more."""
+    sc = df.sparkSession.sparkContext._jsc.sc()
+    if sc.getCheckpointDir().isEmpty():
+        sc.setCheckpointDir(shared_folder(df.sparkSession))
+    return df.checkpoint(eager=True)
