@@ -10,6 +10,14 @@ from pyspark.sql import functions as F
 
 from ..functions.text import strip, text_of
 
+def unused(df: DataFrame, name: str) -> str:
+    """A name for a column of the operator's own that df has none of."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def last_wins(rows: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """The last row of each key by `order`; rows with a blank key are left out.
 
@@ -29,8 +37,9 @@ def without_known(rows: DataFrame, known: DataFrame, keys: Sequence[tuple[str, s
     """Rows none of whose keys is known: one anti-join for each pair (column of rows, column of known); blanks never
     match. An OR of keys in one join would compare all pairs."""
     for own, other in keys:
-        index = known.select(F.col(other).alias("_known")).where(strip(text_of(F.col("_known"))) != "").distinct()
-        rows = rows.join(index, rows[own] == F.col("_known"), "left_anti")
+        name = unused(rows, "known")
+        index = known.select(F.col(other).alias(name)).where(strip(text_of(F.col(name))) != "").distinct()
+        rows = rows.join(index, rows[own] == F.col(name), "left_anti")
     return rows
 
 

@@ -27,6 +27,8 @@ def pivots_of(vectors: DataFrame, embedding: str, pivots: int = PIVOTS, sample:
     """At most `pivots` unit vectors of the table's, spread out; from a bounded sample."""
     rows = vectors.select(F.col(embedding).cast("array<double>").alias("x")).where("x IS NOT NULL").orderBy(F.xxhash64("x")).limit(sample).collect()
     width = max((len(r["x"]) for r in rows), default=0)
+    if not width:
+        return np.zeros((0, 0))
     have = np.array([r["x"] for r in rows if len(r["x"]) == width and None not in r["x"]], float).reshape(-1, width)
     have = have[np.abs(np.linalg.norm(have, axis=1) - 1) < SLACK]
     if not len(have):

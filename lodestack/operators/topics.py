@@ -1,19 +1,19 @@
-"""Topic matching against a taxonomy given as data; no shuffle, the keywords are literals of the plan."""
+"""Topic matching against a taxonomy given as data; no shuffle, and one pass over a text for all keywords."""
 
 from __future__ import annotations
 
 import json
-import re
 import unicodedata
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
-from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import normalize_for_match, strip, text_of
+from .corpus import unused
 
 
 @dataclass(frozen=True)
@@ -53,12 +53,9 @@ def selected(topics: Sequence[Topic], slugs: Iterable[str] = (), extra: Iterable
     return [t for t in topics if not slugs or t.slug in slugs] + ([Topic("custom", extra_name, extra)] if extra else [])
 
 
-def keyword_hit(text: Column, keyword: str) -> Column:
-    """text, normalised, contains the keyword; codes of up to four characters only as whole words."""
-    k = normalized(keyword)
-    if len(k.replace(" ", "")) <= 4 and " " not in k:
-        return text.rlike(rf"(?U)(?<!\w){re.escape(k)}(?!\w)")
-    return F.contains(text, F.lit(k))
+def is_code(keyword: str) -> bool:
+    """A normalised keyword of up to four characters, which counts as a whole word only."""
+    return len(keyword) <= 4 and " " not in keyword
 
 
 def flattened(c: Column, kind: str | T.DataType) -> Column:
@@ -89,39 +86,90 @@ def filtered(matched: DataFrame) -> tuple[DataFrame, DataFrame]:
     return matched.where(has), matched.agg(F.count_if(has).alias("kept"), F.count_if(~has).alias("filtered_out"))
 
 
+#: What \\w stands for: letters, marks, digits, connectors and joiners.
+_WORD = r"[\p{Alphabetic}\p{M}\p{Nd}\p{Pc}\u200c\u200d]"
+
+
+class Automaton:
+    """All keywords at once: their places in a list, of those that a normalised text holds, in one pass over the text."""
+
+    def __init__(self, keywords: Sequence[str]):
+        import ahocorasick
+        import regex
+
+        self.word = regex.compile(_WORD)
+        self.found = ahocorasick.Automaton()
+        of: dict[str, list[int]] = {}
+        for i, k in enumerate(keywords):
+            of.setdefault(normalized(k), []).append(i)
+        for k, numbers in of.items():
+            if k:
+                self.found.add_word(k, (len(k), is_code(k), numbers))
+        if len(self.found):
+            self.found.make_automaton()
+
+    def __call__(self, text: str) -> list[int]:
+        hit: set[int] = set()
+        for end, (n, code, numbers) in self.found.iter(text) if len(self.found) else ():
+            if numbers[0] not in hit and not (code and (self._joins(text, end - n) or self._joins(text, end + 1))):
+                hit.update(numbers)
+        return sorted(hit)
+
+    def _joins(self, text: str, at: int) -> bool:
+        return 0 <= at < len(text) and self.word.match(text[at]) is not None
+
+
+def keyword_numbers(keywords: Sequence[str]):
+    """A function of a column of normalised texts: array<int>, the places in `keywords` of those that the text holds."""
+    given = list(keywords)
+
+    @F.pandas_udf("array<int>")
+    def numbers(texts: pd.Series) -> pd.Series:
+        found = Automaton(given)
+        return texts.map(found)
+
+    return numbers
+
+
+def _looked(docs: DataFrame, fields: Sequence[str], limit: int | None = None) -> dict[str, Column]:
+    kinds = dict(docs.dtypes)
+    return {f: normalize_for_match(F.substring(flattened(F.col(f), kinds[f]), 1, limit) if limit else flattened(F.col(f), kinds[f])) for f in fields}
+
+
 def match_topics(docs: DataFrame, fields: Sequence[str], topics: Sequence[Topic], limit: int | None = None) -> DataFrame:
-    """docs with topic_labels and topic_names in the topics' order, matched_keywords (first spellings, by field, then
+    """docs with topic_labels and topic_names in the topics' order, matched_keywords (first spellings, by topic, then
     keyword) and matched_fields (field -> keywords).
 
-    limit: only so many characters of each field are looked at (a rule of matching for very long contents).
+    limit: only so many characters of each field are looked at (a rule of matching for very long contents). Each field is
+    normalised once and read once, however many keywords there are.
     """
-    kinds = dict(docs.dtypes)
-    looked = {f: normalize_for_match(F.substring(flattened(F.col(f), kinds[f]), 1, limit) if limit else flattened(F.col(f), kinds[f])) for f in fields}
-    d = docs.withColumns({f"_n_{i}": c for i, c in enumerate(looked.values())})
-    hits = {}
-    for t_no, topic in enumerate(topics):
-        for f_no in range(len(fields)):
-            found = [F.when(keyword_hit(F.col(f"_n_{f_no}"), k), F.lit(k)) for k in distinct_keywords(topic.keywords)]
-            hits[f"_h_{t_no}_{f_no}"] = F.array_compact(F.array(*found)) if found else F.array().cast("array<string>")
-    d = d.withColumns(hits)
-    empty = F.array().cast("array<string>")
-    of_topic = [F.array_distinct(F.concat(empty, *(F.col(f"_h_{t}_{f}") for f in range(len(fields))))) for t in range(len(topics))]
-    of_field = [F.array_distinct(F.concat(empty, *(F.col(f"_h_{t}_{f}") for t in range(len(topics))))) for f in range(len(fields))]
-    some = lambda values: F.array_compact(F.array(*(F.when(F.size(k) > 0, F.lit(v)) for k, v in zip(of_topic, values)))) if topics else empty
+    keywords = [(t, k) for t, topic in enumerate(topics) for k in distinct_keywords(topic.keywords)]
+    held = unused(docs, "held")
+    numbers = keyword_numbers([k for _, k in keywords])
+    d = docs.withColumn(held, F.array(*(numbers(c) for c in _looked(docs, fields, limit).values())))
+    spelled = F.array(*(F.lit(k) for _, k in keywords)).cast("array<string>")
+    of = F.array(*(F.lit(t) for t, _ in keywords)).cast("array<int>")
+    words = lambda n: F.array_distinct(F.transform(n, lambda i: F.get(spelled, i)))
+    every = F.array_sort(F.array_distinct(F.flatten(held)))
+    #: by topic, then field, then keyword
+    in_topic = lambda t: F.array_distinct(F.flatten(F.transform(held, lambda n: F.filter(n, lambda i: F.get(of, i) == t))))
+    of_topic = [in_topic(t) for t in range(len(topics))]
+    labels = F.array_distinct(F.transform(every, lambda i: F.get(of, i)))
+    named = lambda values: F.transform(labels, lambda t: F.get(F.array(*map(F.lit, values)).cast("array<string>"), t))
+    by_field = F.map_from_arrays(F.array(*map(F.lit, fields)), F.transform(held, words))
     return d.select(
-        *docs.columns,
-        some([t.slug for t in topics]).alias("topic_labels"),
-        some([t.name for t in topics]).alias("topic_names"),
-        F.array_distinct(F.concat(empty, *of_topic)).alias("matched_keywords"),
-        F.map_filter(F.map_from_arrays(F.array(*map(F.lit, fields)), F.array(*of_field)), lambda _, v: F.size(v) > 0).alias("matched_fields"),
+        *(F.col(f"`{c}`") for c in docs.columns),
+        named([t.slug for t in topics]).alias("topic_labels"),
+        named([t.name for t in topics]).alias("topic_names"),
+        words(F.concat(F.array().cast("array<int>"), *of_topic)).alias("matched_keywords"),
+        F.map_filter(by_field, lambda _, v: F.size(v) > 0).alias("matched_fields"),
     )
 
 
 def any_keyword(docs: DataFrame, fields: Sequence[str], keywords: Iterable[str]) -> DataFrame:
     """Rows of which a field has a keyword."""
-    kinds = dict(docs.dtypes)
-    looked = F.array(*(normalize_for_match(flattened(F.col(f), kinds[f])) for f in fields))
-    return docs.where(F.exists(looked, lambda text: reduce(lambda a, b: a | b, (keyword_hit(text, k) for k in distinct_keywords(keywords)), F.lit(False))))
+    numbers = keyword_numbers(distinct_keywords(keywords))
+    return docs.where(F.exists(F.array(*(numbers(c) for c in _looked(docs, fields).values())), lambda n: F.size(n) > 0))
 
 
 def status_allowed(status: Column, allowed: Iterable[str]) -> Column:

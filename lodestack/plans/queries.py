@@ -192,6 +192,19 @@ def topic_match(spark, sf_dir):
     return m.select("doc_id", F.array_join("topic_labels", ",").alias("labels"), F.array_join("matched_keywords", ",").alias("keywords"))
 
 
+#: A hundred keywords of two topics, many of which overlap in a text.
+_WIDE = [f"{a} {b}" for a in ("the", "and", "of", "der", "la", "les", "que", "und", "de", "to") for b in "abcdefghij"]
+WIDE = (topics.Topic("first", "First half", tuple(_WIDE[:50])), topics.Topic("second", "Second half", tuple(_WIDE[50:])))
+
+
+@query(f"""SELECT doc_id, array_to_string(list_filter(['{"', '".join(_WIDE)}'], lambda k: contains(n, k)), ',') AS keywords,
+  array_to_string(list_filter(['first', 'second'], lambda s: len(list_filter(CASE s WHEN 'first' THEN ['{"', '".join(_WIDE[:50])}'] ELSE ['{"', '".join(_WIDE[50:])}'] END, lambda k: contains(n, k))) > 0), ',') AS labels
+  FROM (SELECT doc_id, {_duck_norm('text')} AS n FROM documents)""")
+def topic_match_wide(spark, sf_dir):
+    m = topics.match_topics(t(spark, sf_dir, "documents").select("doc_id", "text"), ["text"], WIDE)
+    return m.select("doc_id", F.array_join("matched_keywords", ",").alias("keywords"), F.array_join("topic_labels", ",").alias("labels"))
+
+
 @query(f"SELECT label, count(*) AS n FROM (SELECT unnest(labels) AS label FROM {_duck_topics()}) GROUP BY label")
 def topic_counts(spark, sf_dir):
     return corpus.label_counts(topics.match_topics(t(spark, sf_dir, "documents").select("doc_id", "text"), ["text"], TOPICS), "topic_labels")
