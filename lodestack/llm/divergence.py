@@ -208,7 +208,7 @@ def divergence(docs: DataFrame, text: str = "text", lang: str = "lang", source:
     of_group = counts.groupBy("lang", "source").agg(F.lit(0).alias("none")).drop("none")
     kept = counts.where("term IS NOT NULL").groupBy("lang", "term").agg(F.sum("docs").alias("docs"), F.sum("n").alias("all")).where(F.col("docs") >= min_docs)
     kept = cut(kept.select("lang", "term", "all"))
-    langs = kept.groupBy("lang").agg(F.count("*").alias("terms"), F.sum("all").alias("lang_total"))
+    langs = cut(kept.groupBy("lang").agg(F.count("*").alias("terms"), F.sum("all").alias("lang_total")))
     own = cut(counts.where("term IS NOT NULL").select("lang", "source", "term", "n").join(kept, ["lang", "term"]))
     totals = own.groupBy("lang", "source").agg(F.sum("n").alias("total"))
     nth = F.row_number().over(Window.partitionBy("lang").orderBy("source")) - 1
@@ -219,7 +219,8 @@ def divergence(docs: DataFrame, text: str = "text", lang: str = "lang", source:
     groups = groups.withColumns({"block": F.floor(F.col("place") / block), "blocks": F.ceil(F.col("sources") / block)})
 
     part = F.pmod(F.xxhash64("term"), F.greatest(F.ceil(F.col("terms") / chunk), F.lit(1))).cast("int")
-    placed = kept.join(langs.select("lang", "terms"), "lang").withColumn("chunk", part)
+    #: dealt anew, else the terms of a language would be numbered in one task
+    placed = kept.join(langs.select("lang", "terms"), "lang").withColumn("chunk", part).repartition("lang", "chunk")
     placed = placed.select("lang", "term", "chunk", F.row_number().over(Window.partitionBy("lang", "chunk").orderBy("term")).alias("at"))
     lists = own.join(placed, ["lang", "term"]).groupBy("lang", "source", "chunk").agg(F.sort_array(F.collect_list(F.struct("at", "n"))).alias("v"))
     vectors = lists.mapInArrow(_packed, _VECTORS).join(groups.drop("lang_total"), ["lang", "source"])
