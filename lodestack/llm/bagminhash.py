@@ -19,7 +19,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import cut, table, unused
@@ -218,9 +218,13 @@ def _apart(star: DataFrame, found: DataFrame, least: float) -> DataFrame:
     take = F.floor(missing + 1e-6).cast("int") + 1 - (F.col("m") - F.size("rare"))
     offers = offers.where((missing >= 0) & (take > 0)).select("centre", "id", "component", "main", "n", "own", "other", F.explode(F.slice("rare", F.lit(1), take)).alias("r"))
     offers = cut(offers.select("centre", "id", "component", "main", "n", "own", "other", F.col("r.s").alias("s")))
+    reach = _near(c, offers, q)
+    member = lambda of, id_, own: reach.where(F.col("of") == of).select("centre", F.col("id").alias(id_), F.col("own").alias(own), F.col("other").alias("c" + ("b" if of == "a" else "a")))
     left = offers.where("component <> main").select("centre", "s", "own", "other", F.col("id").alias("a"), F.col("component").alias("ca"), F.col("n").alias("na"))
-    right = offers.select("centre", "s", F.col("other").alias("own"), F.col("own").alias("other"), F.col("id").alias("b"), F.col("component").alias("cb"), "main", F.col("n").alias("nb"))
-    met = left.join(right, ["centre", "s", "own", "other"]).where((F.col("ca") != F.col("cb")) & ((F.col("cb") == F.col("main")) | (F.col("a") < F.col("b"))))
+    left = left.join(member("a", "a", "ca"), ["centre", "a", "ca"])
+    right = offers.select("centre", "s", F.col("other").alias("own"), F.col("own").alias("other"), F.col("id").alias("b"), F.col("component").alias("cb"), F.col("n").alias("nb"))
+    right = right.join(member("b", "b", "cb"), ["centre", "b", "cb"])
+    met = left.join(right, ["centre", "s", "own", "other", "ca", "cb"])
     met = met.where((F.least("na", "nb") >= least * F.greatest("na", "nb") - 1e-6)).select("centre", "a", "b", "na", "nb").distinct()
     both = met.join(c.select("centre", F.col("id").alias("a"), F.col("d").alias("da")), ["centre", "a"]).join(c.select("centre", F.col("id").alias("b"), F.col("d").alias("db")), ["centre", "b"])
     differ = F.size("da") + F.size("db") - 2 * F.size(F.array_intersect("da", "db"))
@@ -228,6 +232,39 @@ def _apart(star: DataFrame, found: DataFrame, least: float) -> DataFrame:
     return both.where(F.col("common") >= least * (F.col("n") - F.col("common"))).select("a", "b")
 
 
+def _differ(a: str, b: str) -> Column:
+    """In how many shingles two members differ, from their deviations from one centre."""
+    return F.size(a) + F.size(b) - 2 * F.size(F.array_intersect(a, b))
+
+
+def _near(c: DataFrame, offers: DataFrame, q: float) -> DataFrame:
+    """Members (of: a or b; id, own and other component) that may be similar to one of another component of their centre.
+
+    The number of shingles that differ is a metric. Each component is a ball around a member (the one closest to the
+    centre; for the centre's own component the centre). Components that offer a shingle in common are compared by these
+    first, a row for each pair of components however many members offer it: if the balls lie further apart than the
+    largest members of both may differ, no member of one is similar to one of the other. Of the balls left only members
+    that lie close enough to the other ball go on.
+    """
+    none = F.array().cast("array<long>")
+    around = c.where("component <> main").groupBy("centre", "component").agg(F.min_by("d", F.struct("m", "id")).alias("around"))
+    with_ball = c.join(around, ["centre", "component"], "left").withColumn("around", F.coalesce("around", none))
+    with_ball = cut(with_ball.withColumn("off", _differ("d", "around")))
+    balls = cut(with_ball.groupBy("centre", "component").agg(F.max("off").alias("radius"), F.max("n").alias("large"), F.first("around").alias("around")))
+    left = offers.where("component <> main").select("centre", "s", "own", "other", F.col("component").alias("ca")).distinct()
+    right = offers.select("centre", "s", F.col("other").alias("own"), F.col("own").alias("other"), F.col("component").alias("cb"), "main").distinct()
+    pairs = left.join(right, ["centre", "s", "own", "other"]).where((F.col("ca") != F.col("cb")) & ((F.col("cb") == F.col("main")) | (F.col("ca") < F.col("cb")))).select("centre", "ca", "cb").distinct()
+    ball = lambda x: balls.select("centre", F.col("component").alias(f"c{x}"), F.col("radius").alias(f"r{x}"), F.col("large").alias(f"l{x}"), F.col("around").alias(f"o{x}"))
+    near = pairs.join(ball("a"), ["centre", "ca"]).join(ball("b"), ["centre", "cb"])
+    near = cut(near.where(_differ("oa", "ob") - F.col("ra") - F.col("rb") <= q * (F.col("la") + F.col("lb")) + 1e-6))
+    reach = []
+    for x, y in ("ab", "ba"):
+        to = near.select("centre", F.col(f"c{x}").alias("component"), F.col(f"c{y}").alias("other"), F.col(f"r{y}").alias("radius"), F.col(f"l{y}").alias("large"), F.col(f"o{y}").alias("to"))
+        close = c.join(to, ["centre", "component"]).where(_differ("d", "to") - F.col("radius") <= q * (F.col("n") + F.col("large")) + 1e-6)
+        reach.append(close.select(F.lit(x).alias("of"), "centre", "id", F.col("component").alias("own"), "other"))
+    return cut(reach[0].unionByName(reach[1]))
+
+
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least: float = SIMILARITY) -> DataFrame:
     """A row for each row of docs: its id, class_id (least id of its class) and duplicate (it isn't the class's least).
 

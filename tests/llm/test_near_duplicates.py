@@ -116,3 +116,27 @@ def test_components_of_paths_stars_and_cycles(spark):
     assert {found[k] for k in range(41)} == {0} and {found[k] for k in range(100, 140)} == {100} and {found[k] for k in (200, 201, 202)} == {200}
     assert len(found) == 84
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_two_versions_of_a_text_are_dropped_by_one_comparison(spark, monkeypatch):
+    """Variants of a text, and as many of a second version that lies under the threshold: members of one aren't compared
+    with those of the other, one by one."""
+    rng = random.Random(9)
+    first = [f"b{k}" for k in range(400)]
+    second = [w if k % 30 else f"z{k}" for k, w in enumerate(first)]  # five shingles for each of 14 words
+    small = lambda words: edited(rng, words, 1)
+    counts = {}
+    for n in (20, 40):
+        rows = [(0, " ".join(first)), *((1 + k, small(first)) for k in range(n)), (1000, " ".join(second)), *((1001 + k, small(second)) for k in range(n))]
+        seen = []
+
+        def near(c, offers, q, real=b._near, seen=seen):
+            reach = real(c, offers, q)
+            seen.append((offers.count(), reach.count()))
+            return reach
+
+        monkeypatch.setattr(b, "_near", near)
+        assert got(spark, rows) == classes(rows)
+        monkeypatch.undo()
+        counts[n] = seen[0]
+    assert counts[40][0] > 0 and all(reach <= 4 for _, reach in counts.values())
