@@ -212,19 +212,20 @@ def _apart(star: DataFrame, found: DataFrame, least: float) -> DataFrame:
     again = each.groupBy("centre", "s").agg(F.count("*").alias("times")).where("times > 1")
     rare = each.join(again, ["centre", "s"]).groupBy("centre", "id").agg(F.array_sort(F.collect_list(F.struct("times", "s"))).alias("rare"))
     step, far = F.lit(float(STEPS)) / F.col("nc"), F.lit(most) * F.col("n") + 1e-6
-    classes = F.sequence(F.floor(F.greatest(F.col("m") - far, F.lit(0.0)) * step), F.floor((F.col("m") + far) * step))
-    offers = c.drop("d").join(rare, ["centre", "id"]).withColumn("own", F.floor(F.col("m") * step)).withColumn("other", F.explode(classes))
+    there = c.groupBy("centre").agg(F.min(F.floor(F.col("m") * step)).alias("low"), F.max(F.floor(F.col("m") * step)).alias("high"))
+    classes = F.sequence(F.greatest("low", F.floor(F.greatest(F.col("m") - far, F.lit(0.0)) * step)), F.least("high", F.floor((F.col("m") + far) * step)))
+    offers = c.drop("d").join(rare, ["centre", "id"]).join(there, "centre").withColumn("own", F.floor(F.col("m") * step)).withColumn("other", F.explode(classes))
     missing = F.least(far, (far + F.col("m") - F.col("other") / step) / 2)
     take = F.floor(missing + 1e-6).cast("int") + 1 - (F.col("m") - F.size("rare"))
     offers = offers.where((missing >= 0) & (take > 0)).select("centre", "id", "component", "main", "n", "own", "other", F.explode(F.slice("rare", F.lit(1), take)).alias("r"))
     offers = cut(offers.select("centre", "id", "component", "main", "n", "own", "other", F.col("r.s").alias("s")))
     reach = _near(c, offers, q)
-    member = lambda of, id_, own: reach.where(F.col("of") == of).select("centre", F.col("id").alias(id_), F.col("own").alias(own), F.col("other").alias("c" + ("b" if of == "a" else "a")))
     left = offers.where("component <> main").select("centre", "s", "own", "other", F.col("id").alias("a"), F.col("component").alias("ca"), F.col("n").alias("na"))
-    left = left.join(member("a", "a", "ca"), ["centre", "a", "ca"])
+    left = left.join(reach.where("of = 'a'").select("centre", F.col("id").alias("a"), F.col("own").alias("ca"), F.col("other").alias("cb")), ["centre", "a", "ca"])
     right = offers.select("centre", "s", F.col("other").alias("own"), F.col("own").alias("other"), F.col("id").alias("b"), F.col("component").alias("cb"), F.col("n").alias("nb"))
-    right = right.join(member("b", "b", "cb"), ["centre", "b", "cb"])
-    met = left.join(right, ["centre", "s", "own", "other", "ca", "cb"])
+    right = right.join(reach.where("of = 'b'").select("centre", F.col("id").alias("b")), ["centre", "b"], "left_semi")
+    met = left.join(right, ["centre", "s", "own", "other", "cb"])
+    met = met.join(reach.where("of = 'b'").select("centre", F.col("id").alias("b"), F.col("own").alias("cb"), F.col("other").alias("ca")), ["centre", "b", "cb", "ca"], "left_semi")
     met = met.where((F.least("na", "nb") >= least * F.greatest("na", "nb") - 1e-6)).select("centre", "a", "b", "na", "nb").distinct()
     both = met.join(c.select("centre", F.col("id").alias("a"), F.col("d").alias("da")), ["centre", "a"]).join(c.select("centre", F.col("id").alias("b"), F.col("d").alias("db")), ["centre", "b"])
     differ = F.size("da") + F.size("db") - 2 * F.size(F.array_intersect("da", "db"))
