@@ -32,6 +32,12 @@ BROADCAST_ROWS = 100_000
 DATE = "1970-01-01T00:00:00Z"
 REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 END = b"\r\n\r\n"
+#: What begins a record inside a stream.
+MARK = b"\nWARC/"
+#: The longest header that is looked for.
+HEAD_BYTES = 1 << 20
+#: Bytes of a record up to which its length is believed without a look at what they hold.
+HOLD_BYTES = 256 << 20
 
 
 def digest(payload: bytes) -> str:
@@ -104,49 +110,86 @@ def _number(text: str | None) -> int | None:
     return int(text) if text and re.fullmatch(r"[0-9]{1,18}", text) else None
 
 
+def _end(held: bytearray, at: int) -> int | None:
+    """Where the record that begins at `at` ends, by its header; None without a whole header that tells its length."""
+    head = held.find(END, at, at + HEAD_BYTES)
+    if head < 0 or held[at : at + 5] != b"WARC/":
+        return None
+    length = _number(fields(bytes(held[at:head])).get("content-length"))
+    return None if length is None else head + 4 + length + 4
+
+
+def _closed(held: bytearray, end: int) -> bool:
+    """Whether a record ends there: two line ends, and then another record, a further line end, or nothing."""
+    return held[end - 4 : end] == END and (held[end : end + 2] == b"\r\n" or b"WARC/".startswith(held[end : end + 5]))
+
+
+def _holds_others(held: bytearray) -> bool:
+    """Whether a whole record begins within the one that is held."""
+    at = held.find(END + b"WARC/")
+    while at >= 0:
+        end = _end(held, at + 4)
+        if end is not None and end + 5 <= len(held) and _closed(held, end):
+            return True
+        at = held.find(END + b"WARC/", at + 4)
+    return False
+
+
 def records(pieces: Iterator[bytes], damage: list[str]) -> Iterator[bytes]:
-    """Whole records, one after the other; only one is held at a time. A record without a usable length, and an
-    unfinished last one, are left out and noted in `damage`; reading goes on at the next that begins a line."""
+    """Whole records, one after the other; only one is held at a time.
+
+    A record is whole if it has a length and two line ends after so many bytes, followed by another record or the end of
+    the stream. One that isn't is left out and noted in `damage`, and reading goes on at the next `WARC/` that begins a
+    line after its own, so that a wrong length, too long or too short, costs no other record. Headers have at most
+    HEAD_BYTES. A length is trusted up to HOLD_BYTES; beyond, only while no whole record begins in what is held.
+    """
     held = bytearray()
     pieces = iter(pieces)
 
-    def fill(enough: Callable[[], bool]) -> bool:
-        while not enough():
+    def fill(size: int) -> bool:
+        while len(held) < size:
             piece = next(pieces, None)
             if piece is None:
                 return False
             held.extend(piece)
         return True
 
-    def found(mark: bytes, start: int) -> Callable[[], bool]:
-        at = start
-
-        def has() -> bool:
-            nonlocal at
-            there = held.find(mark, at) >= 0
-            at = max(start, len(held) - len(mark) + 1)
-            return there
-
-        return has
+    def go_on() -> bool:
+        """Drops all up to the next line that begins a record."""
+        at = 1
+        while (there := held.find(MARK, at)) < 0:
+            del held[: max(0, len(held) - len(MARK) + 1)]
+            at = 0
+            if not fill(len(held) + 1):
+                held.clear()
+                return False
+        del held[: there + 1]
+        return True
 
     while True:
-        if not fill(found(END, 0)):
-            break
-        head = held.find(END)
-        length = _number(fields(bytes(held[:head])).get("content-length", "0"))
-        if length is None:
-            damage.append("no length")
-            if not fill(found(b"\nWARC/", 1)):
-                return
-            del held[: held.find(b"\nWARC/", 1) + 1]
-            continue
-        size = head + 4 + length + 4
-        if not fill(lambda: len(held) >= size):
-            break
-        yield bytes(held[:size])
-        del held[:size]
-    if held.strip():
-        damage.append("unfinished")
+        while fill(1) and held[0] in b"\r\n":
+            del held[0]
+        if not held:
+            return
+        while held.find(END, 0, HEAD_BYTES) < 0 and len(held) < HEAD_BYTES and fill(len(held) + 1):
+            pass
+        end = _end(held, 0)
+        if end is None:
+            has_head = held.find(END, 0, HEAD_BYTES) >= 0
+            damage.append("no length" if has_head and held.startswith(b"WARC/") else "no header" if has_head or len(held) >= HEAD_BYTES else "unfinished")
+        elif end > HOLD_BYTES and fill(HOLD_BYTES) and _holds_others(held):
+            damage.append("wrong length")
+        elif not fill(end):
+            damage.append("wrong length" if held.find(MARK, 1) >= 0 else "unfinished")
+        else:
+            fill(end + 5)
+            if _closed(held, end):
+                yield bytes(held[:end])
+                del held[:end]
+                continue
+            damage.append("wrong length")
+        if not go_on():
+            return
 
 
 def parsed(raw: bytes) -> dict:

@@ -113,3 +113,54 @@ def test_damaged_streams():
         found = w.normalise(io.BytesIO(stream).read, io.BytesIO().write, damage=damage)
         assert (len(found) >= n - (stream == packed[:-20]), damage) == (True, said), said
     assert w.parsed(w.record(1, "u", b"x", 2).replace(b"Content-Length: 1\r\n", b"Content-Length: ?\r\n"))["size"] is None
+
+
+def read_back(stream, damage):
+    return [w.fields(r.partition(w.END)[0])["warc-record-id"] for r in w.records(iter([stream[k : k + 1000] for k in range(0, len(stream), 1000)]), damage)]
+
+
+def test_wrong_lengths_cost_no_other_record(monkeypatch):
+    made = [w.record(k, "u", f"body {k} ".encode() * 400) for k in range(5)]
+    true = len(made[1].partition(w.END)[2]) - 4
+    others = [f"<urn:page:{k}>" for k in (0, 2, 3, 4)]
+    body = made[1].partition(w.END)[2]
+    for wrong in (999_999_999, true + 1, true - 1, 10, 0, true + len(made[2]), body.find(w.END)):
+        stream = b"".join([made[0], made[1].replace(f"\r\nContent-Length: {true}".encode(), f"\r\nContent-Length: {wrong}".encode()), *made[2:]])
+        for hold in (1 << 20, 5000):
+            monkeypatch.setattr(w, "HOLD_BYTES", hold)
+            damage: list[str] = []
+            found = read_back(stream, damage)
+            if wrong == true + len(made[2]):  # ends where a record ends, and nothing but its length speaks against it
+                assert found in ([others[0], "<urn:page:1>", *others[2:]], others)
+            else:
+                assert (found, damage) == (others, ["wrong length"]), wrong
+
+
+def test_long_records_and_records_inside(monkeypatch):
+    monkeypatch.setattr(w, "HOLD_BYTES", 2000)
+    inner = w.record(7, "u", b"inside")
+    bodies = [b"x" * 50_000, b"\nWARC/1.1\r\n\r\n" * 500, b"", b"a" * 100 + w.END + b"WARC/1.1\r\nno length\r\n\r\n" + b"b" * 9000]
+    made = [w.record(k, "u", b) for k, b in enumerate(bodies)]
+    damage: list[str] = []
+    assert read_back(b"\r\n\r\n".join(made), damage) == [f"<urn:page:{k}>" for k in range(4)] and damage == []
+    monkeypatch.setattr(w, "HOLD_BYTES", 1 << 20)
+    assert read_back(w.record(1, "u", inner * 3) + inner, damage) == ["<urn:page:1>", "<urn:page:7>"] and damage == []
+
+
+def test_not_all_is_held_for_a_wrong_length(monkeypatch):
+    monkeypatch.setattr(w, "HOLD_BYTES", 100_000)
+    taken = 0
+
+    def pieces():
+        nonlocal taken
+        yield w.record(0, "u", b"x").replace(b"\r\nContent-Length: ", b"\r\nContent-Length: 9999999")
+        for k in range(1, 3000):
+            taken += 1
+            yield w.record(k, "u", b"y" * 1000)
+
+    damage: list[str] = []
+    r = w.records(pieces(), damage)
+    next(r)
+    assert taken < 150 and sum(1 for _ in r) == 2998 and damage == ["wrong length"]
+    damage = []
+    assert read_back(b"WARC/1.1\r\n" + b"x: y\r\n" * 400_000 + w.record(1, "u", b""), damage) == ["<urn:page:1>"] and damage == ["no header"]
