@@ -3,8 +3,8 @@
 A message may hold calls, `<tool_call>{"id":, "name":, "arguments":}</tool_call>`, results, `<tool_result>{"id":,
 "content":}</tool_result>`, and, to declare tools, `<tools>[{"name":, "parameters": schema}]</tools>`. Calls and results
 are hash-joined by conversation and identifier. A call depends on the calls that its arguments name by
-`{"$result": id}`; depths come from contracting these links, so that a chain takes rounds by the logarithm of its
-length. Messages come out as a row each, never gathered by conversation, so that one huge conversation is spread like any
+`{"$result": id}`; depths of a conversation of bounded size come from one pass over its links, those of larger ones from
+contracting links in rounds. Messages come out as a row each, never gathered by conversation, so that one huge conversation is spread like any
 other rows.
 """
 
@@ -224,9 +224,72 @@ def _first(rows: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
     return rows.groupBy(*keys).agg(F.min(F.struct("turn", "pos", "th", *values)).alias("m")).select(*keys, *(F.col(f"m.{x}").alias(x) for x in ("turn", "pos", "th", *values)))
 
 
-def depths(calls: DataFrame) -> DataFrame:
+#: Bytes of the identifiers and links of a conversation up to which its depths are found in one pass of a task.
+PASS_BYTES = 4 << 20
+
+
+def _settled(needs: dict[str, list[str]]) -> dict[str, int]:
+    """Depths of the calls of one conversation, each call and each link met once; calls in and behind cycles are left out."""
+    waits, follow = {}, {}
+    for call, of in needs.items():
+        of = {n for n in of if n in needs}
+        waits[call] = len(of)
+        for n in of:
+            follow.setdefault(n, []).append(call)
+    depth, ready = {}, [call for call, n in waits.items() if n == 0]
+    level = 0
+    while ready:
+        depth |= dict.fromkeys(ready, level)
+        then = []
+        for call in ready:
+            for f in follow.get(call, ()):
+                waits[f] -= 1
+                if waits[f] == 0:
+                    then.append(f)
+        ready, level = then, level + 1
+    return depth
+
+
+def _passed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Depths of rows (conv, call, needs) that are sorted by conversation; one conversation is held at a time."""
+
+    def done(conv, needs: dict) -> pa.RecordBatch:
+        depth = _settled(needs)
+        columns = [pa.array([conv] * len(needs), pa.string()), pa.array(list(needs), pa.string()), pa.array([depth.get(c) for c in needs], pa.int64())]
+        return pa.RecordBatch.from_arrays(columns, ["conv", "call", "depth"])
+
+    at, held = None, {}
+    for b in batches:
+        for conv, call, needs in zip(*(b.column(i).to_pylist() for i in range(3))):
+            if held and conv != at:
+                yield done(at, held)
+                held = {}
+            at = conv
+            held[call] = needs or []
+    if held:
+        yield done(at, held)
+
+
+def depths(calls: DataFrame, pass_bytes: int = PASS_BYTES) -> DataFrame:
     """(conv, call, depth): 0 without dependencies, else one more than the deepest of them; null in and behind cycles.
-    Dependencies on unknown calls don't count. calls: (conv, call, needs).
+    Dependencies on unknown calls don't count. calls: (conv, call, needs), one row a call.
+
+    A conversation whose identifiers and links have at most `pass_bytes` is settled in one pass of the task that its rows
+    are sorted into, whatever its graph; no rounds. Larger ones, which no task may hold, are contracted by rounds of joins
+    over all rows, with the same result. Null needs are none, repeated needs count once, rows without a conversation or a
+    call aren't expected; no calls give no rows, and extra columns are ignored.
+    """
+    size = F.octet_length("call") + F.aggregate(F.coalesce("needs", F.array().cast("array<string>")), F.lit(16), lambda n, x: n + F.octet_length(x) + 8)
+    large = cut(calls.groupBy("conv").agg(F.sum(size.cast("long")).alias("bytes")).where(F.col("bytes") > pass_bytes).select("conv"))
+    of = calls.select("conv", "call", "needs")
+    alone = large.isEmpty()
+    small = of if alone else of.join(large, "conv", "left_anti")
+    out = small.repartition("conv").sortWithinPartitions("conv").mapInArrow(_passed, "conv string, call string, depth long")
+    return out if alone else out.unionByName(_contracted(of.join(large, "conv", "left_semi")))
+
+
+def _contracted(calls: DataFrame) -> DataFrame:
+    """depths() by rounds of joins, for conversations of any size.
 
     A call has a least depth a, so far, and open links (need, b): it is at least b deeper than what it needs. In a round
     all links are followed: a link to a call without open ones is settled; one to a call with a single open link is

@@ -140,7 +140,25 @@ def test_depths_of_any_links(spark):
             break
         known |= ready
     calls = spark.createDataFrame([("1", k, v) for k, v in needs.items()], "conv string, call string, needs array<string>")
-    assert {r.call: r.depth for r in c.depths(calls).collect()} == {k: known.get(k) for k in needs}
+    for most in (c.PASS_BYTES, 0):
+        assert {r.call: r.depth for r in c.depths(calls, most).collect()} == {k: known.get(k) for k in needs}
+
+
+def test_a_ladder_takes_no_rounds(spark, monkeypatch):
+    """10,000 calls that each need the two before them, beside a large conversation that is contracted."""
+    made = []
+    cut = c.cut
+    monkeypatch.setattr(c, "cut", lambda df: made.append(1) or cut(df))
+    ladder = [("1", f"c{k}", [f"c{k - j}" for j in (1, 2) if k >= j]) for k in range(10_000)]
+    other = [(str(k), "a", ["a"] if k % 2 else None) for k in range(2, 40)]
+    calls = spark.createDataFrame(ladder + other, "conv string, call string, needs array<string>")
+    r = {(x.conv, x.call): x.depth for x in c.depths(calls).collect()}
+    assert len(made) == 1 and len(r) == len(ladder) + len(other)
+    assert all(r["1", f"c{k}"] == k for k in range(10_000)) and all(r[str(k), "a"] == (None if k % 2 else 0) for k in range(2, 40))
+    both = spark.createDataFrame([("1", f"c{k}", [f"c{k - 1}"] * (k > 0)) for k in range(100)] + other, "conv string, call string, needs array<string>")
+    r = {(x.conv, x.call): x.depth for x in c.depths(both, 500).collect()}
+    assert all(r["1", f"c{k}"] == k for k in range(100)) and r["2", "a"] == 0 and r["3", "a"] is None and len(made) < 14
+    assert c.depths(both.limit(0)).count() == 0
 
 
 def test_messages_and_schemas_of_any_kind(spark):
