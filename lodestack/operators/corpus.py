@@ -84,16 +84,26 @@ def distinct_documents(rows: DataFrame, key: str) -> DataFrame:
     return rows.where(strip(text_of(F.col(key))) != "").agg(F.count_distinct(key).alias("documents"))
 
 
+#: Ranges that order_statistics deals distinct values to.
+RANGES = 64
+
+
 def order_statistics(rows: DataFrame, value: str, shares: dict[str, float], low: int, high: int) -> DataFrame:
     """One row: n, min, max, rows under `low` and over `high`, and for each share the element at floor(n * share),
-    counted from 0 and at most the last.
+    counted from 0 and at most the last. Nulls don't count; without values n is 0 and the elements are null.
 
-    Values are counted first; ranks are sums over the distinct values, of which lengths have few.
+    Values, which are numbers, are counted first. Approximate quantiles of the distinct ones split them into ranges; a rank
+    is the sum over the ranges before plus a running sum within its own, so that no task sees all distinct values, and
+    the result is exact however the ranges fall. Only sums of the ranges meet in one place.
     """
     counts = rows.where(F.col(value).isNotNull()).groupBy(F.col(value).alias("v")).agg(F.count("*").alias("c"))
-    summed = counts.withColumn("upto", F.sum("c").over(W.orderBy("v").rowsBetween(W.unboundedPreceding, 0)))
-    total = counts.agg(F.sum("c").alias("n"))
-    ranked = summed.crossJoin(F.broadcast(total))  # one row
+    splits = counts.agg(F.percentile_approx("v", [k / RANGES for k in range(1, RANGES)], 1000).alias("splits"))
+    dealt = counts.crossJoin(F.broadcast(splits)).select("v", "c", F.size(F.filter("splits", lambda x: x < F.col("v"))).alias("range"))  # one row
+    sums = dealt.groupBy("range").agg(F.sum("c").alias("c"))
+    whole = sums.agg(F.collect_list(F.struct("range", "c")).alias("sums"), F.coalesce(F.sum("c"), F.lit(0)).alias("n"))  # RANGES structs
+    before = F.aggregate(F.filter("sums", lambda x: x["range"] < F.col("range")), F.lit(0).cast("long"), lambda t, x: t + x["c"])
+    within = F.sum("c").over(W.partitionBy("range").orderBy("v").rowsBetween(W.unboundedPreceding, 0))
+    ranked = dealt.withColumn("within", within).crossJoin(F.broadcast(whole)).withColumn("upto", F.col("within") + before)  # one row
     at = lambda q: F.min(F.when(F.col("upto") > F.least(F.floor(F.col("n") * q), F.col("n") - 1), F.col("v")))
     return ranked.agg(
         F.coalesce(F.sum("c"), F.lit(0)).alias("n"),
@@ -105,6 +115,20 @@ def order_statistics(rows: DataFrame, value: str, shares: dict[str, float], low:
     )
 
 
+def counted(rows: DataFrame, groups: Sequence[str], key: str, precision: int = 14) -> DataFrame:
+    """Counts of a batch that can be merged with those of others: groups, rows, and a sketch of the distinct keys, blank
+    ones left out. A sketch has at most 2**precision registers, whatever it counts; its estimate is off by about
+    1.04 / 2**(precision / 2) of the true number (0.8 % for 14), and exact for few keys."""
+    text = strip(text_of(F.col(key)))
+    return rows.groupBy(*groups).agg(F.count("*").alias("rows"), F.hll_sketch_agg(F.when(text != "", text), precision).alias("sketch"))
+
+
+def merged(counts: DataFrame, groups: Sequence[str]) -> DataFrame:
+    """counted() of several batches as one: groups, rows (a key that comes in two batches has rows in both) and documents,
+    the estimate of distinct keys over all of them. The rows of no batch are read again."""
+    return counts.groupBy(*groups).agg(F.sum("rows").alias("rows"), F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("documents"))
+
+
 def count_gate(n: Column, expected: int, pilot_below: int = 100_000, share: float = 0.95) -> Column:
     """pilot, incomplete or complete."""
     return F.when(n < pilot_below, "pilot").when(n < share * expected, "incomplete").otherwise("complete")

@@ -200,6 +200,32 @@ def from_page(pages: DataFrame, url: str = "url", html: str = "html") -> DataFra
     )
 
 
+def detail_or_page(answers: DataFrame, pages: DataFrame, doc_id: str = "doc_id", detail: str = "detail", files: str = "files", url: str = "url", html: str = "html", url_prefix: str = "") -> DataFrame:
+    """Records of documents, from the detail answer where there is one, else from the document's page; `origin` is api or
+    page. Columns that only one of the two has are null for the other.
+
+    answers: doc_id, detail (null if the request failed; without any field if the answer was empty) and files (null if
+    that request failed, which costs the attachments only). pages: doc_id, url, html (null if it failed). Documents of
+    neither are in no row, see unanswered(). Rows without doc_id count as documents of their own in neither table and
+    are left out; a document with several rows has as many records; empty tables give none.
+    """
+    usable = answers.where(F.col(doc_id).isNotNull() & _answered(detail))
+    rest = pages.where(F.col(doc_id).isNotNull() & F.col(html).isNotNull()).join(usable.select(doc_id).distinct(), doc_id, "left_anti")
+    as_relation = lambda u: F.struct(F.lit("").alias("id"), u.alias("url"), F.lit("").alias("relation_type"), F.lit("").alias("title"))
+    of_pages = from_page(rest, url, html).withColumn("related_documents", F.transform("related_documents", as_relation)).withColumn("origin", F.lit("page"))
+    return from_detail(usable, doc_id, detail, files, url_prefix).withColumn("origin", F.lit("api")).unionByName(of_pages, allowMissingColumns=True)
+
+
+def unanswered(answers: DataFrame, pages: DataFrame, doc_id: str = "doc_id", detail: str = "detail", html: str = "html") -> DataFrame:
+    """doc_id of documents in either table that have neither an answer nor a page, once each."""
+    known = answers.where(_answered(detail)).select(doc_id).union(pages.where(F.col(html).isNotNull()).select(doc_id)).distinct()
+    return answers.select(doc_id).union(pages.select(doc_id)).where(F.col(doc_id).isNotNull()).distinct().join(known, doc_id, "left_anti")
+
+
+def _answered(detail: str) -> Column:
+    return F.col(detail).isNotNull() & (F.to_json(detail) != "{}")
+
+
 def full(records: DataFrame, content: str = "full_html_content") -> DataFrame:
     """Records with the links of all attachments and files, and the content as it came."""
     return records.withColumns({"file_urls": all_urls(F.col("attachments"), F.col("file_urls")), "content_html": text_of(F.col(content))})

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions import dates, text
 from ..operators import corpus, quality, records, topics
-from ..sources import jsonl, paged
+from ..sources import jsonl, listing, paged
 from ..sources.binary import pdf_of_documents
 from ..sources.storage import shared_folder
 from ..streaming import incremental
@@ -164,3 +164,50 @@ def required_and_gate(spark, sf_dir):
     """Whether a required field is blank (French documents lose their source), and what a count says of completeness."""
     d = t(spark, sf_dir, "documents").withColumn("source", F.when(F.col("lang") == "fr", " ").otherwise(F.col("source")))
     return d.select("doc_id", quality.required_missing(["text", "source"]).alias("lacking"), corpus.count_gate(F.col("n_chars"), 1000, 100).alias("gate"))
+
+
+@query(
+    r"""WITH a AS (SELECT page_id, regexp_extract(url, '^https?://([^/?#]*)', 1) AS host, regexp_extract(url, '^https?:', 0) AS scheme, unnest(regexp_extract_all(html, '<a href="([^"]*)"', 1)) AS href,
+  generate_subscripts(regexp_extract_all(html, '<a href="([^"]*)"', 1), 1) AS i FROM pages WHERE page_id % 7 <> 3),
+u AS (SELECT page_id, i, CASE WHEN starts_with(href, '/') THEN scheme || '//' || host || href ELSE href END AS link FROM a WHERE href <> ''),
+d AS (SELECT page_id, link, min(i) AS i FROM u WHERE suffix(regexp_extract(link, '^https?://([^/?#]*)', 1), 'example.com') GROUP BY page_id, link),
+n AS (SELECT page_id, CAST(row_number() OVER (PARTITION BY page_id ORDER BY i) - 1 AS INT) AS place, link FROM d),
+w AS (SELECT *, row_number() OVER (PARTITION BY link ORDER BY page_id, place) AS r FROM n)
+SELECT 'link' AS kind, page_id AS page, place, link FROM w WHERE r = 1 UNION ALL SELECT 'failed', page_id, NULL, url FROM pages WHERE page_id % 7 = 3"""
+)
+def html_listing(spark, sf_dir):
+    """Links of all pages, each where it comes first; every seventh page fails and is reported."""
+    p = t(spark, sf_dir, "pages").select("page_id", "url", F.when(F.col("page_id") % 7 != 3, F.col("html")).alias("html"))
+    links = listing.listed_links(p, "page_id", host="example.com").select(F.lit("link").alias("kind"), "page", "place", "link")
+    failed = listing.failed_pages(p, "page_id").select(F.lit("failed").alias("kind"), "page", F.lit(None).cast("int").alias("place"), F.col("url").alias("link"))
+    return links.unionByName(failed)
+
+
+@query(
+    """SELECT CAST(doc_id AS VARCHAR) AS canonical_doc_id, CASE lang WHEN 'en' THEN 'api' WHEN 'fr' THEN 'none' ELSE 'page' END AS origin, CASE lang WHEN 'en' THEN 'T ' || source WHEN 'fr' THEN NULL ELSE 'Page of ' || doc_id END AS title,
+  CASE lang WHEN 'en' THEN 'A ' || source WHEN 'fr' THEN NULL ELSE 'B ' || source END AS agency, CASE WHEN lang = 'en' AND doc_id % 2 = 0 THEN ['f' || doc_id || '.pdf'] WHEN lang <> 'fr' THEN [] END AS files FROM documents"""
+)
+def details_with_fallback(spark, sf_dir):
+    """Records of documents: English ones have answers (those of odd ids without their files), German ones an empty
+    answer and a page, French ones neither, all others a page only."""
+    d = t(spark, sf_dir, "documents").withColumn("key", F.col("doc_id").cast("string"))
+    said = F.to_json(F.struct(F.concat(F.lit("T "), "source").alias("title"), F.concat(F.lit("A "), "source").alias("agencyName")))
+    detail = F.from_json(F.when(F.col("lang") == "en", said).when(F.col("lang") == "de", F.lit("{}")), records.DETAIL)
+    files = F.from_json(F.when(F.col("doc_id") % 2 == 0, F.format_string('[{"fileName":"f.pdf","presignedUrl":"f%d.pdf"}]', "doc_id")), records.FILES)
+    answers = d.select("key", detail.alias("detail"), files.alias("files"))
+    html = F.format_string("<html><body><h1>Page of %d</h1><p>Cơ quan ban hành: B %s</p></body></html>", "doc_id", "source")
+    pages = d.select("key", F.format_string("https://example.org/d?ItemID=%d", "doc_id").alias("url"), F.when(F.col("lang") != "fr", html).alias("html"))
+    r = records.detail_or_page(answers, pages, "key").select("canonical_doc_id", "origin", "title", F.col("issuing_agency").alias("agency"), F.col("file_urls").alias("files"))
+    none = records.unanswered(answers, pages, "key").select(F.col("key").alias("canonical_doc_id"), F.lit("none").alias("origin"))
+    return r.unionByName(none, allowMissingColumns=True)
+
+
+@query("SELECT lang, count(*) AS rows, TRUE AS near FROM documents GROUP BY lang")
+def merged_counts(spark, sf_dir):
+    """Rows and distinct texts of each language by sketches of four batches, which are stored and merged; near: within three
+    standard errors of the exact number."""
+    path, d = _folder(spark, "counts"), t(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    corpus.counted(d.withColumn("batch", F.col("doc_id") % 4), ["batch", "lang"], "text").write.partitionBy("batch").parquet(path)
+    exact = d.where(F.trim("text") != "").groupBy("lang").agg(F.count_distinct(F.sha2(F.trim("text"), 256)).alias("exact"))
+    m = corpus.merged(spark.read.parquet(path), ["lang"]).join(exact, "lang", "left")
+    return m.select("lang", "rows", (F.abs(F.col("documents") - F.coalesce("exact", F.lit(0))) <= 0.025 * F.coalesce("exact", F.lit(0))).alias("near"))

@@ -130,6 +130,27 @@ def test_order_statistics_take_the_element_at_floor(spark):
     assert corpus.order_statistics(d.limit(0), "v", {"p50": 0.5}, 1, 2).first().n == 0
 
 
+def test_order_statistics_over_ranges(spark):
+    """Many distinct values, a hot one, and nulls; no window without a partition."""
+    rng = __import__("random").Random(5)
+    for values in ([rng.randrange(-10**6, 10**6) for _ in range(5000)] + [7] * 3000, [9] * 50, [1.5, -2.5, 0.25]):
+        s, d = sorted(values), spark.createDataFrame([(v,) for v in [*values, None]], f"v {'double' if isinstance(values[0], float) else 'long'}")
+        shares = {f"p{k}": k / 100 for k in (0, 1, 25, 50, 90, 99, 100)}
+        r = corpus.order_statistics(d, "v", shares, 0, 9)
+        got = r.first()
+        assert [got[k] for k in shares] == [s[min(int(len(s) * q), len(s) - 1)] for q in shares.values()]
+        assert (got.n, got.min, got.max, got.under, got.over) == (len(s), s[0], s[-1], sum(v < 0 for v in s), sum(v > 9 for v in s))
+    plan = r._jdf.queryExecution().optimizedPlan().toString()
+    assert "windowspecdefinition(range" in plan and "windowspecdefinition(v" not in plan
+
+
+def test_counts_of_batches_merge(spark):
+    d = spark.createDataFrame([(b, g, k) for b in range(3) for g, k in (("x", "a"), ("x", "b "), ("x", f"own{b}"), ("y", " "), ("y", None), (None, "n"))], "batch int, g string, k string")
+    counts = corpus.counted(d, ["batch", "g"], "k")
+    assert {r.g: (r.rows, r.documents) for r in corpus.merged(counts, ["g"]).collect()} == {"x": (9, 5), "y": (6, 0), None: (3, 1)}
+    assert corpus.merged(corpus.counted(d.limit(0), ["g"], "k"), ["g"]).count() == 0
+
+
 def test_last_wins_and_blank_keys(spark):
     d = spark.createDataFrame([("a", 1, "x"), ("a", 2, "y"), (" ", 3, "z"), (None, 4, "w")], "k string, pos int, v string")
     assert rows(corpus.last_wins(d, ["k"], ["pos"]), "k") == [("a", 2, "y")]

@@ -6,8 +6,9 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from lodestack.operators import records
 from lodestack.operators.retrieval import upserted
-from lodestack.sources import binary, collections, jsonl, paged
+from lodestack.sources import binary, collections, jsonl, listing, paged
 from lodestack.streaming import incremental
 
 
@@ -158,3 +159,26 @@ def test_commands(spark, tmp_path, capsys):
     assert json.loads(capsys.readouterr().out)["rank"] == 1
     main(["report", f"{tmp_path}/docs"], spark)
     assert json.loads(capsys.readouterr().out)["chunks"] == 2
+
+
+def test_listing_survives_failed_pages(spark):
+    a = lambda *urls: "".join(f'<a href="{u}">x</a>' for u in urls)
+    rows = [(2, "http://x.org/l", a("/d?ItemID=1", "/d?ItemID=3", "/d?ItemID=4")), (1, "http://x.org/l", a("/d?ItemID=2", "/d?ItemID=1", "http://y.com/d?ItemID=9")), (3, "http://x.org/3", None), (4, "http://x.org/l", ""), (5, None, "<a href")]
+    pages = spark.createDataFrame([(*r, 1) for r in rows], "number int, url string, html string, link int")
+    got = lambda **more: [(r.page, r.place, r.link[-1]) for r in listing.listed_links(pages, host="x.org", needs="ItemID=", **more).orderBy("page", "place").collect()]
+    assert got() == [(1, 0, "2"), (1, 1, "1"), (2, 1, "3"), (2, 2, "4")] and got(limit=3) == got()[:3] and got(limit=0) == []
+    assert [tuple(r) for r in listing.failed_pages(pages).collect()] == [(3, "http://x.org/3")]
+    assert listing.listed_links(pages.limit(0)).count() == 0
+
+
+def test_details_fall_back_to_pages(spark):
+    """An answer, one without files, an empty one, a failed one, none; and what has no page either."""
+    said = '{"title":"T","documentRelatedList":[{"id":"9"}]}'
+    answers = spark.createDataFrame([("a", said, '[{"fileName":"f.pdf","presignedUrl":"u"}]'), ("b", said, None), ("c", "{}", "[]"), ("d", None, None), ("f", None, None), (None, said, None)], "doc_id string, j string, f string")
+    answers = answers.select("doc_id", F.from_json("j", records.DETAIL).alias("detail"), F.from_json("f", records.FILES).alias("files"))
+    page = lambda k: (k, f"http://x?ItemID={k}", f"<h1>Page {k}</h1>")
+    pages = spark.createDataFrame([page("a"), page("c"), page("d"), page("e"), ("f", "u", None), ("g", "u", None), (None, "u", "<h1>n</h1>")], "doc_id string, url string, html string")
+    got = sorted((r.canonical_doc_id, r.origin, r.title, tuple(r.file_urls), len(r.related_documents)) for r in records.detail_or_page(answers, pages).collect())
+    assert got == [("a", "api", "T", ("u",), 1), ("b", "api", "T", (), 1), ("c", "page", "Page c", (), 0), ("d", "page", "Page d", (), 0), ("e", "page", "Page e", (), 0)]
+    assert sorted(r.doc_id for r in records.unanswered(answers, pages).collect()) == ["f", "g"]
+    assert records.detail_or_page(answers.limit(0), pages.limit(0)).count() == 0
