@@ -56,10 +56,11 @@ def ascii_lower(text: Column) -> Column:
     return F.when(is_ascii, F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
 
 
-def within(texts: DataFrame, most: int) -> DataFrame:
+def within(texts: DataFrame, most: int, size: Column | None = None) -> DataFrame:
     """The rows of `texts` (id, t, and more; a bounded sample, written), by the hash of their id, as far as their texts
-    have at most `most` characters together, and one row at least. Only ids and lengths come to the driver."""
-    sizes = sorted((r["h"], r["id"], r["n"] or 0) for r in texts.select("id", F.xxhash64("id").alias("h"), F.length("t").alias("n")).collect())
+    have at most `most` characters, or the size given, together, and one row at least. Only ids and sizes come to the driver."""
+    size = F.length("t") if size is None else size
+    sizes = sorted((r["h"], r["id"], r["n"] or 0) for r in texts.select("id", F.xxhash64("id").alias("h"), size.alias("n")).collect())
     total, last = 0, None
     for h, i, n in sizes:
         total += n

@@ -25,6 +25,8 @@ from .common import cut, table, within
 SAMPLE = 4_000
 #: Characters that the texts of these documents have together at most, which bounds what comes to the driver.
 SAMPLE_CHARS = 40_000_000
+#: Characters that a line counts as besides its own: what comes of a line to the driver is as large for a short one.
+LINE_CHARS = 100
 #: Documents of different openings that share a line of boilerplate.
 SHARED = 3
 #: Least share of content characters of a kept document.
@@ -204,7 +206,8 @@ def line_accuracy(model: Field, docs: list[tuple[list[list[str]], list[int]]]) -
 
 def evidence(docs: DataFrame, ratings: DataFrame, doc_id: str = "doc_id", text: str = "text", sample: int = SAMPLE, chars: int = SAMPLE_CHARS) -> list[tuple[list[list[str]], list[int]]]:
     """Labelled lines of at most `sample` rated documents of at most `chars` characters together, by `labelled`; only
-    hashes and features of lines come to the driver. ratings: doc_id, quality.
+    hashes and features of lines come to the driver. Each line counts as LINE_CHARS more, so that there are at most
+    `chars` / LINE_CHARS of them, but for one document, which is taken whatever its size. ratings: doc_id, quality.
 
     Ratings with a null, and those of documents that docs hasn't, are left out; of several ratings of one document, and
     of several texts of one id, the least counts. Null and empty texts have no lines; long ones count whole.
@@ -223,7 +226,8 @@ def evidence(docs: DataFrame, ratings: DataFrame, doc_id: str = "doc_id", text:
 
     found = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("t")).join(F.broadcast(chosen), "id")
     found = cut(found.groupBy("id").agg(F.min("q").cast("int").alias("q"), F.min("t").alias("t")))  # one text of each id, however often it occurs
-    rows = within(found, chars).select("id", "q", "t").mapInArrow(run, "id long, q int, lines string").toArrow().sort_by([("id", "ascending"), ("lines", "ascending")])
+    size = F.length("t") + LINE_CHARS * (1 + F.length("t") - F.length(F.replace("t", F.lit("\n"), F.lit(""))))
+    rows = within(found, chars, size).select("id", "q", "t").mapInArrow(run, "id long, q int, lines string").toArrow().sort_by([("id", "ascending"), ("lines", "ascending")])
     split = lambda x: (int((p := x.split(" "))[0]), p[1:])
     return labelled([(q.as_py(), [split(x) for x in lines.as_py().split("\n")]) for q, lines in zip(rows["q"], rows["lines"]) if lines.as_py()])
 

@@ -132,6 +132,15 @@ def test_crf_marks_lines_within_documents(spark):
     assert line_crf.line_accuracy(line_crf.fit(train), held) >= 0.97
 
 
+def test_evidence_is_bounded_by_lines(spark):
+    """Documents of a thousand one-letter lines: so many as their lines allow, though their characters would allow all."""
+    rows = [(k, "\n".join("ab"[j % 2] for j in range(1000))) for k in range(20)]
+    ratings = spark.createDataFrame([(k, 1) for k, _ in rows], "doc_id long, quality int")
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    counts = [len(line_crf.evidence(docs, ratings, chars=c)) for c in (10, 5 * (1000 * line_crf.LINE_CHARS + 2000), 10**8)]
+    assert counts == [1, 5, 20]
+
+
 def test_copies_are_no_evidence_of_boilerplate():
     copy = [(h, ["bias"]) for h in (1, 2, 3)]
     assert all(labels == [1, 1, 1] for _, labels in line_crf.labelled([(1, copy)] * 9))
