@@ -33,6 +33,15 @@ def last_wins(rows: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Dat
     return best.select(*(F.col(c) if c in keys else F.col(f"m.{c}").alias(c) for c in rows.columns))
 
 
+def first_keys(rows: DataFrame, key: str, order: str, most: int) -> DataFrame:
+    """Rows of the first `most` different keys by the least `order` of each; blank keys are left out. The keys are combined
+    before the shuffle, and each task keeps its first ones, so that only bounded lists of keys meet."""
+    known = rows.where(strip(text_of(F.col(key))) != "")
+    name = unused(rows, "first")
+    keys = known.groupBy(F.col(key).alias(name)).agg(F.min(order).alias(f"{name}_at")).orderBy(f"{name}_at", name).limit(most)
+    return known.join(keys, F.col(key) == F.col(name), "left_semi")
+
+
 def without_known(rows: DataFrame, known: DataFrame, keys: Sequence[tuple[str, str]]) -> DataFrame:
     """Rows none of whose keys is known: one anti-join for each pair (column of rows, column of known); blanks never
     match. An OR of keys in one join would compare all pairs."""

@@ -69,7 +69,10 @@ def summary(records: DataFrame, content: str, score: str, urls: dict[str, str],
     )
 
 
-def warnings(records: DataFrame, key: str, content: str, short: int = 200) -> DataFrame:
-    """key, warning (empty_content or short_content) and length of records with little content."""
+def warnings(records: DataFrame, key: str, content: str, short: int = 200, line: str | None = None) -> DataFrame:
+    """key, warning (empty_content or short_content) and length of records with little content, and, given the column that
+    has it (see jsonl.scan), the number of the line that they come from."""
     n = F.length(strip(text_of(F.col(content))))
-    return records.select(key, n.alias("length")).where(F.col("length") < short).select(key, F.when(F.col("length") == 0, "empty_content").otherwise("short_content").alias("warning"), "length")
+    where = [F.col(line).alias("line")] if line else []
+    few = records.select(key, n.alias("length"), *where).where(F.col("length") < short)
+    return few.select(key, F.when(F.col("length") == 0, "empty_content").otherwise("short_content").alias("warning"), "length", *(["line"] if line else []))

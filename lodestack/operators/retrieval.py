@@ -172,5 +172,22 @@ def citation(article: Column, clause: Column, point: Column, words: tuple[str, s
     return F.when(joined == "", unknown).otherwise(joined)
 
 
+#: Fields of a chunk that a result shows besides its text. Fixed values.
+RESULT_FIELDS = ("canonical_doc_id", "title", "document_number", "issued_date", "status", "topic_labels", "retrieval_scope", "article_number", "clause_number", "point_key", "source_url")
+
+
+def result_rows(top: DataFrame, chunks: DataFrame, chunk_id: str, text: str = "text", fields: Sequence[str] = RESULT_FIELDS) -> DataFrame:
+    """The rows of a top-k (its columns) with what a reader needs to cite them: the fields, as scalars, "" where a chunk or
+    all chunks lack one, the citation by article, clause and point, and the text. Fields that top has already stay its
+    own. A chunk that is gone has blank fields; of several chunks of an id each gives a row."""
+    kinds = dict(chunks.dtypes)
+    shown = [f for f in fields if f not in top.columns]
+    own = [(flat_column(f, kinds[f]) if f in kinds else F.lit("")).alias(f) for f in shown]
+    c = chunks.select(F.col(chunk_id).alias(chunk_id), *own, text_of(F.col(text)).alias("text"))
+    r = top.join(c, chunk_id, "left").withColumns({f: F.coalesce(F.col(f).cast("string"), F.lit("")) for f in (*shown, "text")})
+    place = [F.col(f) if f in r.columns else F.lit("") for f in ("article_number", "clause_number", "point_key")]
+    return r.select(*top.columns, *shown, citation(*place).alias("citation"), "text")
+
+
 def preview(text: Column, most: int = 700) -> Column:
     return F.substring(F.regexp_replace(text_of(text), "\n", " "), 1, most)

@@ -313,3 +313,19 @@ def test_long_texts_are_parsed_block_by_block(spark, monkeypatch):
     whole = [tuple(r) for r in structure.structured(d, "doc_id", "text").collect()]
     monkeypatch.setattr(structure, "FOLD", 7)
     assert [tuple(r) for r in structure.structured(d, "doc_id", "text").collect()] == whole and len(whole) == 39 * 3
+
+
+def test_result_rows_cite(spark):
+    chunks = spark.createDataFrame([("c1", "T", "5", None, "a", ["x", "y"], "body"), ("c2", None, "", "", None, [], None)], "chunk_id string, title string, article_number string, clause_number string, point_key string, topic_labels array<string>, text string")
+    top = spark.createDataFrame([(1, 1, "c1", 0.5), (1, 2, "c2", 0.25), (1, 3, "gone", 0.1)], "query int, rank int, chunk_id string, score double")
+    r = retrieval.result_rows(top, chunks, "chunk_id").orderBy("rank")
+    assert r.columns[:4] == top.columns and set(retrieval.RESULT_FIELDS) < set(r.columns)
+    assert [(x.rank, x.title, x.status, x.topic_labels, x.citation, x.text) for x in r.collect()] == [(1, "T", "", '["x", "y"]', "Điều 5, Điểm a", "body"), (2, "", "", "[]", "unknown", ""), (3, "", "", "", "unknown", "")]
+    assert retrieval.result_rows(top.limit(0), chunks, "chunk_id").count() == 0
+
+
+def test_warnings_with_lines_and_first_keys(spark):
+    d = spark.createDataFrame([("b", " ", 1), ("a", "x" * 199, 2), ("b", "x" * 200, 3), ("c", None, 4), (None, "y", 5), (" ", "y", 6)], "k string, text string, n int")
+    assert rows(quality.warnings(d, "k", "text", line="n"), "line")[:2] == [("b", "empty_content", 0, 1), ("a", "short_content", 199, 2)]
+    assert sorted(r.n for r in corpus.first_keys(d, "k", "n", 2).collect()) == [1, 2, 3] and corpus.first_keys(d, "k", "n", 0).count() == 0
+    assert sorted(r.n for r in corpus.first_keys(d, "k", "n", 9).collect()) == [1, 2, 3, 4]
