@@ -206,7 +206,7 @@ def detail_or_page(answers: DataFrame, pages: DataFrame, doc_id: str = "doc_id",
 
     answers: doc_id, detail (null if the request failed; without any field if the answer was empty) and files (null if
     that request failed, which costs the attachments only). pages: doc_id, url, html (null if it failed). Documents of
-    neither are in no row, see unanswered(). Rows without doc_id count as documents of their own in neither table and
+    neither are in no row, see unanswered(). Rows without doc_id
     are left out; a document with several rows has as many records; empty tables give none.
     """
     usable = answers.where(F.col(doc_id).isNotNull() & _answered(detail))
