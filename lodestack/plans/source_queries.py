@@ -8,10 +8,11 @@ from pyspark.sql import functions as F
 
 from ..functions import dates, text
 from ..operators import corpus, quality, records, topics
-from ..sources import jsonl, listing, paged
+from ..sources import buckets, commits, jsonl, listing, page_days, paged
 from ..sources.binary import pdf_of_documents
 from ..sources.storage import shared_folder
 from ..streaming import incremental
+from ..streaming.replay import drained
 from .queries import query, t
 
 
@@ -63,10 +64,51 @@ def published_batches(spark, sf_dir):
 SELECT min(struct_pack(page := page, place := place)).page AS page, min(struct_pack(page := page, place := place)).place AS place, id FROM i WHERE NOT old AND page * 50 < 900 + 50 GROUP BY id ORDER BY 1, 2 LIMIT 300"""
 )
 def paged_listing(spark, sf_dir):
-    """Orders as pages of a list of 900 entries, by customer, without those of an old status."""
-    o = t(spark, sf_dir, "orders")
-    items = o.select((F.floor(F.col("o_orderkey") / 50) + 1).cast("int").alias("page"), (F.col("o_orderkey") % 50).cast("int").alias("place"), F.col("o_custkey").cast("string").alias("id"), F.col("o_orderstatus").alias("item"), F.lit(900).alias("total"))
-    return paged.listed(items, limit=300, old=F.col("item") == "F").select("page", "place", "id")
+    """Orders as saved pages of a list of 900 entries, by customer, without those of an old status."""
+    path, o = _folder(spark, "pages"), t(spark, sf_dir, "orders")
+    entry = F.struct((F.col("o_orderkey") % 50).alias("place"), F.col("o_custkey").cast("string").alias("id"), F.col("o_orderstatus").alias("status"))
+    pages = o.groupBy((F.floor(F.col("o_orderkey") / 50) + 1).alias("page")).agg(F.sort_array(F.collect_list(entry)).alias("items"))  # fifty at most
+    page_days.save(pages.select(F.lit("").alias("day"), "page", F.to_json(F.struct("items", F.lit(900).alias("total"))).alias("body")), path)
+    paged.register(spark)
+    items = spark.read.format("saved_pages").option("path", path).load()
+    return paged.listed(items, limit=300, old=F.get_json_object("item", "$.status") == "F").select("page", "place", "id")
+
+
+@query("SELECT 'd' || lpad(CAST(o_orderkey // 5000 AS VARCHAR), 5, '0') AS day, CAST(o_orderkey // 50 % 100 + 1 AS INT) AS page, CAST(o_orderkey % 50 AS INT) AS place, CAST(o_custkey AS VARCHAR) AS id, o_orderstatus AS status FROM orders")
+def page_days_resumed(spark, sf_dir):
+    """Orders as pages of fifty, a hundred of them a day: those of the first day are saved and streamed, then all others are, by
+    a second run that goes on where the first one stopped."""
+    path, out, o = _folder(spark, "days"), _folder(spark, "drained"), t(spark, sf_dir, "orders")
+    entry = F.struct((F.col("o_orderkey") % 50).alias("place"), F.col("o_custkey").cast("string").alias("id"), F.col("o_orderstatus").alias("status"))
+    day, page = F.format_string("d%05d", F.floor(F.col("o_orderkey") / 5000)), F.floor(F.col("o_orderkey") / 50) % 100 + 1
+    pages = o.groupBy(day.alias("day"), page.alias("page")).agg(F.to_json(F.sort_array(F.collect_list(entry))).alias("body"))  # fifty at most
+    for part in (F.col("day") == "d00000", F.col("day") > "d00000"):
+        page_days.save(pages.where(part), path)
+        rows = drained(page_days.stream(spark, path), out)
+    return rows.select("day", "page", "place", "id", F.get_json_object("item", "$.status").alias("status"))
+
+
+@query("SELECT 'full' AS name, doc_id AS id, lang AS value FROM documents UNION ALL SELECT 'chunks', doc_id, CAST(quality AS VARCHAR) FROM labels UNION ALL SELECT 'pages', page_id, url FROM pages")
+def three_tables_committed(spark, sf_dir):
+    """Three tables committed as one batch, after a first try that had other rows, which the second replaces in all."""
+    root = _folder(spark, "tables")
+    full, chunks, pages = t(spark, sf_dir, "documents").select("doc_id", "lang"), t(spark, sf_dir, "labels").select("doc_id", F.col("quality").cast("string").alias("quality")), t(spark, sf_dir, "pages").select("page_id", "url")
+    commits.commit(spark, root, "b1", full=full.select("doc_id", F.lit("old").alias("lang")), chunks=chunks)
+    commits.commit(spark, root, "b1", full=full, chunks=chunks, pages=pages)
+    commits.swept(root)
+    read = commits.committed(spark, root, full="doc_id long, lang string", chunks="doc_id long, quality string", pages="page_id long, url string")
+    name = lambda k: read[k].drop("batch").toDF("id", "value").select(F.lit(k).alias("name"), "id", "value")
+    return name("full").unionByName(name("chunks")).unionByName(name("pages"))
+
+
+@query("SELECT doc_id, coalesce(l.quality, -1) AS quality, CASE WHEN l.doc_id IS NULL THEN 1 ELSE 2 END AS version FROM documents d LEFT JOIN labels l USING (doc_id)")
+def bucketed_upsert(spark, sf_dir):
+    """Documents as a collection in 16 buckets, into which their labels are merged as a second version."""
+    root, d = _folder(spark, "buckets"), t(spark, sf_dir, "documents")
+    buckets.upsert(spark, root, d.select("doc_id", F.lit(-1).alias("quality"), F.lit(1).alias("version")), "doc_id", "version", 16)
+    buckets.upsert(spark, root, t(spark, sf_dir, "labels").select("doc_id", "quality", F.lit(2).alias("version")), "doc_id", "version")
+    buckets.swept(spark, root)
+    return buckets.collection(spark, root)
 
 
 @query(

@@ -16,6 +16,17 @@ def _opened(folder: str) -> tuple[fs.FileSystem, str]:
     return store, path.rstrip("/")
 
 
+def _items(store: fs.FileSystem, path: str) -> Iterator[tuple]:
+    """place, id, item and total of the items of a page; entries that are no objects are none."""
+    with store.open_input_stream(path) as f:
+        page = json.loads(f.read().decode("utf-8-sig"))
+    total = page.get("total") if isinstance(page, dict) else None
+    total = int(total) if isinstance(total, (int, float)) or isinstance(total, str) and total.isdecimal() else None
+    for place, item in enumerate(page.get("items", []) if isinstance(page, dict) else page):
+        if isinstance(item, dict):
+            yield place, str(item.get("id") or ""), json.dumps(item, ensure_ascii=False), total
+
+
 class SavedPage(InputPartition):
     def __init__(self, path: str, number: int):
         super().__init__(number)
@@ -40,14 +51,8 @@ class PagedReader(DataSourceReader):
     def read(self, partition: SavedPage) -> Iterator[tuple]:
         if not partition.path:
             return
-        with _opened(self.folder)[0].open_input_stream(partition.path) as f:
-            page = json.loads(f.read().decode("utf-8-sig"))
-        total = page.get("total") if isinstance(page, dict) else None
-        total = int(total) if isinstance(total, (int, float)) or isinstance(total, str) and total.isdecimal() else None
-        items = page.get("items", []) if isinstance(page, dict) else page
-        for place, item in enumerate(items):
-            if isinstance(item, dict):
-                yield partition.number, place, str(item.get("id") or ""), json.dumps(item, ensure_ascii=False), total
+        for place, i, item, total in _items(_opened(self.folder)[0], partition.path):
+            yield partition.number, place, i, item, total
 
 
 class PagedSource(DataSource):

@@ -45,3 +45,19 @@ def written(df: DataFrame) -> DataFrame:
     if sc.getCheckpointDir().isEmpty():
         sc.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)
+
+
+def created(spark: SparkSession, path: str, text: str) -> None:
+    """A new file with the text; it must not be there."""
+    p, store = _path(spark, path)
+    out = store.create(p, False)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
+def listed_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies in a folder; none if it isn't there."""
+    p, store = _path(spark, path)
+    return [f.getPath().getName() for f in store.listStatus(p)] if store.exists(p) else []
