@@ -52,11 +52,48 @@ def _accent_tables() -> tuple[str, str]:
     return "".join([*source, "Đ", "đ"]), "".join([*target, "D", "d"])
 
 
+@cache
+def _several() -> dict[str, str]:
+    """Characters that decompose into several that are no marks, and these; derived, not listed, without Hangul."""
+    found = {}
+    for code in range(0x80, sys.maxunicode + 1):
+        c = chr(code)
+        base = "".join(x for x in unicodedata.normalize("NFD", c) if unicodedata.category(x) != "Mn")
+        if len(base) > 1 and not "\uac00" <= c <= "\ud7a3":
+            found[c] = base
+    return found
+
+
+#: Parts of Hangul syllables: 19 leading ones, 21 vowels, and 27 trailing ones or none.
+LEADING, VOWELS, TRAILING = ("".join(map(chr, range(first, first + n))) for first, n in ((0x1100, 19), (0x1161, 21), (0x11A8, 27)))
+
+
+def _syllable(c: Column) -> Column:
+    """A Hangul syllable taken apart, by the arithmetic of its code."""
+    n = F.ascii(c) - 0xAC00
+    at = lambda parts, k: F.substr(F.lit(parts), k.cast("int"), F.lit(1))
+    last = F.when(n % 28 > 0, at(TRAILING, n % 28)).otherwise("")
+    return F.concat(at(LEADING, F.floor(n / 588) + 1), at(VOWELS, F.floor(n % 588 / 28) + 1), last)
+
+
+def _decomposed(c: Column) -> Column:
+    """Character by character, those that become several; for the few texts that have any."""
+    known = F.create_map(*(F.lit(x) for pair in sorted(_several().items()) for x in pair))
+    one = lambda x: F.when(x.between("\uac00", "\ud7a3"), _syllable(x)).otherwise(F.coalesce(F.element_at(known, x), x))
+    return F.array_join(F.transform(F.split(c, ""), one), "")
+
+
+#: Marks; U+1734 is one to Unicode 13, which some Javas know, and none since.
+MARKS = r"[\p{Mn}&&[^\u1734]]"
+
+
 def strip_accents(c: Column) -> Column:
-    """Letters without their marks, Đ as D; characters that decompose into several letters keep theirs."""
+    """Letters without their marks, Đ as D; characters that decompose into several letters become these, Hangul too."""
     source, target = _accent_tables()
     plain = F.length(c) == F.octet_length(c)
-    return F.when(plain, c).otherwise(F.regexp_replace(F.translate(c, source, target), r"\p{Mn}", ""))
+    bare = lambda x: F.regexp_replace(F.translate(x, source, target), MARKS, "")
+    wide = c.rlike(f"[\uac00-\ud7a3{''.join(sorted(_several()))}]")
+    return F.when(plain, c).when(wide, bare(_decomposed(c))).otherwise(bare(c))
 
 
 def normalize_for_match(c: Column) -> Column:

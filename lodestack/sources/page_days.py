@@ -11,26 +11,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceStreamReader, DataSourceWriter, InputPartition, WriterCommitMessage
 
-from .paged import _items, _opened
+from .paged import PageRun, _items, _opened, runs
 
 PATTERN = "page_{:05d}.json"
 
 
-class PageRun(InputPartition):
-    """Some pages of one batch: (day, number, path)."""
-
-    def __init__(self, pages: list[tuple[str, int, str]]):
-        super().__init__(pages[0][:2])
-        self.pages = pages
-
-
 class PageDays(DataSourceStreamReader):
     """The offset is the day and the number of the last page read. Days are folders below the path, in order; a day's pages
     end at the first that is missing. A batch is what lies between two offsets, so that a batch that failed, or a run that
     was stopped, reads the same pages again. Pages that are added to a day before that of the offset aren't read."""
 
     def __init__(self, options: dict):
-        self.folder, self.most = options["path"], int(options.get("pagesPerTask", 64))
+        self.folder, self.options = options["path"], dict(options)
 
     def _saved(self, since: tuple[str, int] = ("", 0)) -> list[tuple[str, int, str]]:
         store, folder = _opened(self.folder)
@@ -55,8 +47,7 @@ class PageDays(DataSourceStreamReader):
 
     def partitions(self, start: dict, end: dict) -> list[InputPartition]:
         after, last = (start["day"], start["page"]), (end["day"], end["page"])
-        pages = [p for p in self._saved(after) if after < p[:2] <= last]
-        return [PageRun(pages[i : i + self.most]) for i in range(0, len(pages), self.most)]
+        return runs([p for p in self._saved(after) if after < p[:2] <= last], self.options)
 
     def read(self, partition: PageRun) -> Iterator[tuple]:
         store, _ = _opened(self.folder)

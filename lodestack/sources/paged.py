@@ -1,4 +1,4 @@
-"""A paged list service as a Spark data source, replayed from saved pages; one partition for each page."""
+"""A paged list service as a Spark data source, replayed from saved pages; some pages to a task."""
 
 from __future__ import annotations
 
@@ -27,16 +27,25 @@ def _items(store: fs.FileSystem, path: str) -> Iterator[tuple]:
             yield place, str(item.get("id") or ""), json.dumps(item, ensure_ascii=False), total
 
 
-class SavedPage(InputPartition):
-    def __init__(self, path: str, number: int):
-        super().__init__(number)
-        self.path, self.number = path, number
+class PageRun(InputPartition):
+    """Some pages, which one task reads: (day, number, path); no day where there are no folders of days."""
+
+    def __init__(self, pages: list[tuple[str, int, str]]):
+        super().__init__(pages[0][1] if pages else 0)
+        self.pages = pages
+
+
+def runs(pages: list[tuple[str, int, str]], options: dict) -> list[InputPartition]:
+    """Pages dealt to tasks, `pagesPerTask` to each (64 if not said)."""
+    most = int(options.get("pagesPerTask", 64))
+    return [PageRun(pages[i : i + most]) for i in range(0, len(pages), most)]
 
 
 class PagedReader(DataSourceReader):
     """Pages end at the first one that is missing; items come with the number of their page and their place on it."""
 
     def __init__(self, options: dict):
+        self.options = dict(options)
         self.folder, self.pattern = options["path"], options.get("pattern", "page_{:05d}.json")
 
     def partitions(self) -> list[InputPartition]:
@@ -44,15 +53,15 @@ class PagedReader(DataSourceReader):
         there = {f.path for f in store.get_file_info(fs.FileSelector(folder, allow_not_found=True))}
         found, n = [], 1
         while (path := f"{folder}/{self.pattern.format(n)}") in there:
-            found.append(SavedPage(path, n))
+            found.append(("", n, path))
             n += 1
-        return found or [SavedPage("", 0)]
+        return runs(found, self.options) or [PageRun([])]
 
-    def read(self, partition: SavedPage) -> Iterator[tuple]:
-        if not partition.path:
-            return
-        for place, i, item, total in _items(_opened(self.folder)[0], partition.path):
-            yield partition.number, place, i, item, total
+    def read(self, partition: PageRun) -> Iterator[tuple]:
+        store, _ = _opened(self.folder)
+        for _, number, path in partition.pages:
+            for place, i, item, total in _items(store, path):
+                yield number, place, i, item, total
 
 
 class PagedSource(DataSource):

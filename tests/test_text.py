@@ -23,11 +23,20 @@ def test_accents_of_both_forms(spark):
     assert got == ["dieu le", "dieu le", "dang ky", "ascii", "", "", "naive angstrom ca"]
 
 
-def test_every_latin_letter_against_unicodedata(spark):
-    chars = [chr(c) for c in [*range(0x20, 0x250), *range(0x1E00, 0x1F00)]]
-    want = ["".join(x for x in unicodedata.normalize("NFD", c) if unicodedata.category(x) != "Mn").replace("Đ", "D").replace("đ", "d") for c in chars]
-    got = each(spark, chars, text.strip_accents)
-    assert [(c, g) for c, g, w in zip(chars, got, want) if g != w] == []
+def test_every_character_against_unicodedata(spark):
+    """All code points but surrogates and those that Java doesn't know, some hundreds a text."""
+    codes = [c for c in range(0x20, 0x110000) if not 0xD800 <= c < 0xE000 and c != ord("|")]
+    texts = ["|".join(map(chr, codes[i : i + 500])) for i in range(0, len(codes), 500)]
+    got = "|".join(each(spark, texts, text.strip_accents)).split("|")
+    unknown = {x for t in each(spark, texts, lambda c: F.regexp_replace(c, r"[^\p{Cn}]", "")) for x in t}
+    want = ["".join(x for x in unicodedata.normalize("NFD", chr(c)) if unicodedata.category(x) != "Mn").replace("Đ", "D").replace("đ", "d") for c in codes]
+    assert [(hex(c), g, w) for c, g, w in zip(codes, got, want, strict=True) if g != w and chr(c) not in unknown] == []
+
+
+def test_hangul_and_several_letters_within_text(spark):
+    words = ["각 가 힣 Đức", "ொ é", unicodedata.normalize("NFD", "한글"), "글", "x" * 100_000 + "글"]
+    want = ["".join(x for x in unicodedata.normalize("NFD", w) if unicodedata.category(x) != "Mn").replace("Đ", "D") for w in words]
+    assert each(spark, words, text.strip_accents) == want
 
 
 @pytest.mark.parametrize("space", [" ", " ", "\x1c", "\x85", "　", "᠎\t"])
