@@ -116,23 +116,12 @@ def dot(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, x: s + F.coalesce(x, F.lit(0.0)))
 
 
-def _vector_scan(vectors: DataFrame, queries: DataFrame, vec_id: str, embedding: str, query_id: str, query: str, k: int) -> DataFrame:
-    asked = queries.select(F.col(query_id).alias("_q"), F.col(query).alias("_e"))
-    v = vectors.select(F.col(vec_id).alias("_v"), F.col(embedding).alias("_x"))
-    score = F.round(dot(F.col("_x"), F.col("_e")), 6)
-    scored = reduce(DataFrame.unionByName, (v.crossJoin(F.broadcast(b)).select("_q", "_v", score.alias("score")) for b in blocks(asked)))
-    top = best(scored, ["_q"], [F.desc("score"), F.asc("_v")], k)
-    return top.select(F.col("_q").alias(query_id), "rank", F.col("_v").alias(vec_id), "score", F.round(1 - F.col("score"), 6).alias("distance"))
-
-
 def vector_topk(vectors: DataFrame, queries: DataFrame, vec_id: str, embedding: str, query_id: str, query: str, k: int = 10, pivots: int | None = None) -> DataFrame:
     """query_id, rank, vec_id, score (cosine of unit vectors, to six places) and distance of the k nearest vectors,
     exactly, ties by vec_id. With `pivots` whole groups of vectors that lie in clusters are never compared (see
     `neighbours`); without, the queries are scored in blocks against all, which vectors without clusters ask for."""
-    if pivots is None:
-        return _vector_scan(vectors, queries, vec_id, embedding, query_id, query, k)
-    score = F.round(dot(F.col("x"), F.col("e")), 6)
-    pairs, _ = neighbours.neighbours(vectors, queries, vec_id, embedding, query_id, query, k, score, pivots)
+    args = (vectors, queries, vec_id, embedding, query_id, query, k)
+    pairs = neighbours.nearest(*args) if pivots is None else neighbours.neighbours(*args, pivots=pivots)[0]
     top = best(pairs, ["q"], [F.desc("score"), F.asc("v")], k)
     return top.select(F.col("q").alias(query_id), "rank", F.col("v").alias(vec_id), "score", F.round(1 - F.col("score"), 6).alias("distance"))
 

@@ -60,6 +60,19 @@ def test_pivots_give_what_a_scan_gives_and_compare_few(spark):
     assert retrieval.vector_topk(v.limit(0), asked, "id", "e", "q", "x", 7, pivots=2).count() == 0
 
 
+def test_vectors_are_compared_in_blocks(spark):
+    """As by the products added up in order; null, short and long vectors too."""
+    rng = np.random.default_rng(6)
+    rows = [(k, x.tolist()) for k, x in enumerate(rng.normal(size=(900, 8)))] + [(2000, None), (2001, []), (2002, [1.0]), (2003, [1.0] * 12), (2004, [3.0, None, 1.0]), (2005, [0.5] * 8), (2006, [0.5] * 8)]
+    v = spark.createDataFrame(rows, "id long, e array<double>").repartition(5)
+    asked = v.where("id % 90 = 0 or id >= 2000").select(F.col("id").alias("q"), F.col("e").alias("x"))
+    score = F.round(retrieval.dot(F.col("e"), F.col("x")), 6)
+    plain = retrieval.best(v.crossJoin(asked).select("q", "id", score.alias("score")), ["q"], [F.desc("score"), F.asc("id")], 7).select("q", "rank", "id", "score")
+    assert sorted(map(tuple, retrieval.vector_topk(v, asked, "id", "e", "q", "x", 7).drop("distance").collect()), key=repr) == sorted(map(tuple, plain.collect()), key=repr)
+    pairs = neighbours.nearest(v, asked, "id", "e", "q", "x", 7).where("q < 900")
+    assert pairs.count() < 0.5 * 10 * len(rows)  # a scan made a row of each pair
+
+
 def test_keywords_in_one_pass(spark):
     rng = random.Random(3)
     keywords = ["ab", "abc", "bcd e", "hợp đồng", "VAT", "vat", "thu", "long word", "b", "é", "a.b", "🙂x", "_x"]
