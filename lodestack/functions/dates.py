@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import strip, text_of
+from .text import bound, strip, text_of
 
 _DAY = r"^\d{4}-\d{2}-\d{2}"
 _TIME = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}(:\d{2}(:\d{2}([.,]\d+)?)?)?"
@@ -14,15 +14,14 @@ _ZONE = r"([+-])(\d{2}):?(\d{2})(:?\d{2})?$"
 
 def _valid_day(c: Column) -> Column:
     """The first ten characters if they are a date of the calendar, else null."""
-    day = F.substring(c, 1, 10)
-    return F.when(day.rlike(_DAY + "$") & F.try_to_date(day, "yyyy-MM-dd").isNotNull(), day)
+    return bound(F.substring(c, 1, 10), lambda day: F.when(day.rlike(r"^\d{4}-\d{2}-\d{2}$"), F.when(day.try_cast("date").isNotNull(), day)))
 
 
 def _slashed(c: Column) -> Column:
     """d/m/yyyy as a date; "" for impossible ones, null for other spellings."""
-    part = lambda i: F.regexp_extract(c, r"^(\d{1,2})/(\d{1,2})/(\d{4})$", i)
-    iso = F.concat_ws("-", part(3), F.lpad(part(2), 2, "0"), F.lpad(part(1), 2, "0"))
-    return F.when(part(1) != "", F.coalesce(_valid_day(iso), F.lit("")))
+    iso = lambda p: F.concat_ws("-", F.get(p, F.lit(2)), F.lpad(F.get(p, F.lit(1)), 2, "0"), F.lpad(F.get(p, F.lit(0)), 2, "0"))
+    valid = lambda: bound(bound(F.split(c, "/"), iso), lambda day: F.coalesce(_valid_day(day), F.lit("")))
+    return F.when(c.rlike(r"^\d{1,2}/\d{1,2}/\d{4}$"), valid())
 
 
 def _raw(c: Column) -> Column:
@@ -39,14 +38,20 @@ def _timed_ok(raw: Column) -> Column:
 
 def date_iso(c: Column) -> Column:
     """The date as written, in its own offset; d/m/yyyy; else the first date-like part, even if no such day exists."""
-    raw = _raw(c)
-    first = F.when(_is_timed(raw), F.when(_timed_ok(raw), _valid_day(raw))).otherwise(_valid_day(raw))
-    return F.coalesce(first, _slashed(raw), F.regexp_extract(raw, r"(\d{4}-\d{2}-\d{2})", 1))
+
+    def read(raw: Column) -> Column:
+        first = F.when(_is_timed(raw), F.when(_timed_ok(raw), _valid_day(raw))).otherwise(_valid_day(raw))
+        return F.when(raw == "", "").otherwise(F.coalesce(first, _slashed(raw), F.regexp_extract(raw, r"(\d{4}-\d{2}-\d{2})", 1)))
+
+    return bound(_raw(c), read)
 
 
 def datetime_iso(c: Column) -> Column:
     """yyyy-MM-ddTHH:mm:ss, in UTC if the text has an offset, else as written; dates are midnights."""
-    raw = _raw(c)
+    return bound(_raw(c), lambda raw: F.when(raw == "", "").otherwise(_datetime_read(raw)))
+
+
+def _datetime_read(raw: Column) -> Column:
     seconds = F.regexp_extract(raw, r"^\d{4}-\d{2}-\d{2}[T ](\d{2})", 1), F.regexp_extract(raw, r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:(\d{2})", 1), F.regexp_extract(raw, r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}:(\d{2})", 1)
     clock = F.concat_ws(":", *(F.when(x == "", "00").otherwise(x) for x in seconds))
     local = F.try_to_timestamp(F.concat(_valid_day(raw), F.lit(" "), clock, F.lit(" +00:00")), F.lit("yyyy-MM-dd HH:mm:ss xxx"))

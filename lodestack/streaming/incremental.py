@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.dates import date_iso
+from ..functions.text import bound
 from ..operators.corpus import without_known
 from ..operators.retrieval import upserted
 
@@ -20,8 +21,8 @@ def checkpoint(stored: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def since(rows: DataFrame, cutoff: Column, columns: Sequence[str]) -> DataFrame:
     """Rows not older than the cutoff by the first of the columns that has a date; rows without any date stay."""
-    day = F.coalesce(*(F.nullif(date_iso(F.col(c)), F.lit("")) for c in columns))
-    return rows.where(day.isNull() | (day >= cutoff))
+    day = F.coalesce(*(bound(date_iso(F.col(c)), lambda d: F.when(d != "", d)) for c in columns))
+    return rows.where(bound(day, lambda d: d.isNull() | (d >= cutoff)))
 
 
 def distinct_events(events: DataFrame, keys: Sequence[str], time: str, late: str = "1 day") -> DataFrame:
