@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 
 #: What Python's str.strip() and \s take as whitespace; Java's \s is ASCII only.
 WS = r"[\s\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+#: Those of them that aren't a plain space, and of these those that aren't a line end, for use in a class.
+_OTHER_INLINE = r"\t\x0b-\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+_OTHER = _OTHER_INLINE + r"\n"
 #: The same characters, as Python itself names them.
 WS_CHARS = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
 #: Line ends of Python's str.splitlines().
@@ -33,8 +36,14 @@ def strip(c: Column) -> Column:
 
 
 def collapse(c: Column) -> Column:
-    """Runs of whitespace as one space, none at the ends."""
-    return strip(F.regexp_replace(c, f"{WS}+", " "))
+    """Runs of whitespace as one space, none at the ends. Single spaces, the most common, are not replaced."""
+    return strip(F.regexp_replace(c, _runs(_OTHER), " "))
+
+
+def _runs(other: str) -> str:
+    """A pattern of runs of spaces and `other` characters but for single spaces. Most characters are passed by one range,
+    before the class of many is tried."""
+    return f"(?![!-~])(?:[{other}][ {other}]*| [ {other}]+)"
 
 
 @cache
@@ -92,7 +101,9 @@ def strip_accents(c: Column) -> Column:
     source, target = _accent_tables()
     plain = F.length(c) == F.octet_length(c)
     bare = lambda x: F.regexp_replace(F.translate(x, source, target), MARKS, "")
-    wide = c.rlike(f"[\uac00-\ud7a3{''.join(sorted(_several()))}]")
+    several = "".join(sorted(_several()))
+    # a range first: the class of many single characters is tried on few texts
+    wide = c.rlike(rf"[{several[0]}-\x{{10FFFF}}]") & c.rlike(f"[\uac00-\ud7a3{several}]")
     return F.when(plain, c).when(wide, bare(_decomposed(c))).otherwise(bare(c))
 
 
@@ -124,8 +135,6 @@ def unrepeated(lines: Column, remembered: int = REMEMBERED) -> Column:
     A line is fresh if its previous occurrence lies before the present epoch, so the epochs' starts come out of one pass
     over the places of previous occurrences; within an epoch a line is kept once.
     """
-    if_short = F.array_distinct(lines)
-
     def previous(x: Column) -> Column:
         """Of each line its place and that of the previous equal one, or -1."""
         placed = F.array_sort(F.transform(x, lambda line, i: F.struct(line.alias("x"), i.alias("i"))))
@@ -143,20 +152,21 @@ def unrepeated(lines: Column, remembered: int = REMEMBERED) -> Column:
         part = lambda s: F.transform(s, lambda b, k: F.array_distinct(F.slice(x, b + 1, F.coalesce(F.get(s, k + 1), F.size(x)) - b)))
         return F.flatten(bound(starts, part))
 
-    return F.when(F.size(if_short) <= remembered, if_short).otherwise(bound(lines, by_epochs))
+    return bound(F.array_distinct(lines), lambda once: F.when(F.size(once) <= remembered, once).otherwise(bound(lines, by_epochs)))
 
 
 def clean_document(c: Column, noise: Sequence[str] = NOISE_LINES, remembered: int = REMEMBERED) -> Column:
     """Lines stripped and collapsed, without blank ones, noise and repeats of an earlier line that is still remembered."""
-    spaced = F.regexp_replace(F.regexp_replace(F.regexp_replace(text_of(c), "\u00a0", " "), r"\r\n?", "\n"), "[ \t]+", " ")
-    lines = F.transform(F.split(spaced, "\n"), collapse)
-    kept = F.filter(lines, lambda x: (x != "") & ~F.lower(x).isin(list(noise)))
+    spaced = F.regexp_replace(F.regexp_replace(text_of(c), r"\r\n?", "\n"), _runs(_OTHER_INLINE), " ")  # of all lines at once
+    lines = F.transform(F.split(spaced, "\n"), lambda x: F.trim(x))
+    longest = max(map(len, noise), default=0)  # a text has no more characters than its lower case
+    kept = F.filter(lines, lambda x: (x != "") & ((F.length(x) > longest) | ~F.lower(x).isin(list(noise))))
     return F.array_join(bound(kept, lambda x: unrepeated(x, remembered)), "\n")
 
 
 def clean_text(c: Column) -> Column:
     """NUL and runs of blanks as one space, at most one blank line in a row, nothing around."""
-    return strip(F.regexp_replace(F.regexp_replace(F.regexp_replace(text_of(c), "\\x00", " "), "[ \t]+", " "), "\n{3,}", "\n\n"))
+    return strip(F.regexp_replace(F.regexp_replace(F.regexp_replace(text_of(c), "\\x00", " "), _runs(r"\t"), " "), "\n{3,}", "\n\n"))
 
 
 def lines(c: Column) -> Column:

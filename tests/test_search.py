@@ -143,3 +143,14 @@ def test_a_date_is_read_once_for_a_row(spark):
     recent = incremental.since(d.select(F.reverse("t").alias("day")), F.lit("2024-02-01"), ["day"])
     assert _plan(recent).count("reverse(t") <= 2  # in the test, and in the row that is kept
     assert sorted(r[0] for r in incremental.since(d.withColumnRenamed("t", "day"), F.lit("2024-02-01"), ["day"]).collect()) == ["", "1/2/2024", "31/2/2024"]
+
+
+def test_lines_are_collapsed_in_one_pass_over_the_text(spark):
+    d = spark.createDataFrame([("a   b\r\n\tc\x85\x0bd \r\r e  \n a b",)], "t string")
+    cleaned = d.select(text.clean_document(F.col("t")).alias("x"))
+    assert "lambdafunction(trim(regexp_replace" not in _plan(cleaned) and cleaned.first()[0] == "a b\nc d\ne"
+
+
+def test_few_texts_are_tried_for_wide_characters(spark):
+    d = spark.createDataFrame([("Đé 한 ẹ́ ೋ",)], "t string").select(text.normalize_for_match(F.col("t")).alias("x"))
+    assert _plan(d).count("-\\x{10FFFF}]") == 1 and d.first()[0] == topics.normalized("Đé 한 ẹ́ ೋ")
