@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -65,16 +66,25 @@ def blocks(queries: DataFrame, rows: int = BLOCK) -> list[DataFrame]:
     return [queries.where(number == i) for i in range(n)] if n > 1 else [queries]
 
 
-def _lexical_scan(chunks: DataFrame, queries: DataFrame, chunk_id: str, title: str | None, body: str, query_id: str, query: str, k: int) -> DataFrame:
-    """lexical_topk() by a pass over the chunks for each block of queries."""
+def _numbered(asked: DataFrame):
+    """A block of queries in the driver, as an Arrow table, and (number, q) rows of them."""
+    table = asked.toArrow()
+    numbered = table.select(["id"]).append_column("number", pa.array(range(table.num_rows), pa.int32()))
+    return table, asked.sparkSession.createDataFrame(numbered, f"id {dict(asked.dtypes)['id']}, number int")
+
+
+def _asked(queries: DataFrame, query_id: str, query: str) -> DataFrame:
     q, terms, bigrams = query_terms(F.col(query))
-    asked = queries.select(F.col(query_id).alias("_q"), q.alias("_text"), terms.alias("_terms"), bigrams.alias("_bigrams"))
-    # normalised below the join, once for each chunk
-    c = chunks.select(F.col(chunk_id).alias("_c"), (normalize_for_match(F.col(title)) if title else F.lit("")).alias("_title"), normalize_for_match(F.col(body)).alias("_body"))
-    score = lexical_score(F.col("_title"), F.col("_body"), F.col("_text"), F.col("_terms"), F.col("_bigrams"))
-    scored = reduce(DataFrame.unionByName, (c.crossJoin(F.broadcast(b)).select("_q", "_c", score.alias("score")) for b in blocks(asked)))
-    top = best(scored, ["_q"], [F.desc("score"), F.asc("_c")], k).where("score > 0")  # a filter before would score twice
-    return top.select(F.col("_q").alias(query_id), "rank", F.col("_c").alias(chunk_id), "score")
+    return written(queries.select(F.col(query_id).alias("id"), q.alias("text"), terms.alias("terms"), bigrams.alias("bigrams")))
+
+
+def _texts(chunks: DataFrame, chunk_id: str, title: str | None, body: str) -> DataFrame:
+    """(chunk, title, body), normalised once for each chunk."""
+    return chunks.select(F.col(chunk_id).alias("chunk"), (normalize_for_match(F.col(title)) if title else F.lit("")).alias("title"), normalize_for_match(F.col(body)).alias("body"))
+
+
+def _scored(rows: DataFrame, table: pa.Table, k: int) -> DataFrame:
+    return rows.mapInArrow(lexical.scorer(table, k), f"q int, chunk {dict(rows.dtypes)['chunk']}, score int")
 
 
 def lexical_topk(chunks: DataFrame, queries: DataFrame, chunk_id: str, title: str | None, body: str, query_id: str, query: str, k: int = 5, postings: DataFrame | None = None) -> DataFrame:
@@ -84,30 +94,41 @@ def lexical_topk(chunks: DataFrame, queries: DataFrame, chunk_id: str, title: st
     (see `lexical`), which pays from some tens of queries on; without it a pass over the chunks scores a block of queries.
     The result is the same. Chunks that share an id are ranked each; queries that share one are one by their best chunks.
     """
-    if postings is None:
-        return _lexical_scan(chunks, queries, chunk_id, title, body, query_id, query, k)
-    pairs, score = lexical_pairs(chunks, queries, chunk_id, title, body, query_id, query, k, postings)
-    top = best(score(pairs.rows.select("q", "chunk")), ["q"], [F.desc("score"), F.asc("chunk")], k).where("score > 0")
-    return top.select(F.col("q").alias(query_id), "rank", F.col("chunk").alias(chunk_id), "score")
+    parts = blocks(_asked(queries, query_id, query))
+    if postings is not None and len(parts) > 1:
+        postings = written(postings)
+    scored = []
+    for asked in parts:
+        table, ids = _numbered(asked)
+        if postings is None:
+            pairs = _scored(_texts(chunks, chunk_id, title, body), table, k)
+        else:
+            found, score = _pairs(chunks, table, chunk_id, title, body, k, postings)
+            pairs = score(found.lists)
+        top = best(pairs, ["q"], [F.desc("score"), F.asc("chunk")], k)
+        scored.append(top.join(F.broadcast(ids), F.col("q") == F.col("number")).select("id", "chunk", "score"))  # a block of queries
+    top = best(reduce(DataFrame.unionByName, scored), ["id"], [F.desc("score"), F.asc("chunk")], k)
+    return top.select(F.col("id").alias(query_id), "rank", F.col("chunk").alias(chunk_id), "score")
 
 
 def lexical_pairs(chunks: DataFrame, queries: DataFrame, chunk_id: str, title: str | None, body: str, query_id: str, query: str, k: int, postings: DataFrame):
-    """The pairs that lexical_topk() scores (lexical.Candidates), and what scores them."""
-    q, terms, bigrams = query_terms(F.col(query))
-    asked = written(queries.select(F.col(query_id).alias("q"), q.alias("text"), terms.alias("terms"), bigrams.alias("bigrams")))
-    lengths = asked.where("text <> ''").agg(F.min(F.length("text"))).first()[0]
-    sizes = tuple(range(min(lengths or lexical.GRAM, lexical.GRAM), lexical.GRAM + 1))  # shorter queries have no trigram
+    """What lexical_topk() scores of one block of queries (lexical.Candidates), and what scores it."""
+    return _pairs(chunks, _asked(queries, query_id, query).toArrow(), chunk_id, title, body, k, postings)
+
+
+def _pairs(chunks: DataFrame, table: pa.Table, chunk_id: str, title: str | None, body: str, k: int, postings: DataFrame):
+    lengths = min((len(t) for t in table.column("text").to_pylist() if t), default=lexical.GRAM)
+    sizes = tuple(range(min(lengths, lexical.GRAM), lexical.GRAM + 1))  # shorter queries have no trigram
     if len(sizes) > 1:
         postings = lexical.index(chunks, chunk_id, title, body, sizes)
-    words = lexical_score(F.col("title"), F.col("body"), F.col("text"), F.col("terms"), F.col("bigrams"))
-
-    def score(pairs: DataFrame) -> DataFrame:
-        pairs = written(pairs)
-        c = chunks.select(F.col(chunk_id).alias("chunk"), *([F.col(title).alias("title")] if title else []), F.col(body).alias("body"))
-        c = c.join(pairs.select(F.col("chunk").alias("wanted")).distinct(), F.col("chunk").eqNullSafe(F.col("wanted")), "left_semi")
-        c = c.select("chunk", (normalize_for_match(F.col("title")) if title else F.lit("")).alias("title"), normalize_for_match(F.col("body")).alias("body"))
-        both = pairs.withColumnRenamed("chunk", "of").join(c, F.col("of").eqNullSafe(F.col("chunk"))).drop("of").join(asked, "q")
-        return both.select("q", "chunk", words.alias("score"))
+    numbered = table.select(["text", "terms", "bigrams"]).append_column("q", pa.array(range(table.num_rows), pa.int32()))
+    asked = chunks.sparkSession.createDataFrame(numbered, "text string, terms array<string>, bigrams array<string>, q int")
+
+    def score(lists: DataFrame) -> DataFrame:
+        wanted = lists.groupBy(F.col("chunk").alias("wanted")).agg(F.array_distinct(F.flatten(F.collect_list("qs"))).alias("qs"))
+        rows = chunks.join(wanted, F.col(chunk_id).eqNullSafe(F.col("wanted")))
+        rows = rows.select(F.col(chunk_id).alias("chunk"), (normalize_for_match(F.col(title)) if title else F.lit("")).alias("title"), normalize_for_match(F.col(body)).alias("body"), "qs")
+        return _scored(rows, table, k)
 
     return lexical.candidates(postings, asked, title is not None, k, score, sizes), score
 

@@ -154,3 +154,13 @@ def test_lines_are_collapsed_in_one_pass_over_the_text(spark):
 def test_few_texts_are_tried_for_wide_characters(spark):
     d = spark.createDataFrame([("Đé 한 ẹ́ ೋ",)], "t string").select(text.normalize_for_match(F.col("t")).alias("x"))
     assert _plan(d).count("-\\x{10FFFF}]") == 1 and d.first()[0] == topics.normalized("Đé 한 ẹ́ ೋ")
+
+
+def test_a_text_is_read_once_for_all_queries_and_a_gram_has_one_row_in_a_block(spark):
+    chunks = spark.createDataFrame([(k, "one two three") for k in range(50)], "c long, body string").coalesce(1)
+    queries = spark.createDataFrame([(1, "two three"), (2, "one")], "q long, text string")
+    assert lexical.index(chunks, "c", None, "body").count() == 1 + len("one two three") - 2
+    found = retrieval.lexical_topk(chunks, queries, "c", None, "body", "q", "text", 2)
+    plan = found._jdf.queryExecution().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+    assert sorted(map(tuple, found.collect())) == [(1, 1, 0, 60), (1, 2, 1, 60), (2, 1, 0, 51), (2, 2, 1, 51)]
