@@ -199,8 +199,9 @@ def _apart(star: DataFrame, found: DataFrame, least: float) -> DataFrame:
     centre's; its x isn't similar to the centre, so d of x and y then have a shingle in common. At most
     (q * (|x| + |y|) + |d(x)| - |d(y)|) / 2 of d(x) are missing in d(y), so the rarest so many and one of d(x) hold one
     of the shingles in common, the rarest of all, and those of d(y) too. A member goes by its class, the size of d in
-    `STEPS` to the size of the centre, and offers for each class of partners its rarest shingles; those that no other
-    member of the centre has count, but needn't be offered. What meets is compared by the deviations, without texts.
+    `STEPS` to the size of the centre, and offers for each class of partners its rarest shingles, by the pairs they would
+    make. Those that no other component has, or nobody near that class, can't be in common: they count, but aren't
+    offered. What meets is compared by the deviations, without texts.
     """
     q = (1 - least) / (1 + least)
     most = q * (1 + 1 / least)  # at most most * |x| shingles differ
@@ -208,22 +209,27 @@ def _apart(star: DataFrame, found: DataFrame, least: float) -> DataFrame:
     c = star.join(label("id", "component"), "id", "left").join(label("centre", "main"), "centre", "left")
     c = c.select("centre", "id", F.coalesce("component", "id").alias("component"), F.coalesce("main", "centre").alias("main"), "n", "nc", F.size("d").alias("m"), "d")
     c = cut(c.join(c.where("component <> main").select("centre").distinct(), "centre", "left_semi"))
-    each = c.select("centre", "id", F.explode("d").alias("s"))
-    again = each.groupBy("centre", "s").agg(F.count("*").alias("times")).where("times > 1")
-    rare = each.join(again, ["centre", "s"]).groupBy("centre", "id").agg(F.array_sort(F.collect_list(F.struct("times", "s"))).alias("rare"))
+    apart = F.col("component") != F.col("main")
     step, far = F.lit(float(STEPS)) / F.col("nc"), F.lit(most) * F.col("n") + 1e-6
-    there = c.groupBy("centre").agg(F.min(F.floor(F.col("m") * step)).alias("low"), F.max(F.floor(F.col("m") * step)).alias("high"))
-    classes = F.sequence(F.greatest("low", F.floor(F.greatest(F.col("m") - far, F.lit(0.0)) * step)), F.least("high", F.floor((F.col("m") + far) * step)))
-    offers = c.drop("d").join(rare, ["centre", "id"]).join(there, "centre").withColumn("own", F.floor(F.col("m") * step)).withColumn("other", F.explode(classes))
+    c = c.withColumn("own", F.floor(F.col("m") * step))
+    each = c.select("centre", "id", "component", "main", "own", F.explode("d").alias("s"))
+    again = each.groupBy("centre", "s").agg((F.count_if(apart) * F.count("*")).alias("pairs"), F.min("own").alias("low"), F.max("own").alias("high"), F.min("component").alias("least"), F.max("component").alias("last"))
+    rare = each.select("centre", "id", "s").join(again.where("least <> last"), ["centre", "s"]).groupBy("centre", "id").agg(F.array_sort(F.collect_list(F.struct("pairs", "s", "low", "high"))).alias("rare"))
+    of = lambda which: F.struct(F.min(which).alias("low"), F.max(which).alias("high"))
+    there = c.groupBy("centre").agg(of(F.col("own")).alias("every"), of(F.when(apart, F.col("own"))).alias("others"))
+    partners = lambda side: F.when(apart, F.col(f"every.{side}")).otherwise(F.col(f"others.{side}"))
+    first, last = F.greatest(partners("low"), F.floor(F.greatest(F.col("m") - far, F.lit(0.0)) * step)), F.least(partners("high"), F.floor((F.col("m") + far) * step))
+    offers = c.drop("d").join(rare, ["centre", "id"]).join(there, "centre").withColumn("other", F.explode(F.when(first <= last, F.sequence(first, last))))
+    offers = offers.withColumn("rare", F.filter("rare", lambda r: F.col("other").between(r["low"], r["high"])))
     missing = F.least(far, (far + F.col("m") - F.col("other") / step) / 2)
     take = F.floor(missing + 1e-6).cast("int") + 1 - (F.col("m") - F.size("rare"))
-    offers = offers.where((missing >= 0) & (take > 0)).select("centre", "id", "component", "main", "n", "own", "other", F.explode(F.slice("rare", F.lit(1), take)).alias("r"))
-    offers = cut(offers.select("centre", "id", "component", "main", "n", "own", "other", F.col("r.s").alias("s")))
+    offers = offers.withColumn("rare", F.transform(F.slice("rare", F.lit(1), F.greatest(F.when(missing >= 0, take), F.lit(0))), lambda r: r["s"]))
+    offers = cut(offers.select("centre", "id", "component", "main", "n", "own", "other", "rare"))
     reach = _near(c, offers, q)
-    left = offers.where("component <> main").select("centre", "s", "own", "other", F.col("id").alias("a"), F.col("component").alias("ca"), F.col("n").alias("na"))
-    left = left.join(reach.where("of = 'a'").select("centre", F.col("id").alias("a"), F.col("own").alias("ca"), F.col("other").alias("cb")), ["centre", "a", "ca"])
-    right = offers.select("centre", "s", F.col("other").alias("own"), F.col("own").alias("other"), F.col("id").alias("b"), F.col("component").alias("cb"), F.col("n").alias("nb"))
-    right = right.join(reach.where("of = 'b'").select("centre", F.col("id").alias("b")), ["centre", "b"], "left_semi")
+    left = offers.where("component <> main").select("centre", "rare", "own", "other", F.col("id").alias("a"), F.col("component").alias("ca"), F.col("n").alias("na"))
+    left = left.join(reach.where("of = 'a'").select("centre", F.col("id").alias("a"), F.col("own").alias("ca"), F.col("other").alias("cb")), ["centre", "a", "ca"]).withColumn("s", F.explode("rare")).drop("rare")
+    right = offers.select("centre", "rare", F.col("other").alias("own"), F.col("own").alias("other"), F.col("id").alias("b"), F.col("component").alias("cb"), F.col("n").alias("nb"))
+    right = right.join(reach.where("of = 'b'").select("centre", F.col("id").alias("b")), ["centre", "b"], "left_semi").withColumn("s", F.explode("rare")).drop("rare")
     met = left.join(right, ["centre", "s", "own", "other", "cb"])
     met = met.join(reach.where("of = 'b'").select("centre", F.col("id").alias("b"), F.col("own").alias("cb"), F.col("other").alias("ca")), ["centre", "b", "cb", "ca"], "left_semi")
     met = met.where((F.least("na", "nb") >= least * F.greatest("na", "nb") - 1e-6)).select("centre", "a", "b", "na", "nb").distinct()
@@ -252,8 +258,9 @@ def _near(c: DataFrame, offers: DataFrame, q: float) -> DataFrame:
     with_ball = c.join(around, ["centre", "component"], "left").withColumn("around", F.coalesce("around", none))
     with_ball = cut(with_ball.withColumn("off", _differ("d", "around")))
     balls = cut(with_ball.groupBy("centre", "component").agg(F.max("off").alias("radius"), F.max("n").alias("large"), F.first("around").alias("around")))
-    left = offers.where("component <> main").select("centre", "s", "own", "other", F.col("component").alias("ca")).distinct()
-    right = offers.select("centre", "s", F.col("other").alias("own"), F.col("own").alias("other"), F.col("component").alias("cb"), "main").distinct()
+    each = cut(offers.select("centre", "component", "main", "own", "other", F.explode("rare").alias("s")).distinct())
+    left = each.where("component <> main").select("centre", "s", "own", "other", F.col("component").alias("ca"))
+    right = each.select("centre", "s", F.col("other").alias("own"), F.col("own").alias("other"), F.col("component").alias("cb"), "main")
     pairs = left.join(right, ["centre", "s", "own", "other"]).where((F.col("ca") != F.col("cb")) & ((F.col("cb") == F.col("main")) | (F.col("ca") < F.col("cb")))).select("centre", "ca", "cb").distinct()
     ball = lambda x: balls.select("centre", F.col("component").alias(f"c{x}"), F.col("radius").alias(f"r{x}"), F.col("large").alias(f"l{x}"), F.col("around").alias(f"o{x}"))
     near = pairs.join(ball("a"), ["centre", "ca"]).join(ball("b"), ["centre", "cb"])
@@ -266,6 +273,16 @@ def _near(c: DataFrame, offers: DataFrame, q: float) -> DataFrame:
     return cut(reach[0].unionByName(reach[1]))
 
 
+def _joined(found: DataFrame, edges: DataFrame) -> DataFrame:
+    """Components (id, component) after edges (a, b) besides those that gave `found`: only components are linked anew."""
+    of = lambda end: found.select(F.col("id").alias(end), F.col("component").alias(f"c{end}"))
+    between = edges.join(of("a"), "a", "left").join(of("b"), "b", "left").select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"))
+    above = components(between)
+    alone = above.join(found, "id", "left_anti").select("id", F.col("id").alias("component"))
+    to = above.select(F.col("id").alias("component"), F.col("component").alias("above"))
+    return found.unionByName(alone).join(to, "component", "left").select("id", F.coalesce("above", "component").alias("component"))
+
+
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least: float = SIMILARITY) -> DataFrame:
     """A row for each row of docs: its id, class_id (least id of its class) and duplicate (it isn't the class's least).
 
@@ -280,7 +297,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     #: a node for each sequence of words, numbered once, in what is written
     nodes = signed.where("key IS NOT NULL").groupBy("key").agg(F.min(F.struct("id", "th")).alias("of"), F.first("bands").alias("bands"))
     nodes = cut(nodes.select(F.monotonically_increasing_id().alias("node"), "key", F.col("of.id").alias("id"), F.col("of.th").alias("th"), "bands"))
-    each = nodes.select(F.col("node").alias("id"), F.explode("bands").alias("k")).distinct()
+    each = nodes.select(F.col("node").alias("id"), F.explode(F.array_distinct("bands")).alias("k"))
     buckets = each.groupBy("k").agg(F.count("*").alias("n")).where("n > 1")
     shared = cut(each.join(buckets, "k"))
     #: the centre of a bucket is the member with the most company in all its buckets: a group's original, not an outlier
@@ -291,12 +308,14 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     texts = cut(d.join(needed, ["id", "th"]).groupBy("node").agg(F.first("t").alias("t")).withColumnRenamed("node", "id"))
     star = cut(_stars(members, texts, least))
     links = star.where("similar").select(F.col("id").alias("a"), F.col("centre").alias("b"))
-    more = cut(_apart(star, components(links), least))
+    found = components(links)
+    more = cut(_apart(star, found, least))
     node_of = signed.where("key IS NOT NULL").select("id", "key").distinct().join(nodes.select("key", "node"), "key").select("id", "node")
     #: several sequences of words under one id
     same = node_of.groupBy("id").agg(F.min("node").alias("a"), F.max("node").alias("m")).where("a <> m").select("id", "a")
     same = node_of.join(same, "id").select("a", F.col("node").alias("b"))
-    classes = cut(components(links.unionByName(more).unionByName(same)).withColumnRenamed("id", "node").join(nodes.select("node", "id"), "node").select("node", "id", "component"))
+    every = _joined(found, more.unionByName(same))
+    classes = cut(every.withColumnRenamed("id", "node").join(nodes.select("node", "id"), "node").select("node", "id", "component"))
     least_id = classes.groupBy("component").agg(F.min("id").alias("class_id"))
     of_node = nodes.select("key", "node", "id").join(classes.join(least_id, "component").select("node", "class_id"), "node", "left").select("key", F.coalesce("class_id", "id").alias("class_id"))
     of_id = signed.join(of_node, "key", "left").groupBy("id").agg(F.min(F.coalesce("class_id", "id")).alias("class_id"))

@@ -140,3 +140,29 @@ def test_two_versions_of_a_text_are_dropped_by_one_comparison(spark, monkeypatch
         monkeypatch.undo()
         counts[n] = seen[0]
     assert counts[40][0] > 0 and all(reach <= 4 for _, reach in counts.values())
+
+
+def test_what_only_one_component_has_is_not_offered(spark, monkeypatch):
+    """Variants that share their edits with each other, and one text apart that shares none: nothing can meet."""
+    base = [f"b{k}" for k in range(400)]
+    rows = [(0, " ".join(base)), (900, " ".join(f"z{k}" if k % 30 == 7 else w for k, w in enumerate(base)))]
+    rows += [(1 + k, " ".join(f"v{k % 4}" if j == 14 + 60 * (k % 4) else w for j, w in enumerate(base)) + f" e{k}") for k in range(40)]
+    seen = []
+
+    def near(c, offers, q, real=b._near):
+        shown = offers if "s" in offers.columns else offers.selectExpr("explode(rare)")
+        seen.append((c.count(), shown.count()))
+        return real(c, offers, q)
+
+    monkeypatch.setattr(b, "_near", near)
+    assert got(spark, rows) == classes(rows)
+    assert seen[0][0] >= 40 and seen[0][1] == 0
+
+
+def test_components_are_joined_by_later_edges(spark):
+    edges = [(1, 2), (2, 3), (10, 11), (20, 21), (30, 31)]
+    later = [(3, 11), (21, 40), (40, 41), (50, 51), (2, 1)]
+    made = lambda e: spark.createDataFrame(e, "a long, b long")
+    for new in (later, []):
+        whole = {r.id: r.component for r in components(made(edges + new)).collect()}
+        assert {r.id: r.component for r in b._joined(components(made(edges)), made(new)).collect()} == whole
