@@ -8,7 +8,8 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import accumulate
 
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -120,13 +121,30 @@ def packed(text: str | None, p: Packing = Packing()) -> list[str]:
     return settled(out, p)
 
 
+#: Bytes of text that are packed together, if it isn't one long text.
+BATCH_BYTES = 2 << 20
+
+
+def _slices(texts: pa.Array) -> Iterator[pa.Array]:
+    """The texts in slices of at most BATCH_BYTES, or of one text."""
+    start = size = 0
+    for i, n in enumerate(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)):
+        if i > start and size + n > BATCH_BYTES:
+            yield texts.slice(start, i - start)
+            start, size = i, 0
+        size += n
+    if start < len(texts):
+        yield texts.slice(start)
+
+
 def pack(text: Column, p: Packing = Packing()) -> Column:
-    """array<string> of packed()."""
+    """array<string> of packed(). What a worker holds besides Spark's batch, of 10,000 rows, is bounded by bytes."""
 
-    @F.pandas_udf("array<string>")
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("array<string>")
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
-            yield pd.Series([packed(t, p) for t in texts], dtype=object)
+            for some in _slices(texts):
+                yield pa.array([packed(t.as_py(), p) for t in some], pa.list_(pa.string()))
 
     return run(text)
 

@@ -329,3 +329,13 @@ def test_warnings_with_lines_and_first_keys(spark):
     assert rows(quality.warnings(d, "k", "text", line="n"), "line")[:2] == [("b", "empty_content", 0, 1), ("a", "short_content", 199, 2)]
     assert sorted(r.n for r in corpus.first_keys(d, "k", "n", 2).collect()) == [1, 2, 3] and corpus.first_keys(d, "k", "n", 0).count() == 0
     assert sorted(r.n for r in corpus.first_keys(d, "k", "n", 9).collect()) == [1, 2, 3, 4]
+
+
+def test_texts_are_packed_by_bytes_not_rows():
+    import pyarrow as pa
+
+    texts = pa.array([None, "", "é" * 500_000, *["w" * 1000] * 5000, "x" * (chunking.BATCH_BYTES + 1), None, "y"])
+    slices = list(chunking._slices(texts.slice(1)))
+    assert pa.concat_arrays(slices).equals(texts.slice(1)) and len(slices) > 3
+    assert all(len(s) == 1 or sum(len((t.as_py() or "").encode()) for t in s) <= chunking.BATCH_BYTES for s in slices)
+    assert list(chunking._slices(pa.array([], pa.string()))) == []
