@@ -12,7 +12,7 @@ import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import chain
+from itertools import batched, chain
 from zlib import crc32
 
 import numpy as np
@@ -27,6 +27,8 @@ SAMPLE = 12_000
 #: Characters that the texts of these rows have together at most, which bounds what comes to the driver.
 SAMPLE_CHARS = 60_000_000
 DIMENSIONS = 1 << 18
+#: Parts in which the feature vectors come to the driver, and rows that it unpacks together.
+PARTS, ROWS = 16, 500
 #: Features of fewer sampled documents have no weight.
 MIN_DOCS = 8
 GRADES = 3
@@ -166,14 +168,6 @@ def fit_sparse(x: Sparse, grades: np.ndarray, grades_n: int = GRADES, epochs: in
     return Model(w.astype(np.float32), t)
 
 
-def _flat(column: pa.Array, kind: type) -> tuple[np.ndarray, np.ndarray]:
-    """Content of a binary column as one array of `kind`, and the bounds of its rows, without a copy."""
-    width = np.dtype(kind).itemsize
-    offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
-    data = np.frombuffer(column.buffers()[2], kind) if column.buffers()[2] else np.zeros(0, kind)
-    return data[offsets[0] // width : offsets[-1] // width], (offsets - offsets[0]).astype(np.int64) // width
-
-
 def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         made = [features(t.as_py() or "") for t in b.column(2)]
@@ -183,7 +177,7 @@ def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def train(docs: DataFrame, ratings: DataFrame, doc_id: str = "doc_id", text: str = "text", sample: int = SAMPLE, min_docs: int = MIN_DOCS, chars: int = SAMPLE_CHARS) -> Model:
     """A model of `ratings` (columns doc_id, quality, toxic), fitted on at most `sample` of them, whose texts have at most
-    `chars` characters together; only their feature vectors come to the driver.
+    `chars` characters together; only their feature vectors come to the driver, one of PARTS parts at a time.
 
     Ratings with a null, and those of documents that docs hasn't, are left out; of several ratings of one document the
     least grade counts, of several texts of one id the least. Null and empty texts have no features; long ones count
@@ -193,28 +187,29 @@ def train(docs: DataFrame, ratings: DataFrame, doc_id: str = "doc_id", text: str
     chosen = graded.groupBy("id").agg(F.min("g").alias("g")).orderBy(F.xxhash64("id"), "id").limit(sample)
     found = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("t")).join(F.broadcast(chosen), "id")
     found = cut(found.groupBy("id").agg(F.min("g").alias("g"), F.min("t").alias("t")))  # one text of each id, however often it occurs
-    rows = within(found, chars).select("id", "g", "t").mapInArrow(_vectors, "id long, g int, n binary, v binary").toArrow()
-    parts = [b for b in rows.to_batches() if len(b)]
+    vectors = cut(within(found, chars).select("id", "g", "t").mapInArrow(_vectors, "id long, g int, n binary, v binary")).coalesce(PARTS)
     seen = np.zeros(DIMENSIONS, np.int64)
-    for b in parts:
-        seen += np.bincount(_flat(b.column(2), np.int32)[0], minlength=DIMENSIONS)
-    kept, keys, grades = [], [], []
-    for b in parts:
-        (numbers, bounds), (values, _) = _flat(b.column(2), np.int32), _flat(b.column(3), np.float32)
-        kept.append(Sparse(numbers, values, bounds[:-1], bounds[1:]).only(seen >= min_docs))
-        keys += [(i, crc32(numbers[bounds[k] : bounds[k + 1]])) for k, i in enumerate(b.column(0).to_pylist())]
-        grades += b.column(1).to_pylist()
-    del rows, parts
+    for some in batched(vectors.select("n").toLocalIterator(), ROWS):
+        seen += np.bincount(np.frombuffer(b"".join(r.n for r in some), np.int32), minlength=DIMENSIONS)
+    keep = seen >= min_docs
+    total = int(seen[keep].sum())
+    numbers, values = np.empty(total, np.int32), np.empty(total, np.float32)
+    at, starts, ends, keys, grades = 0, [], [], [], []
+    for some in batched(vectors.toLocalIterator(), ROWS):
+        bounds = np.cumsum([0, *(len(r.n) // 4 for r in some)])
+        part = Sparse(np.frombuffer(b"".join(r.n for r in some), np.int32), np.frombuffer(b"".join(r.v for r in some), np.float32), bounds[:-1], bounds[1:]).only(keep)
+        to = at + len(part.numbers)
+        numbers[at:to], values[at:to] = part.numbers, part.values
+        starts.append(part.starts + at)
+        ends.append(part.ends + at)
+        at = to
+        keys += [(r.id, crc32(r.n)) for r in some]
+        grades += [r.g for r in some]
     order = sorted(range(len(keys)), key=keys.__getitem__)  # so that the model doesn't depend on how rows were dealt
     y = np.array(grades, int)[order]
     if len(np.unique(y)) < 2:
         return constant()
-    before = np.cumsum([0, *(len(k.numbers) for k in kept[:-1])])
-    starts, ends = (np.concatenate([getattr(k, side) + at for k, at in zip(kept, before)])[order] for side in ("starts", "ends"))
-    numbers = np.concatenate([k.numbers for k in kept])
-    values = np.concatenate([k.values for k in kept])
-    del kept
-    return fit_sparse(Sparse(numbers, values, starts, ends), y)
+    return fit_sparse(Sparse(numbers, values, np.concatenate(starts)[order], np.concatenate(ends)[order]), y)
 
 
 def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text", tail: float = TAIL) -> DataFrame:

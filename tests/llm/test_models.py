@@ -52,6 +52,21 @@ def test_ordinal_is_reproducible_and_bounded(spark):
     assert not (few.weights == one.weights).all()
 
 
+def test_ordinal_vectors_come_to_the_driver_in_parts(spark, monkeypatch):
+    docs, ratings, _ = labelled(spark, 4, 200)
+    docs = docs.repartition(9)
+    whole = ordinal.train(docs, ratings)
+
+    def refused(self):
+        raise AssertionError("the whole sample comes to the driver at once")
+
+    monkeypatch.setattr(type(docs), "toArrow", refused)
+    monkeypatch.setattr(ordinal, "PARTS", 3)
+    monkeypatch.setattr(ordinal, "ROWS", 7)
+    parts = ordinal.train(docs, ratings)
+    assert (parts.weights == whole.weights).all() and (parts.thresholds == whole.thresholds).all()
+
+
 def test_ordinal_likelihood_gradient():
     """The fitted model beats its start on the likelihood that it is fitted on."""
     rows = [(np.array([k % 5, 5 + k % 3], np.int32), np.ones(2, np.float32)) for k in range(300)]
